@@ -1,10 +1,11 @@
 """Type-2 history (SCD2) as plain DataFrame rewrites.
 
 ``scd2_apply`` replaces the source system's MERGE / INSERT / UPDATE sequence
-with one full-outer join of the open versions, the staged rows and the live
-keys on the natural key. Every key is decided once; closed versions pass
-through untouched. Keys are unique on every side of the join, so a hot key
-cannot exist here and no group is ever gathered into one task.
+with one keyed grouping of the open versions, the staged rows and the live
+keys (a three-way full-outer join in a single shuffle). Every key is decided
+once; closed versions pass through untouched and are never shuffled. Each
+side holds one row per natural key, so no group grows with the data and no
+hot key can exist here.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudlake.functions.expr import (
-    col, is_current, is_different, minus_seconds, open_end, ts_lit,
+    is_current, is_different, minus_seconds, open_end, ts_lit,
 )
 from fraudlake.schemas import FLAG_DELETED, FLAG_LIVE, FIRST_WATERMARK, DimSpec
 
@@ -82,8 +83,19 @@ def empty_history(spark, spec: DimSpec) -> DataFrame:
 
 def scd2_apply(hist: DataFrame, staged: DataFrame, keys: DataFrame | None,
                run_ts: dt.datetime | Column, spec: DimSpec) -> DataFrame:
-    """New history after one load.
+    """New history after one load: closed versions pass through untouched,
+    open ones go through :func:`scd2_step`."""
+    hist = hist.select(*spec.hist_columns)
+    closed = hist.filter(F.col("effective_to") != open_end())
+    opened = hist.filter(F.col("effective_to") == open_end())
+    return closed.unionByName(scd2_step(opened, staged, keys, run_ts, spec))
+
+
+def scd2_step(opened: DataFrame, staged: DataFrame, keys: DataFrame | None,
+              run_ts: dt.datetime | Column, spec: DimSpec) -> DataFrame:
+    """Versions that replace the open ones after one load.
 
+    ``opened``: the open versions (``effective_to`` = 9999-12-31) only;
     ``staged``: changed source rows (key, attrs, ``update_dt``/``create_dt``);
     ``keys``: every key in the source now (``id`` or the key column), or None
     when ``staged`` is a full slice; ``run_ts``: start of tombstone versions.
@@ -93,25 +105,38 @@ def scd2_apply(hist: DataFrame, staged: DataFrame, keys: DataFrame | None,
     old version closed one second before the new one starts; *deleted* (open
     ``N``, key not in the source) is closed one second before ``run_ts`` and
     an open ``Y`` version starts at ``run_ts``. An unchanged restaged row
-    keeps its open version.
+    keeps its open version. The output holds the (possibly just closed) old
+    open versions and the new ones; closed history is never read.
     """
     key, attrs = spec.key, list(spec.attrs)
     run = run_ts if isinstance(run_ts, Column) else ts_lit(run_ts)
-    hist = hist.select(*spec.hist_columns)
-    closed = hist.filter(F.col("effective_to") != open_end())
-    opened = hist.filter(F.col("effective_to") == open_end()).select(
-        key, *[F.col(a).alias(f"o_{a}") for a in attrs],
-        F.col("effective_from").alias("o_from"), F.col("deleted_flg").alias("o_flg"))
-    s = stage_latest(staged, spec).select(
-        key, *[F.col(a).alias(f"s_{a}") for a in attrs],
-        F.col("effective_from").alias("s_from"), F.lit(True).alias("s_here"))
-    if keys is None:
-        live = s.select(key, F.lit(True).alias("live"))
-    else:
+    # One shuffle: open versions, staged rows and live keys are tagged and
+    # grouped by key. Each side holds at most one row per key (one open
+    # version per key; the latest staged row wins via max over a struct led
+    # by its start time), so the grouping is a keyed full-outer join.
+    o_row = F.struct(*[F.col(a) for a in attrs], F.col("effective_from").alias("from"),
+                     F.col("deleted_flg").alias("flg"))
+    s_row = F.struct(effective_from(staged).alias("from"), *[F.col(a) for a in attrs])
+    o_type = opened.select(o_row.alias("x")).schema["x"].dataType
+    s_type = staged.select(s_row.alias("x")).schema["x"].dataType
+    parts = [
+        opened.select(key, o_row.alias("o"), F.lit(None).cast(s_type).alias("s"),
+                      F.lit(None).cast("boolean").alias("live")),
+        staged.select(key, F.lit(None).cast(o_type).alias("o"), s_row.alias("s"),
+                      F.lit(True).alias("live")),
+    ]
+    if keys is not None:
         kc = "id" if "id" in keys.columns else key
-        live = keys.select(F.col(kc).alias(key)).distinct().select(key, F.lit(True).alias("live"))
-
-    j = opened.join(live, key, "full_outer").join(s, key, "full_outer")
+        parts.append(keys.select(F.col(kc).alias(key), F.lit(None).cast(o_type).alias("o"),
+                                 F.lit(None).cast(s_type).alias("s"), F.lit(True).alias("live")))
+    tagged = parts[0].unionByName(parts[1])
+    for p in parts[2:]:
+        tagged = tagged.unionByName(p)
+    g = tagged.groupBy(key).agg(F.max("o").alias("o"), F.max("s").alias("s"), F.max("live").alias("live"))
+    j = g.select(key, *[F.col(f"o.{a}").alias(f"o_{a}") for a in attrs],
+                 F.col("o.from").alias("o_from"), F.col("o.flg").alias("o_flg"),
+                 *[F.col(f"s.{a}").alias(f"s_{a}") for a in attrs],
+                 F.col("s.from").alias("s_from"), F.col("s").isNotNull().alias("s_here"), "live")
     here = F.coalesce(F.col("s_here"), F.lit(False))
     has_open = F.col("o_flg").isNotNull()
     open_live = F.coalesce(F.col("o_flg") == FLAG_LIVE, F.lit(False))
@@ -135,8 +160,7 @@ def scd2_apply(hist: DataFrame, staged: DataFrame, keys: DataFrame | None,
     new = (F.when(inserted, version("s_", F.col("s_from"), open_end(), F.lit(FLAG_LIVE)))
             .when(deleted, version("o_", run, open_end(), F.lit(FLAG_DELETED))))
     rows = F.filter(F.array(old, new), lambda v: v.isNotNull())
-    emitted = j.select(F.inline(rows)).select(*spec.hist_columns)
-    return closed.unionByName(emitted)
+    return j.select(F.inline(rows)).select(*spec.hist_columns)
 
 
 def first_load(spark, src: DataFrame, spec: DimSpec, run_ts: dt.datetime) -> DataFrame:
@@ -165,5 +189,5 @@ def open_counts(hist: DataFrame, spec: DimSpec) -> DataFrame:
 __all__ = [
     "changed_keys", "close_deleted", "current", "deleted_keys", "effective_from", "empty_history",
     "extract_since", "first_load", "live_keys", "normalize_source", "open_counts", "scd2_apply",
-    "stage_latest", "col",
+    "scd2_step", "stage_latest",
 ]

@@ -7,13 +7,14 @@ snapshot runs, so their history holds changed, deleted and returned keys.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlake.functions.expr import ts_lit
+from fraudlake.functions.expr import open_end
 from fraudlake.operators.scd2 import (
-    empty_history, extract_since, first_load, normalize_source, scd2_apply,
+    empty_history, extract_since, first_load, normalize_source, scd2_step,
 )
 from fraudlake.schemas import ACCOUNTS, CARDS, CLIENTS, FIRST_WATERMARK, TERMINALS
 from fraudlake.sources import fixture
@@ -23,14 +24,19 @@ RUNS = fixture.SNAPSHOT_RUNS
 
 def clients_history(spark: SparkSession, sf_dir: str, runs: int = 3) -> DataFrame:
     """Clients history after ``runs`` daily SCD2 loads (watermark = last run)."""
-    hist = empty_history(spark, CLIENTS)
+    closed: list[DataFrame] = []
+    versions = empty_history(spark, CLIENTS)
     watermark = FIRST_WATERMARK
     for n in range(1, runs + 1):
+        if n > 1:  # keep what run n-1 closed; carry only its open versions on
+            closed.append(versions.filter(F.col("effective_to") != open_end()))
+            versions = versions.filter(F.col("effective_to") == open_end())
         snap = normalize_source(fixture.clients(spark, sf_dir, n), CLIENTS)
         staged = extract_since(snap, watermark)
-        hist = scd2_apply(hist, staged, snap.select(F.col("client_id").alias("id")), RUNS[n], CLIENTS)
+        versions = scd2_step(versions, staged, snap.select(F.col("client_id").alias("id")),
+                             RUNS[n], CLIENTS)
         watermark = RUNS[n]
-    return hist
+    return reduce(DataFrame.unionByName, closed, versions)
 
 
 def accounts_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,4 +76,4 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 __all__ = ["Warehouse", "warehouse", "clients_history", "accounts_history", "cards_history",
-           "terminals_history", "ts_lit"]
+           "terminals_history"]

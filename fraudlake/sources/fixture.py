@@ -24,8 +24,16 @@ TERMINAL_FROM = dt.datetime(2023, 12, 1)
 BLACKLIST_DAYS = (dt.datetime(2024, 1, 15), dt.datetime(2024, 1, 20))
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; the lazy scan is reused within a session (listing and
+    footer reads happen once)."""
+    k = (id(spark._jsparkSession), f"{sf_dir}/{name}.parquet")
+    if k not in _TABLES:
+        _TABLES[k] = spark.read.parquet(k[1])
+    return _TABLES[k]
 
 
 def _pad(c: Column, n: int) -> Column:
