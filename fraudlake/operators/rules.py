@@ -73,14 +73,18 @@ def rule_cities(enriched: DataFrame, day=None, within: str = "1 hour") -> DataFr
     previous one that day, at most ``within`` later. Unknown passports are
     left out rather than paired with each other."""
     day = _day(day)
-    e = on_report_day(enriched, day).filter(success() & F.col("passport").isNotNull())
-    w = Window.partitionBy("passport", F.to_date(T)).orderBy(T, "transaction_id")
+    e = (on_report_day(enriched, day).filter(success() & F.col("passport").isNotNull())
+         .withColumn("_day", F.to_date(T)))
+    w = Window.partitionBy("passport", "_day").orderBy(T, "transaction_id")
+    hits = e.withColumn("_hit", cities_hit(w, within)).filter("_hit")
+    return report_rows(hits, EVENT_CITIES, day)
+
+
+def cities_hit(w, within: str) -> Column:
+    """Another city than the previous operation in ``w``, within ``within``."""
     prev_t, prev_city = F.lag(T).over(w), F.lag("city").over(w)
-    x = (e.withColumn("prev_t", prev_t).withColumn("prev_city", prev_city)
-          .filter((F.col("city") != F.col("prev_city"))
-                  & F.col(T).between(F.col("prev_t") - F.expr(f"interval {within}"),
-                                     plus_interval("prev_t", within))))
-    return report_rows(x, EVENT_CITIES, day)
+    return ((F.col("city") != prev_city)
+            & F.col(T).between(prev_t - F.expr(f"interval {within}"), plus_interval(prev_t, within)))
 
 
 def guessing_flag(tr: DataFrame, within: str = "20 minutes", strict: bool = False) -> Column:
@@ -129,25 +133,56 @@ def rule_guessing(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients:
     return report_rows(enrich(on_report_day(flagged, day), cards, accounts, clients), EVENT_GUESSING, day)
 
 
+def flag_rules(e: DataFrame, blacklist: DataFrame, cities_within: str = "1 hour") -> DataFrame:
+    """Rules 1-3 (and rule 4 if ``is_guess`` is present) as columns, one pass.
+
+    Rule 3 runs over successful operations with a known passport, per passport
+    and day. Every other row gets a window key of its own (its id), so unknown
+    passports never form one big group. The blacklist joins on that same key:
+    only such rows can match it, and the join's hash partitioning then serves
+    the window without another exchange.
+    """
+    ok = success() & F.col("passport").isNotNull()
+    wkey = F.when(ok, F.col("passport")).otherwise(F.concat(F.lit("~"), F.col("transaction_id")))
+    x = e.withColumn("_wkey", wkey).withColumn("_day", F.to_date(T)).withColumn("_ok", ok)
+    bl = blacklist_first_entry(blacklist).withColumnRenamed("passport", "_bl_key")
+    x = x.join(bl, F.col("_wkey") == F.col("_bl_key"), "left")
+    w = Window.partitionBy("_wkey", "_day").orderBy(T, "transaction_id")
+    r1 = success() & ((F.col("entry_dt") <= F.col(T)) | (F.col("passport_valid_to") <= F.col(T)))
+    r2 = success() & (F.col("valid_to") < F.col(T))
+    r3 = F.col("_ok") & cities_hit(w, cities_within)
+    flags = [F.when(r1, EVENT_PASSPORT), F.when(r2, EVENT_CONTRACT), F.when(r3, EVENT_CITIES)]
+    if "is_guess" in e.columns:
+        flags.append(F.when(F.col("is_guess"), EVENT_GUESSING))
+    return x.withColumn("_types", F.filter(F.array(*flags), lambda t: t.isNotNull()))
+
+
+def report_from_flags(x: DataFrame, day: dt.date | None) -> DataFrame:
+    """One report row per (operation, matched rule)."""
+    report_dt = ts_lit(day) if day is not None else day_start(T)
+    return x.select(
+        F.col(T).alias("event_dt"), F.col("passport"), F.col("fio"), F.col("phone"),
+        F.explode("_types").alias("event_type"), report_dt.alias("report_dt"),
+        F.col("transaction_id").alias("tr_id"),
+    )
+
+
 def fraud_report(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
                  terminals: DataFrame, blacklist: DataFrame, day=None,
                  cities_within: str = "1 hour", guess_within: str = "20 minutes",
                  strict: bool = False) -> DataFrame:
     """The fraud mart rows for one day, or for every day when ``day`` is None.
 
-    Over all days the rule-4 window runs on the narrow fact first; the card
-    join then reuses its partitioning by ``card_num`` and one enriched plan
-    feeds all four rules (identical exchanges are reused). For one day, rules
-    1-3 enrich only that day's operations.
+    Over all days: the rule-4 window runs on the narrow fact (hash-partitioned
+    by ``card_num``, which the card join then reuses), the enrichment runs
+    once, and all four rules are flags of that one row set. For one day,
+    rules 1-3 enrich only that day's operations, and rule 4 reads the history
+    of the cards used that day.
     """
     day = _day(day)
     if day is None:
         e = enrich(with_guessing(tr, guess_within, strict), cards, accounts, clients, terminals)
-        r4 = report_rows(e.filter("is_guess"), EVENT_GUESSING, None)
-    else:
-        e = enrich(tr.filter(on_day(T, day)), cards, accounts, clients, terminals)
-        r4 = rule_guessing(tr, cards, accounts, clients, day, guess_within, strict)
-    return (rule_passport(e, blacklist, day)
-            .unionByName(rule_contract(e, day))
-            .unionByName(rule_cities(e, day, cities_within))
-            .unionByName(r4))
+        return report_from_flags(flag_rules(e, blacklist, cities_within), None)
+    e = enrich(tr.filter(on_day(T, day)), cards, accounts, clients, terminals)
+    r13 = report_from_flags(flag_rules(e, blacklist, cities_within), day)
+    return r13.unionByName(rule_guessing(tr, cards, accounts, clients, day, guess_within, strict))
