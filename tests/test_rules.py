@@ -1,0 +1,127 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from fraudlake.operators import rules
+from fraudlake.operators.asof import enrich
+from helpers import blacklist, dims, ts, tx
+
+DAY = dt.date(2024, 1, 16)
+
+
+def ids(df):
+    return sorted(r["tr_id"] for r in df.collect())
+
+
+def test_rule1_boundaries(spark):
+    cards, accs, clients, terms = dims(spark, [
+        ("C1", "P1", None), ("C2", "P2", ts("2024-01-16 00:00:00")), ("C3", "P3", None),
+        ("C4", "P4", None)])
+    t = tx(spark, [
+        ("1", "2024-01-16 10:00:00", 5, "C1", "SUCCESS"),   # listed at that very second
+        ("2", "2024-01-16 00:00:00", 5, "C2", "SUCCESS"),   # passport ends at midnight
+        ("3", "2024-01-16 09:00:00", 5, "C3", "SUCCESS"),   # no entry, no end
+        ("4", "2024-01-16 12:00:00", 5, "C4", "SUCCESS"),   # listed twice
+        ("5", "2024-01-16 12:00:00", 5, "C4", "REJECT"),    # not a success
+        ("6", "2024-01-16 09:59:59", 5, "C1", "SUCCESS"),   # before the listing
+    ])
+    bl = blacklist(spark, [("2024-01-16 10:00:00", "P1"), ("2024-01-10 00:00:00", "P4"),
+                           ("2024-01-12 00:00:00", "P4")])
+    e = enrich(t, cards, accs, clients)
+    assert ids(rules.rule_passport(e, bl, DAY)) == ["1", "2", "4"]
+
+
+def test_rule2_strict_bound(spark):
+    vt = ts("2024-01-16 10:00:00")
+    cards, accs, clients, _ = dims(spark, [("C1", "P1", None, vt)])
+    t = tx(spark, [("1", "2024-01-16 10:00:00", 5, "C1", "SUCCESS"),
+                   ("2", "2024-01-16 10:00:01", 5, "C1", "SUCCESS"),
+                   ("3", "2024-01-16 11:00:00", 5, "C1", "REJECT")])
+    assert ids(rules.rule_contract(enrich(t, cards, accs, clients), DAY)) == ["2"]
+
+
+def test_rule3_cities(spark):
+    cards, accs, clients, terms = dims(
+        spark, [("C1", "P1", None), ("C2", "P2", None), ("C3", "P3", None), ("C4", "P4", None)],
+        terminals=[("TA", "A"), ("TB", "B"), ("TN", None)])
+    t = tx(spark, [
+        ("1", "2024-01-16 10:00:00", 5, "C1", "SUCCESS", "TA"),
+        ("2", "2024-01-16 11:00:00", 5, "C1", "SUCCESS", "TB"),   # exactly 1 h: flagged
+        ("3", "2024-01-16 11:30:00", 5, "C1", "SUCCESS", "TA"),   # A-B-A: flagged
+        ("4", "2024-01-16 10:00:00", 5, "C2", "SUCCESS", "TA"),
+        ("5", "2024-01-16 11:00:01", 5, "C2", "SUCCESS", "TB"),   # 1 h 1 s: not
+        ("6", "2024-01-15 23:50:00", 5, "C3", "SUCCESS", "TA"),
+        ("7", "2024-01-16 00:10:00", 5, "C3", "SUCCESS", "TB"),   # across midnight: not
+        ("8", "2024-01-16 10:00:00", 5, "C4", "SUCCESS", "TA"),
+        ("9", "2024-01-16 10:10:00", 5, "C4", "SUCCESS", "TN"),   # NULL city: not
+        ("10", "2024-01-16 10:05:00", 5, "CX", "SUCCESS", "TA"),  # unknown card
+        ("11", "2024-01-16 10:06:00", 5, "CY", "SUCCESS", "TB"),  # unknown card: not paired
+        ("12", "2024-01-16 10:20:00", 5, "C4", "REJECT", "TB"),   # not a success
+    ])
+    e = enrich(t, cards, accs, clients, terms)
+    assert ids(rules.rule_cities(e, DAY)) == ["2", "3"]
+    assert ids(rules.rule_cities(e, None)) == ["2", "3"]
+
+
+def chain(card, start, amounts, results, step_s, first_id):
+    t0 = ts(start)
+    return [(str(first_id + i), (t0 + dt.timedelta(seconds=step_s * i)).isoformat(sep=" "), a, card, r)
+            for i, (a, r) in enumerate(zip(amounts, results))]
+
+
+def guesses(spark, rows, strict=False, within="20 minutes", day=None):
+    cards, accs, clients, _ = dims(spark, [(f"C{i}", f"P{i}", None) for i in range(10)])
+    return ids(rules.rule_guessing(tx(spark, rows), cards, accs, clients, day, within, strict))
+
+
+RRRS = ["REJECT", "REJECT", "REJECT", "SUCCESS"]
+
+
+def test_rule4_window_edges(spark):
+    rows = (chain("C1", "2024-01-16 10:00:00", [400, 300, 200, 100], RRRS, 399.67, 100)   # 19:59
+            + chain("C2", "2024-01-16 10:00:00", [400, 300, 200, 100], RRRS, 400, 200)    # 20:00
+            + chain("C3", "2024-01-16 10:00:00", [400, 300, 300, 100], RRRS, 60, 300)     # equal
+            + chain("C4", "2024-01-16 10:00:00", [300, 200, 100], RRRS[1:], 60, 400))     # 2 before
+    rows = [(i, t[:19], a, c, r) for i, t, a, c, r in rows]
+    assert guesses(spark, rows) == ["103"]
+    assert guesses(spark, rows, strict=True) == ["103"]
+
+
+def test_rule4_code_form_vs_strict(spark):
+    res = ["REJECT", "SUCCESS", "REJECT", "REJECT", "SUCCESS"]   # prev4 R, prev3 S
+    rows = chain("C5", "2024-01-16 10:00:00", [500, 400, 300, 200, 100], res, 60, 500)
+    assert guesses(spark, rows) == ["504"]
+    assert guesses(spark, rows, strict=True) == []
+
+
+def test_rule4_across_midnight_and_day(spark):
+    rows = chain("C6", "2024-01-15 23:55:00", [400, 300, 200, 100], RRRS, 120, 600)
+    rows = [(i, t[:19], a, c, r) for i, t, a, c, r in rows]
+    assert guesses(spark, rows, day=DAY) == ["603"]
+    assert guesses(spark, rows, day=dt.date(2024, 1, 15)) == []
+
+
+def test_rule4_time_tie_uses_id(spark):
+    rows = [("1", "2024-01-16 10:00:00", 400, "C7", "REJECT"),
+            ("2", "2024-01-16 10:01:00", 300, "C7", "REJECT"),
+            ("3", "2024-01-16 10:02:00", 200, "C7", "REJECT"),
+            ("4", "2024-01-16 10:02:00", 100, "C7", "SUCCESS")]
+    assert guesses(spark, rows) == ["4"]
+
+
+def test_report_one_pass_equals_rule_union(spark):
+    cards, accs, clients, terms = dims(
+        spark, [("C1", "P1", ts("2024-01-16 00:00:00"), ts("2024-01-16 09:00:00"))],
+        terminals=[("TA", "A"), ("TB", "B")])
+    rows = [("1", "2024-01-16 10:00:00", 400, "C1", "REJECT", "TA"),
+            ("2", "2024-01-16 10:01:00", 300, "C1", "REJECT", "TB"),
+            ("3", "2024-01-16 10:02:00", 200, "C1", "REJECT", "TA"),
+            ("4", "2024-01-16 10:03:00", 100, "C1", "SUCCESS", "TB"),
+            ("5", "2024-01-16 10:30:00", 90, "C1", "SUCCESS", "TA")]
+    t = tx(spark, rows)
+    bl = blacklist(spark, [])
+    for day in (None, DAY):
+        rep = rules.fraud_report(t, cards, accs, clients, terms, bl, day=day)
+        got = sorted((r["tr_id"], r["event_type"]) for r in rep.collect())
+        assert got == [("4", 1), ("4", 2), ("4", 4), ("5", 1), ("5", 2), ("5", 3)]
+        assert rep.filter(F.col("report_dt") != F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")).count() == 0
