@@ -70,8 +70,8 @@ def parse_amount(c: str | Column) -> Column:
 
 
 def blank_to_null(c: str | Column) -> Column:
-    """Oracle stores '' as NULL; trailing blanks of CHAR columns are padding."""
-    t = F.rtrim(col(c))
+    """Oracle stores '' as NULL; blanks around text (CHAR padding) are dropped."""
+    t = F.trim(col(c))
     return F.when(t == "", F.lit(None).cast("string")).otherwise(t)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudlake.functions.expr import (
-    is_current, is_different, minus_seconds, open_end, ts_lit,
+    blank_to_null, is_current, is_different, minus_seconds, open_end, ts_lit,
 )
 from fraudlake.schemas import FLAG_DELETED, FLAG_LIVE, FIRST_WATERMARK, DimSpec
 
@@ -174,8 +174,7 @@ def normalize_source(src: DataFrame, spec: DimSpec) -> DataFrame:
     for f in src.schema.fields:
         c = F.col(f.name)
         if f.dataType.typeName() == "string":
-            t = F.rtrim(c)
-            c = F.when(t == "", F.lit(None).cast("string")).otherwise(t)
+            c = blank_to_null(c)
         out.append(c.alias(f.name))
     return src.select(*out)
 

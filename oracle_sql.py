@@ -22,7 +22,7 @@ def _ts(d: str) -> str:
 
 
 def _clean(c: str) -> str:
-    return f"NULLIF(rtrim({c}), '')"
+    return f"NULLIF(trim({c}), '')"
 
 
 TX = """tx AS (
@@ -49,13 +49,13 @@ RAW = """raw AS (
   FROM events),
 typed AS (
   SELECT file_name,
-         NULLIF(rtrim(transaction_id), '') AS transaction_id,
+         NULLIF(trim(transaction_id), '') AS transaction_id,
          CAST(date_trunc('second', TRY_CAST(trim(transaction_date) AS TIMESTAMP)) AS TIMESTAMP) AS transaction_date,
          TRY_CAST(replace(trim(amount), ',', '.') AS DECIMAL(10,2)) AS amount,
-         NULLIF(rtrim(card_num), '') AS card_num,
-         NULLIF(rtrim(oper_type), '') AS oper_type,
-         NULLIF(rtrim(oper_result), '') AS oper_result,
-         NULLIF(rtrim(terminal), '') AS terminal,
+         NULLIF(trim(card_num), '') AS card_num,
+         NULLIF(trim(oper_type), '') AS oper_type,
+         NULLIF(trim(oper_result), '') AS oper_result,
+         NULLIF(trim(terminal), '') AS terminal,
          concat_ws(';', raw.transaction_id, raw.transaction_date, raw.amount, raw.card_num,
                    raw.oper_type, raw.oper_result, raw.terminal) AS raw_line
   FROM raw),
@@ -92,7 +92,7 @@ ACCS = f"""acc_h AS (
   FROM customer)"""
 
 CARDS = f"""cards_h AS (
-  SELECT rtrim(rpad('C' || lpad(CAST(c_custkey AS VARCHAR), 8, '0'), 20, ' ')) AS card_num,
+  SELECT trim(rpad('C' || lpad(CAST(c_custkey AS VARCHAR), 8, '0'), 20, ' ')) AS card_num,
          'A' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS account,
          {CREATE} AS create_dt,
          {CREATE} AS effective_from, {OPEN} AS effective_to, 'N' AS deleted_flg
