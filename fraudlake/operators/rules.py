@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudlake.functions.expr import day_start, on_day, plus_interval, ts_lit
 from fraudlake.operators.asof import enrich
+from fraudlake.operators.seqlag import Lag, sequence_lags
 from fraudlake.schemas import (
     EVENT_CITIES, EVENT_CONTRACT, EVENT_GUESSING, EVENT_PASSPORT, NEVER,
     RESULT_REJECT, RESULT_SUCCESS,
@@ -68,52 +69,59 @@ def rule_contract(enriched: DataFrame, day=None) -> DataFrame:
     return report_rows(x, EVENT_CONTRACT, day)
 
 
-def rule_cities(enriched: DataFrame, day=None, within: str = "1 hour") -> DataFrame:
+def rule_cities(enriched: DataFrame, day=None, within: str = "1 hour", skew_safe: bool = True) -> DataFrame:
     """Rule 3: a successful operation in another city than the passport's
     previous one that day, at most ``within`` later. Unknown passports are
     left out rather than paired with each other."""
     day = _day(day)
     e = (on_report_day(enriched, day).filter(success() & F.col("passport").isNotNull())
          .withColumn("_day", F.to_date(T)))
-    w = Window.partitionBy("passport", "_day").orderBy(T, "transaction_id")
-    hits = e.withColumn("_hit", cities_hit(w, within)).filter("_hit")
-    return report_rows(hits, EVENT_CITIES, day)
+    x = sequence_lags(e, ["passport", "_day"], [T, "transaction_id"], CITY_LAGS, T, skew_safe=skew_safe)
+    return report_rows(x.filter(cities_hit(within)), EVENT_CITIES, day)
 
 
-def cities_hit(w, within: str) -> Column:
-    """Another city than the previous operation in ``w``, within ``within``."""
-    prev_t, prev_city = F.lag(T).over(w), F.lag("city").over(w)
-    return ((F.col("city") != prev_city)
+CITY_LAGS = [Lag("_prev_t", T, 1), Lag("_prev_city", "city", 1)]
+
+
+def cities_hit(within: str) -> Column:
+    """Another city than the previous operation, within ``within`` of it."""
+    prev_t = F.col("_prev_t")
+    return ((F.col("city") != F.col("_prev_city"))
             & F.col(T).between(prev_t - F.expr(f"interval {within}"), plus_interval(prev_t, within)))
 
 
-def guessing_flag(tr: DataFrame, within: str = "20 minutes", strict: bool = False) -> Column:
-    """Rule 4 condition over each card's operations in time order.
+GUESS_LAGS = [Lag("_r1", "_rej", 1, 0), Lag("_r2", "_rej", 2, 0), Lag("_r3", "_rej", 3, 0),
+              Lag("_r4", "_rej", 4, 0), Lag("_t3", T, 3), Lag("_res2", "oper_result", 2, "0"),
+              Lag("_a1", "amount", 1, 0), Lag("_a2", "amount", 2, 0), Lag("_a3", "amount", 3, 0)]
+
+
+def guessing_condition(within: str = "20 minutes", strict: bool = False) -> Column:
+    """Rule 4 over each card's operations in time order (lags precomputed).
 
     Default (the source system's code): current not REJECT, previous not
     SUCCESS, the one before that REJECT, at least three of the previous four
     not SUCCESS, within ``within`` of the third previous, amounts strictly
     falling. ``strict``: current SUCCESS and all three previous not SUCCESS.
-    Only ``lag`` over one ascending window: one exchange and one sort.
     """
-    w = Window.partitionBy("card_num").orderBy(T, "transaction_id")
-    rej = F.when(success(), 0).otherwise(1)
-    lag_rej = [F.lag(rej, k, 0).over(w) for k in range(1, 5)]
-    am = [F.lag("amount", k, 0).over(w) for k in range(1, 4)]
-    t3 = F.lag(T, 3).over(w)
-    falling = (F.col("amount") < am[0]) & (am[0] < am[1]) & (am[1] < am[2])
+    c = F.col
+    falling = (c("amount") < c("_a1")) & (c("_a1") < c("_a2")) & (c("_a2") < c("_a3"))
     if strict:
-        return (success() & (lag_rej[0] == 1) & (lag_rej[1] == 1) & (lag_rej[2] == 1)
-                & (F.col(T) < plus_interval(t3, within)) & falling)
-    score = (F.when((lag_rej[0] == 0) | (F.col("oper_result") == RESULT_REJECT), 0)
-              .otherwise(lag_rej[0] + lag_rej[1] + lag_rej[2] + lag_rej[3]))
-    ch_time = plus_interval(F.coalesce(t3, ts_lit(NEVER)), within)
-    prev2 = F.lag("oper_result", 2, "0").over(w)
-    return (score >= 3) & (F.col(T) < ch_time) & (prev2 == RESULT_REJECT) & falling
+        return (success() & (c("_r1") == 1) & (c("_r2") == 1) & (c("_r3") == 1)
+                & (c(T) < plus_interval("_t3", within)) & falling)
+    score = (F.when((c("_r1") == 0) | (c("oper_result") == RESULT_REJECT), 0)
+              .otherwise(c("_r1") + c("_r2") + c("_r3") + c("_r4")))
+    ch_time = plus_interval(F.coalesce(c("_t3"), ts_lit(NEVER)), within)
+    return (score >= 3) & (c(T) < ch_time) & (c("_res2") == RESULT_REJECT) & falling
 
 
-def with_guessing(tr: DataFrame, within: str = "20 minutes", strict: bool = False) -> DataFrame:
-    return tr.withColumn("is_guess", guessing_flag(tr, within, strict))
+def with_guessing(tr: DataFrame, within: str = "20 minutes", strict: bool = False,
+                  skew_safe: bool = True) -> DataFrame:
+    """The fact plus ``is_guess``. Lags run per card in time order (one
+    window, ties broken by id); ``skew_safe`` splits hot cards by time."""
+    base = tr.withColumn("_rej", F.when(success(), 0).otherwise(1))
+    x = sequence_lags(base, ["card_num"], [T, "transaction_id"], GUESS_LAGS, T, skew_safe=skew_safe)
+    return (x.withColumn("is_guess", guessing_condition(within, strict))
+             .drop("_rej", *[lg.name for lg in GUESS_LAGS]))
 
 
 def guessing_history(tr: DataFrame, day: dt.date | None) -> DataFrame:
@@ -126,14 +134,17 @@ def guessing_history(tr: DataFrame, day: dt.date | None) -> DataFrame:
 
 
 def rule_guessing(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
-                  day=None, within: str = "20 minutes", strict: bool = False) -> DataFrame:
+                  day=None, within: str = "20 minutes", strict: bool = False,
+                  skew_safe: bool = True) -> DataFrame:
     """Rule 4: amount guessing; flags on the fact first, then enrich the hits."""
     day = _day(day)
-    flagged = with_guessing(guessing_history(tr, day), within, strict).filter("is_guess").drop("is_guess")
+    flagged = (with_guessing(guessing_history(tr, day), within, strict, skew_safe)
+               .filter("is_guess").drop("is_guess"))
     return report_rows(enrich(on_report_day(flagged, day), cards, accounts, clients), EVENT_GUESSING, day)
 
 
-def flag_rules(e: DataFrame, blacklist: DataFrame, cities_within: str = "1 hour") -> DataFrame:
+def flag_rules(e: DataFrame, blacklist: DataFrame, cities_within: str = "1 hour",
+               skew_safe: bool = True) -> DataFrame:
     """Rules 1-3 (and rule 4 if ``is_guess`` is present) as columns, one pass.
 
     Rule 3 runs over successful operations with a known passport, per passport
@@ -147,10 +158,10 @@ def flag_rules(e: DataFrame, blacklist: DataFrame, cities_within: str = "1 hour"
     x = e.withColumn("_wkey", wkey).withColumn("_day", F.to_date(T)).withColumn("_ok", ok)
     bl = blacklist_first_entry(blacklist).withColumnRenamed("passport", "_bl_key")
     x = x.join(bl, F.col("_wkey") == F.col("_bl_key"), "left")
-    w = Window.partitionBy("_wkey", "_day").orderBy(T, "transaction_id")
+    x = sequence_lags(x, ["_wkey", "_day"], [T, "transaction_id"], CITY_LAGS, T, skew_safe=skew_safe)
     r1 = success() & ((F.col("entry_dt") <= F.col(T)) | (F.col("passport_valid_to") <= F.col(T)))
     r2 = success() & (F.col("valid_to") < F.col(T))
-    r3 = F.col("_ok") & cities_hit(w, cities_within)
+    r3 = F.col("_ok") & cities_hit(cities_within)
     flags = [F.when(r1, EVENT_PASSPORT), F.when(r2, EVENT_CONTRACT), F.when(r3, EVENT_CITIES)]
     if "is_guess" in e.columns:
         flags.append(F.when(F.col("is_guess"), EVENT_GUESSING))
@@ -170,7 +181,7 @@ def report_from_flags(x: DataFrame, day: dt.date | None) -> DataFrame:
 def fraud_report(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
                  terminals: DataFrame, blacklist: DataFrame, day=None,
                  cities_within: str = "1 hour", guess_within: str = "20 minutes",
-                 strict: bool = False) -> DataFrame:
+                 strict: bool = False, skew_safe: bool = True) -> DataFrame:
     """The fraud mart rows for one day, or for every day when ``day`` is None.
 
     Over all days: the rule-4 window runs on the narrow fact (hash-partitioned
@@ -181,8 +192,8 @@ def fraud_report(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients:
     """
     day = _day(day)
     if day is None:
-        e = enrich(with_guessing(tr, guess_within, strict), cards, accounts, clients, terminals)
-        return report_from_flags(flag_rules(e, blacklist, cities_within), None)
+        e = enrich(with_guessing(tr, guess_within, strict, skew_safe), cards, accounts, clients, terminals)
+        return report_from_flags(flag_rules(e, blacklist, cities_within, skew_safe), None)
     e = enrich(tr.filter(on_day(T, day)), cards, accounts, clients, terminals)
-    r13 = report_from_flags(flag_rules(e, blacklist, cities_within), day)
-    return r13.unionByName(rule_guessing(tr, cards, accounts, clients, day, guess_within, strict))
+    r13 = report_from_flags(flag_rules(e, blacklist, cities_within, skew_safe), day)
+    return r13.unionByName(rule_guessing(tr, cards, accounts, clients, day, guess_within, strict, skew_safe))
