@@ -76,7 +76,8 @@ def rule_cities(enriched: DataFrame, day=None, within: str = "1 hour", skew_safe
     day = _day(day)
     e = (on_report_day(enriched, day).filter(success() & F.col("passport").isNotNull())
          .withColumn("_day", F.to_date(T)))
-    x = sequence_lags(e, ["passport", "_day"], [T, "transaction_id"], CITY_LAGS, T, skew_safe=skew_safe)
+    x = sequence_lags(e, ["passport", "_day"], [T, "transaction_id"], CITY_LAGS, T,
+                      skew_safe=skew_safe, detect_hot=False)
     return report_rows(x.filter(cities_hit(within)), EVENT_CITIES, day)
 
 
@@ -158,7 +159,10 @@ def flag_rules(e: DataFrame, blacklist: DataFrame, cities_within: str = "1 hour"
     x = e.withColumn("_wkey", wkey).withColumn("_day", F.to_date(T)).withColumn("_ok", ok)
     bl = blacklist_first_entry(blacklist).withColumnRenamed("passport", "_bl_key")
     x = x.join(bl, F.col("_wkey") == F.col("_bl_key"), "left")
-    x = sequence_lags(x, ["_wkey", "_day"], [T, "transaction_id"], CITY_LAGS, T, skew_safe=skew_safe)
+    # Rule 3 runs on a join result: every (passport, day) is cut by the hour
+    # rather than counted first, so the enrichment is not computed twice.
+    x = sequence_lags(x, ["_wkey", "_day"], [T, "transaction_id"], CITY_LAGS, T,
+                      skew_safe=skew_safe, detect_hot=False)
     r1 = success() & ((F.col("entry_dt") <= F.col(T)) | (F.col("passport_valid_to") <= F.col(T)))
     r2 = success() & (F.col("valid_to") < F.col(T))
     r3 = F.col("_ok") & cities_hit(cities_within)

@@ -40,21 +40,28 @@ class Lag:
 def sequence_lags(df: DataFrame, keys: list[str], order: list[str], lags: list[Lag],
                   time_col: str | None = None, bucket_seconds: int = 3600,
                   hot_fraction: float = 0.001, min_hot_rows: int = 100_000,
-                  skew_safe: bool = True) -> DataFrame:
-    """``df`` plus one column per :class:`Lag`, ordered by ``order`` within ``keys``."""
+                  skew_safe: bool = True, detect_hot: bool = True) -> DataFrame:
+    """``df`` plus one column per :class:`Lag`, ordered by ``order`` within ``keys``.
+
+    ``detect_hot=False`` buckets every key (no counting job): the choice for
+    inputs that are expensive to compute twice, such as a join result.
+    """
     if not skew_safe:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[F.lag(lg.source, lg.offset, lg.default).over(w).alias(lg.name)
                                 for lg in lags])
     k = max(lg.offset for lg in lags)
     time_col = time_col or order[0]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    share = counts.select((F.sum("_n") * F.lit(hot_fraction)).alias("s")).scalar()
-    hot = (counts.filter((F.col("_n") > share) & (F.col("_n") > min_hot_rows))
-                 .select(*keys, F.lit(True).alias("_hot")))
-    # at most 1/hot_fraction keys can exceed that share: safe to broadcast
-    x = df.join(F.broadcast(hot), keys, "left")
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    if detect_hot:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        share = counts.select((F.sum("_n") * F.lit(hot_fraction)).alias("s")).scalar()
+        hot = (counts.filter((F.col("_n") > share) & (F.col("_n") > min_hot_rows))
+                     .select(*keys, F.lit(True).alias("_hot")))
+        # at most 1/hot_fraction keys can exceed that share: safe to broadcast
+        x = df.join(F.broadcast(hot), keys, "left")
+        is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    else:
+        x, is_hot = df, F.lit(True)
     bucket = F.when(is_hot, F.floor(F.unix_micros(F.col(time_col).cast("timestamp"))
                                     / F.lit(bucket_seconds * 1_000_000))).otherwise(F.lit(0))
     x = x.withColumn("_hot", is_hot).withColumn("_bucket", bucket.cast("long"))
