@@ -44,7 +44,12 @@ def report_rows(df: DataFrame, event_type: int, day: dt.date | None) -> DataFram
 
 
 def on_report_day(df: DataFrame, day: dt.date | None) -> DataFrame:
-    return df if day is None else df.filter(on_day(T, day))
+    """The day's operations; a stored fact also prunes to its ``event_date``."""
+    if day is None:
+        return df
+    if "event_date" in df.columns:
+        df = df.filter(F.col("event_date") == F.lit(day))
+    return df.filter(on_day(T, day))
 
 
 def blacklist_first_entry(blacklist: DataFrame) -> DataFrame:
@@ -130,7 +135,7 @@ def guessing_history(tr: DataFrame, day: dt.date | None) -> DataFrame:
     were used on ``day`` (the chain may start on an earlier day)."""
     if day is None:
         return tr
-    active = tr.filter(on_day(T, day)).select("card_num").distinct()
+    active = on_report_day(tr, day).select("card_num").distinct()
     return tr.join(active, "card_num", "left_semi")
 
 
@@ -198,6 +203,6 @@ def fraud_report(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients:
     if day is None:
         e = enrich(with_guessing(tr, guess_within, strict, skew_safe), cards, accounts, clients, terminals)
         return report_from_flags(flag_rules(e, blacklist, cities_within, skew_safe), None)
-    e = enrich(tr.filter(on_day(T, day)), cards, accounts, clients, terminals)
+    e = enrich(on_report_day(tr, day), cards, accounts, clients, terminals)
     r13 = report_from_flags(flag_rules(e, blacklist, cities_within, skew_safe), day)
     return r13.unionByName(rule_guessing(tr, cards, accounts, clients, day, guess_within, strict, skew_safe))

@@ -183,8 +183,9 @@ def load_dim(spark: SparkSession, wh: Warehouse, spec: DimSpec, source: DataFram
 # --- facts -------------------------------------------------------------------------
 
 def read_fact(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """The fact with its partition column ``event_date`` (day filters prune)."""
     schema = T.StructType(TRANSACTIONS.fields + [T.StructField("event_date", T.DateType(), True)])
-    return _read(spark, wh.fact, schema, basePath=wh.fact).select(*[f.name for f in TRANSACTIONS.fields])
+    return _read(spark, wh.fact, schema, basePath=wh.fact)
 
 
 def append_transactions(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> None:
