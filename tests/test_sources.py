@@ -2,7 +2,6 @@ import datetime as dt
 import os
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from fraudlake.plans import warehouse as W
 from fraudlake.schemas import ACCOUNTS
