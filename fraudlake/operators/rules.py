@@ -97,11 +97,13 @@ def cities_hit(within: str) -> Column:
 
 
 GUESS_LAGS = [Lag("_r1", "_rej", 1, 0), Lag("_r2", "_rej", 2, 0), Lag("_r3", "_rej", 3, 0),
-              Lag("_r4", "_rej", 4, 0), Lag("_t3", T, 3), Lag("_res2", "oper_result", 2, "0"),
+              Lag("_r4", "_rej", 4, 0), Lag("_t3", T, 3), Lag("_t4", T, 4),
+              Lag("_res2", "oper_result", 2, "0"),
               Lag("_a1", "amount", 1, 0), Lag("_a2", "amount", 2, 0), Lag("_a3", "amount", 3, 0)]
 
 
-def guessing_condition(within: str = "20 minutes", strict: bool = False) -> Column:
+def guessing_condition(within: str = "20 minutes", strict: bool = False,
+                       r4: Column | None = None) -> Column:
     """Rule 4 over each card's operations in time order (lags precomputed).
 
     Default (the source system's code): current not REJECT, previous not
@@ -114,8 +116,9 @@ def guessing_condition(within: str = "20 minutes", strict: bool = False) -> Colu
     if strict:
         return (success() & (c("_r1") == 1) & (c("_r2") == 1) & (c("_r3") == 1)
                 & (c(T) < plus_interval("_t3", within)) & falling)
+    r4 = c("_r4") if r4 is None else r4
     score = (F.when((c("_r1") == 0) | (c("oper_result") == RESULT_REJECT), 0)
-              .otherwise(c("_r1") + c("_r2") + c("_r3") + c("_r4")))
+              .otherwise(c("_r1") + c("_r2") + c("_r3") + r4))
     ch_time = plus_interval(F.coalesce(c("_t3"), ts_lit(NEVER)), within)
     return (score >= 3) & (c(T) < ch_time) & (c("_res2") == RESULT_REJECT) & falling
 
@@ -124,19 +127,52 @@ def with_guessing(tr: DataFrame, within: str = "20 minutes", strict: bool = Fals
                   skew_safe: bool = True) -> DataFrame:
     """The fact plus ``is_guess``. Lags run per card in time order (one
     window, ties broken by id); ``skew_safe`` splits hot cards by time."""
-    base = tr.withColumn("_rej", F.when(success(), 0).otherwise(1))
+    base = tr.withColumn("_rej", _rej())
     x = sequence_lags(base, ["card_num"], [T, "transaction_id"], GUESS_LAGS, T, skew_safe=skew_safe)
     return (x.withColumn("is_guess", guessing_condition(within, strict))
              .drop("_rej", *[lg.name for lg in GUESS_LAGS]))
 
 
-def guessing_history(tr: DataFrame, day: dt.date | None) -> DataFrame:
-    """History that the daily rule 4 needs: every operation of the cards that
-    were used on ``day`` (the chain may start on an earlier day)."""
-    if day is None:
-        return tr
+def _rej() -> Column:
+    return F.when(success(), 0).otherwise(1)
+
+
+def guessing_on_day(tr: DataFrame, day: dt.date, within: str = "20 minutes", strict: bool = False,
+                    skew_safe: bool = True) -> DataFrame:
+    """Rule 4 hits of one day, reading only ``[day - within, day end]``.
+
+    A hit's third predecessor is less than ``within`` older than it, so the
+    operations since ``day - within`` hold predecessors 1-3 of every
+    possible hit. Only the fourth one (counted in the default form) can be
+    older: lags over that range may miss a rejection there, so they flag a
+    subset of the hits. The rest are rows whose fourth predecessor lies
+    before the range and whose count reaches 3 only with it; for their cards
+    the last operation before the range is looked up (a narrow scan, one
+    aggregate row per card). Exact, without shuffling the card's history.
+    """
+    start = ts_lit(day) - F.expr(f"interval {within}")
+    end = ts_lit(day + dt.timedelta(days=1))
     active = on_report_day(tr, day).select("card_num").distinct()
-    return tr.join(active, "card_num", "left_semi")
+    recent = tr.filter((F.col(T) >= start) & (F.col(T) < end))
+    if "event_date" in tr.columns:   # stored fact: read only the partitions in range
+        recent = recent.filter((F.col("event_date") >= F.to_date(start)) & (F.col("event_date") <= F.lit(day)))
+    recent = recent.join(active, "card_num", "left_semi").withColumn("_rej", _rej())
+    x = sequence_lags(recent, ["card_num"], [T, "transaction_id"], GUESS_LAGS, T, skew_safe=skew_safe)
+    x = on_report_day(x, day)
+    cols = [c for c in tr.columns if c != "event_date"]
+    hits = x.filter(guessing_condition(within, strict)).select(*cols)
+    if strict:
+        return hits
+    maybe = x.filter(F.col("_t4").isNull() & F.col("_t3").isNotNull()
+                     & ~guessing_condition(within) & guessing_condition(within, r4=F.lit(1)))
+    before = tr.filter(F.col(T) < start)
+    if "event_date" in tr.columns:
+        before = before.filter(F.col("event_date") <= F.to_date(start))
+    last = (before.join(maybe.select("card_num").distinct(), "card_num", "left_semi")
+                  .groupBy("card_num")
+                  .agg(F.max(F.struct(T, "transaction_id", _rej().alias("rej"))).alias("_p4")))
+    more = maybe.join(last, "card_num").filter(F.col("_p4.rej") == 1).select(*cols)
+    return hits.unionByName(more)
 
 
 def rule_guessing(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
@@ -144,9 +180,11 @@ def rule_guessing(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients:
                   skew_safe: bool = True) -> DataFrame:
     """Rule 4: amount guessing; flags on the fact first, then enrich the hits."""
     day = _day(day)
-    flagged = (with_guessing(guessing_history(tr, day), within, strict, skew_safe)
-               .filter("is_guess").drop("is_guess"))
-    return report_rows(enrich(on_report_day(flagged, day), cards, accounts, clients), EVENT_GUESSING, day)
+    if day is None:
+        flagged = with_guessing(tr, within, strict, skew_safe).filter("is_guess").drop("is_guess")
+    else:
+        flagged = guessing_on_day(tr, day, within, strict, skew_safe)
+    return report_rows(enrich(flagged, cards, accounts, clients), EVENT_GUESSING, day)
 
 
 def flag_rules(e: DataFrame, blacklist: DataFrame, cities_within: str = "1 hour",

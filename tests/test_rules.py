@@ -125,3 +125,31 @@ def test_report_one_pass_equals_rule_union(spark):
         got = sorted((r["tr_id"], r["event_type"]) for r in rep.collect())
         assert got == [("4", 1), ("4", 2), ("4", 4), ("5", 1), ("5", 2), ("5", 3)]
         assert rep.filter(F.col("report_dt") != F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")).count() == 0
+
+
+def test_rule4_day_finds_old_fourth_predecessor(spark):
+    # prev4 REJECT three days earlier, prev3 SUCCESS: the code form counts 3
+    rows = [("1", "2024-01-13 09:00:00", 900, "C8", "REJECT"),
+            ("2", "2024-01-16 10:00:00", 500, "C8", "SUCCESS"),
+            ("3", "2024-01-16 10:01:00", 400, "C8", "REJECT"),
+            ("4", "2024-01-16 10:02:00", 300, "C8", "REJECT"),
+            ("5", "2024-01-16 10:03:00", 200, "C8", "SUCCESS")]
+    assert guesses(spark, rows, day=DAY) == ["5"]
+    assert guesses(spark, rows) == ["5"]
+    assert guesses(spark, rows, day=DAY, strict=True) == []
+    # a SUCCESS as that fourth predecessor: no hit
+    rows[0] = ("1", "2024-01-13 09:00:00", 900, "C8", "SUCCESS")
+    assert guesses(spark, rows, day=DAY) == []
+
+
+def test_rule4_day_equals_all_days_on_fixture(spark):
+    from fraudlake.plans import demo
+    w = demo.warehouse(spark, "/root/testdata/sf0.01")
+    for within in ("1 day", "7 days"):
+        for strict in (False, True):
+            every = rules.rule_guessing(w.tr, w.cards, w.accounts, w.clients, None, within, strict)
+            for day in (dt.date(2024, 1, 16),):
+                one = rules.rule_guessing(w.tr, w.cards, w.accounts, w.clients, day, within, strict)
+                want = every.filter(F.to_date("event_dt") == F.lit(day)).select("tr_id")
+                assert sorted(r[0] for r in one.select("tr_id").collect()) == \
+                    sorted(r[0] for r in want.collect()), (within, strict, day)
