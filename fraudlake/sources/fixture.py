@@ -24,16 +24,17 @@ TERMINAL_FROM = dt.datetime(2023, 12, 1)
 BLACKLIST_DAYS = (dt.datetime(2024, 1, 15), dt.datetime(2024, 1, 20))
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[str, tuple[SparkSession, DataFrame]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; the lazy scan is reused within a session (listing and
     footer reads happen once)."""
-    k = (id(spark._jsparkSession), f"{sf_dir}/{name}.parquet")
-    if k not in _TABLES:
-        _TABLES[k] = spark.read.parquet(k[1])
-    return _TABLES[k]
+    path = f"{sf_dir}/{name}.parquet"
+    hit = _TABLES.get(path)
+    if hit is None or hit[0] is not spark:
+        hit = _TABLES[path] = (spark, spark.read.parquet(path))
+    return hit[1]
 
 
 def _pad(c: Column, n: int) -> Column:
