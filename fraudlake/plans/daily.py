@@ -15,11 +15,26 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fraudlake.functions.expr import blank_to_null
 from fraudlake.operators.rules import fraud_report
 from fraudlake.operators.scd2 import extract_since, normalize_source
 from fraudlake.plans import warehouse as W
 from fraudlake.schemas import ACCOUNTS, CARDS, CLIENTS, TERMINALS
-from fraudlake.sources.intake import type_transactions
+from fraudlake.sources import jdbc, workbook
+from fraudlake.sources.intake import read_transactions_csv, type_transactions
+
+
+@dataclass
+class BankSource:
+    """The bank's account/card/client tables over JDBC."""
+
+    url: str
+    props: dict[str, str] | None = None
+    dialect: str = "ansi"
+    tables: dict[str, str] | None = None   # dimension name -> table name
+
+    def table(self, name: str) -> str:
+        return (self.tables or {}).get(name, name.lower())
 
 
 @dataclass
@@ -32,6 +47,37 @@ class DayFeeds:
     accounts: DataFrame | None = None           # bank tables now (JDBC or files)
     cards: DataFrame | None = None
     clients: DataFrame | None = None
+    bank: BankSource | None = None              # extract over JDBC instead
+
+
+def feeds_from_folder(spark: SparkSession, folder: str, day: dt.date, bank_url: str | None = None,
+                      bank_props: dict[str, str] | None = None, dialect: str = "ansi",
+                      bank_tables: dict[str, str] | None = None) -> DayFeeds:
+    """The day's files in a landing folder (``<kind>_DDMMYYYY.<ext>``) and,
+    with ``bank_url``, the bank tables over JDBC: only rows changed since the
+    watermark are extracted (the filter runs in the database), plus the key
+    column for delete detection."""
+    stamp = day.strftime("%d%m%Y")
+
+    def present(pattern: str) -> str | None:
+        path = f"{folder.rstrip('/')}/{pattern}"
+        try:
+            spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
+        except Exception:   # no such file: that feed did not arrive today
+            return None
+        return path
+
+    tx = present(f"transactions_{stamp}.txt")
+    bl = present(f"passport_blacklist_{stamp}.xlsx")
+    tm = present(f"terminals_{stamp}.xlsx")
+    feeds = DayFeeds(
+        transactions_raw=read_transactions_csv(spark, tx) if tx else None,
+        blacklist=workbook.read_blacklist(spark, bl).drop("file_name") if bl else None,
+        terminals=workbook.read_terminals(spark, tm).drop("file_name") if tm else None,
+    )
+    if bank_url:
+        feeds.bank = BankSource(bank_url, bank_props, dialect, bank_tables)
+    return feeds
 
 
 def load_feeds(spark: SparkSession, wh: W.Warehouse, feeds: DayFeeds, run_ts: dt.datetime,
@@ -49,6 +95,16 @@ def load_feeds(spark: SparkSession, wh: W.Warehouse, feeds: DayFeeds, run_ts: dt
     for spec, src in ((ACCOUNTS, feeds.accounts), (CARDS, feeds.cards), (CLIENTS, feeds.clients)):
         if src is not None:
             W.load_dim(spark, wh, spec, normalize_source(src, spec), run_ts, extract=extract_since)
+        elif feeds.bank is not None:
+            b, table = feeds.bank, feeds.bank.table(spec.name)
+
+            def changed(_, watermark, spec=spec, table=table):
+                rows = jdbc.extract_since(spark, b.url, table, spec, watermark, b.dialect, b.props)
+                return normalize_source(rows, spec)
+
+            keys = jdbc.live_keys(spark, b.url, table, spec, b.props).select(
+                blank_to_null("id").alias("id"))
+            W.load_dim(spark, wh, spec, None, run_ts, keys=keys, extract=changed)
 
 
 def warehouse_view(spark: SparkSession, wh: W.Warehouse) -> dict[str, DataFrame]:

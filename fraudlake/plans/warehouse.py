@@ -154,14 +154,16 @@ def read_dim(spark: SparkSession, wh: Warehouse, spec: DimSpec, rid: int | None
     return d.filter(cond).select(*spec.hist_columns)
 
 
-def load_dim(spark: SparkSession, wh: Warehouse, spec: DimSpec, source: DataFrame,
+def load_dim(spark: SparkSession, wh: Warehouse, spec: DimSpec, source: DataFrame | None,
              run_ts: dt.datetime, keys: DataFrame | None = None,
              extract=None, allow_empty: bool = False) -> int:
     """One SCD2 load of a dimension; returns its run id.
 
-    ``source``: the source table now (normalized). Rows since the last
-    watermark are staged; ``keys`` (default: the source's keys) decide
-    deletions. Re-running the same ``run_ts`` rewrites the same run.
+    ``source``: the source table now (normalized), or None when ``extract``
+    fetches the changed rows itself. ``extract(source, watermark)`` stages
+    the rows since the last committed watermark (default: all of
+    ``source``); ``keys`` (default: the source's keys) decide deletions.
+    Re-running the same ``run_ts`` rewrites the same run.
     """
     rid = run_id(run_ts)
     prev, watermark = committed(spark, wh, spec.name, before=rid)

@@ -70,3 +70,35 @@ def test_day_report_prunes_fact_partitions(spark, scratch):
     daily.load_feeds(spark, wh, feeds(spark, 1, dt.datetime(2024, 1, 1)), demo.RUNS[1])
     plan = daily.build_report(spark, wh, dt.date(2024, 1, 2))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan and "= 2024-01-02" in plan
+
+
+def test_day_from_landing_folder_and_bank(spark, scratch):
+    import os
+    from xlsx import write_xlsx
+    land = f"{scratch}/landing"
+    os.makedirs(land)
+    with open(f"{land}/transactions_16012024.txt", "w") as f:
+        f.write("transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n"
+                "1;2024-01-16 10:00:00;10,00;C1;pay;SUCCESS;T1\n"
+                "2;2024-01-16 10:30:00;10,00;C1;pay;SUCCESS;T2\n")
+    write_xlsx(f"{land}/passport_blacklist_16012024.xlsx", [["date", "passport"], ["2024-01-01", "PP1"]])
+    write_xlsx(f"{land}/terminals_16012024.xlsx",
+               [["terminal_id", "terminal_type", "terminal_city", "terminal_address"],
+                ["T1", "ATM", "Moscow", "a"], ["T2", "POS", "Kazan", "b"]])
+    url = "jdbc:derby:memory:bank_day;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    c0 = dt.datetime(2023, 12, 1)
+    bank = {
+        "ACCOUNTS": ([("A1", dt.datetime(2030, 1, 1), "1", c0, None)], ACCOUNTS),
+        "CARDS": ([("C1", "A1", c0, None)], CARDS),
+        "CLIENTS": ([("1", "L", "F", None, c0, "PP1", None, "+7", c0, None)], CLIENTS),
+    }
+    for name, (rows_, spec) in bank.items():
+        df = spark.createDataFrame(rows_, spec.source)
+        df.toDF(*[c.upper() for c in df.columns]).write.mode("overwrite").options(**props).jdbc(url, name)
+    feeds = daily.feeds_from_folder(spark, land, dt.date(2024, 1, 16), url, props, "derby")
+    wh = W.Warehouse(f"{scratch}/wh")
+    daily.run_day(spark, wh, feeds, dt.datetime(2024, 1, 16), dt.date(2024, 1, 16))
+    rep = sorted((r["tr_id"], r["event_type"]) for r in W.read_report(spark, wh).collect())
+    assert rep == [("1", 1), ("2", 1), ("2", 3)]   # blacklisted passport; Moscow -> Kazan in 30 min
+    assert daily.feeds_from_folder(spark, land, dt.date(2024, 1, 17)).transactions_raw is None

@@ -113,3 +113,18 @@ def test_manifest_listing(spark, scratch):
     archive = manifest.list_files(spark, arch).select("file_name")
     assert [r["file_name"] for r in manifest.already_loaded(m, archive).collect()] == ["transactions_15012024.txt"]
     assert manifest.unseen(m, archive).count() == 3
+
+
+def test_stream_archives_processed_files(spark, scratch):
+    landing, archive, wh = f"{scratch}/in", f"{scratch}/archive", W.Warehouse(f"{scratch}/wh")
+    os.makedirs(landing)
+    for day in ("16", "17"):
+        write(f"{landing}/transactions_{day}012024.txt",
+              HEADER + f"{day};2024-01-{day} 10:00:00;1,00;C1;pay;SUCCESS;T1\n")
+    ckpt = f"{scratch}/ckpt"
+    run_intake(spark, wh, landing, archive=archive, checkpoint=ckpt)
+    write(f"{landing}/transactions_18012024.txt", HEADER + "18;2024-01-18 10:00:00;1,00;C1;pay;SUCCESS;T1\n")
+    run_intake(spark, wh, landing, archive=archive, checkpoint=ckpt)
+    archived = [n for _, _, fs in os.walk(archive) for n in fs if n.endswith(".txt")]
+    assert "transactions_16012024.txt" in archived and "transactions_17012024.txt" in archived
+    assert W.read_fact(spark, wh).count() == 3
