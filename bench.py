@@ -3,7 +3,8 @@
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_QUERIES (comma list, default the headline set). Each query runs in
 full through the ``noop`` sink (no collect), once to warm up the JVM and
-then timed.
+then timed. ``warehouse_build`` is the one-time build of the dimension
+histories that the mart queries read.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from fraudlake.plans import demo  # noqa: E402
 from fraudlake.plans.catalog import QUERIES  # noqa: E402
 from fraudlake.session import build_session  # noqa: E402
 
@@ -31,6 +33,12 @@ def main() -> None:
                           extra={"spark.driver.memory": "8g"})
     QUERIES["txn_normalize"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
     times = {}
+    # The dimension histories (three SCD2 loads of clients, first loads of
+    # the rest) are built once per session, as a daily run stores them;
+    # timed on their own so no query hides that cost.
+    t0 = time.perf_counter()
+    demo.warehouse(spark, sf_dir)
+    times["warehouse_build"] = round(time.perf_counter() - t0, 3)
     for name in names:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -104,16 +104,17 @@ def card_profile(cards: DataFrame, accounts: DataFrame, clients: DataFrame) -> D
 
 def enrich(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
            terminals: DataFrame | None = None, at: str = "transaction_date",
-           prejoin: bool = True) -> DataFrame:
+           prejoin: bool = True, profile: DataFrame | None = None) -> DataFrame:
     """Transaction → card → account → client (→ terminal), all as of the event.
 
     Adds ``account, valid_to, client, passport, passport_valid_to, phone, fio``
     and, with terminals, ``city``. ``prejoin`` (default) joins the fact once
-    to :func:`card_profile`; ``prejoin=False`` chains three as-of joins.
+    to :func:`card_profile` (pass ``profile`` to reuse one already built);
+    ``prejoin=False`` chains three as-of joins.
     """
     if not prejoin:
         return _enrich_chain(tr, cards, accounts, clients, terminals, at)
-    prof = card_profile(cards, accounts, clients)
+    prof = profile if profile is not None else card_profile(cards, accounts, clients)
     p = prof.select(*[F.col(c).alias(f"pf_{c}") for c in prof.columns])
     cond = (F.col("card_num") == F.col("pf_card_num")) & F.col(at).between(F.col("pf_seg_from"), F.col("pf_seg_to"))
     x = tr.join(p, cond, "left")

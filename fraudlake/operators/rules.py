@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudlake.functions.expr import day_start, on_day, plus_interval, ts_lit
-from fraudlake.operators.asof import enrich
+from fraudlake.operators.asof import card_profile, enrich
 from fraudlake.operators.seqlag import Lag, sequence_lags
 from fraudlake.schemas import (
     EVENT_CITIES, EVENT_CONTRACT, EVENT_GUESSING, EVENT_PASSPORT, NEVER,
@@ -177,14 +177,14 @@ def guessing_on_day(tr: DataFrame, day: dt.date, within: str = "20 minutes", str
 
 def rule_guessing(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
                   day=None, within: str = "20 minutes", strict: bool = False,
-                  skew_safe: bool = True) -> DataFrame:
+                  skew_safe: bool = True, profile: DataFrame | None = None) -> DataFrame:
     """Rule 4: amount guessing; flags on the fact first, then enrich the hits."""
     day = _day(day)
     if day is None:
         flagged = with_guessing(tr, within, strict, skew_safe).filter("is_guess").drop("is_guess")
     else:
         flagged = guessing_on_day(tr, day, within, strict, skew_safe)
-    return report_rows(enrich(flagged, cards, accounts, clients), EVENT_GUESSING, day)
+    return report_rows(enrich(flagged, cards, accounts, clients, profile=profile), EVENT_GUESSING, day)
 
 
 def flag_rules(e: DataFrame, blacklist: DataFrame, cities_within: str = "1 hour",
@@ -228,7 +228,8 @@ def report_from_flags(x: DataFrame, day: dt.date | None) -> DataFrame:
 def fraud_report(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
                  terminals: DataFrame, blacklist: DataFrame, day=None,
                  cities_within: str = "1 hour", guess_within: str = "20 minutes",
-                 strict: bool = False, skew_safe: bool = True) -> DataFrame:
+                 strict: bool = False, skew_safe: bool = True,
+                 profile: DataFrame | None = None) -> DataFrame:
     """The fraud mart rows for one day, or for every day when ``day`` is None.
 
     Over all days: the rule-4 window runs on the narrow fact (hash-partitioned
@@ -238,9 +239,12 @@ def fraud_report(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients:
     of the cards used that day.
     """
     day = _day(day)
+    prof = profile if profile is not None else card_profile(cards, accounts, clients)
     if day is None:
-        e = enrich(with_guessing(tr, guess_within, strict, skew_safe), cards, accounts, clients, terminals)
+        e = enrich(with_guessing(tr, guess_within, strict, skew_safe), cards, accounts, clients,
+                   terminals, profile=prof)
         return report_from_flags(flag_rules(e, blacklist, cities_within, skew_safe), None)
-    e = enrich(on_report_day(tr, day), cards, accounts, clients, terminals)
+    e = enrich(on_report_day(tr, day), cards, accounts, clients, terminals, profile=prof)
     r13 = report_from_flags(flag_rules(e, blacklist, cities_within, skew_safe), day)
-    return r13.unionByName(rule_guessing(tr, cards, accounts, clients, day, guess_within, strict, skew_safe))
+    r4 = rule_guessing(tr, cards, accounts, clients, day, guess_within, strict, skew_safe, prof)
+    return r13.unionByName(r4)

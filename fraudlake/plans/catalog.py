@@ -151,7 +151,7 @@ def q_asof_cards(spark, sf):
 
 def q_asof_chain(spark, sf):
     w = demo.warehouse(spark, sf)
-    e = enrich(w.tr, w.cards, w.accounts, w.clients)
+    e = enrich(w.tr, w.cards, w.accounts, w.clients, profile=w.profile)
     return e.select("transaction_id", "account", "valid_to", "client", "passport",
                     "passport_valid_to", "phone", "fio")
 
@@ -176,7 +176,8 @@ def q_client_fio(spark, sf):
 
 def _enriched(spark, sf, terminals: bool = False):
     w = demo.warehouse(spark, sf)
-    return w, enrich(w.tr, w.cards, w.accounts, w.clients, w.terminals if terminals else None)
+    return w, enrich(w.tr, w.cards, w.accounts, w.clients, w.terminals if terminals else None,
+                     profile=w.profile)
 
 
 def q_rule1_passport(spark, sf):
@@ -197,19 +198,21 @@ def q_rule3_cities(spark, sf):
 def _rule4(within: str, strict: bool) -> Query:
     def q(spark, sf):
         w = demo.warehouse(spark, sf)
-        return rules.rule_guessing(w.tr, w.cards, w.accounts, w.clients, None, within, strict)
+        return rules.rule_guessing(w.tr, w.cards, w.accounts, w.clients, None, within, strict,
+                                   profile=w.profile)
     return q
 
 
 def q_fraud_report_month(spark, sf):
     w = demo.warehouse(spark, sf)
-    return rules.fraud_report(w.tr, w.cards, w.accounts, w.clients, w.terminals, w.blacklist)
+    return rules.fraud_report(w.tr, w.cards, w.accounts, w.clients, w.terminals, w.blacklist,
+                              profile=w.profile)
 
 
 def q_fraud_report_day(spark, sf):
     w = demo.warehouse(spark, sf)
     return rules.fraud_report(w.tr, w.cards, w.accounts, w.clients, w.terminals, w.blacklist,
-                              day=REPORT_DAY, guess_within="7 days")
+                              day=REPORT_DAY, guess_within="7 days", profile=w.profile)
 
 
 QUERIES: dict[str, Query] = {

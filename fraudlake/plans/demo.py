@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlake.functions.expr import open_end
+from fraudlake.operators.asof import card_profile
 from fraudlake.operators.scd2 import (
     empty_history, extract_since, first_load, normalize_source, scd2_step,
 )
 from fraudlake.schemas import ACCOUNTS, CARDS, CLIENTS, FIRST_WATERMARK, TERMINALS
+from fraudlake.session import cut_lineage
 from fraudlake.sources import fixture
 
 RUNS = fixture.SNAPSHOT_RUNS
@@ -62,17 +64,37 @@ class Warehouse:
     clients: DataFrame
     terminals: DataFrame
     blacklist: DataFrame
-
-
-def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse(
-        tr=fixture.transactions(spark, sf_dir),
-        cards=cards_history(spark, sf_dir),
-        accounts=accounts_history(spark, sf_dir),
-        clients=clients_history(spark, sf_dir),
-        terminals=terminals_history(spark, sf_dir),
-        blacklist=fixture.blacklist(spark, sf_dir),
-    )
+    profile: DataFrame | None = None   # card -> account -> client segments
+
+
+_BUILT: dict[str, tuple[SparkSession, Warehouse]] = {}
+
+
+def warehouse(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Warehouse:
+    """The warehouse state after the three loads.
+
+    With ``materialize`` the dimension histories are computed once per
+    session and checkpointed to the shared checkpoint folder, as a daily
+    run would have stored them; the fact stays a lazy scan of ``events``.
+    """
+    if materialize:
+        hit = _BUILT.get(sf_dir)
+        if hit is not None and hit[0] is spark:
+            return hit[1]
+    dims = {
+        "cards": cards_history(spark, sf_dir),
+        "accounts": accounts_history(spark, sf_dir),
+        "clients": clients_history(spark, sf_dir),
+        "terminals": terminals_history(spark, sf_dir),
+        "blacklist": fixture.blacklist(spark, sf_dir),
+    }
+    if materialize:
+        dims = {k: cut_lineage(v, k) for k, v in dims.items()}
+        dims["profile"] = cut_lineage(card_profile(dims["cards"], dims["accounts"], dims["clients"]), "profile")
+    w = Warehouse(tr=fixture.transactions(spark, sf_dir), **dims)
+    if materialize:
+        _BUILT[sf_dir] = (spark, w)
+    return w
 
 
 __all__ = ["Warehouse", "warehouse", "clients_history", "accounts_history", "cards_history",

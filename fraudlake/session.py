@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -43,3 +44,21 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/") if "://" in d else os.path.abspath(d) if not d.startswith("/") else d
+
+
+def cut_lineage(df, name: str = "table"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    One job computes and writes (``DataFrame.checkpoint`` would compute the
+    plan twice unless it is persisted first); the re-read plan is a plain
+    scan with file statistics for the planner. Used for dimension-sized
+    intermediates that several plans reuse. Without a checkpoint folder,
+    ``df`` is returned as is (still correct, only recomputed).
+    """
+    spark = df.sparkSession
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        return df
+    path = f"{base.rstrip('/')}/fraudlake-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
