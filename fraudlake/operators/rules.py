@@ -205,7 +205,7 @@ def flag_rules(e: DataFrame, blacklist: DataFrame, cities_within: str = "1 hour"
     # Rule 3 runs on a join result: every (passport, day) is cut by the hour
     # rather than counted first, so the enrichment is not computed twice.
     x = sequence_lags(x, ["_wkey", "_day"], [T, "transaction_id"], CITY_LAGS, T,
-                      skew_safe=skew_safe, detect_hot=False)
+                      skew_safe=skew_safe, detect_hot=False, only=F.col("_ok"))
     r1 = success() & ((F.col("entry_dt") <= F.col(T)) | (F.col("passport_valid_to") <= F.col(T)))
     r2 = success() & (F.col("valid_to") < F.col(T))
     r3 = F.col("_ok") & cities_hit(cities_within)

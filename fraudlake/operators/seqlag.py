@@ -25,7 +25,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -40,11 +40,14 @@ class Lag:
 def sequence_lags(df: DataFrame, keys: list[str], order: list[str], lags: list[Lag],
                   time_col: str | None = None, bucket_seconds: int = 3600,
                   hot_fraction: float = 0.001, min_hot_rows: int = 100_000,
-                  skew_safe: bool = True, detect_hot: bool = True) -> DataFrame:
+                  skew_safe: bool = True, detect_hot: bool = True,
+                  only: Column | None = None) -> DataFrame:
     """``df`` plus one column per :class:`Lag`, ordered by ``order`` within ``keys``.
 
     ``detect_hot=False`` buckets every key (no counting job): the choice for
     inputs that are expensive to compute twice, such as a join result.
+    ``only``: rows whose lags are needed; the others keep one bucket and
+    skip the edge pass. It must hold for all or none of a key's rows.
     """
     if not skew_safe:
         w = Window.partitionBy(*keys).orderBy(*order)
@@ -62,6 +65,8 @@ def sequence_lags(df: DataFrame, keys: list[str], order: list[str], lags: list[L
         is_hot = F.coalesce(F.col("_hot"), F.lit(False))
     else:
         x, is_hot = df, F.lit(True)
+    if only is not None:
+        is_hot = is_hot & F.coalesce(only, F.lit(False))
     bucket = F.when(is_hot, F.floor(F.unix_micros(F.col(time_col).cast("timestamp"))
                                     / F.lit(bucket_seconds * 1_000_000))).otherwise(F.lit(0))
     x = x.withColumn("_hot", is_hot).withColumn("_bucket", bucket.cast("long"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,15 +33,19 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    A folder is set here only when the session names none, as in tests.
+    A folder is set here only when the session names none and the caller
+    passes one, as tests do; otherwise a missing setting is an error, since
+    a machine-local folder would not survive the loss of that machine.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = fallback or tempfile.mkdtemp(prefix="fraudlake-ckpt-")
+        if fallback is None:
+            raise ValueError("spark.checkpoint.dir is not set; name a shared folder")
+        d = fallback
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
-    return d.rstrip("/") if "://" in d else os.path.abspath(d) if not d.startswith("/") else d
+    return spark.sparkContext.getCheckpointDir() or d
 
 
 def cut_lineage(df, name: str = "table"):
