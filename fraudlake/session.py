@@ -19,6 +19,23 @@ SESSION_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, total_cores: int, partition_mb: int = 256) -> dict[str, str]:
+    """Partition sizing for a cluster run.
+
+    Shuffle partitions are sized so that each holds about ``partition_mb``
+    of the largest input (at least two waves of tasks); AQE then coalesces
+    small ones and splits skewed ones. Scan splits use the same target.
+    """
+    target = partition_mb * 1024 * 1024
+    shuffle = max(2 * total_cores, -(-input_bytes // target))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "fraudlake",
                   extra: dict[str, str] | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
