@@ -209,10 +209,12 @@ def q_fraud_report_month(spark, sf):
                               profile=w.profile)
 
 
-def q_fraud_report_day(spark, sf):
-    w = demo.warehouse(spark, sf)
-    return rules.fraud_report(w.tr, w.cards, w.accounts, w.clients, w.terminals, w.blacklist,
-                              day=REPORT_DAY, guess_within="7 days", profile=w.profile)
+def _report_day(guess_within: str) -> Query:
+    def q(spark, sf):
+        w = demo.warehouse(spark, sf)
+        return rules.fraud_report(w.tr, w.cards, w.accounts, w.clients, w.terminals, w.blacklist,
+                                  day=REPORT_DAY, guess_within=guess_within, profile=w.profile)
+    return q
 
 
 QUERIES: dict[str, Query] = {
@@ -247,5 +249,6 @@ QUERIES: dict[str, Query] = {
     "rule4_guessing_7d": _rule4("7 days", False),
     "rule4_guessing_strict_7d": _rule4("7 days", True),
     "fraud_report_month": q_fraud_report_month,
-    "fraud_report_day": q_fraud_report_day,
+    "fraud_report_day": _report_day("20 minutes"),
+    "fraud_report_day_7d": _report_day("7 days"),
 }

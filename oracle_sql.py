@@ -346,5 +346,6 @@ FROM cl3""",
         "rule4_guessing_7d": rule4("7 days", False),
         "rule4_guessing_strict_7d": rule4("7 days", True),
         "fraud_report_month": report(),
-        "fraud_report_day": report("7 days", "2024-01-16"),
+        "fraud_report_day": report("20 minutes", "2024-01-16"),
+        "fraud_report_day_7d": report("7 days", "2024-01-16"),
     }
