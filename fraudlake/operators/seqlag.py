@@ -70,6 +70,9 @@ def sequence_lags(df: DataFrame, keys: list[str], order: list[str], lags: list[L
     bucket = F.when(is_hot, F.floor(F.unix_micros(F.col(time_col).cast("timestamp"))
                                     / F.lit(bucket_seconds * 1_000_000))).otherwise(F.lit(0))
     x = x.withColumn("_hot", is_hot).withColumn("_bucket", bucket.cast("long"))
+    # Hash on (keys, bucket) explicitly: an input already hashed on the keys
+    # alone would satisfy the window and keep a hot key in one task.
+    x = x.repartition(*keys, "_bucket")
 
     w_in = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     w_full = w_in.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

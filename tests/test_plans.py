@@ -17,5 +17,8 @@ def test_month_report_plan(spark):
     # the fact joins the dimension chain once (on the card), not per dimension
     assert not re.search(r"hashpartitioning\(cd_account", plan)
     assert not re.search(r"hashpartitioning\(ac_client", plan)
+    # hot keys are spread: the lag windows run on (key, bucket) partitions
+    assert re.search(r"hashpartitioning\(card_num#\d+, _bucket", plan)
+    assert re.search(r"hashpartitioning\(_wkey#\d+, _day#\d+, _bucket", plan)
     # every window is partitioned: no window over a single partition
     assert "Window []" not in plan and "SinglePartition" not in plan.split("Subquery")[0]
