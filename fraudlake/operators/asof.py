@@ -83,12 +83,20 @@ def split_by_child(parent: DataFrame, seg_key: list[str], link: str, child: Data
     return m.select(F.inline(F.filter(pieces, lambda x: x.isNotNull())))
 
 
-def card_profile(cards: DataFrame, accounts: DataFrame, clients: DataFrame) -> DataFrame:
+def first_listing(blacklist: DataFrame) -> DataFrame:
+    """First blacklist entry per passport: same truth as the raw list, no fan-out."""
+    return blacklist.groupBy("passport").agg(F.min("entry_dt").alias("entry_dt"))
+
+
+def card_profile(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
+                 blacklist: DataFrame | None = None) -> DataFrame:
     """Card → account → client versions joined on the dimension side.
 
     One row per (card, time segment) with the account and client attributes
     valid throughout the segment: the fact then needs a single as-of join on
     ``card_num`` instead of three joins, each a full shuffle of the fact.
+    With ``blacklist``, the passport's first listing (``bl_entry_dt``) rides
+    along, so rule 1 needs no join on the fact either.
     """
     cd = live_versions(cards, "card_num", ["account"], "cd_").select(
         F.col("cd_key").alias("card_num"), F.col("cd_account").alias("account"),
@@ -98,8 +106,13 @@ def card_profile(cards: DataFrame, accounts: DataFrame, clients: DataFrame) -> D
                         ["valid_to", "client"], "ac_")
     ca = ca.withColumn("acc_from", F.col("seg_from"))
     cols = ["passport_num", "passport_valid_to", "phone", "last_name", "first_name", "patronymic"]
-    return split_by_child(ca, ["card_num", "card_from", "acc_from"], "ac_client", clients, "client_id",
+    prof = split_by_child(ca, ["card_num", "card_from", "acc_from"], "ac_client", clients, "client_id",
                           cols, "cl_").drop("card_from", "acc_from")
+    if blacklist is None:
+        return prof
+    bl = first_listing(blacklist).select(F.col("passport").alias("_bl_passport"),
+                                         F.col("entry_dt").alias("bl_entry_dt"))
+    return prof.join(bl, F.col("cl_passport_num") == F.col("_bl_passport"), "left").drop("_bl_passport")
 
 
 def enrich(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
@@ -109,7 +122,8 @@ def enrich(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFr
 
     Adds ``account, valid_to, client, passport, passport_valid_to, phone, fio``
     and, with terminals, ``city``. ``prejoin`` (default) joins the fact once
-    to :func:`card_profile` (pass ``profile`` to reuse one already built);
+    to :func:`card_profile` (pass ``profile`` to reuse one already built; a
+    profile built with the blacklist also adds ``entry_dt``);
     ``prejoin=False`` chains three as-of joins.
     """
     if not prejoin:
@@ -125,9 +139,10 @@ def enrich(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFr
           .withColumnRenamed("pf_cl_passport_num", "passport")
           .withColumnRenamed("pf_cl_passport_valid_to", "passport_valid_to")
           .withColumnRenamed("pf_cl_phone", "phone")
+          .withColumnRenamed("pf_bl_entry_dt", "entry_dt")
           .drop(*[c for c in x.columns if c.startswith("pf_")
                   and c not in ("pf_account", "pf_ac_valid_to", "pf_ac_client", "pf_cl_passport_num",
-                                "pf_cl_passport_valid_to", "pf_cl_phone")]))
+                                "pf_cl_passport_valid_to", "pf_cl_phone", "pf_bl_entry_dt")]))
     if terminals is not None:
         x = (asof_join(x, terminals, "terminal", "terminal_id", at, ["terminal_city"], "tm_")
              .withColumnRenamed("tm_terminal_city", "city"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudlake.functions.expr import day_start, on_day, plus_interval, ts_lit
-from fraudlake.operators.asof import card_profile, enrich
+from fraudlake.operators.asof import card_profile, enrich, first_listing
 from fraudlake.operators.seqlag import Lag, sequence_lags
 from fraudlake.schemas import (
     EVENT_CITIES, EVENT_CONTRACT, EVENT_GUESSING, EVENT_PASSPORT, NEVER,
@@ -54,16 +54,23 @@ def on_report_day(df: DataFrame, day: dt.date | None) -> DataFrame:
 
 def blacklist_first_entry(blacklist: DataFrame) -> DataFrame:
     """First listing per passport: same truth as the raw list, no join fan-out."""
-    return blacklist.groupBy("passport").agg(F.min("entry_dt").alias("entry_dt"))
+    return first_listing(blacklist)
+
+
+def with_listing(e: DataFrame, blacklist: DataFrame, key: str = "passport") -> DataFrame:
+    """``entry_dt`` of the passport's first listing, unless the profile brought it."""
+    if "entry_dt" in e.columns:
+        return e
+    bl = blacklist_first_entry(blacklist).withColumnRenamed("passport", "_bl_key")
+    return e.join(bl, F.col(key) == F.col("_bl_key"), "left").drop("_bl_key")
 
 
 def rule_passport(enriched: DataFrame, blacklist: DataFrame, day=None) -> DataFrame:
     """Rule 1: successful operation on a blacklisted or expired passport."""
     day = _day(day)
-    bl = blacklist_first_entry(blacklist).withColumnRenamed("passport", "bl_passport")
     e = on_report_day(enriched, day).filter(success())
     hit = (F.col("entry_dt") <= F.col(T)) | (F.col("passport_valid_to") <= F.col(T))
-    x = e.join(bl, F.col("passport") == F.col("bl_passport"), "left").filter(hit)
+    x = with_listing(e, blacklist).filter(hit)
     return report_rows(x, EVENT_PASSPORT, day)
 
 
@@ -193,15 +200,14 @@ def flag_rules(e: DataFrame, blacklist: DataFrame, cities_within: str = "1 hour"
 
     Rule 3 runs over successful operations with a known passport, per passport
     and day. Every other row gets a window key of its own (its id), so unknown
-    passports never form one big group. The blacklist joins on that same key:
-    only such rows can match it, and the join's hash partitioning then serves
-    the window without another exchange.
+    passports never form one big group. The blacklist comes with the card
+    profile when it was built with it; otherwise it joins on that window key
+    (only rows with a passport can match).
     """
     ok = success() & F.col("passport").isNotNull()
     wkey = F.when(ok, F.col("passport")).otherwise(F.concat(F.lit("~"), F.col("transaction_id")))
     x = e.withColumn("_wkey", wkey).withColumn("_day", F.to_date(T)).withColumn("_ok", ok)
-    bl = blacklist_first_entry(blacklist).withColumnRenamed("passport", "_bl_key")
-    x = x.join(bl, F.col("_wkey") == F.col("_bl_key"), "left")
+    x = with_listing(x, blacklist, "_wkey")
     # Rule 3 runs on a join result: every (passport, day) is cut by the hour
     # rather than counted first, so the enrichment is not computed twice.
     x = sequence_lags(x, ["_wkey", "_day"], [T, "transaction_id"], CITY_LAGS, T,
@@ -239,7 +245,7 @@ def fraud_report(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients:
     of the cards used that day.
     """
     day = _day(day)
-    prof = profile if profile is not None else card_profile(cards, accounts, clients)
+    prof = profile if profile is not None else card_profile(cards, accounts, clients, blacklist)
     if day is None:
         e = enrich(with_guessing(tr, guess_within, strict, skew_safe), cards, accounts, clients,
                    terminals, profile=prof)

@@ -90,7 +90,8 @@ def warehouse(spark: SparkSession, sf_dir: str, materialize: bool = True) -> War
     }
     if materialize:
         dims = {k: cut_lineage(v, k) for k, v in dims.items()}
-        dims["profile"] = cut_lineage(card_profile(dims["cards"], dims["accounts"], dims["clients"]), "profile")
+        prof = card_profile(dims["cards"], dims["accounts"], dims["clients"], dims["blacklist"])
+        dims["profile"] = cut_lineage(prof, "profile")
     w = Warehouse(tr=fixture.transactions(spark, sf_dir), **dims)
     if materialize:
         _BUILT[sf_dir] = (spark, w)
