@@ -19,7 +19,7 @@ FLAG_LIVE = "N"
 FLAG_DELETED = "Y"
 RESULT_SUCCESS = "SUCCESS"
 RESULT_REJECT = "REJECT"
-TABLE_DB = "DEMIPT2"
+TABLE_DB = "DWH"             # table_db value of the meta rows
 EVENT_PASSPORT, EVENT_CONTRACT, EVENT_CITIES, EVENT_GUESSING = 1, 2, 3, 4
 
 S = T.StringType()
