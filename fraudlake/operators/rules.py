@@ -47,9 +47,18 @@ def on_report_day(df: DataFrame, day: dt.date | None) -> DataFrame:
     """The day's operations; a stored fact also prunes to its ``event_date``."""
     if day is None:
         return df
+    return in_days(df, day, day)
+
+
+def in_days(df: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """Operations of the days ``first..last``, written so the scan prunes."""
+    if first == last:
+        if "event_date" in df.columns:
+            df = df.filter(F.col("event_date") == F.lit(first))
+        return df.filter(on_day(T, first))
     if "event_date" in df.columns:
-        df = df.filter(F.col("event_date") == F.lit(day))
-    return df.filter(on_day(T, day))
+        df = df.filter(F.col("event_date").between(F.lit(first), F.lit(last)))
+    return df.filter((F.col(T) >= ts_lit(first)) & (F.col(T) < ts_lit(last + dt.timedelta(days=1))))
 
 
 def blacklist_first_entry(blacklist: DataFrame) -> DataFrame:
@@ -145,8 +154,9 @@ def _rej() -> Column:
 
 
 def guessing_on_day(tr: DataFrame, day: dt.date, within: str = "20 minutes", strict: bool = False,
-                    skew_safe: bool = True) -> DataFrame:
-    """Rule 4 hits of one day, reading only ``[day - within, day end]``.
+                    skew_safe: bool = True, until: dt.date | None = None) -> DataFrame:
+    """Rule 4 hits of one day (or of ``day..until``), reading only
+    ``[day - within, last day's end]``.
 
     A hit's third predecessor is less than ``within`` older than it, so the
     operations since ``day - within`` hold predecessors 1-3 of every
@@ -157,15 +167,16 @@ def guessing_on_day(tr: DataFrame, day: dt.date, within: str = "20 minutes", str
     the last operation before the range is looked up (a narrow scan, one
     aggregate row per card). Exact, without shuffling the card's history.
     """
+    last = until or day
     start = ts_lit(day) - F.expr(f"interval {within}")
-    end = ts_lit(day + dt.timedelta(days=1))
-    active = on_report_day(tr, day).select("card_num").distinct()
+    end = ts_lit(last + dt.timedelta(days=1))
+    active = in_days(tr, day, last).select("card_num").distinct()
     recent = tr.filter((F.col(T) >= start) & (F.col(T) < end))
     if "event_date" in tr.columns:   # stored fact: read only the partitions in range
-        recent = recent.filter((F.col("event_date") >= F.to_date(start)) & (F.col("event_date") <= F.lit(day)))
+        recent = recent.filter((F.col("event_date") >= F.to_date(start)) & (F.col("event_date") <= F.lit(last)))
     recent = recent.join(active, "card_num", "left_semi").withColumn("_rej", _rej())
     x = sequence_lags(recent, ["card_num"], [T, "transaction_id"], GUESS_LAGS, T, skew_safe=skew_safe)
-    x = on_report_day(x, day)
+    x = in_days(x, day, last)
     cols = [c for c in tr.columns if c != "event_date"]
     hits = x.filter(guessing_condition(within, strict)).select(*cols)
     if strict:
@@ -184,14 +195,20 @@ def guessing_on_day(tr: DataFrame, day: dt.date, within: str = "20 minutes", str
 
 def rule_guessing(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
                   day=None, within: str = "20 minutes", strict: bool = False,
-                  skew_safe: bool = True, profile: DataFrame | None = None) -> DataFrame:
-    """Rule 4: amount guessing; flags on the fact first, then enrich the hits."""
-    day = _day(day)
+                  skew_safe: bool = True, profile: DataFrame | None = None,
+                  until=None) -> DataFrame:
+    """Rule 4: amount guessing; flags on the fact first, then enrich the hits.
+
+    ``day``: that day's report; with ``until``, the days ``day..until``
+    (each row reported on its own day); neither: every day.
+    """
+    day, until = _day(day), _day(until)
     if day is None:
         flagged = with_guessing(tr, within, strict, skew_safe).filter("is_guess").drop("is_guess")
     else:
-        flagged = guessing_on_day(tr, day, within, strict, skew_safe)
-    return report_rows(enrich(flagged, cards, accounts, clients, profile=profile), EVENT_GUESSING, day)
+        flagged = guessing_on_day(tr, day, within, strict, skew_safe, until)
+    e = enrich(flagged, cards, accounts, clients, profile=profile)
+    return report_rows(e, EVENT_GUESSING, day if until is None else None)
 
 
 def flag_rules(e: DataFrame, blacklist: DataFrame, cities_within: str = "1 hour",
@@ -235,8 +252,9 @@ def fraud_report(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients:
                  terminals: DataFrame, blacklist: DataFrame, day=None,
                  cities_within: str = "1 hour", guess_within: str = "20 minutes",
                  strict: bool = False, skew_safe: bool = True,
-                 profile: DataFrame | None = None) -> DataFrame:
-    """The fraud mart rows for one day, or for every day when ``day`` is None.
+                 profile: DataFrame | None = None, until=None) -> DataFrame:
+    """The fraud mart rows for one day, for ``day..until``, or for every day
+    when ``day`` is None.
 
     Over all days: the rule-4 window runs on the narrow fact (hash-partitioned
     by ``card_num``, which the card join then reuses), the enrichment runs
@@ -244,13 +262,14 @@ def fraud_report(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients:
     rules 1-3 enrich only that day's operations, and rule 4 reads the history
     of the cards used that day.
     """
-    day = _day(day)
+    day, until = _day(day), _day(until)
     prof = profile if profile is not None else card_profile(cards, accounts, clients, blacklist)
     if day is None:
         e = enrich(with_guessing(tr, guess_within, strict, skew_safe), cards, accounts, clients,
                    terminals, profile=prof)
         return report_from_flags(flag_rules(e, blacklist, cities_within, skew_safe), None)
-    e = enrich(on_report_day(tr, day), cards, accounts, clients, terminals, profile=prof)
-    r13 = report_from_flags(flag_rules(e, blacklist, cities_within, skew_safe), day)
-    r4 = rule_guessing(tr, cards, accounts, clients, day, guess_within, strict, skew_safe, prof)
+    e = enrich(in_days(tr, day, until or day), cards, accounts, clients, terminals, profile=prof)
+    r13 = report_from_flags(flag_rules(e, blacklist, cities_within, skew_safe),
+                            day if until is None else None)
+    r4 = rule_guessing(tr, cards, accounts, clients, day, guess_within, strict, skew_safe, prof, until)
     return r13.unionByName(r4)

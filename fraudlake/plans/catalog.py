@@ -30,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # the month, and the report day of the daily query.
 LOADED_THROUGH = dt.date(2024, 1, 15)
 REPORT_DAY = dt.date(2024, 1, 16)
+RANGE = (dt.date(2024, 1, 10), dt.date(2024, 1, 20))
 
 
 def _hist_out(df: DataFrame) -> DataFrame:
@@ -217,6 +218,14 @@ def _report_day(guess_within: str) -> Query:
     return q
 
 
+def q_fraud_report_range(spark, sf):
+    """Backfill of a range of days: rules 1-3 read only those days, rule 4
+    from the range start minus its window (plus exact older lookups)."""
+    w = demo.warehouse(spark, sf)
+    return rules.fraud_report(w.tr, w.cards, w.accounts, w.clients, w.terminals, w.blacklist,
+                              day=RANGE[0], until=RANGE[1], guess_within="7 days", profile=w.profile)
+
+
 QUERIES: dict[str, Query] = {
     "txn_normalize": q_txn_normalize,
     "txn_rejects": q_txn_rejects,
@@ -251,4 +260,5 @@ QUERIES: dict[str, Query] = {
     "fraud_report_month": q_fraud_report_month,
     "fraud_report_day": _report_day("20 minutes"),
     "fraud_report_day_7d": _report_day("7 days"),
+    "fraud_report_range": q_fraud_report_range,
 }

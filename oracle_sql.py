@@ -262,12 +262,14 @@ def rule4(within: str, strict: bool) -> str:
             + f",\ne4 AS ({asof_chain('flagged')})\nSELECT {report_cols(4)} FROM e4")
 
 
-def report(within: str = "20 minutes", day: str | None = None) -> str:
+def report(within: str = "20 minutes", day: str | None = None, until: str | None = None) -> str:
     body = (warehouse_ctes() + ",\n" + guess_ctes(within, False)
             + f",\ne AS ({asof_chain(terminals=True)}),\ne4 AS ({asof_chain('flagged')}),\n"
             + f"rep AS ({RULE1}\nUNION ALL {RULE2}\nUNION ALL {RULE3}\n"
             + f"UNION ALL SELECT {report_cols(4)} FROM e4)\nSELECT * FROM rep")
-    if day:
+    if day and until:
+        body += f" WHERE report_dt BETWEEN TIMESTAMP '{day} 00:00:00' AND TIMESTAMP '{until} 00:00:00'"
+    elif day:
         body += f" WHERE report_dt = TIMESTAMP '{day} 00:00:00'"
     return body
 
@@ -348,4 +350,5 @@ FROM cl3""",
         "fraud_report_month": report(),
         "fraud_report_day": report("20 minutes", "2024-01-16"),
         "fraud_report_day_7d": report("7 days", "2024-01-16"),
+        "fraud_report_range": report("7 days", "2024-01-10", "2024-01-20"),
     }

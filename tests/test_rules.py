@@ -153,3 +153,21 @@ def test_rule4_day_equals_all_days_on_fixture(spark):
                 want = every.filter(F.to_date("event_dt") == F.lit(day)).select("tr_id")
                 assert sorted(r[0] for r in one.select("tr_id").collect()) == \
                     sorted(r[0] for r in want.collect()), (within, strict, day)
+
+
+def test_report_range_equals_all_days(spark):
+    rows = [("1", "2024-01-13 09:00:00", 900, "C8", "REJECT"),
+            ("2", "2024-01-16 10:00:00", 500, "C8", "SUCCESS"),
+            ("3", "2024-01-16 10:01:00", 400, "C8", "REJECT"),
+            ("4", "2024-01-16 10:02:00", 300, "C8", "REJECT"),
+            ("5", "2024-01-16 10:03:00", 200, "C8", "SUCCESS"),
+            ("6", "2024-01-18 10:00:00", 200, "C8", "SUCCESS")]
+    cards, accs, clients, terms = dims(spark, [("C8", "P8", ts("2024-01-17 00:00:00"))])
+    t = tx(spark, rows)
+    bl = blacklist(spark, [])
+    every = rules.fraud_report(t, cards, accs, clients, terms, bl)
+    got = rules.fraud_report(t, cards, accs, clients, terms, bl, day=dt.date(2024, 1, 15),
+                             until=dt.date(2024, 1, 18))
+    want = every.filter(F.to_date("report_dt").between(dt.date(2024, 1, 15), dt.date(2024, 1, 18)))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert ("5", 4) in [(r["tr_id"], r["event_type"]) for r in got.collect()]
