@@ -22,22 +22,27 @@ def ts_literal(value: dt.datetime, dialect: str = "ansi") -> str:
 
 
 def _reader(spark: SparkSession, url: str, props: dict[str, str] | None,
-            partition_column: str | None, bounds: tuple[int, int] | None, partitions: int):
+            partition_column: str | None, bounds: tuple | None, partitions: int):
     r = spark.read.format("jdbc").option("url", url)
     for k, v in (props or {}).items():
         r = r.option(k, v)
     if partition_column:
         lo, hi = bounds or (0, 1)
-        r = (r.option("partitionColumn", partition_column).option("lowerBound", lo)
-              .option("upperBound", hi).option("numPartitions", partitions))
+        r = (r.option("partitionColumn", partition_column).option("lowerBound", str(lo))
+              .option("upperBound", str(hi)).option("numPartitions", partitions))
     return r
 
 
 def extract_since(spark: SparkSession, url: str, table: str, spec: DimSpec,
                   watermark: dt.datetime | None, dialect: str = "ansi",
                   props: dict[str, str] | None = None, partition_column: str | None = None,
-                  bounds: tuple[int, int] | None = None, partitions: int = 8) -> DataFrame:
-    """Rows with ``coalesce(update_dt, create_dt) >= watermark`` (S4)."""
+                  bounds: tuple | None = None, partitions: int = 8) -> DataFrame:
+    """Rows with ``coalesce(update_dt, create_dt) >= watermark`` (S4).
+
+    ``partition_column`` (numeric, date or timestamp) with ``bounds`` reads
+    the extract as ``partitions`` parallel range slices; rows outside the
+    bounds still land in the first or last slice.
+    """
     wm = ts_literal(watermark or FIRST_WATERMARK, dialect)
     cols = ", ".join(f.name for f in spec.source.fields)
     q = f"SELECT {cols} FROM {table} WHERE COALESCE(update_dt, create_dt) >= {wm}"

@@ -128,3 +128,20 @@ def test_stream_archives_processed_files(spark, scratch):
     archived = [n for _, _, fs in os.walk(archive) for n in fs if n.endswith(".txt")]
     assert "transactions_16012024.txt" in archived and "transactions_17012024.txt" in archived
     assert W.read_fact(spark, wh).count() == 3
+
+
+def test_jdbc_extract_in_parallel_slices(spark):
+    url = "jdbc:derby:memory:bank_slices;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    rows = [(f"A{i}", dt.datetime(2030, 1, 1), str(i), dt.datetime(2023, 1, 1) + dt.timedelta(days=7 * i), None)
+            for i in range(60)]
+    src = spark.createDataFrame(rows, ACCOUNTS.source)
+    src.toDF(*[c.upper() for c in src.columns]).write.mode("overwrite").options(**props).jdbc(url, "ACCOUNTS")
+    wm = dt.datetime(2023, 6, 1)
+    one = jdbc.extract_since(spark, url, "ACCOUNTS", ACCOUNTS, wm, "derby", props)
+    sliced = jdbc.extract_since(spark, url, "ACCOUNTS", ACCOUNTS, wm, "derby", props,
+                                partition_column="create_dt",
+                                bounds=("2023-01-01 00:00:00", "2024-03-01 00:00:00"), partitions=4)
+    assert sliced.rdd.getNumPartitions() == 4
+    assert sorted(r["account"] for r in sliced.collect()) == sorted(r["account"] for r in one.collect())
+    assert one.count() == sum(1 for r in rows if r[3] >= wm)
