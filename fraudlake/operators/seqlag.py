@@ -29,6 +29,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def wall_seconds(c: Column) -> Column:
+    """Seconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ, from its fields.
+
+    Never goes through the session time zone, so it rises with the
+    timestamp even across daylight-saving changes (buckets must not reorder).
+    """
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+
+
 @dataclass(frozen=True)
 class Lag:
     name: str                 # output column
@@ -67,8 +77,7 @@ def sequence_lags(df: DataFrame, keys: list[str], order: list[str], lags: list[L
         x, is_hot = df, F.lit(True)
     if only is not None:
         is_hot = is_hot & F.coalesce(only, F.lit(False))
-    bucket = F.when(is_hot, F.floor(F.unix_micros(F.col(time_col).cast("timestamp"))
-                                    / F.lit(bucket_seconds * 1_000_000))).otherwise(F.lit(0))
+    bucket = F.when(is_hot, F.floor(wall_seconds(F.col(time_col)) / F.lit(bucket_seconds))).otherwise(F.lit(0))
     x = x.withColumn("_hot", is_hot).withColumn("_bucket", bucket.cast("long"))
     # Hash on (keys, bucket) explicitly: an input already hashed on the keys
     # alone would satisfy the window and keep a hot key in one task.

@@ -34,3 +34,25 @@ def test_one_hot_key_among_cold(spark):
     safe = sequence_lags(hot, ["card_num"], order, LAGS, bucket_seconds=3600, hot_fraction=0.2,
                          min_hot_rows=0)
     assert rows(safe) == rows(plain)
+
+
+def test_buckets_ignore_session_time_zone(spark):
+    import datetime as dt
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # minutes around the spring-forward gap (02:00-03:00 local does not exist)
+        base = dt.datetime(2024, 3, 10, 1, 0)
+        rows = [("k", base + dt.timedelta(minutes=7 * i), f"{i:04d}", i) for i in range(60)]
+        df = spark.createDataFrame(rows, "k string, t timestamp_ntz, id string, v int")
+        lags = [Lag("p1", "v", 1), Lag("p3", "v", 3)]
+        plain = sequence_lags(df, ["k"], ["t", "id"], lags, skew_safe=False)
+        safe = sequence_lags(df, ["k"], ["t", "id"], lags, "t", bucket_seconds=3600, hot_fraction=0.0,
+                             min_hot_rows=0)
+        assert rows_of(safe) == rows_of(plain)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def rows_of(df):
+    return sorted((tuple((x is not None, x) for x in r) for r in df.collect()))
