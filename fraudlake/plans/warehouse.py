@@ -137,11 +137,15 @@ def _dim_all(spark: SparkSession, wh: Warehouse, spec: DimSpec) -> DataFrame:
 
 
 def read_dim(spark: SparkSession, wh: Warehouse, spec: DimSpec, rid: int | None = None,
-             part: str = "all") -> DataFrame:
+             part: str = "all", valid_from: dt.datetime | None = None) -> DataFrame:
     """History as of committed run ``rid`` (default: the latest).
 
     ``part``: ``all``, ``open`` or ``closed``; filters on the partition
     columns ``run``/``state`` prune directories before any file is read.
+    ``valid_from``: only versions that can be valid at or after that moment.
+    A version closed by run R ends before R's run time, so runs up to
+    ``valid_from`` are skipped whole: a daily report reads recent closed
+    partitions and the open one, not all history.
     """
     if rid is None:
         rid, _ = committed(spark, wh, spec.name)
@@ -150,6 +154,8 @@ def read_dim(spark: SparkSession, wh: Warehouse, spec: DimSpec, rid: int | None
     d = _dim_all(spark, wh, spec)
     is_open = (F.col("run") == rid) & (F.col("state") == "open")
     is_closed = (F.col("run") <= rid) & (F.col("state") == "closed")
+    if valid_from is not None:
+        is_closed = is_closed & (F.col("run") > run_id(valid_from))
     cond = {"all": is_open | is_closed, "open": is_open, "closed": is_closed}[part]
     return d.filter(cond).select(*spec.hist_columns)
 

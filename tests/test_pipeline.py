@@ -56,6 +56,16 @@ def test_three_day_replay(spark, scratch):
     expect = fraud_report(fact, w.cards, w.accounts, w.clients, w.terminals, w.blacklist)
     assert rows(W.read_report(spark, wh)) == rows(expect)
 
+    # pruning closed versions by run changes no report row
+    for day in (dt.date(2024, 1, 16), dt.date(2024, 1, 23)):
+        v = daily.warehouse_view(spark, wh)
+        full = fraud_report(v["tr"], v["cards"], v["accounts"], v["clients"], v["terminals"],
+                            v["blacklist"], day=day)
+        assert rows(daily.build_report(spark, wh, day)) == rows(full)
+    plan = W.read_dim(spark, wh, CLIENTS, valid_from=dt.datetime(2024, 1, 20))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "PartitionFilters" in plan and "run#" in plan
+
     # rerunning day 3 changes nothing
     before_dims = rows(W.read_dim(spark, wh, CLIENTS))
     before_rep = rows(W.read_report(spark, wh))
