@@ -8,8 +8,8 @@ Layout under one root folder (a shared filesystem / object store path):
   it produced under its own ``run``; a dimension's history at run R is the
   ``open`` rows of R plus every ``closed`` row of runs up to R. Closed rows
   are never rewritten, so a load touches only the open part.
-- ``meta``: append-only commit log ``(table_db, table_name, last_update_dt,
-  run_id)``; the latest row per table is the watermark (the source system's
+- ``meta/table_name=...``: append-only commit log ``(table_db, table_name,
+  last_update_dt, run_id)``; the latest row per table is the watermark (the source system's
   meta table). A load is visible only after its commit row is written, so a
   job that dies half way is simply run again.
 - ``rep_fraud/report_day=YYYY-MM-DD``: the mart, dynamic partition overwrite.
@@ -84,7 +84,9 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, **opts) -> DataF
 # --- meta / commit log --------------------------------------------------------
 
 def meta_log(spark: SparkSession, wh: Warehouse) -> DataFrame:
-    return _read(spark, wh.meta, META_LOG)
+    """The commit log, partitioned by ``table_name`` (a lookup for one table
+    reads only that table's folder)."""
+    return _read(spark, wh.meta, META_LOG, basePath=wh.meta)
 
 
 def meta_current(log: DataFrame) -> DataFrame:
@@ -125,7 +127,7 @@ def committed(spark: SparkSession, wh: Warehouse, table: str,
 
 def commit(spark: SparkSession, wh: Warehouse, table: str, rid: int, watermark: dt.datetime) -> None:
     spark.createDataFrame([(TABLE_DB, table, watermark, rid)], META_LOG) \
-         .write.mode("append").parquet(wh.meta)
+         .write.mode("append").partitionBy("table_name").parquet(wh.meta)
 
 
 # --- dimensions -----------------------------------------------------------------
