@@ -112,3 +112,24 @@ def test_day_from_landing_folder_and_bank(spark, scratch):
     rep = sorted((r["tr_id"], r["event_type"]) for r in W.read_report(spark, wh).collect())
     assert rep == [("1", 1), ("2", 1), ("2", 3)]   # blacklisted passport; Moscow -> Kazan in 30 min
     assert daily.feeds_from_folder(spark, land, dt.date(2024, 1, 17)).transactions_raw is None
+
+
+def test_command_line_run_day_and_backfill(spark, scratch):
+    import os
+    from fraudlake.__main__ import main
+    from xlsx import write_xlsx
+    land = f"{scratch}/landing"
+    os.makedirs(land)
+    with open(f"{land}/transactions_16012024.txt", "w") as f:
+        f.write("transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n"
+                "1;2024-01-16 10:00:00;10,00;C1;pay;SUCCESS;T1\n")
+    write_xlsx(f"{land}/terminals_16012024.xlsx",
+               [["terminal_id", "terminal_type", "terminal_city", "terminal_address"], ["T1", "ATM", "M", "a"]])
+    wh = f"{scratch}/wh"
+    main(["run-day", "--warehouse", wh, "--landing", land, "--day", "2024-01-16", "--master", "local[2]"])
+    main(["backfill", "--warehouse", wh, "--start", "2024-01-16", "--end", "2024-01-16",
+          "--master", "local[2]"])
+    w = W.Warehouse(wh)
+    assert W.read_fact(spark, w).count() == 1
+    assert W.read_dim(spark, w, TERMINALS).count() == 1
+    assert W.read_report(spark, w).count() == 0   # no bank dims loaded: nothing to flag
