@@ -38,41 +38,56 @@ def _text(el) -> str:
     return "".join(t.text or "" for t in el.iter(f"{{{NS['m']}}}t"))
 
 
-def sheet_rows(content: bytes) -> list[list[str | None]]:
-    """Cell texts of the first worksheet, row by row (numbers as written)."""
+def iter_sheet_rows(content: bytes) -> Iterator[list[str | None]]:
+    """Cell texts of the first worksheet, row by row (numbers as written).
+
+    The sheet XML is parsed as a stream and each row is freed once read, so
+    memory stays flat however long the sheet is.
+    """
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         names = z.namelist()
         shared: list[str] = []
         if "xl/sharedStrings.xml" in names:
             root = ElementTree.fromstring(z.read("xl/sharedStrings.xml"))
             shared = [_text(si) for si in root.findall("m:si", NS)]
-        sheets = sorted(n for n in names if re.match(r"xl/worksheets/sheet\d+\.xml$", n))
-        root = ElementTree.fromstring(z.read(sheets[0]))
-    out = []
-    for row in root.iter(f"{{{NS['m']}}}row"):
-        cells: dict[int, str | None] = {}
-        for c in row.findall("m:c", NS):
-            kind, v = c.get("t"), c.find("m:v", NS)
-            if kind == "s" and v is not None:
-                val = shared[int(v.text)]
-            elif kind == "inlineStr":
-                val = _text(c)
-            else:
-                val = v.text if v is not None else None
-            cells[_col_index(c.get("r"))] = val
-        width = max(cells) + 1 if cells else 0
-        out.append([cells.get(i) for i in range(width)])
-    return out
-
-
-def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sheet = sorted(n for n in names if re.match(r"xl/worksheets/sheet\d+\.xml$", n))[0]
+        row_tag = f"{{{NS['m']}}}row"
+        with z.open(sheet) as f:
+            for _, row in ElementTree.iterparse(f, events=("end",)):
+                if row.tag != row_tag:
+                    continue
+                cells: dict[int, str | None] = {}
+                for c in row.findall("m:c", NS):
+                    kind, v = c.get("t"), c.find("m:v", NS)
+                    if kind == "s" and v is not None:
+                        val = shared[int(v.text)]
+                    elif kind == "inlineStr":
+                        val = _text(c)
+                    else:
+                        val = v.text if v is not None else None
+                    cells[_col_index(c.get("r"))] = val
+                row.clear()
+                width = max(cells) + 1 if cells else 0
+                yield [cells.get(i) for i in range(width)]
+
+
+def sheet_rows(content: bytes) -> list[list[str | None]]:
+    return list(iter_sheet_rows(content))
+
+
+def _decode(batches: Iterator[pd.DataFrame], chunk: int = 10_000) -> Iterator[pd.DataFrame]:
+    cols = ["file_name", "row_idx", "cells"]
     for b in batches:
-        recs = []
         for path, content in zip(b["path"], b["content"]):
             name = path.rsplit("/", 1)[-1]
-            for i, cells in enumerate(sheet_rows(bytes(content))):
+            recs = []
+            for i, cells in enumerate(iter_sheet_rows(bytes(content))):
                 recs.append((name, i, cells))
-        yield pd.DataFrame(recs, columns=["file_name", "row_idx", "cells"])
+                if len(recs) >= chunk:
+                    yield pd.DataFrame(recs, columns=cols)
+                    recs = []
+            if recs:
+                yield pd.DataFrame(recs, columns=cols)
 
 
 def read_rows(spark: SparkSession, path_glob: str) -> DataFrame:
