@@ -282,10 +282,14 @@ TX_COLS = "transaction_id, transaction_date, amount, card_num, oper_type, oper_r
 
 MANIFEST = """WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events),
 m AS (
-  SELECT f.k || '_' || strftime(d, '%d%m%Y') || '.' || f.e AS file_name, f.k AS kind,
-         CAST(d AS TIMESTAMP) AS file_date, f.e AS ext
-  FROM days CROSS JOIN (VALUES ('transactions', 'txt'), ('passport_blacklist', 'xlsx'),
-                               ('terminals', 'xlsx')) f(k, e))"""
+  SELECT 'transactions_' || strftime(d, '%d%m%Y') || '.txt' AS file_name, 'transactions' AS kind,
+         CAST(d AS TIMESTAMP) AS file_date, 'txt' AS ext FROM days
+  UNION ALL
+  SELECT 'passport_blacklist_' || strftime(d, '%d%m%Y') || '.xlsx', 'passport_blacklist',
+         CAST(d AS TIMESTAMP), 'xlsx' FROM days
+  UNION ALL
+  SELECT 'terminals_' || strftime(d, '%d%m%Y') || '.xlsx', 'terminals', CAST(d AS TIMESTAMP), 'xlsx'
+  FROM days)"""
 
 
 def queries() -> dict[str, str]:
