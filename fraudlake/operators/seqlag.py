@@ -49,7 +49,7 @@ class Lag:
 
 def sequence_lags(df: DataFrame, keys: list[str], order: list[str], lags: list[Lag],
                   time_col: str | None = None, bucket_seconds: int = 3600,
-                  hot_fraction: float = 0.001, min_hot_rows: int = 100_000,
+                  hot_fraction: float = 1e-5, min_hot_rows: int = 100_000,
                   skew_safe: bool = True, detect_hot: bool = True,
                   only: Column | None = None) -> DataFrame:
     """``df`` plus one column per :class:`Lag`, ordered by ``order`` within ``keys``.
