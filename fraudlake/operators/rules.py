@@ -256,11 +256,12 @@ def fraud_report(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients:
     """The fraud mart rows for one day, for ``day..until``, or for every day
     when ``day`` is None.
 
-    Over all days: the rule-4 window runs on the narrow fact (hash-partitioned
-    by ``card_num``, which the card join then reuses), the enrichment runs
-    once, and all four rules are flags of that one row set. For one day,
-    rules 1-3 enrich only that day's operations, and rule 4 reads the history
-    of the cards used that day.
+    Over all days: the rule-4 lags run on the narrow fact (by card and time
+    bucket), the fact joins the card profile once (card → account → client
+    versions, with the blacklist listing) and the terminals once, and all
+    four rules are flags of that one row set. For a day or a range, rules
+    1-3 enrich only those days' operations and rule 4 reads from the first
+    day minus its window on.
     """
     day, until = _day(day), _day(until)
     prof = profile if profile is not None else card_profile(cards, accounts, clients, blacklist)
