@@ -121,3 +121,14 @@ def test_invariants_on_random_snapshots(spark):
     # re-applying the last snapshot changes nothing
     again = run(spark, hist, rows, dt.datetime(2024, 1, 30), dt.datetime(2024, 1, 23))
     assert versions(again) == versions(hist)
+
+
+def test_meta_seed_and_advance(spark):
+    from fraudlake.plans import warehouse as W
+    seed = W.seed_meta(spark, ["ACCOUNTS", "CARDS", "CLIENTS", "TERMINALS"])
+    cur = W.meta_current(seed)
+    assert {r["table_name"]: r["last_update_dt"] for r in cur.collect()} == {
+        t: dt.datetime(1900, 1, 1) for t in ("ACCOUNTS", "CARDS", "CLIENTS", "TERMINALS")}
+    moved = W.meta_advance(cur, "CLIENTS", R2)
+    got = {r["table_name"]: r["last_update_dt"] for r in moved.collect()}
+    assert got["CLIENTS"] == R2 and got["CARDS"] == dt.datetime(1900, 1, 1)
