@@ -1,6 +1,7 @@
 """Three-day replay through storage: dims, fact, mart; a rerun is a no-op."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -80,6 +81,8 @@ def test_day_report_prunes_fact_partitions(spark, scratch):
     daily.load_feeds(spark, wh, feeds(spark, 1, dt.datetime(2024, 1, 1)), demo.RUNS[1])
     plan = daily.build_report(spark, wh, dt.date(2024, 1, 2))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan and "= 2024-01-02" in plan
+    # rule 4 reads from the day minus its 20-minute window: the previous day on
+    assert re.search(r"event_date#\d+ >= 2024-01-01", plan)
 
 
 def test_day_from_landing_folder_and_bank(spark, scratch):
