@@ -22,3 +22,17 @@ def test_month_report_plan(spark):
     assert re.search(r"hashpartitioning\(_wkey#\d+, _day#\d+, _bucket", plan)
     # every window is partitioned: no window over a single partition
     assert "Window []" not in plan and "SinglePartition" not in plan.split("Subquery")[0]
+
+
+def test_fact_append_reads_only_batch_days(spark, scratch):
+    from pyspark.sql import functions as F
+    from fraudlake.plans import warehouse as W
+    from fraudlake.sources import fixture, intake
+    wh = W.Warehouse(f"{scratch}/wh")
+    tr = fixture.transactions(spark, SF)
+    W.append_transactions(spark, wh, tr.filter(F.to_date("transaction_date") <= F.lit("2024-01-10")))
+    batch = (tr.filter(F.to_date("transaction_date") == F.lit("2024-01-11"))
+               .withColumn("event_date", F.to_date("transaction_date")))
+    existing = W.read_fact(spark, wh).join(batch.select("event_date").distinct(), "event_date", "left_semi")
+    plan = intake.new_transactions(batch, existing)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression(event_date" in plan
