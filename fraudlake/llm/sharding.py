@@ -1,9 +1,9 @@
 """Sharding by balanced label propagation: linked rows gather, sizes stay even.
 
-Rows start spread by a hash. In each round the rows of one colour (a hash
-bit, so that two neighbours do not swap for ever) look at the shards of
-their neighbours, by a join of the links with the labels, and wish to move
-to the shard most of them are in. Wishes are granted within quotas: a
+Rows start spread by a hash. In each round every row looks at the shards of
+its neighbours of smaller id (so that two rows never swap places for ever),
+by a join of the links with the labels, and wishes to move to the shard most
+of them are in. A star needs one round, a path as many as it is long. Wishes are granted within quotas: a
 shard's room for linked rows over its demand is the share of link groups it
 takes, decided by a hash of the group, so a group moves together. After the rounds
 an exact repair moves what stands above a shard's count, rows without links
@@ -40,7 +40,7 @@ def copy_links(rows: DataFrame, group: list[str], most: int) -> DataFrame:
     return x.join(hub, [*group, "part"]).select(F.col("vid").alias("src"), "dst").filter("src != dst")
 
 
-def label_propagation(rows: DataFrame, links: DataFrame, shards: int, rounds: int = 4,
+def label_propagation(rows: DataFrame, links: DataFrame, shards: int, rounds: int = 3,
                       fill: float = 0.95) -> DataFrame:
     """``(vid, shard, slot)`` for every row of ``rows`` (unique ``vid``).
 
@@ -48,24 +48,27 @@ def label_propagation(rows: DataFrame, links: DataFrame, shards: int, rounds: in
     shard's rows from 0 without gaps.
     """
     spark = rows.sparkSession
-    both = store(links.unionAll(links.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), "links")
+    down = store(links.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
+                 .filter("src != dst"), "links")
     # The star (smallest neighbour) a row belongs to decides on its quota.
-    star = both.groupBy("src").agg(F.min("dst").alias("d")) \
-               .select(F.col("src").alias("vid"), F.least("d", "src").alias("star"))
+    star = (down.groupBy(F.col("src").alias("vid")).agg(F.min("dst").alias("star"))
+            .unionAll(down.select(F.col("dst").alias("vid"), F.col("dst").alias("star")).distinct())
+            .groupBy("vid").agg(F.min("star").alias("star")))
     now = rows.select("vid").withColumn("shard", F.pmod(F.xxhash64("vid"), F.lit(shards)).cast("int")) \
               .join(star, "vid", "left")
     now = store(now, "labels")
     total = now.count()
     limit = total / shards * fill   # for linked rows; the others make room for them
     for r in range(rounds):
-        votes = (both.join(now.select(F.col("vid").alias("dst"), F.col("shard").alias("to")), "dst")
+        votes = (down.join(now.select(F.col("vid").alias("dst"), F.col("shard").alias("to")), "dst")
                  .groupBy("src", "to").agg(F.count("*").alias("n")))
         best = (votes.join(now.select(F.col("vid").alias("src"), "shard", "star"), "src")
-                .filter(F.pmod(F.xxhash64("src", F.lit(7)), F.lit(2)) == r % 2)
                 .groupBy("src", "shard", "star")
                 .agg(F.max_by("to", F.struct("n", F.col("to") == F.col("shard"), -F.col("to"))).alias("to"))
                 .filter("to != shard"))
         best = store(best, "moves")
+        if best.isEmpty():
+            break
         size = {x["shard"]: x["n"] for x in now.groupBy("shard").agg(F.count("star").alias("n")).collect()}
         wish = {x["to"]: x["count"] for x in best.groupBy("to").count().collect()}
         share = [min(1.0, max(0.0, limit - size.get(s, 0)) / wish[s]) if s in wish else 0.0
@@ -122,7 +125,7 @@ def _even(labels: DataFrame, shards: int, total: int, blocks: int) -> DataFrame:
          .otherwise(F.col("rank")).cast("long").alias("slot"))
 
 
-def shard_documents(docs: DataFrame, shards: int = 40, rounds: int = 4, fill: float = 0.95) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 40, rounds: int = 3, fill: float = 0.95) -> DataFrame:
     """Every document with its shard: links join documents of equal text."""
     body = F.coalesce(F.col("text"), F.lit(""))
     rows = store(docs.select(
