@@ -2,15 +2,36 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from fraudlake.llm.common import read
+from fraudlake.llm import decontam, packing, toxicity
+from fraudlake.llm.common import read, scratch_root, store
 from fraudlake.llm.line_templates import drop_templates
 from fraudlake.llm.sharding import shard_documents
+from fraudlake.llm.token_rollup import TokenRollup, count_tokens
 
 SHARDS = 40
 
 
+def q_op3_ordinal_toxicity(spark, sf):
+    """Every document's expected severity and whether it is rejected."""
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read(spark, sf, "labels"))
+    return toxicity.score(docs, model).select("doc_id", "toxicity.*")
+
+
+def q_op4_mixture_packing(spark, sf):
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.pack(read(spark, sf, "documents")).drop("tokens")
+
+
+def q_op5_edit_decontamination(spark, sf):
+    """Documents that hold a benchmark item, with the item's edit distance."""
+    return decontam.contaminated(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
 def q_op6_line_templates(spark, sf):
     """Every document with its text after boilerplate lines are dropped."""
     out = drop_templates(read(spark, sf, "documents").select("doc_id", "text"), dropped="n_dropped")
@@ -24,9 +45,51 @@ def q_op7_balanced_shards(spark, sf):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def token_changes(spark, sf):
+    """Three batches of changes drawn from the documents: all are inserted with
+    their counts, those not in English are revised to a vocabulary for many
+    languages, and later copies of a text are deleted."""
+    docs = read(spark, sf, "documents").select("doc_id", "source", "lang", "text",
+                                               F.xxhash64("text").alias("key"))
+    n = store(count_tokens(docs, {"byte_bpe_50k": "true", "byte_bpe_multi_50k": "lang <> 'en'"}), "counts")
+    name = lambda x: F.lit(x).alias
+    none = F.lit(None).cast("string")
+    multi = F.col("byte_bpe_multi_50k").isNotNull()
+    insert = n.select(F.lit("insert").alias("op"), "source", "lang", name("byte_bpe_50k")("tokenizer"),
+                      F.col("byte_bpe_50k").alias("tokens"), none.alias("old_source"), none.alias("old_lang"),
+                      none.alias("old_tokenizer"), F.lit(None).cast("long").alias("old_tokens"))
+    old = [F.col("source").alias("old_source"), F.col("lang").alias("old_lang")]
+    revise = n.filter(multi).select(
+        F.lit("revise").alias("op"), "source", "lang", name("byte_bpe_multi_50k")("tokenizer"),
+        F.col("byte_bpe_multi_50k").alias("tokens"), *old, name("byte_bpe_50k")("old_tokenizer"),
+        F.col("byte_bpe_50k").alias("old_tokens"))
+    first = n.filter(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("first"))
+    gone = n.join(first, "key").filter(F.col("doc_id") != F.col("first"))
+    delete = gone.select(
+        F.lit("delete").alias("op"), none.alias("source"), none.alias("lang"), none.alias("tokenizer"),
+        F.lit(None).cast("long").alias("tokens"), *old,
+        F.when(multi, "byte_bpe_multi_50k").otherwise("byte_bpe_50k").alias("old_tokenizer"),
+        F.coalesce("byte_bpe_multi_50k", "byte_bpe_50k").alias("old_tokens"))
+    return [("load", insert), ("retokenize", revise), ("copies", delete)]
+
+
+def q_op10_token_rollup(spark, sf):
+    """Totals by source, language and vocabulary after three batches, the
+    first of them delivered twice."""
+    rollup = TokenRollup(spark, f"{scratch_root(spark)}/rollup-{uuid.uuid4().hex}")
+    batches = token_changes(spark, sf)
+    for batch, changes in [*batches, batches[0]]:
+        rollup.commit(batch, changes)
+    return rollup.totals()
+
+
 QUERIES = {
+    "op3_ordinal_toxicity": q_op3_ordinal_toxicity,
+    "op4_mixture_packing": q_op4_mixture_packing,
+    "op5_edit_decontamination": q_op5_edit_decontamination,
     "op6_line_templates": q_op6_line_templates,
     "op7_balanced_shards": q_op7_balanced_shards,
+    "op10_token_rollup": q_op10_token_rollup,
 }
 
 _OP6 = r"""
