@@ -91,3 +91,35 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b",
         raise RuntimeError("components did not settle")
     heads = cur.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return cur.select(F.col("u").alias("id"), F.col("v").alias("component")).unionAll(heads)
+
+
+def blocked(rows: DataFrame, key: list[str], vid: str, most: int) -> DataFrame:
+    """Deal each key's rows into blocks of about ``most`` and each block to
+    its pairings with every block of the key: adds ``bi <= bj`` and ``own``
+    (the row's block). All pairs of a key's rows then meet in exactly one
+    (key, bi, bj), those of one block in (b, b); no task holds over two blocks.
+    Keys with a single row are dropped."""
+    n = rows.groupBy(*key).agg(F.count("*").alias("__n")).filter("__n > 1")
+    q = F.ceil(F.col("__n") / most).cast("int")
+    x = rows.join(n, key).withColumn("__q", q) \
+            .withColumn("own", F.pmod(F.xxhash64(vid), F.col("__q")).cast("int"))
+    x = x.withColumn("__o", F.explode(F.sequence(F.lit(0), F.col("__q") - 1)))
+    return x.withColumn("bi", F.least("own", "__o")).withColumn("bj", F.greatest("own", "__o")) \
+            .drop("__n", "__q", "__o")
+
+
+def whole_groups(frames, key: list[str]):
+    """The groups of a partition sorted by ``key``, each as one frame, however
+    they lie over Arrow batches."""
+    import pandas as pd
+    rest = None
+    for f in frames:
+        f = f if rest is None else pd.concat([rest, f], ignore_index=True)
+        if f.empty:
+            continue
+        new = (f[key] != f[key].shift()).any(axis=1).to_numpy().nonzero()[0]
+        for a, b in zip(new, new[1:]):
+            yield f.iloc[a:b]
+        rest = f.iloc[new[-1]:]
+    if rest is not None and len(rest):
+        yield rest

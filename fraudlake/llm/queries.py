@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from fraudlake.llm import decontam, packing, toxicity
 from fraudlake.llm.common import read, scratch_root, store
+from fraudlake.llm.embed_dedup import near_vectors
 from fraudlake.llm.line_templates import drop_templates
+from fraudlake.llm.minhash_dedup import near_documents
 from fraudlake.llm.sharding import shard_documents
 from fraudlake.llm.token_rollup import TokenRollup, count_tokens
 
@@ -45,6 +47,17 @@ def q_op7_balanced_shards(spark, sf):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def q_op8_hyperplane_vectors(spark, sf):
+    """Every vector's number of links and component at cosine 0.9."""
+    return near_vectors(read(spark, sf, "embeddings"), 0.9)
+
+
+def q_op9_hamming_minhash(spark, sf):
+    """Every document's component at 3-word similarity 0.85."""
+    return near_documents(read(spark, sf, "documents"), words=3, percent=85).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 def token_changes(spark, sf):
     """Three batches of changes drawn from the documents: all are inserted with
     their counts, those not in English are revised to a vocabulary for many
@@ -89,6 +102,8 @@ QUERIES = {
     "op5_edit_decontamination": q_op5_edit_decontamination,
     "op6_line_templates": q_op6_line_templates,
     "op7_balanced_shards": q_op7_balanced_shards,
+    "op8_hyperplane_vectors": q_op8_hyperplane_vectors,
+    "op9_hamming_minhash": q_op9_hamming_minhash,
     "op10_token_rollup": q_op10_token_rollup,
 }
 
@@ -137,4 +152,39 @@ SELECT d.doc_id, coalesce(c.n, 0) AS n_dropped,
 FROM documents d LEFT JOIN cleaned c ON d.text = c.text
 """
 
-ORACLE_SQL = {"op6_line_templates": _OP6}
+_OP8 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+link AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, c.c AS component_id, v.vec_id = c.c AS kept
+FROM v JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) c ON c.a = v.vec_id
+LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) n ON n.a = v.vec_id
+"""
+
+_OP9 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1),
+           lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+x AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+link AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT s.doc_id, len(s.s) AS n_shingles, c.c AS component_id, s.doc_id = c.c AS kept
+FROM s JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) c ON c.a = s.doc_id
+"""
+
+ORACLE_SQL = {
+    "op6_line_templates": _OP6,
+    "op8_hyperplane_vectors": _OP8,
+    "op9_hamming_minhash": _OP9,
+}
