@@ -13,8 +13,17 @@ from fraudlake.llm.line_templates import drop_templates
 from fraudlake.llm.minhash_dedup import near_documents
 from fraudlake.llm.sharding import shard_documents
 from fraudlake.llm.token_rollup import TokenRollup, count_tokens
+from fraudlake.llm.url_filter import judge, judge_sql
 
 SHARDS = 40
+RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
+         ("net/es/", "block"), ("net/fr/", "block")]
+
+
+def q_op2_template_urls(spark, sf):
+    """Every page's verdict; a page's label is that of its id (quality 0 is bad)."""
+    labels = read(spark, sf, "labels").select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad"))
+    return judge(read(spark, sf, "pages"), labels, RULES).drop("bad_rate")
 
 
 def q_op3_ordinal_toxicity(spark, sf):
@@ -97,6 +106,7 @@ def q_op10_token_rollup(spark, sf):
 
 
 QUERIES = {
+    "op2_template_urls": q_op2_template_urls,
     "op3_ordinal_toxicity": q_op3_ordinal_toxicity,
     "op4_mixture_packing": q_op4_mixture_packing,
     "op5_edit_decontamination": q_op5_edit_decontamination,
@@ -184,6 +194,7 @@ FROM s JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) c ON c.a = s.doc_id
 """
 
 ORACLE_SQL = {
+    "op2_template_urls": judge_sql(RULES),
     "op6_line_templates": _OP6,
     "op8_hyperplane_vectors": _OP8,
     "op9_hamming_minhash": _OP9,
