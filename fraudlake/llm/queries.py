@@ -12,6 +12,7 @@ from fraudlake.llm.embed_dedup import near_vectors
 from fraudlake.llm.line_templates import drop_templates
 from fraudlake.llm.minhash_dedup import near_documents
 from fraudlake.llm.sharding import shard_documents
+from fraudlake.llm.suffix_dedup import remove_repeats
 from fraudlake.llm.token_rollup import TokenRollup, count_tokens
 from fraudlake.llm.url_filter import judge, judge_sql
 
@@ -20,6 +21,13 @@ RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/"
          ("net/es/", "block"), ("net/fr/", "block")]
 
 
+def q_op1_suffix_repeats(spark, sf):
+    """Every document without the bytes of 100-byte strings that start earlier."""
+    return remove_repeats(read(spark, sf, "documents"), 100).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def q_op2_template_urls(spark, sf):
     """Every page's verdict; a page's label is that of its id (quality 0 is bad)."""
     labels = read(spark, sf, "labels").select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad"))
@@ -106,6 +114,7 @@ def q_op10_token_rollup(spark, sf):
 
 
 QUERIES = {
+    "op1_suffix_repeats": q_op1_suffix_repeats,
     "op2_template_urls": q_op2_template_urls,
     "op3_ordinal_toxicity": q_op3_ordinal_toxicity,
     "op4_mixture_packing": q_op4_mixture_packing,
