@@ -1,11 +1,24 @@
-"""Corpus pipeline: each stage is written as Parquet and read again by the next."""
+"""Corpus pipeline: each stage is written as Parquet and read again by the next.
+
+All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fraudlake.llm import packing, toxicity as tox
 from fraudlake.llm.common import read, store
+from fraudlake.llm.decontam import drop_contaminated
 from fraudlake.llm.line_templates import drop_templates
+from fraudlake.llm.minhash_dedup import drop_near_duplicates
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the ordinal model rejects go."""
+    model = tox.train(docs, read(spark, sf_dir, "labels"))
+    return tox.score(docs, model).filter(~F.col("toxicity.rejected")).select(*[f"`{c}`" for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,8 +26,25 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_templates(docs)
 
 
-STAGES = [("line_dedup", line_dedup)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return drop_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents packed into sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates),
+          ("decontamination", decontamination), ("packing", packed)]
 
+#: SQL can express neither the fitted model nor the tokenizer.
 ORACLE_SQL = None
 
 

@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fraudlake.llm.common import store
+
 
 def plain(text: str | None) -> str:
     return " ".join(text.lower().split()) if text else ""
@@ -116,9 +118,9 @@ _MATCHER: dict = {}
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, per_edit: int = 20,
-                 chunk_chars: int = 16_000_000) -> DataFrame:
+                 chunk_chars: int = 16_000_000, key: str = "doc_id") -> DataFrame:
     """``(doc_id, item_id, distance)``: items that stand in a document with at
-    most one edit per ``per_edit`` characters."""
+    most one edit per ``per_edit`` characters. ``key``: the documents' id column."""
     spark = docs.sparkSession
     items = benchmark.select("item_id", "text").filter(F.col("text").isNotNull())
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -146,6 +148,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, per_edit: int = 20,
                 yield pd.DataFrame(got, columns=["doc_id", "item_id", "distance"]) \
                     .astype({"doc_id": "Int64", "item_id": "Int64"})
 
-        one = docs.select("doc_id", "text").mapInPandas(scan, "doc_id long, item_id long, distance int")
+        one = docs.select(F.col(key).alias("doc_id"), "text").mapInPandas(scan, "doc_id long, item_id long, distance int")
         out = one if out is None else out.unionAll(one)
     return out
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, per_edit: int = 20) -> DataFrame:
+    """The rows of ``docs`` that hold no item, columns unchanged."""
+    x = docs.withColumn("__row", F.monotonically_increasing_id())
+    bad = store(contaminated(x, benchmark, per_edit, key="__row").select(F.col("doc_id").alias("__row")).distinct(),
+                "contaminated")
+    return x.join(bad, "__row", "left_anti").drop("__row")

@@ -158,13 +158,15 @@ def _verify(pairs: DataFrame, reps: DataFrame, texts: DataFrame, words: int, per
     return read.mapInPandas(compare, "a long, b long")
 
 
-def near_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, row: str | None = None) -> DataFrame:
     """``(vid, doc_id, n_shingles, component_id, kept, first)``, a row per
-    document; ``first`` marks one row of each component."""
+    document; ``first`` marks one row of each component. ``row``: a column of
+    unique row numbers to return as ``vid``."""
     spark = docs.sparkSession
     n_parts = partitions(spark)
     t1, t2 = F.xxhash64("text"), F.concat_ws("-", F.crc32("text"), F.octet_length("text"))
-    src = docs.select("doc_id", "text").withColumn("vid", F.monotonically_increasing_id()) \
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    src = docs.select(number.alias("vid"), "doc_id", "text") \
               .select("vid", F.col("doc_id").cast("long").alias("id"), "text", t1.alias("t1"), t2.alias("t2"))
 
     def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -208,7 +210,7 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
             .join(sigs.select(F.col("vid").alias("b"), F.col("sig").alias("sb")), "b")
             .filter(off <= ERRORS).select("a", "b"))
     star = store(star, "pairs")
-    texts = src.select(F.col("id").alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2"), "text") 
+    texts = src.select(F.col("id").alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2"), "text")
     links = store(_verify(star, reps, texts, words, percent), "links")
     comps = store(connected_components(links), "comps")
 
@@ -253,3 +255,11 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
         "vid", F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id",
         F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"),
         (F.col("vid") == F.col("first")).alias("first"))
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each component (the smallest id), columns unchanged; rows
+    with an empty set all stay."""
+    x = docs.withColumn("__row", F.monotonically_increasing_id())
+    stay = near_documents(x, words, percent, row="__row").filter("first").select(F.col("vid").alias("__row"))
+    return x.join(store(stay, "stay"), "__row").drop("__row")

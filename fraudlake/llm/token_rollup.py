@@ -18,8 +18,6 @@ repeated rows are counted as often as they stand.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -80,22 +78,17 @@ class TokenRollup:
 
 
 def count_tokens(docs: DataFrame, tokenizers: dict[str, str]) -> DataFrame:
-    """``docs`` (with a column ``text``) with a long column of token counts
-    per entry of ``tokenizers`` (new column -> SQL condition on the row; the
-    column is named after the vocabulary; null where the condition fails)."""
-    keep = [c for c in docs.columns if c != "text"]
-    flags = [F.coalesce(F.expr(cond), F.lit(False)).alias(f"__do_{name}") for name, cond in tokenizers.items()]
-    x = docs.select(*[F.col(f"`{c}`") for c in keep], "text", *flags)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
-                       + [f"`{name}` long" for name in tokenizers])
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from fraudlake.llm.tokens import encode
-        for f in frames:
-            out = f[keep].copy()
-            for name in tokenizers:
-                out[name] = pd.array([len(encode(t, name)) if do else None
-                                      for t, do in zip(f["text"], f[f"__do_{name}"])], dtype="Int64")
-            yield out
-
-    return x.mapInPandas(count, schema)
+    """``docs`` (with a column ``text``, which goes) with a long column of
+    token counts per entry of ``tokenizers`` (vocabulary -> SQL condition on
+    the row; null where the condition fails)."""
+
+    def counter(name: str):
+        @F.pandas_udf("long")
+        def count(texts: pd.Series) -> pd.Series:
+            from fraudlake.llm.tokens import encode
+            return pd.Series([None if t is None else len(encode(t, name)) for t in texts], dtype="Int64")
+        return count
+
+    body = F.coalesce("text", F.lit(""))
+    return docs.select("*", *[counter(name)(F.when(F.expr(cond), body)).alias(name)
+                              for name, cond in tokenizers.items()]).drop("text")
