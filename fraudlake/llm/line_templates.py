@@ -30,14 +30,17 @@ from fraudlake.llm.common import store
 WILD = "<*>"
 
 
-def _masked(line: Column) -> Column:
-    return F.regexp_replace(F.trim(F.regexp_replace(line, r"[ \t]+", " ")), r"[^ ]*[0-9][^ ]*", WILD)
+def _masked(text: Column) -> Column:
+    """A whole text with runs of blanks as one and variable tokens masked; the
+    patterns match only what changes, and most texts need neither."""
+    one = F.regexp_replace(text, r"\t[ \t]*| [ \t]+", " ")
+    return F.when(one.rlike("[0-9]"), F.regexp_replace(one, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*", WILD)).otherwise(one)
 
 
 def _leaf(masked: Column, depth: int) -> Column:
     """Hash of token count and leading tokens; null for a blank line."""
-    return F.when(masked != "", F.xxhash64(F.size(F.split(masked, " ")),
-                                           F.substring_index(masked, " ", depth)))
+    blanks = F.octet_length(masked) - F.octet_length(F.replace(masked, F.lit(" "), F.lit("")))
+    return F.when(masked != "", F.xxhash64(blanks, F.substring_index(masked, " ", depth)))
 
 
 def _text_key(text: str) -> tuple[Column, Column]:
@@ -49,8 +52,8 @@ def _text_key(text: str) -> tuple[Column, Column]:
 
 def _lines(rows: DataFrame, depth: int) -> DataFrame:
     """One row per line: its leaf, the hash of its masked form, its context."""
-    masked = F.transform(F.split("text", "\n"), _masked)
-    x = rows.select("k1", "k2", masked.alias("m"))
+    x = rows.select("k1", "k2", _masked(F.col("text")).alias("m"))
+    x = x.select("k1", "k2", F.transform(F.split("m", "\n"), F.trim).alias("m"))
     x = x.select("k1", "k2", "m", F.transform("m", lambda t: _leaf(t, depth)).alias("lf"))
     at = lambda i: F.coalesce(F.get("lf", F.col("pos") + i), F.lit(0))
     return (x.select("k1", "k2", "lf", F.posexplode("m").alias("pos", "masked"))
@@ -70,14 +73,15 @@ def template_lines(docs: DataFrame, text: str = "text", depth: int = 3, min_cont
     """
     rows = docs.select(F.col(text).alias("text")).select(*_text_key("text"), "text") \
                .filter(F.col("text").isNotNull())
-    lines = store(_lines(rows, depth).drop("masked"), "lines")
+    every = store(_lines(rows, depth), "lines")
+    lines = every.drop("masked")
     leaves = (lines.groupBy("leaf", "ctx").count().groupBy("leaf").agg(F.count("*").alias("n"))
               .filter(F.col("n") >= min_contexts).select("leaf"))
     lines = store(lines.join(leaves, "leaf"), "lines")
     weight = lines.groupBy("leaf", "mh", "ctx").count().groupBy("leaf", "mh").agg(F.count("*").alias("w"))
 
     # The texts of the distinct masked lines of those leaves, by token position.
-    words = (_lines(rows, depth).select("leaf", "mh", "masked").join(leaves, "leaf")
+    words = (every.select("leaf", "mh", "masked").join(leaves, "leaf")
              .groupBy("leaf", "mh").agg(F.first("masked").alias("masked")).join(weight, ["leaf", "mh"])
              .select("leaf", "mh", "w", F.posexplode(F.split("masked", " ")).alias("at", "token")))
     words = store(words, "words")
