@@ -18,7 +18,7 @@ from fraudlake.llm.minhash_dedup import drop_near_duplicates
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal model rejects go."""
     model = tox.train(docs, read(spark, sf_dir, "labels"))
-    return tox.score(docs, model).filter(~F.col("toxicity.rejected")).select(*[f"`{c}`" for c in docs.columns])
+    return tox.score(docs, model, into="__tox").filter(~F.col("__tox.rejected")).drop("__tox")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -140,15 +140,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 4000) -> OrdinalMode
                np.array([r["toxic"] for r in got], bool))
 
 
-def score(docs: DataFrame, model: OrdinalModel, reject: float = 0.5) -> DataFrame:
-    """``docs`` with a struct ``toxicity`` (``p_toxic``, ``severity``,
+def score(docs: DataFrame, model: OrdinalModel, reject: float = 0.5, into: str = "toxicity") -> DataFrame:
+    """``docs`` with a struct ``into`` (``p_toxic``, ``severity``,
     ``rejected``: p_toxic >= reject)."""
 
     @F.pandas_udf("p_toxic double, severity double")
     def run(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([model.score(t) for t in texts], columns=["p_toxic", "severity"])
 
-    s = run(F.col("text"))
-    return docs.select("*", s.alias("__s")).withColumn("toxicity", F.struct(
+    x = docs.select("*", run(F.col("text")).alias("__s"))
+    return x.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(
         F.col("__s.p_toxic"), F.col("__s.severity"),
-        (F.col("__s.p_toxic") >= reject).alias("rejected"))).drop("__s")
+        (F.col("__s.p_toxic") >= reject).alias("rejected")).alias(into))
