@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from fraudlake.functions.expr import day_start, on_day, plus_interval, ts_lit
 from fraudlake.operators.asof import card_profile, enrich, first_listing
 from fraudlake.operators.seqlag import Lag, sequence_lags
+from fraudlake.session import cut_lineage
 from fraudlake.schemas import (
     EVENT_CITIES, EVENT_CONTRACT, EVENT_GUESSING, EVENT_PASSPORT, NEVER,
     RESULT_REJECT, RESULT_SUCCESS,
@@ -164,13 +165,15 @@ def guessing_on_day(tr: DataFrame, day: dt.date, within: str = "20 minutes", str
     older: lags over that range may miss a rejection there, so they flag a
     subset of the hits. The rest are rows whose fourth predecessor lies
     before the range and whose count reaches 3 only with it; for their cards
-    the last operation before the range is looked up (a narrow scan, one
-    aggregate row per card). Exact, without shuffling the card's history.
+    the last operation before the range is looked up (:func:`last_before`).
+    Exact, without reading all history.
     """
     last = until or day
     start = ts_lit(day) - F.expr(f"interval {within}")
     end = ts_lit(last + dt.timedelta(days=1))
-    active = in_days(tr, day, last).select("card_num").distinct()
+    # A hit is an operation that was not refused.
+    active = in_days(tr, day, last).filter(success() if strict else F.col("oper_result") != RESULT_REJECT) \
+        .select("card_num").distinct()
     recent = tr.filter((F.col(T) >= start) & (F.col(T) < end))
     if "event_date" in tr.columns:   # stored fact: read only the partitions in range
         recent = recent.filter((F.col("event_date") >= F.to_date(start)) & (F.col("event_date") <= F.lit(last)))
@@ -183,16 +186,53 @@ def guessing_on_day(tr: DataFrame, day: dt.date, within: str = "20 minutes", str
         return hits
     maybe = x.filter(F.col("_t4").isNull() & F.col("_t3").isNotNull()
                      & ~guessing_condition(within) & guessing_condition(within, r4=F.lit(1)))
-    before = tr.filter(F.col(T) < start)
-    if "event_date" in tr.columns:
-        before = before.filter(F.col("event_date") <= F.to_date(start))
-    last = (before.join(maybe.select("card_num").distinct(), "card_num", "left_semi")
-                  .groupBy("card_num")
-                  .agg(F.max(F.struct(T, "transaction_id", _rej().alias("rej"))).alias("_p4")))
-    more = maybe.join(last, "card_num").filter(F.col("_p4.rej") == 1).select(*cols)
+    more = maybe.join(last_before(tr, maybe.select("card_num").distinct(), day, within), "card_num") \
+                .filter(F.col("_p4.rej") == 1).select(*cols)
     return hits.unionByName(more)
 
 
+LOOK_BACK = (7, 30, 120, 365)     # days before the window, one step after the other
+
+
+def last_before(tr: DataFrame, cards: DataFrame, day: dt.date, within: str) -> DataFrame:
+    """``(card_num, _p4)``: each card's last operation before ``day - within``.
+
+    The fact is walked back in steps of days, each step for the cards that are
+    still open only, so a card that was used lately costs a few partitions,
+    and a step without open cards costs nothing. What is older than the last
+    step is read from the fact's first day on. Every scan has a lower and an
+    upper bound.
+    """
+    spark = tr.sparkSession
+    at = ts_lit(day) - F.expr(f"interval {within}")
+    end = spark.range(1).select(at.alias("t")).first()["t"]
+    todo = cut_lineage(cards, "look-back")
+    found = None
+    for i, back in enumerate((*LOOK_BACK, None)):
+        if todo.isEmpty():
+            break
+        if back is None:
+            older = tr.filter(F.col("event_date") <= F.lit(end.date())) if "event_date" in tr.columns else tr
+            first = older.filter(F.col(T) < F.lit(end)).agg(F.min("event_date" if "event_date" in tr.columns else T)).first()[0]
+            if first is None:
+                break
+            start = dt.datetime(first.year, first.month, first.day)
+        else:
+            start = end - dt.timedelta(days=back - (LOOK_BACK[i - 1] if i else 0))
+        x = tr.filter((F.col(T) >= F.lit(start)) & (F.col(T) < F.lit(end)))
+        if "event_date" in tr.columns:
+            x = x.filter(F.col("event_date").between(F.lit(start.date()), F.lit(end.date())))
+        step = cut_lineage(x.join(todo, "card_num", "left_semi").groupBy("card_num").agg(
+            F.max(F.struct(T, "transaction_id", _rej().alias("rej"))).alias("_p4")), "look-back")
+        found = step if found is None else found.unionByName(step)
+        todo = cut_lineage(todo.join(step, "card_num", "left_anti"), "look-back")
+        end = start
+    if found is None:
+        empty = tr.select("card_num", F.struct(T, "transaction_id", _rej().alias("rej")).alias("_p4"))
+        return spark.createDataFrame([], empty.schema)
+    return found
+
+
 def rule_guessing(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
                   day=None, within: str = "20 minutes", strict: bool = False,
                   skew_safe: bool = True, profile: DataFrame | None = None,
@@ -266,10 +306,12 @@ def fraud_report(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients:
     day, until = _day(day), _day(until)
     prof = profile if profile is not None else card_profile(cards, accounts, clients, blacklist)
     if day is None:
-        e = enrich(with_guessing(tr, guess_within, strict, skew_safe), cards, accounts, clients,
-                   terminals, profile=prof)
+        # Rules 1-3 need a successful operation, rule 4 its flag: no other row
+        # can be reported, so none is enriched.
+        can_hit = with_guessing(tr, guess_within, strict, skew_safe).filter(success() | F.col("is_guess"))
+        e = enrich(can_hit, cards, accounts, clients, terminals, profile=prof)
         return report_from_flags(flag_rules(e, blacklist, cities_within, skew_safe), None)
-    e = enrich(in_days(tr, day, until or day), cards, accounts, clients, terminals, profile=prof)
+    e = enrich(in_days(tr, day, until or day).filter(success()), cards, accounts, clients, terminals, profile=prof)
     r13 = report_from_flags(flag_rules(e, blacklist, cities_within, skew_safe),
                             day if until is None else None)
     r4 = rule_guessing(tr, cards, accounts, clients, day, guess_within, strict, skew_safe, prof, until)

@@ -15,10 +15,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudlake.functions.expr import (
-    blank_to_null, is_current, is_different, minus_seconds, open_end, ts_lit,
-)
-from fraudlake.schemas import FLAG_DELETED, FLAG_LIVE, FIRST_WATERMARK, DimSpec
+from fraudlake.functions.expr import blank_to_null, is_current, is_different, open_end, ts_lit
+from fraudlake.schemas import FLAG_DELETED, FLAG_LIVE, FIRST_WATERMARK, OPEN_END, DimSpec
 
 
 def effective_from(df: DataFrame) -> Column:
@@ -28,7 +26,7 @@ def effective_from(df: DataFrame) -> Column:
 
 
 def extract_since(src: DataFrame, watermark: dt.datetime | Column | None) -> DataFrame:
-    """Rows changed since the watermark (a missing watermark means none)."""
+    """Rows changed since the watermark (None: since the first watermark, all rows)."""
     if watermark is None:
         watermark = FIRST_WATERMARK
     wm = watermark if isinstance(watermark, Column) else ts_lit(watermark)
@@ -82,7 +80,7 @@ def empty_history(spark, spec: DimSpec) -> DataFrame:
 
 
 def scd2_apply(hist: DataFrame, staged: DataFrame, keys: DataFrame | None,
-               run_ts: dt.datetime | Column, spec: DimSpec) -> DataFrame:
+               run_ts: dt.datetime, spec: DimSpec) -> DataFrame:
     """New history after one load: closed versions pass through untouched,
     open ones go through :func:`scd2_step`."""
     hist = hist.select(*spec.hist_columns)
@@ -92,7 +90,7 @@ def scd2_apply(hist: DataFrame, staged: DataFrame, keys: DataFrame | None,
 
 
 def scd2_step(opened: DataFrame, staged: DataFrame, keys: DataFrame | None,
-              run_ts: dt.datetime | Column, spec: DimSpec) -> DataFrame:
+              run_ts: dt.datetime, spec: DimSpec) -> DataFrame:
     """Versions that replace the open ones after one load.
 
     ``opened``: the open versions (``effective_to`` = 9999-12-31) only;
@@ -104,63 +102,60 @@ def scd2_step(opened: DataFrame, staged: DataFrame, keys: DataFrame | None,
     *changed* (attributes differ) and *returned* (open ``Y`` version) get the
     old version closed one second before the new one starts; *deleted* (open
     ``N``, key not in the source) is closed one second before ``run_ts`` and
-    an open ``Y`` version starts at ``run_ts``. An unchanged restaged row
-    keeps its open version. The output holds the (possibly just closed) old
-    open versions and the new ones; closed history is never read.
+    an open ``Y`` version starts at ``run_ts``; a key that is *back unstaged* (open
+    ``Y``, in the source, but not changed since the watermark) gets its last
+    attributes as an open ``N`` version from ``run_ts``, so that the open ``N``
+    versions always equal the source's keys. An unchanged restaged row keeps
+    its open version. The output holds the (possibly just closed) old open
+    versions and the new ones; closed history is never read.
+
+    One shuffle: open versions, staged rows and live keys are tagged and
+    grouped by key. Each side holds at most one row per key (one open version
+    per key; the latest staged row wins via max over a struct led by its start
+    time), so the grouping is a keyed full-outer join. The step is written as
+    a few SQL texts: building it column by column costs seconds of driver time.
     """
     key, attrs = spec.key, list(spec.attrs)
-    run = run_ts if isinstance(run_ts, Column) else ts_lit(run_ts)
-    # One shuffle: open versions, staged rows and live keys are tagged and
-    # grouped by key. Each side holds at most one row per key (one open
-    # version per key; the latest staged row wins via max over a struct led
-    # by its start time), so the grouping is a keyed full-outer join.
-    o_row = F.struct(*[F.col(a) for a in attrs], F.col("effective_from").alias("from"),
-                     F.col("deleted_flg").alias("flg"))
-    s_row = F.struct(effective_from(staged).alias("from"), *[F.col(a) for a in attrs])
-    o_type = opened.select(o_row.alias("x")).schema["x"].dataType
-    s_type = staged.select(s_row.alias("x")).schema["x"].dataType
-    parts = [
-        opened.select(key, o_row.alias("o"), F.lit(None).cast(s_type).alias("s"),
-                      F.lit(None).cast("boolean").alias("live")),
-        staged.select(key, F.lit(None).cast(o_type).alias("o"), s_row.alias("s"),
-                      F.lit(True).alias("live")),
-    ]
+    types = {f.name: f.dataType.simpleString() for f in spec.hist_schema.fields}
+    run, end = (f"timestamp_ntz'{t:%Y-%m-%d %H:%M:%S}'" for t in (run_ts, OPEN_END))
+    start = [c for c in ("update_dt", "create_dt") if c in staged.columns]
+    fields = [f"`{a}` {types[a]}" for a in attrs]
+
+    def typed(cols: list[str], kinds: list[str]) -> str:
+        return f"cast(struct({', '.join(cols)}) as struct<{', '.join(k.replace(' ', ':', 1) for k in kinds)}>)"
+
+    none = lambda kinds: f"cast(null as struct<{', '.join(k.replace(' ', ':', 1) for k in kinds)}>)"
+    o_kinds = [*fields, "`from` timestamp_ntz", "`flg` string"]
+    s_kinds = ["`from` timestamp_ntz", *fields]
+    tagged = opened.selectExpr(f"`{key}`", typed([*attrs, "effective_from", "deleted_flg"], o_kinds) + " o",
+                               none(s_kinds) + " s", "cast(null as boolean) live")
+    tagged = tagged.unionAll(staged.selectExpr(
+        f"`{key}`", none(o_kinds) + " o", typed([f"coalesce({', '.join(start)})", *attrs], s_kinds) + " s", "true live"))
     if keys is not None:
-        kc = "id" if "id" in keys.columns else key
-        parts.append(keys.select(F.col(kc).alias(key), F.lit(None).cast(o_type).alias("o"),
-                                 F.lit(None).cast(s_type).alias("s"), F.lit(True).alias("live")))
-    tagged = parts[0].unionByName(parts[1])
-    for p in parts[2:]:
-        tagged = tagged.unionByName(p)
-    g = tagged.groupBy(key).agg(F.max("o").alias("o"), F.max("s").alias("s"), F.max("live").alias("live"))
-    j = g.select(key, *[F.col(f"o.{a}").alias(f"o_{a}") for a in attrs],
-                 F.col("o.from").alias("o_from"), F.col("o.flg").alias("o_flg"),
-                 *[F.col(f"s.{a}").alias(f"s_{a}") for a in attrs],
-                 F.col("s.from").alias("s_from"), F.col("s").isNotNull().alias("s_here"), "live")
-    here = F.coalesce(F.col("s_here"), F.lit(False))
-    has_open = F.col("o_flg").isNotNull()
-    open_live = F.coalesce(F.col("o_flg") == FLAG_LIVE, F.lit(False))
-    open_dead = F.coalesce(F.col("o_flg") == FLAG_DELETED, F.lit(False))
-    is_live = here | F.coalesce(F.col("live"), F.lit(False))
-    changed = here & open_live & is_different([F.col(f"s_{a}") for a in attrs],
-                                              [F.col(f"o_{a}") for a in attrs])
-    superseded = changed | (here & open_dead)
-    deleted = open_live & ~is_live
-    inserted = superseded | (here & ~has_open)
-
-    def version(prefix: str, start: Column, end: Column, flag: Column) -> Column:
-        return F.struct(F.col(key).alias(key), *[F.col(f"{prefix}{a}").alias(a) for a in attrs],
-                        start.alias("effective_from"), end.alias("effective_to"),
-                        flag.alias("deleted_flg"))
-
-    old_end = (F.when(superseded, minus_seconds("s_from"))
-                .when(deleted, minus_seconds(run))
-                .otherwise(open_end()))
-    old = F.when(has_open, version("o_", F.col("o_from"), old_end, F.col("o_flg")))
-    new = (F.when(inserted, version("s_", F.col("s_from"), open_end(), F.lit(FLAG_LIVE)))
-            .when(deleted, version("o_", run, open_end(), F.lit(FLAG_DELETED))))
-    rows = F.filter(F.array(old, new), lambda v: v.isNotNull())
-    return j.select(F.inline(rows)).select(*spec.hist_columns)
+        name = "id" if "id" in keys.columns else key
+        tagged = tagged.unionAll(keys.selectExpr(f"`{name}` `{key}`", none(o_kinds) + " o", none(s_kinds) + " s", "true live"))
+    same = " and ".join(f"s.`{a}` <=> o.`{a}`" for a in attrs)
+    live, dead = f"(o.flg <=> '{FLAG_LIVE}')", f"(o.flg <=> '{FLAG_DELETED}')"
+    g = tagged.groupBy(key).agg(F.expr("max(o) o"), F.expr("max(s) s"), F.expr("max(live) live")).selectExpr(
+        f"`{key}`", "o", "s",
+        f"s is not null and ({dead} or {live} and not ({same})) superseded",
+        "s is not null and o is null created",
+        f"{live} and s is null and live is null deleted",
+        f"{dead} and s is null and live is not null back")
+    second = "interval '1' second"
+
+    def version(side: str, since: str, until: str, flag: str) -> str:
+        vals = [f"'{key}', `{key}`", *[f"'{a}', {side}.`{a}`" for a in attrs],
+                f"'effective_from', {since}", f"'effective_to', {until}", f"'deleted_flg', {flag}"]
+        return f"named_struct({', '.join(vals)})"
+
+    until = (f"case when superseded then s.`from` - {second} when deleted or back then {run} - {second} "
+             f"else {end} end")
+    old = f"if(o is not null, {version('o', 'o.`from`', until, 'o.flg')}, null)"
+    new = (f"case when superseded or created then {version('s', 's.`from`', end, repr(FLAG_LIVE))} "
+           f"when deleted then {version('o', run, end, repr(FLAG_DELETED))} "
+           f"when back then {version('o', run, end, repr(FLAG_LIVE))} end")
+    return g.selectExpr(f"inline(filter(array({old}, {new}), v -> v is not null))")
 
 
 def first_load(spark, src: DataFrame, spec: DimSpec, run_ts: dt.datetime) -> DataFrame:

@@ -5,10 +5,11 @@ row of a key to one task. If one card (or passport) holds a third of all
 operations, that task holds a third of the data. Here a key's sequence is
 cut into time buckets when the key is hot:
 
-1. Hot keys are those with more than ``hot_fraction`` of all rows (and more
-   than ``min_hot_rows``), so there are at most ``1 / hot_fraction`` of them:
-   a list with a proven size bound, broadcast to every task. Cold keys keep
-   one bucket.
+1. Hot keys are those with more than ``hot_fraction`` of all rows, so there are
+   at most ``1 / hot_fraction`` of them: a list with a proven size bound,
+   broadcast to every task. Cold keys keep one bucket. Rows with a null key
+   belong to no sequence: their lags are the defaults and each is a group of
+   its own.
 2. Lags run per (key, bucket): the hot key's rows spread over many tasks.
 3. Only the first ``k`` rows of a bucket (``k`` = largest offset) can need a
    predecessor from an earlier bucket. The first and last ``k`` rows of every
@@ -49,7 +50,7 @@ class Lag:
 
 def sequence_lags(df: DataFrame, keys: list[str], order: list[str], lags: list[Lag],
                   time_col: str | None = None, bucket_seconds: int = 3600,
-                  hot_fraction: float = 1e-5, min_hot_rows: int = 100_000,
+                  hot_fraction: float = 1e-5,
                   skew_safe: bool = True, detect_hot: bool = True,
                   only: Column | None = None) -> DataFrame:
     """``df`` plus one column per :class:`Lag`, ordered by ``order`` within ``keys``.
@@ -59,16 +60,20 @@ def sequence_lags(df: DataFrame, keys: list[str], order: list[str], lags: list[L
     ``only``: rows whose lags are needed; the others keep one bucket and
     skip the edge pass. It must hold for all or none of a key's rows.
     """
+    known = reduce(Column.__and__, [F.col(c).isNotNull() for c in keys])
+    alone = F.xxhash64(*order)      # the group of a row without a key
     if not skew_safe:
-        w = Window.partitionBy(*keys).orderBy(*order)
+        w = Window.partitionBy(*keys, F.when(~known, alone)).orderBy(*order)
         return df.select("*", *[F.lag(lg.source, lg.offset, lg.default).over(w).alias(lg.name)
                                 for lg in lags])
+    if not 0 < hot_fraction < 1:
+        raise ValueError("hot_fraction must lie between 0 and 1: it bounds the broadcast list")
     k = max(lg.offset for lg in lags)
     time_col = time_col or order[0]
     if detect_hot:
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         share = counts.select((F.sum("_n") * F.lit(hot_fraction)).alias("s")).scalar()
-        hot = (counts.filter((F.col("_n") > share) & (F.col("_n") > min_hot_rows))
+        hot = (counts.filter(F.col("_n") > share)
                      .select(*keys, F.lit(True).alias("_hot")))
         # at most 1/hot_fraction keys can exceed that share: safe to broadcast
         x = df.join(F.broadcast(hot), keys, "left")
@@ -77,7 +82,9 @@ def sequence_lags(df: DataFrame, keys: list[str], order: list[str], lags: list[L
         x, is_hot = df, F.lit(True)
     if only is not None:
         is_hot = is_hot & F.coalesce(only, F.lit(False))
-    bucket = F.when(is_hot, F.floor(wall_seconds(F.col(time_col)) / F.lit(bucket_seconds))).otherwise(F.lit(0))
+    is_hot = is_hot & known
+    bucket = (F.when(~known, alone)
+               .when(is_hot, F.floor(wall_seconds(F.col(time_col)) / F.lit(bucket_seconds))).otherwise(F.lit(0)))
     x = x.withColumn("_hot", is_hot).withColumn("_bucket", bucket.cast("long"))
     # Hash on (keys, bucket) explicitly: an input already hashed on the keys
     # alone would satisfy the window and keep a hot key in one task.

@@ -9,6 +9,7 @@ engines; the warehouse itself keeps TIMESTAMP_NTZ and decimal(10,2).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,10 @@ from fraudlake.operators.scd2 import (
     changed_keys, close_deleted, current, deleted_keys, extract_since, live_keys,
     normalize_source,
 )
-from fraudlake.plans import demo
-from fraudlake.schemas import CLIENTS
+from fraudlake.plans import daily, demo
+from fraudlake.plans import warehouse as W
+from fraudlake.schemas import ACCOUNTS, CARDS, CLIENTS, TERMINALS
+from fraudlake.session import checkpoint_base
 from fraudlake.sources import fixture, intake, manifest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +65,17 @@ def q_txn_dedupe(spark, sf):
     return _money(intake.new_transactions(batch, existing))
 
 
+def q_txn_duplicates(spark, sf):
+    """Rejects of the same batch: ids repeated in it, and ids that the fact
+    holds with other values (the terminal of ``error`` operations)."""
+    tr = fixture.transactions(spark, sf)
+    day = F.concat(F.lit("transactions_"), F.date_format("transaction_date", "ddMMyyyy"), F.lit(".txt"))
+    batch = tr.unionByName(tr.filter(F.col("oper_type") == "purchase")).withColumn("file_name", day)
+    existing = tr.filter(F.to_date("transaction_date") <= F.lit(LOADED_THROUGH)).withColumn(
+        "terminal", F.when(F.col("oper_type") == "error", "T999").otherwise(F.col("terminal")))
+    return intake.duplicate_transactions(batch, existing)
+
+
 def q_file_manifest_oldest(spark, sf):
     return manifest.oldest_batch(manifest.fixture_manifest(spark, sf))
 
@@ -141,6 +155,20 @@ def q_scd2_terminals(spark, sf):
     return _hist_out(demo.terminals_history(spark, sf))
 
 
+def q_scd2_accounts_second(spark, sf):
+    """Three loads of accounts: changes, deletes, returns."""
+    return _hist_out(demo.replay(spark, ACCOUNTS, lambda n: fixture.accounts_snapshot(spark, sf, n)))
+
+
+def q_scd2_cards_second(spark, sf):
+    return _hist_out(demo.replay(spark, CARDS, lambda n: fixture.cards_snapshot(spark, sf, n)))
+
+
+def q_scd2_terminals_second(spark, sf):
+    return _hist_out(demo.replay(spark, TERMINALS, lambda n: fixture.terminals_snapshot(spark, sf, n),
+                                 full_slice=True))
+
+
 # --- joins --------------------------------------------------------------------
 
 def q_asof_cards(spark, sf):
@@ -204,6 +232,38 @@ def _rule4(within: str, strict: bool) -> Query:
     return q
 
 
+def _rule4_burst(strict: bool) -> Query:
+    """Rule 4 at its own 20 minutes, over the feed with squeezed weeks."""
+    def q(spark, sf):
+        w = demo.warehouse(spark, sf)
+        return rules.rule_guessing(fixture.burst_transactions(spark, sf), w.cards, w.accounts, w.clients, None,
+                                   "20 minutes", strict, profile=w.profile)
+    return q
+
+
+def q_fraud_report_burst(spark, sf):
+    """The whole mart at its own windows, over the feed with squeezed weeks."""
+    w = demo.warehouse(spark, sf)
+    return rules.fraud_report(fixture.burst_transactions(spark, sf), w.cards, w.accounts, w.clients, w.terminals,
+                              w.blacklist, profile=w.profile)
+
+
+def q_fraud_report_stored(spark, sf):
+    """The mart through storage: daily loads into a warehouse folder (three of the
+    clients, who change in the middle of a day), a backfill, and the stored report."""
+    wh = W.Warehouse(f"{checkpoint_base(spark)}/fraud-report-stored-{uuid.uuid4().hex}")
+    for spec, src in ((TERMINALS, fixture.terminals), (ACCOUNTS, fixture.accounts), (CARDS, fixture.cards)):
+        W.load_dim(spark, wh, spec, normalize_source(src(spark, sf), spec), demo.RUNS[1])
+    for n, run in demo.RUNS.items():
+        clients = normalize_source(fixture.clients(spark, sf, n), CLIENTS)
+        W.load_dim(spark, wh, CLIENTS, clients, run, extract=extract_since)
+        W.replace_blacklist(spark, wh, fixture.blacklist(spark, sf), run)
+    W.append_transactions(spark, wh, fixture.transactions(spark, sf))
+    daily.backfill(spark, wh, RANGE[0], RANGE[1], guess_within="7 days")
+    daily.write_day(spark, wh, REPORT_DAY, guess_within="7 days")     # a rerun of one day changes nothing
+    return W.read_report(spark, wh)
+
+
 def q_fraud_report_month(spark, sf):
     w = demo.warehouse(spark, sf)
     return rules.fraud_report(w.tr, w.cards, w.accounts, w.clients, w.terminals, w.blacklist,
@@ -230,6 +290,7 @@ QUERIES: dict[str, Query] = {
     "txn_normalize": q_txn_normalize,
     "txn_rejects": q_txn_rejects,
     "txn_dedupe": q_txn_dedupe,
+    "txn_duplicates": q_txn_duplicates,
     "file_manifest_oldest": q_file_manifest_oldest,
     "file_manifest_unseen": q_file_manifest_unseen,
     "file_manifest_seen": q_file_manifest_seen,
@@ -245,6 +306,9 @@ QUERIES: dict[str, Query] = {
     "scd2_accounts": q_scd2_accounts,
     "scd2_cards": q_scd2_cards,
     "scd2_terminals": q_scd2_terminals,
+    "scd2_accounts_second": q_scd2_accounts_second,
+    "scd2_cards_second": q_scd2_cards_second,
+    "scd2_terminals_second": q_scd2_terminals_second,
     "asof_cards": q_asof_cards,
     "asof_chain": q_asof_chain,
     "asof_terminals": q_asof_terminals,
@@ -257,6 +321,10 @@ QUERIES: dict[str, Query] = {
     "rule4_guessing_strict": _rule4("20 minutes", True),
     "rule4_guessing_7d": _rule4("7 days", False),
     "rule4_guessing_strict_7d": _rule4("7 days", True),
+    "rule4_guessing_burst": _rule4_burst(False),
+    "rule4_guessing_strict_burst": _rule4_burst(True),
+    "fraud_report_burst": q_fraud_report_burst,
+    "fraud_report_stored": q_fraud_report_stored,
     "fraud_report_month": q_fraud_report_month,
     "fraud_report_day": _report_day("20 minutes"),
     "fraud_report_day_7d": _report_day("7 days"),

@@ -3,8 +3,8 @@
 ``run_day`` is the whole day's batch: intake of the day's feeds, SCD2 loads
 of the four dimensions, then the fraud mart for the report day. Every step
 is a Spark job whose result is written before the next step reads it, so a
-failed step stops the run and a rerun redoes the day (all writes are keyed
-by run or by day, and the fact append skips stored ids).
+failed step stops the run and a rerun redoes the day (what a load wrote
+counts from its commit on, and the fact append skips stored ids).
 """
 
 from __future__ import annotations
@@ -12,7 +12,9 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fraudlake.functions.expr import blank_to_null
 from fraudlake.operators.rules import fraud_report
@@ -62,8 +64,10 @@ def feeds_from_folder(spark: SparkSession, folder: str, day: dt.date, bank_url:
         path = f"{folder.rstrip('/')}/{pattern}"
         try:
             spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
-        except Exception:   # no such file: that feed did not arrive today
-            return None
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return None   # that feed did not arrive today
         return path
 
     tx = present(f"transactions_{stamp}.txt")
@@ -79,15 +83,25 @@ def feeds_from_folder(spark: SparkSession, folder: str, day: dt.date, bank_url:
     return feeds
 
 
+def load_transactions(spark: SparkSession, wh: W.Warehouse, raw: DataFrame, on_bad: str = "row") -> None:
+    """Type a feed, store its rejects (bad lines and duplicate ids), append the rest.
+
+    Rejects are stored first: they are decided against the fact as it was. A
+    rerun decides the same, since rows equal to stored ones are replays."""
+    good, bad = type_transactions(raw, on_bad)
+    files = raw.select("file_name") if "file_name" in raw.columns else \
+        spark.range(1).select(F.lit(None).cast("string").alias("file_name"))
+    W.write_rejects(spark, wh, bad.unionByName(W.duplicates(spark, wh, good)), files)
+    W.append_transactions(spark, wh, good)
+
+
 def load_feeds(spark: SparkSession, wh: W.Warehouse, feeds: DayFeeds, run_ts: dt.datetime,
                on_bad: str = "row") -> None:
     """Intake and SCD2 loads for one day."""
     if feeds.transactions_raw is not None:
-        good, bad = type_transactions(feeds.transactions_raw, on_bad)
-        W.write_rejects(wh, bad)
-        W.append_transactions(spark, wh, good)
+        load_transactions(spark, wh, feeds.transactions_raw, on_bad)
     if feeds.blacklist is not None:
-        W.replace_blacklist(wh, feeds.blacklist)
+        W.replace_blacklist(spark, wh, feeds.blacklist, run_ts)
     if feeds.terminals is not None:
         # A full slice: it is the staged set and the live key set at once.
         W.load_dim(spark, wh, TERMINALS, normalize_source(feeds.terminals, TERMINALS), run_ts)
@@ -109,7 +123,7 @@ def load_feeds(spark: SparkSession, wh: W.Warehouse, feeds: DayFeeds, run_ts: dt
 def warehouse_view(spark: SparkSession, wh: W.Warehouse,
                    valid_from: dt.datetime | None = None) -> dict[str, DataFrame]:
     """Stored tables; with ``valid_from`` the dimensions skip versions that
-    ended before it (partition pruning on the closing run)."""
+    ended before it."""
     return {
         "tr": W.read_fact(spark, wh),
         "cards": W.read_dim(spark, wh, CARDS, valid_from=valid_from),
@@ -131,10 +145,15 @@ def build_report(spark: SparkSession, wh: W.Warehouse, report_day: dt.date | Non
 
 
 def run_day(spark: SparkSession, wh: W.Warehouse, feeds: DayFeeds, run_ts: dt.datetime,
-            report_day: dt.date, **rule_args) -> None:
+            report_day: dt.date, on_bad: str = "row", **rule_args) -> None:
     """One day: feeds in, dimensions loaded, the day's report (re)written."""
-    load_feeds(spark, wh, feeds, run_ts)
-    W.write_report(build_report(spark, wh, report_day, **rule_args), wh)
+    load_feeds(spark, wh, feeds, run_ts, on_bad)
+    write_day(spark, wh, report_day, **rule_args)
+
+
+def write_day(spark: SparkSession, wh: W.Warehouse, report_day: dt.date, **rule_args) -> None:
+    """(Re)write the stored report of one day."""
+    W.write_report(spark, build_report(spark, wh, report_day, **rule_args), wh, report_day)
 
 
 def backfill(spark: SparkSession, wh: W.Warehouse, start: dt.date, end: dt.date,
@@ -145,4 +164,4 @@ def backfill(spark: SparkSession, wh: W.Warehouse, start: dt.date, end: dt.date,
     ``start - window`` on, plus one lookup row per card whose count needs an
     older operation. Days in range are replaced.
     """
-    W.write_report(build_report(spark, wh, start, until=end, **rule_args), wh)
+    W.write_report(spark, build_report(spark, wh, start, until=end, **rule_args), wh, start, end)

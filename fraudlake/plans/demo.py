@@ -6,6 +6,7 @@ snapshot runs, so their history holds changed, deleted and returned keys.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -17,30 +18,37 @@ from fraudlake.operators.asof import card_profile
 from fraudlake.operators.scd2 import (
     empty_history, extract_since, first_load, normalize_source, scd2_step,
 )
-from fraudlake.schemas import ACCOUNTS, CARDS, CLIENTS, FIRST_WATERMARK, TERMINALS
+from fraudlake.schemas import ACCOUNTS, CARDS, CLIENTS, FIRST_WATERMARK, TERMINALS, DimSpec
 from fraudlake.session import cut_lineage
 from fraudlake.sources import fixture
 
 RUNS = fixture.SNAPSHOT_RUNS
 
 
-def clients_history(spark: SparkSession, sf_dir: str, runs: int = 3) -> DataFrame:
-    """Clients history after ``runs`` daily SCD2 loads (watermark = last run)."""
+def replay(spark: SparkSession, spec: DimSpec, snapshot: Callable[[int], DataFrame], runs: int = 3,
+           full_slice: bool = False) -> DataFrame:
+    """History of a dimension after ``runs`` daily loads (watermark = last run;
+    a full slice is staged whole)."""
     closed: list[DataFrame] = []
-    versions = empty_history(spark, CLIENTS)
+    versions = empty_history(spark, spec)
     watermark = FIRST_WATERMARK
     for n in range(1, runs + 1):
         if n > 1:  # keep what run n-1 closed; carry only its open versions on
             closed.append(versions.filter(F.col("effective_to") != open_end()))
             versions = versions.filter(F.col("effective_to") == open_end())
-        snap = normalize_source(fixture.clients(spark, sf_dir, n), CLIENTS)
-        staged = extract_since(snap, watermark)
-        versions = scd2_step(versions, staged, snap.select(F.col("client_id").alias("id")),
-                             RUNS[n], CLIENTS)
+        snap = normalize_source(snapshot(n), spec)
+        staged = snap if full_slice else extract_since(snap, watermark)
+        keys = None if full_slice else snap.select(F.col(spec.key).alias("id"))
+        versions = scd2_step(versions, staged, keys, RUNS[n], spec)
         watermark = RUNS[n]
     return reduce(DataFrame.unionByName, closed, versions)
 
 
+def clients_history(spark: SparkSession, sf_dir: str, runs: int = 3) -> DataFrame:
+    """Clients history after ``runs`` daily SCD2 loads."""
+    return replay(spark, CLIENTS, lambda n: fixture.clients(spark, sf_dir, n), runs)
+
+
 def accounts_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = normalize_source(fixture.accounts(spark, sf_dir), ACCOUNTS)
     return first_load(spark, src, ACCOUNTS, RUNS[1])

@@ -1,24 +1,32 @@
-"""Warehouse storage on Parquet: facts, versioned dimensions, meta, mart.
-
-Layout under one root folder (a shared filesystem / object store path):
-
-- ``fact_transactions/event_date=YYYY-MM-DD``: append-only fact.
-- ``fact_blacklist``: replaced whenever a blacklist file was read.
-- ``dim_<name>/run=<id>/state=open|closed``: each load writes the versions
-  it produced under its own ``run``; a dimension's history at run R is the
-  ``open`` rows of R plus every ``closed`` row of runs up to R. Closed rows
-  are never rewritten, so a load touches only the open part.
-- ``meta/table_name=...``: append-only commit log ``(table_db, table_name,
-  last_update_dt, run_id)``; the latest row per table is the watermark (the source system's
-  meta table). A load is visible only after its commit row is written, so a
-  job that dies half way is simply run again.
-- ``rep_fraud/report_day=YYYY-MM-DD``: the mart, dynamic partition overwrite.
-- ``rejects/file_name=...``: lines that failed typing.
+"""Warehouse storage on Parquet: facts, versioned dimensions, commit log, mart.
+
+One commit rule for everything but the fact: a load writes a folder of its
+own (``run=<id>-<attempt>``) and then one row in a commit log that names the
+folder. Readers look up committed folders only, so a load that dies half way,
+or a rerun in progress, is never seen, and what it would replace stays
+readable until the commit. Layout under one root folder:
+
+- ``fact_transactions/event_date=YYYY-MM-DD``: append-only fact; an append
+  skips ids that are stored, so a rerun adds nothing.
+- ``fact_blacklist/run=<folder>``: a full listing per load; the last committed
+  one is the blacklist.
+- ``dim_<name>/run=<folder>/state=open|closed``: the versions a load produced; a
+  dimension's history at run R is the ``open`` rows of R plus the ``closed``
+  rows of the committed runs up to R. Closed rows are never rewritten.
+- ``meta/table_name=...``: commit log of the dimensions ``(table_db, table_name,
+  last_update_dt, run_id, folder, committed_at)``; the latest run per table is
+  the watermark (the source system's meta table).
+- ``rep_fraud/run=<folder>/report_day=YYYY-MM-DD``: the mart; for each report
+  day the last committed folder whose days include it.
+- ``rejects/run=<folder>``: refused lines; per file the last committed load.
+- ``commits/table_name=...``: commit log of blacklist, report and rejects.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -31,15 +39,27 @@ from fraudlake.operators.scd2 import scd2_step
 from fraudlake.schemas import (
     BLACKLIST, FIRST_WATERMARK, META, REJECTS, REPORT, TABLE_DB, TRANSACTIONS, DimSpec,
 )
-from fraudlake.sources.intake import new_transactions
+from fraudlake.sources.intake import duplicate_transactions, new_transactions
 
-META_LOG = T.StructType(META.fields + [T.StructField("run_id", T.LongType(), True)])
+META_LOG = T.StructType(META.fields + [T.StructField("run_id", T.LongType(), True),
+                                       T.StructField("folder", T.StringType(), True),
+                                       T.StructField("committed_at", T.LongType(), True)])
+COMMITS = T.StructType([
+    T.StructField("table_name", T.StringType(), True), T.StructField("folder", T.StringType(), True),
+    T.StructField("committed_at", T.LongType(), True), T.StructField("first_day", T.DateType(), True),
+    T.StructField("last_day", T.DateType(), True), T.StructField("file_name", T.StringType(), True),
+])
 
 
 def run_id(run_ts: dt.datetime) -> int:
     return int(run_ts.strftime("%Y%m%d%H%M%S"))
 
 
+def new_folder(rid: int | str) -> str:
+    """A folder name for one attempt of a load."""
+    return f"{rid}-{uuid.uuid4().hex[:12]}"
+
+
 @dataclass(frozen=True)
 class Warehouse:
     root: str
@@ -55,6 +75,10 @@ class Warehouse:
     def blacklist(self) -> str:
         return self.path("fact_blacklist")
 
+    @property
+    def commits(self) -> str:
+        return self.path("commits")
+
     @property
     def meta(self) -> str:
         return self.path("meta")
@@ -106,7 +130,7 @@ def meta_advance(meta: DataFrame, table_name: str, run_ts: dt.datetime) -> DataF
 
 def seed_meta(spark: SparkSession, tables: list[str]) -> DataFrame:
     """Initial meta rows: every table at the first watermark."""
-    rows = [(TABLE_DB, t, FIRST_WATERMARK, 0) for t in tables]
+    rows = [(TABLE_DB, t, FIRST_WATERMARK, 0, None, 0) for t in tables]
     return spark.createDataFrame(rows, META_LOG)
 
 
@@ -125,15 +149,36 @@ def committed(spark: SparkSession, wh: Warehouse, table: str,
     return row["m"]["run_id"], row["m"]["last_update_dt"]
 
 
-def commit(spark: SparkSession, wh: Warehouse, table: str, rid: int, watermark: dt.datetime) -> None:
-    spark.createDataFrame([(TABLE_DB, table, watermark, rid)], META_LOG) \
-         .write.mode("append").partitionBy("table_name").parquet(wh.meta)
+def run_folders(spark: SparkSession, wh: Warehouse, table: str, upto: int) -> dict[int, str]:
+    """Committed runs up to ``upto`` and the folder of each (of a repeated run
+    the last commit's): one entry per load of the table."""
+    rows = (meta_log(spark, wh).filter((F.col("table_name") == table) & (F.col("run_id") <= upto))
+            .groupBy("run_id").agg(F.max_by("folder", "committed_at").alias("folder")).collect())
+    return {r["run_id"]: r["folder"] for r in rows}
+
+
+def commit(spark: SparkSession, wh: Warehouse, table: str, rid: int, watermark: dt.datetime,
+           folder: str) -> None:
+    spark.createDataFrame([(TABLE_DB, table, watermark, rid, folder, time.time_ns())], META_LOG) \
+         .coalesce(1).write.mode("append").partitionBy("table_name").parquet(wh.meta)
+
+
+def commit_log(spark: SparkSession, wh: Warehouse, table: str) -> DataFrame:
+    return _read(spark, wh.commits, COMMITS, basePath=wh.commits).filter(F.col("table_name") == table)
+
+
+def _commit_rows(rows: DataFrame, wh: Warehouse, table: str, folder: str) -> None:
+    out = rows.select(F.lit(table).alias("table_name"), F.lit(folder).alias("folder"),
+                      F.lit(time.time_ns()).cast("long").alias("committed_at"),
+                      *[(F.col(c) if c in rows.columns else F.lit(None)).cast(COMMITS[c].dataType).alias(c)
+                        for c in ("first_day", "last_day", "file_name")])
+    out.write.mode("append").partitionBy("table_name").parquet(wh.commits)
 
 
 # --- dimensions -----------------------------------------------------------------
 
 def _dim_all(spark: SparkSession, wh: Warehouse, spec: DimSpec) -> DataFrame:
-    schema = T.StructType(spec.hist_schema.fields + [T.StructField("run", T.LongType(), True),
+    schema = T.StructType(spec.hist_schema.fields + [T.StructField("run", T.StringType(), True),
                                                      T.StructField("state", T.StringType(), True)])
     return _read(spark, wh.dim(spec), schema, basePath=wh.dim(spec))
 
@@ -142,22 +187,21 @@ def read_dim(spark: SparkSession, wh: Warehouse, spec: DimSpec, rid: int | None
              part: str = "all", valid_from: dt.datetime | None = None) -> DataFrame:
     """History as of committed run ``rid`` (default: the latest).
 
-    ``part``: ``all``, ``open`` or ``closed``; filters on the partition
-    columns ``run``/``state`` prune directories before any file is read.
-    ``valid_from``: only versions that can be valid at or after that moment.
-    A version closed by run R ends before R's run time, so runs up to
-    ``valid_from`` are skipped whole: a daily report reads recent closed
-    partitions and the open one, not all history.
+    ``part``: ``all``, ``open`` or ``closed``; the committed folders and the
+    state are partition filters, so other directories are not read.
+    ``valid_from``: only versions that can be valid at or after that moment,
+    a filter on ``effective_to`` that the scan pushes to its row groups.
     """
     if rid is None:
         rid, _ = committed(spark, wh, spec.name)
-    if rid is None:
+    folders = run_folders(spark, wh, spec.name, rid) if rid is not None else {}
+    if not folders:
         return spark.createDataFrame([], spec.hist_schema)
     d = _dim_all(spark, wh, spec)
-    is_open = (F.col("run") == rid) & (F.col("state") == "open")
-    is_closed = (F.col("run") <= rid) & (F.col("state") == "closed")
+    is_open = (F.col("run") == folders.get(rid, "")) & (F.col("state") == "open")
+    is_closed = F.col("run").isin(sorted(folders.values())) & (F.col("state") == "closed")
     if valid_from is not None:
-        is_closed = is_closed & (F.col("run") > run_id(valid_from))
+        is_closed = is_closed & (F.col("effective_to") >= ts_lit(valid_from))
     cond = {"all": is_open | is_closed, "open": is_open, "closed": is_closed}[part]
     return d.filter(cond).select(*spec.hist_columns)
 
@@ -171,7 +215,7 @@ def load_dim(spark: SparkSession, wh: Warehouse, spec: DimSpec, source: DataFram
     fetches the changed rows itself. ``extract(source, watermark)`` stages
     the rows since the last committed watermark (default: all of
     ``source``); ``keys`` (default: the source's keys) decide deletions.
-    Re-running the same ``run_ts`` rewrites the same run.
+    Repeating the same ``run_ts`` replaces that run as a whole.
     """
     rid = run_id(run_ts)
     prev, watermark = committed(spark, wh, spec.name, before=rid)
@@ -184,9 +228,10 @@ def load_dim(spark: SparkSession, wh: Warehouse, spec: DimSpec, source: DataFram
         else spark.createDataFrame([], spec.hist_schema)
     out = scd2_step(opened, staged, keys, run_ts, spec)
     state = F.when(F.col("effective_to") == open_end(), "open").otherwise("closed")
+    folder = new_folder(rid)
     (out.withColumn("state", state)
-        .write.mode("overwrite").partitionBy("state").parquet(f"{wh.dim(spec)}/run={rid}"))
-    commit(spark, wh, spec.name, rid, run_ts)
+        .write.partitionBy("state").parquet(f"{wh.dim(spec)}/run={folder}"))
+    commit(spark, wh, spec.name, rid, run_ts, folder)
     return rid
 
 
@@ -198,47 +243,92 @@ def read_fact(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return _read(spark, wh.fact, schema, basePath=wh.fact)
 
 
-def append_transactions(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> None:
+def append_transactions(spark: SparkSession, wh: Warehouse, batch: DataFrame,
+                        unique_days: int | None = None) -> None:
     """Append new operations: one row per id, none already stored.
 
-    Only the fact partitions of the batch's days are read for the anti-join
-    (a semi-join on ``event_date``; dynamic partition pruning skips the rest).
+    Ids are unique over the whole fact: the anti-join reads the one column
+    ``transaction_id`` of every partition. ``unique_days`` limits the check
+    to the partitions that close to the batch's days (pruned at runtime),
+    for a feed whose ids are known not to come back later.
     """
     batch = batch.select(*[f.name for f in TRANSACTIONS.fields]) \
                  .withColumn("event_date", F.to_date("transaction_date"))
-    stored = _read(spark, wh.fact, T.StructType(TRANSACTIONS.fields + [
-        T.StructField("event_date", T.DateType(), True)]), basePath=wh.fact)
-    days = batch.select("event_date").distinct()
-    existing = stored.join(days, "event_date", "left_semi")
-    new = new_transactions(batch, existing)
-    new.write.mode("append").partitionBy("event_date").parquet(wh.fact)
+    new = new_transactions(batch, stored_near(spark, wh, batch, unique_days))
+    # One file per day and writer task of that day, not one per task and day.
+    new.repartition("event_date", F.pmod(F.xxhash64("transaction_id"), F.lit(8))) \
+       .write.mode("append").partitionBy("event_date").parquet(wh.fact)
+
+
+def stored_near(spark: SparkSession, wh: Warehouse, batch: DataFrame, unique_days: int | None) -> DataFrame:
+    """The stored operations a batch's ids are compared with."""
+    stored = read_fact(spark, wh)
+    if unique_days is None:
+        return stored
+    days = batch.select(F.explode(F.sequence(F.date_sub(F.to_date("transaction_date"), unique_days),
+                                             F.date_add(F.to_date("transaction_date"), unique_days)))
+                        .alias("event_date")).distinct()
+    return stored.join(days, "event_date", "left_semi")
+
+
+def duplicates(spark: SparkSession, wh: Warehouse, batch: DataFrame,
+               unique_days: int | None = None) -> DataFrame:
+    """Reject rows of a typed batch: ids repeated in it or stored with other values."""
+    return duplicate_transactions(batch, stored_near(spark, wh, batch, unique_days))
 
 
-def replace_blacklist(wh: Warehouse, blacklist: DataFrame) -> None:
-    blacklist.select(*[f.name for f in BLACKLIST.fields]).write.mode("overwrite").parquet(wh.blacklist)
+def replace_blacklist(spark: SparkSession, wh: Warehouse, blacklist: DataFrame, run_ts: dt.datetime) -> None:
+    """Store a full listing; readers see it once it is committed."""
+    folder = new_folder(run_id(run_ts))
+    blacklist.select(*[f.name for f in BLACKLIST.fields]).write.parquet(f"{wh.blacklist}/run={folder}")
+    _commit_rows(spark.range(1), wh, "BLACKLIST", folder)
 
 
 def read_blacklist(spark: SparkSession, wh: Warehouse) -> DataFrame:
-    return _read(spark, wh.blacklist, BLACKLIST)
+    last = commit_log(spark, wh, "BLACKLIST").agg(F.max_by("folder", "committed_at")).first()[0]
+    if last is None:
+        return spark.createDataFrame([], BLACKLIST)
+    return spark.read.schema(BLACKLIST).parquet(f"{wh.blacklist}/run={last}")
 
 
-def write_rejects(wh: Warehouse, rejects: DataFrame) -> None:
-    rejects.select(*[f.name for f in REJECTS.fields]).write.mode("overwrite") \
-           .option("partitionOverwriteMode", "dynamic").partitionBy("file_name").parquet(wh.rejects)
+def write_rejects(spark: SparkSession, wh: Warehouse, rejects: DataFrame, files: DataFrame) -> None:
+    """Store the refused lines of a load of ``files`` (``file_name``); they
+    replace those of earlier loads of the same files, also when there are none."""
+    folder = new_folder("rejects")
+    rejects.select(*[f.name for f in REJECTS.fields]).write.parquet(f"{wh.rejects}/run={folder}")
+    _commit_rows(files.select("file_name").distinct(), wh, "REJECTS", folder)
 
 
-# --- mart ----------------------------------------------------------------------------
+def read_rejects(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    last = (commit_log(spark, wh, "REJECTS").groupBy("file_name")
+            .agg(F.max_by("folder", "committed_at").alias("_folder")).withColumnRenamed("file_name", "_file"))
+    schema = T.StructType(REJECTS.fields + [T.StructField("run", T.StringType(), True)])
+    rows = _read(spark, wh.rejects, schema, basePath=wh.rejects)
+    return rows.join(last, (F.col("run") == F.col("_folder")) & F.col("file_name").eqNullSafe(F.col("_file"))) \
+               .select(*[f.name for f in REJECTS.fields])
 
-def write_report(report: DataFrame, wh: Warehouse) -> None:
-    """Replace the report days present in ``report``; other days stay.
 
-    Dynamic partition overwrite makes a rerun of a day idempotent.
-    """
+# --- mart ----------------------------------------------------------------------------
+
+def write_report(spark: SparkSession, report: DataFrame, wh: Warehouse, first: dt.date,
+                 last: dt.date | None = None) -> None:
+    """Replace the report days ``first..last``, also those without any row."""
+    folder = new_folder("report")
+    # Few files per day: rows are spread by id within their day.
     (report.withColumn("report_day", F.date_format("report_dt", "yyyy-MM-dd"))
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("report_day").parquet(wh.report))
+           .repartition("report_day", F.pmod(F.xxhash64("tr_id"), F.lit(4)))
+           .write.partitionBy("report_day").parquet(f"{wh.report}/run={folder}"))
+    days = spark.range(1).select(F.lit(first).alias("first_day"), F.lit(last or first).alias("last_day"))
+    _commit_rows(days, wh, "REPORT", folder)
 
 
 def read_report(spark: SparkSession, wh: Warehouse) -> DataFrame:
-    schema = T.StructType(REPORT.fields + [T.StructField("report_day", T.StringType(), True)])
-    return _read(spark, wh.report, schema, basePath=wh.report).select(*[f.name for f in REPORT.fields])
+    """The mart: every report day as its last committed load left it."""
+    day = F.explode(F.sequence("first_day", "last_day"))
+    latest = (commit_log(spark, wh, "REPORT").select(day.alias("d"), "folder", "committed_at")
+              .groupBy("d").agg(F.max_by("folder", "committed_at").alias("run"))
+              .select(F.date_format("d", "yyyy-MM-dd").alias("report_day"), "run"))
+    schema = T.StructType(REPORT.fields + [T.StructField("run", T.StringType(), True),
+                                           T.StructField("report_day", T.StringType(), True)])
+    rows = _read(spark, wh.report, schema, basePath=wh.report)
+    return rows.join(latest, ["run", "report_day"]).select(*[f.name for f in REPORT.fields])

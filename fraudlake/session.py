@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -12,7 +13,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -65,19 +65,26 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return spark.sparkContext.getCheckpointDir() or d
 
 
+def checkpoint_base(spark: SparkSession) -> str:
+    """The folder ``spark.checkpoint.dir`` names; a local session without the
+    setting gets a temporary one, on a cluster that is an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        local = spark.sparkContext.master.startswith("local")
+        base = checkpoint_dir(spark, tempfile.mkdtemp(prefix="fraudlake-") if local else None)
+    return base.rstrip("/")
+
+
 def cut_lineage(df, name: str = "table"):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     One job computes and writes (``DataFrame.checkpoint`` would compute the
     plan twice unless it is persisted first); the re-read plan is a plain
     scan with file statistics for the planner. Used for dimension-sized
-    intermediates that several plans reuse. Without a checkpoint folder,
-    ``df`` is returned as is (still correct, only recomputed).
+    intermediates that several plans reuse. Without a checkpoint folder a
+    local session gets a temporary one; on a cluster that is an error.
     """
     spark = df.sparkSession
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        return df
-    path = f"{base.rstrip('/')}/fraudlake-{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_base(spark)}/fraudlake-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)

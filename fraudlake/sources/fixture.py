@@ -146,6 +146,73 @@ def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _update_dt(touched: Column, returned: Column, snapshot: int) -> Column:
+    c = F.lit(None).cast("timestamp_ntz")
+    if snapshot >= 2:
+        c = F.when(touched, ts_lit(TOUCH_UPDATE)).otherwise(c)
+    if snapshot >= 3:
+        c = F.when(returned, ts_lit(RETURN_UPDATE)).otherwise(c)
+    return c
+
+
+def accounts_snapshot(spark: SparkSession, sf_dir: str, snapshot: int) -> DataFrame:
+    """The accounts table at run ``snapshot``: contracts of ``cust % 6 = 1`` are
+    extended in the middle of a day, ``cust % 9 = 4`` are gone in run 2 and back in run 3."""
+    cust = F.col("c_custkey")
+    rows = {1: cust % 13 != 6, 2: cust % 9 != 4, 3: F.lit(True)}[snapshot]
+    more = F.when(cust % 6 == 1, 30).otherwise(0) if snapshot >= 2 else F.lit(0)
+    return table(spark, sf_dir, "customer").filter(rows).select(
+        F.concat(F.lit("A"), _pad(cust, 8)).alias("account"),
+        _days(dt.datetime(2024, 1, 10), cust % 40 + more).alias("valid_to"),
+        cust.cast("string").alias("client"), _create_dt(cust).alias("create_dt"),
+        _update_dt((cust % 6 == 1) | (cust % 5 == 3), cust % 9 == 4, snapshot).alias("update_dt"))
+
+
+def cards_snapshot(spark: SparkSession, sf_dir: str, snapshot: int) -> DataFrame:
+    """The cards table: cards of ``cust % 8 = 3`` move to the next account,
+    ``cust % 7 = 5`` are gone in run 2; half of them are back in run 3."""
+    cust = F.col("c_custkey")
+    rows = {1: cust % 12 != 7, 2: cust % 7 != 5, 3: cust % 14 != 5}[snapshot]
+    to = cust + F.when(cust % 8 == 3, 1).otherwise(0) if snapshot >= 2 else cust
+    return table(spark, sf_dir, "customer").filter(rows).select(
+        F.rpad(F.concat(F.lit("C"), _pad(cust, 8)), 20, " ").alias("card_num"),
+        F.concat(F.lit("A"), _pad(to, 8)).alias("account"), _create_dt(cust).alias("create_dt"),
+        _update_dt((cust % 8 == 3) | (cust % 11 == 2), cust % 7 == 5, snapshot).alias("update_dt"))
+
+
+def terminals_snapshot(spark: SparkSession, sf_dir: str, snapshot: int) -> DataFrame:
+    """The terminal slice of a run's day: ``k % 5 = 1`` moves to another city
+    in run 2, ``k % 6 = 2`` is missing there."""
+    k = F.col("k")
+    ks = table(spark, sf_dir, "events").select(terminal_k(F.col("props")).alias("k")).distinct()
+    ks = ks.filter({1: k % 7 != 3, 2: k % 6 != 2, 3: F.lit(True)}[snapshot])
+    city = (k + F.when(k % 5 == 1, 7).otherwise(0)) % 25 if snapshot >= 2 else k % 25
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return (ks.join(nation, city == F.col("n_nationkey"), "left")
+              .select(F.concat(F.lit("T"), _pad(k, 3)).alias("terminal_id"),
+                      F.when(k % 2 == 0, "ATM").otherwise("POS").alias("terminal_type"),
+                      F.col("n_name").alias("terminal_city"),
+                      F.concat(F.lit("addr "), k.cast("string")).alias("terminal_address"),
+                      ts_lit(SNAPSHOT_RUNS[snapshot]).alias("update_dt")))
+
+
+# Fixed value of the fixture definition: a week of operations in 20 minutes.
+BURST = 504
+
+
+def burst_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with each week's times squeezed into its first 20 minutes, so
+    that chains of attempts on one card stand close together."""
+    tr = transactions(spark, sf_dir)
+    t = F.col("transaction_date")
+    week = F.floor(F.datediff(t, F.lit("2024-01-01").cast("date")) / 7).cast("int")
+    start = F.date_add(F.lit("2024-01-01").cast("date"), week * 7)
+    seconds = F.datediff(t, start) * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+    at = start.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
+                                                          F.floor(seconds / BURST).cast("decimal(18,6)"))
+    return tr.withColumn("transaction_date", at)
+
+
 def blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month-to-date blacklist: ``cust % 10 = 1`` listed, ``cust % 20 = 1`` twice."""
     cust = F.col("c_custkey")

@@ -60,10 +60,40 @@ def type_transactions(raw: DataFrame, on_bad: str = "row") -> tuple[DataFrame, D
 
 
 def new_transactions(batch: DataFrame, existing: DataFrame) -> DataFrame:
-    """Rows of a batch to append: one per id, none already in the fact.
+    """Rows of a batch to append: one per id (the smallest row), none already
+    in the fact."""
+    cols = [c for c in batch.columns if c != "transaction_id"]
+    first = batch.groupBy("transaction_id").agg(F.min(F.struct(*cols)).alias("r"))
+    rows = first.select("transaction_id", *[F.col(f"r.{c}").alias(c) for c in cols]).select(*batch.columns)
+    return rows.join(existing.select("transaction_id"), "transaction_id", "left_anti")
 
-    The caller narrows ``existing`` to the days the batch covers (the fact is
-    partitioned by event date), so the anti-join reads only those partitions.
+
+REPEATED = "transaction_id repeated in the batch"
+STORED = "transaction_id stored with other values"
+
+
+def duplicate_transactions(batch: DataFrame, existing: DataFrame) -> DataFrame:
+    """Reject rows ``(file_name, reason, raw)`` for ids that are not unique.
+
+    An id that the fact holds with other values is refused; a row that equals
+    the stored one is a replay and no reject. Of an id's rows in the batch
+    the smallest is the one that counts, the others are refused (one reject
+    per distinct line and file).
     """
-    ids = existing.select("transaction_id")
-    return batch.dropDuplicates(["transaction_id"]).join(ids, "transaction_id", "left_anti")
+    names = [f.name for f in TRANSACTIONS.fields]
+    if "file_name" not in batch.columns:
+        batch = batch.withColumn("file_name", F.lit(None).cast("string"))
+    row = F.struct(*[n for n in names if n != "transaction_id"])
+    lines = batch.select("transaction_id", row.alias("row"), "file_name") \
+                 .groupBy("transaction_id", "row", "file_name").agg(F.count(F.lit(1)).alias("n"))
+    first = lines.groupBy("transaction_id").agg(
+        F.min(F.struct("row", "file_name")).alias("first"))
+    stored = existing.select("transaction_id", row.alias("was"))
+    x = lines.join(first, "transaction_id").join(stored, "transaction_id", "left")
+    is_first = F.struct("row", "file_name").eqNullSafe(F.col("first"))
+    reason = (F.when(~is_first | (F.col("n") > 1), REPEATED)     # the same in a rerun, when the first is stored
+               .when(F.col("was").isNotNull() & ~F.col("row").eqNullSafe(F.col("was")), STORED))
+    text = F.concat_ws(";", "transaction_id", F.date_format("row.transaction_date", "yyyy-MM-dd HH:mm:ss"),
+                       F.regexp_replace(F.col("row.amount").cast("string"), r"\.", ","),
+                       *[F.col(f"row.{n}") for n in names[3:]])
+    return x.select("file_name", reason.alias("reason"), text.alias("raw")).filter("reason is not null")

@@ -4,22 +4,22 @@ New ``transactions_*.txt`` files in the landing folder are read once each
 (the stream checkpoint remembers them), typed, split into good rows and
 rejects, and appended to the fact in ``foreachBatch``. ``availableNow``
 processes everything present and stops, so a scheduler can run it daily.
-The fact append skips stored ids, so a replayed micro-batch adds nothing.
+The fact append skips stored ids, so a replayed micro-batch adds nothing. The
+stream's checkpoint lies under the warehouse root by default, so the next
+application goes on where the last one ended.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fraudlake.functions.expr import base_name
 from fraudlake.plans import warehouse as W
+from fraudlake.plans.daily import load_transactions
 from fraudlake.schemas import TRANSACTIONS_RAW
-from fraudlake.session import checkpoint_dir
-from fraudlake.sources.intake import CORRUPT, type_transactions
+from fraudlake.sources.intake import CORRUPT
 
 
 def transaction_stream(spark: SparkSession, landing: str, archive: str | None = None,
@@ -38,13 +38,15 @@ def transaction_stream(spark: SparkSession, landing: str, archive: str | None =
 def run_intake(spark: SparkSession, wh: W.Warehouse, landing: str, archive: str | None = None,
                checkpoint: str | None = None, on_bad: str = "row") -> int:
     """Load every new file of the landing folder; returns the batches run."""
-    ckpt = checkpoint or f"{checkpoint_dir(spark)}/fraudlake-intake/{hashlib.sha1(wh.root.encode()).hexdigest()[:16]}"
+    ckpt = checkpoint or wh.path("_stream/transactions")   # the same for every application
     batches = []
 
     def load(batch: DataFrame, epoch: int) -> None:
-        good, bad = type_transactions(batch, on_bad)
-        W.write_rejects(wh, bad)
-        W.append_transactions(spark, wh, good)
+        batch.persist()   # parsed once for rejects, duplicates and the append
+        try:
+            load_transactions(spark, wh, batch, on_bad)
+        finally:
+            batch.unpersist()
         batches.append(epoch)
 
     q = (transaction_stream(spark, landing, archive).writeStream

@@ -132,18 +132,19 @@ def clients_snapshot(n: int) -> str:
     return f"cl{n} AS (SELECT {sel} FROM (\n{raw}) s)"
 
 
-def scd2_run(n: int) -> str:
+def scd2_run(n: int, key: str = "client_id", attrs: list[str] = CLIENT_ATTRS, watermark: bool = True) -> str:
     """History h{n} from h{n-1}, snapshot cl{n}, watermark and run date."""
-    key, attrs = "client_id", CLIENT_ATTRS
     s_cols = ", ".join(f"s.{a} AS s_{a}" for a in attrs)
     o_cols = ", ".join(f"o.{a} AS o_{a}" for a in attrs)
     diff = " OR ".join(f"s_{a} IS DISTINCT FROM o_{a}" for a in attrs)
     run = _ts(RUNS[n])
     prev = f"h{n - 1}"
     keep = ", ".join(attrs)
+    start = "coalesce(update_dt, create_dt)" if watermark else "update_dt"
+    since = f"WHERE {start} >= {_ts(WATERMARK[n])}" if watermark else ""
     return f"""st{n} AS (
-  SELECT {key}, {keep}, coalesce(update_dt, create_dt) AS effective_from FROM cl{n}
-  WHERE coalesce(update_dt, create_dt) >= {_ts(WATERMARK[n])}),
+  SELECT {key}, {keep}, {start} AS effective_from FROM cl{n}
+  {since}),
 j{n} AS (
   SELECT coalesce(o.{key}, l.{key}, s.{key}) AS k, {o_cols}, o.effective_from AS o_from, o.deleted_flg AS o_flg,
          {s_cols}, s.effective_from AS s_from, s.{key} IS NOT NULL AS here, l.{key} IS NOT NULL AS listed
@@ -181,6 +182,66 @@ def clients_history(runs: int) -> str:
     return ",\n".join(parts)
 
 
+TOUCHED, BACK = "TIMESTAMP '2024-01-14 12:00:00'", "TIMESTAMP '2024-01-20 00:00:00'"
+
+
+def _update(n: int, touched: str, back: str) -> str:
+    c = "CAST(NULL AS TIMESTAMP)"
+    if n >= 2:
+        c = f"CASE WHEN {touched} THEN {TOUCHED} ELSE {c} END"
+    if n >= 3:
+        c = f"CASE WHEN {back} THEN {BACK} ELSE {c} END"
+    return c
+
+
+def _acc(n: str) -> str:
+    return f"'A' || lpad(CAST({n} AS VARCHAR), 8, '0')"
+
+
+def accounts_snapshot(n: int) -> str:
+    rows = {1: "c_custkey % 13 <> 6", 2: "c_custkey % 9 <> 4", 3: "TRUE"}[n]
+    more = "CASE WHEN c_custkey % 6 = 1 THEN 30 ELSE 0 END" if n >= 2 else "0"
+    return f"""SELECT {_acc('c_custkey')} AS account,
+  TIMESTAMP '2024-01-10 00:00:00' + to_days(CAST(c_custkey % 40 + {more} AS INTEGER)) AS valid_to,
+  CAST(c_custkey AS VARCHAR) AS client, {CREATE} AS create_dt,
+  {_update(n, "c_custkey % 6 = 1 OR c_custkey % 5 = 3", "c_custkey % 9 = 4")} AS update_dt FROM customer WHERE {rows}"""
+
+
+def cards_snapshot(n: int) -> str:
+    rows = {1: "c_custkey % 12 <> 7", 2: "c_custkey % 7 <> 5", 3: "c_custkey % 14 <> 5"}[n]
+    to = "c_custkey + CASE WHEN c_custkey % 8 = 3 THEN 1 ELSE 0 END" if n >= 2 else "c_custkey"
+    return f"""SELECT 'C' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS card_num, {_acc(to)} AS account, {CREATE} AS create_dt,
+  {_update(n, "c_custkey % 8 = 3 OR c_custkey % 11 = 2", "c_custkey % 7 = 5")} AS update_dt FROM customer WHERE {rows}"""
+
+
+def terminals_snapshot(n: int) -> str:
+    rows = {1: "k % 7 <> 3", 2: "k % 6 <> 2", 3: "TRUE"}[n]
+    city = "(k + CASE WHEN k % 5 = 1 THEN 7 ELSE 0 END) % 25" if n >= 2 else "k % 25"
+    return f"""SELECT 'T' || lpad(CAST(k AS VARCHAR), 3, '0') AS terminal_id,
+  CASE WHEN k % 2 = 0 THEN 'ATM' ELSE 'POS' END AS terminal_type, n.n_name AS terminal_city,
+  'addr ' || CAST(k AS VARCHAR) AS terminal_address, {_ts(RUNS[n])} AS update_dt
+  FROM (SELECT DISTINCT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) ks
+  LEFT JOIN nation n ON {city} = n.n_nationkey WHERE {rows}"""
+
+
+def three_loads(key: str, attrs: dict[str, str], snapshot, watermark: bool = True) -> str:
+    """History of a dimension after three loads; ``attrs``: column -> type."""
+    cols = ", ".join(f"CAST(NULL AS {t}) AS {c}" for c, t in {key: "VARCHAR", **attrs}.items())
+    parts = [f"h0 AS (SELECT {cols}, CAST(NULL AS TIMESTAMP) AS effective_from, "
+             f"CAST(NULL AS TIMESTAMP) AS effective_to, CAST(NULL AS VARCHAR) AS deleted_flg WHERE FALSE)"]
+    for n in (1, 2, 3):
+        parts += [f"cl{n} AS ({snapshot(n)})", scd2_run(n, key, list(attrs), watermark)]
+    return "WITH " + ",\n".join(parts) + "\n" + hist_select("h3", [key, *attrs])
+
+
+def burst() -> str:
+    """``tx`` with each week's times squeezed into its first 20 minutes."""
+    week = "TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(7 * (date_diff('day', DATE '2024-01-01', CAST(t AS DATE)) // 7) AS INTEGER))"
+    return TX.replace("tx AS (", "tx0 AS (") + f""",
+tx AS (SELECT transaction_id, {week} + to_seconds(CAST(date_diff('second', {week}, t) // 504 AS INTEGER)) AS transaction_date,
+  amount, card_num, oper_type, oper_result, terminal FROM (SELECT *, transaction_date AS t FROM tx0))"""
+
+
 def hist_select(table: str, cols: list[str]) -> str:
     c = ", ".join(cols)
     return (f"SELECT {c}, effective_from, strftime(effective_to, '%Y-%m-%d %H:%M:%S') AS effective_to, "
@@ -292,6 +353,17 @@ m AS (
   FROM days)"""
 
 
+DUPLICATES = f"""WITH {TX},
+b AS (SELECT *, 'transactions_' || strftime(transaction_date, '%d%m%Y') || '.txt' AS file_name FROM tx),
+batch AS (SELECT *, 1 + CAST(oper_type = 'purchase' AS INTEGER) AS n FROM b)
+SELECT file_name,
+  CASE WHEN n > 1 THEN 'transaction_id repeated in the batch' ELSE 'transaction_id stored with other values' END AS reason,
+  concat_ws(';', transaction_id, strftime(transaction_date, '%Y-%m-%d %H:%M:%S'),
+            replace(CAST(amount AS VARCHAR), '.', ','), card_num, oper_type, oper_result, terminal) AS raw
+FROM batch WHERE n > 1 OR (oper_type = 'error' AND terminal <> 'T999'
+  AND CAST(transaction_date AS DATE) <= DATE '2024-01-15')"""
+
+
 def queries() -> dict[str, str]:
     run2 = "WITH " + clients_history(1) + ",\n" + clients_snapshot(2)
     return {
@@ -302,6 +374,18 @@ batch AS (SELECT * FROM tx UNION ALL SELECT * FROM tx WHERE oper_type = 'purchas
 SELECT DISTINCT {_money(TX_COLS)} FROM batch b
 WHERE NOT EXISTS (SELECT 1 FROM tx x WHERE x.transaction_id = b.transaction_id
                   AND CAST(x.transaction_date AS DATE) <= DATE '2024-01-15')""",
+        "txn_duplicates": DUPLICATES,
+        "scd2_accounts_second": three_loads(
+            "account", {"valid_to": "TIMESTAMP", "client": "VARCHAR", "create_dt": "TIMESTAMP"}, accounts_snapshot),
+        "scd2_cards_second": three_loads(
+            "card_num", {"account": "VARCHAR", "create_dt": "TIMESTAMP"}, cards_snapshot),
+        "scd2_terminals_second": three_loads(
+            "terminal_id", {"terminal_type": "VARCHAR", "terminal_city": "VARCHAR", "terminal_address": "VARCHAR"},
+            terminals_snapshot, watermark=False),
+        "rule4_guessing_burst": rule4("20 minutes", False).replace(TX, burst()),
+        "rule4_guessing_strict_burst": rule4("20 minutes", True).replace(TX, burst()),
+        "fraud_report_burst": report().replace(TX, burst()),
+        "fraud_report_stored": report("7 days", "2024-01-10", "2024-01-20"),
         "file_manifest_oldest": MANIFEST + """
 SELECT kind, min(file_date) AS file_date, arg_min(file_name, file_date) AS file_name FROM m GROUP BY kind""",
         "file_manifest_unseen": MANIFEST + " SELECT * FROM m WHERE file_date > TIMESTAMP '2024-01-15 00:00:00'",

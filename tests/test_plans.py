@@ -24,7 +24,7 @@ def test_month_report_plan(spark):
     assert "Window []" not in plan and "SinglePartition" not in plan.split("Subquery")[0]
 
 
-def test_fact_append_reads_only_batch_days(spark, scratch):
+def test_fact_append_reads_ids_only(spark, scratch):
     from pyspark.sql import functions as F
     from fraudlake.plans import warehouse as W
     from fraudlake.sources import fixture, intake
@@ -33,6 +33,10 @@ def test_fact_append_reads_only_batch_days(spark, scratch):
     W.append_transactions(spark, wh, tr.filter(F.to_date("transaction_date") <= F.lit("2024-01-10")))
     batch = (tr.filter(F.to_date("transaction_date") == F.lit("2024-01-11"))
                .withColumn("event_date", F.to_date("transaction_date")))
-    existing = W.read_fact(spark, wh).join(batch.select("event_date").distinct(), "event_date", "left_semi")
-    plan = intake.new_transactions(batch, existing)._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruningexpression(event_date" in plan
+
+    def plan(days):
+        existing = W.stored_near(spark, wh, batch, days)
+        return intake.new_transactions(batch, existing)._jdf.queryExecution().executedPlan().toString()
+
+    assert "ReadSchema: struct<transaction_id:string>" in plan(None)
+    assert "dynamicpruningexpression(event_date" in plan(1)

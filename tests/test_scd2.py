@@ -132,3 +132,13 @@ def test_meta_seed_and_advance(spark):
     moved = W.meta_advance(cur, "CLIENTS", R2)
     got = {r["table_name"]: r["last_update_dt"] for r in moved.collect()}
     assert got["CLIENTS"] == R2 and got["CARDS"] == dt.datetime(1900, 1, 1)
+
+
+def test_key_back_without_a_change_is_reopened(spark):
+    h = run(spark, empty_history(spark, ACCOUNTS), [("A1", V, "1", C0, None), ("A2", V, "2", C0, None)], R1,
+            dt.datetime(1900, 1, 1))
+    h = run(spark, h, [("A1", V, "1", C0, None)], R2, R1)
+    h = run(spark, h, [("A1", V, "1", C0, None), ("A2", V, "2", C0, None)], R3, R2)   # update_dt did not move
+    one = dt.timedelta(seconds=1)
+    assert versions(h) == [("A1", "1", C0, OPEN, "N"), ("A2", "2", C0, R2 - one, "N"),
+                           ("A2", "2", R2, R3 - one, "Y"), ("A2", "2", R3, OPEN, "N")]

@@ -21,7 +21,6 @@ def test_bucketed_equals_window(spark, rows, bucket):
     df = spark.createDataFrame(data, "k string, t timestamp_ntz, id string, v int")
     order = ["t", "id"]
     plain = sequence_lags(df, ["k"], order, LAGS, skew_safe=False)
-    safe = sequence_lags(df, ["k"], order, LAGS, "t", bucket_seconds=bucket, hot_fraction=0.0,
-                         min_hot_rows=0)
+    safe = sequence_lags(df, ["k"], order, LAGS, "t", bucket_seconds=bucket, hot_fraction=1e-9)
     key = lambda r: tuple((x is not None, x) for x in r)
     assert sorted(map(tuple, safe.collect()), key=key) == sorted(map(tuple, plain.collect()), key=key)

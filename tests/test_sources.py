@@ -94,7 +94,7 @@ def test_file_stream_intake(spark, scratch):
     run_intake(spark, wh, landing, checkpoint=ckpt)
     run_intake(spark, wh, landing, checkpoint=ckpt)   # nothing new
     assert sorted(r["transaction_id"] for r in W.read_fact(spark, wh).collect()) == ["1", "2", "4"]
-    rej = spark.read.parquet(wh.rejects)
+    rej = W.read_rejects(spark, wh)
     assert [r["reason"] for r in rej.collect()] == ["bad amount"]
 
 
