@@ -21,7 +21,8 @@ from fraudlake.operators.rules import fraud_report
 from fraudlake.operators.scd2 import extract_since, normalize_source
 from fraudlake.plans import warehouse as W
 from fraudlake.schemas import ACCOUNTS, CARDS, CLIENTS, TERMINALS
-from fraudlake.sources import jdbc, workbook
+from fraudlake.session import cut_lineage
+from fraudlake.sources import jdbc, manifest, workbook
 from fraudlake.sources.intake import read_transactions_csv, type_transactions
 
 
@@ -33,6 +34,9 @@ class BankSource:
     props: dict[str, str] | None = None
     dialect: str = "ansi"
     tables: dict[str, str] | None = None   # dimension name -> table name
+    slice_column: str | None = None        # read in parallel ranges of this column
+    slice_bounds: tuple | None = None      # its smallest and largest value
+    slices: int = 8
 
     def table(self, name: str) -> str:
         return (self.tables or {}).get(name, name.lower())
@@ -84,14 +88,18 @@ def feeds_from_folder(spark: SparkSession, folder: str, day: dt.date, bank_url:
 
 
 def load_transactions(spark: SparkSession, wh: W.Warehouse, raw: DataFrame, on_bad: str = "row") -> None:
-    """Type a feed, store its rejects (bad lines and duplicate ids), append the rest.
+    """Type a feed, store its rejects (bad lines and duplicate ids), append the
+    rest; ``on_bad="file"`` appends nothing of a file that has any reject.
 
     Rejects are stored first: they are decided against the fact as it was. A
     rerun decides the same, since rows equal to stored ones are replays."""
     good, bad = type_transactions(raw, on_bad)
     files = raw.select("file_name") if "file_name" in raw.columns else \
         spark.range(1).select(F.lit(None).cast("string").alias("file_name"))
-    W.write_rejects(spark, wh, bad.unionByName(W.duplicates(spark, wh, good)), files)
+    refused = cut_lineage(bad.unionByName(W.duplicates(spark, wh, good)), "rejects")
+    W.write_rejects(spark, wh, refused, files)
+    if on_bad == "file":
+        good = good.join(refused.select("file_name").distinct(), "file_name", "left_anti")
     W.append_transactions(spark, wh, good)
 
 
@@ -110,16 +118,75 @@ def load_feeds(spark: SparkSession, wh: W.Warehouse, feeds: DayFeeds, run_ts: dt
             W.load_dim(spark, wh, spec, normalize_source(src, spec), run_ts, extract=extract_since)
         elif feeds.bank is not None:
             b, table = feeds.bank, feeds.bank.table(spec.name)
+            part = (b.slice_column, b.slice_bounds, b.slices)
 
             def changed(_, watermark, spec=spec, table=table):
-                rows = jdbc.extract_since(spark, b.url, table, spec, watermark, b.dialect, b.props)
+                rows = jdbc.extract_since(spark, b.url, table, spec, watermark, b.dialect, b.props, *part)
                 return normalize_source(rows, spec)
 
-            keys = jdbc.live_keys(spark, b.url, table, spec, b.props).select(
+            keys = jdbc.live_keys(spark, b.url, table, spec, b.props, *part, b.dialect).select(
                 blank_to_null("id").alias("id"))
             W.load_dim(spark, wh, spec, None, run_ts, keys=keys, extract=changed)
 
 
+REPEATED_FILE = "file was loaded before"
+
+
+def run_landing(spark: SparkSession, wh: W.Warehouse, landing: str, run_ts: dt.datetime,
+                bank: BankSource | None = None, on_bad: str = "row", **rule_args) -> dict[str, str]:
+    """One daily run over a landing folder; returns ``{feed: file name}`` loaded.
+
+    Per feed the oldest file that was neither loaded nor refused is taken
+    (its date is in its name). A file that comes again under a loaded name is
+    refused; so is a workbook that cannot be read, while the other feeds go
+    on. The record of loaded files is the archive: files are not moved. The
+    report written is that of the transaction file's date.
+    """
+    listed = cut_lineage(manifest.list_files(spark, landing).filter(F.col("file_date").isNotNull()), "landing")
+    loaded = W.commit_log(spark, wh, "LOADED").select("file_name", "folder")
+    stamp = F.col("modificationTime").cast("string")
+    again = listed.join(loaded, "file_name", "left_semi") \
+                  .join(loaded.withColumnRenamed("folder", "_stamp"), ["file_name"], "left") \
+                  .filter(F.col("_stamp") != stamp).select("file_name", stamp.alias("folder")).distinct()
+    refused = W.commit_log(spark, wh, "REFUSED").select("file_name", "folder")
+    again = cut_lineage(again.join(refused, ["file_name", "folder"], "left_anti"), "again")
+    if not again.isEmpty():
+        W.refuse_files(spark, wh, again, REPEATED_FILE)
+    todo = listed.withColumn("folder", stamp).join(loaded.select("file_name").distinct(), "file_name", "left_anti") \
+                 .join(refused, ["file_name", "folder"], "left_anti")
+    kinds = [k for k, _ in manifest.FEEDS]
+    batch = {r["kind"]: r["file_name"] for r in manifest.oldest_batch(todo).filter(F.col("kind").isin(kinds)).collect()}
+    path = {k: f"{landing.rstrip('/')}/{name}" for k, name in batch.items()}
+    mtime = {r["file_name"]: r["folder"] for r in todo.filter(F.col("file_name").isin(list(batch.values())))
+             .select("file_name", "folder").collect()} if batch else {}
+    done: dict[str, str] = {}
+    feeds = DayFeeds(bank=bank)
+    for kind, split in (("passport_blacklist", workbook.split_blacklist), ("terminals", workbook.split_terminals)):
+        if kind not in path:
+            continue
+        good, bad = split(spark, path[kind])
+        bad, good = cut_lineage(bad, "rejects"), cut_lineage(good.drop("file_name"), "workbook")
+        name = spark.createDataFrame([(batch[kind], mtime[batch[kind]])], "file_name string, folder string")
+        W.write_rejects(spark, wh, bad, name)
+        unreadable = F.col("reason").startswith("unreadable file")
+        if not bad.filter(unreadable if on_bad == "row" else F.lit(True)).isEmpty():
+            W.refuse_files(spark, wh, name, "refused workbook", keep_rejects=True)
+            continue
+        setattr(feeds, "blacklist" if kind == "passport_blacklist" else "terminals", good)
+        done[kind] = batch[kind]
+    if "transactions" in path:
+        feeds.transactions_raw = read_transactions_csv(spark, path["transactions"])
+        done["transactions"] = batch["transactions"]
+    load_feeds(spark, wh, feeds, run_ts, on_bad)
+    if "transactions" in done:
+        day = dt.datetime.strptime(done["transactions"].rsplit("_", 1)[1][:8], "%d%m%Y").date()
+        write_day(spark, wh, day, **rule_args)
+    if done:
+        W.archive_files(spark, wh, spark.createDataFrame([(n, mtime[n]) for n in done.values()],
+                                                         "file_name string, folder string"))
+    return done
+
+
 def warehouse_view(spark: SparkSession, wh: W.Warehouse,
                    valid_from: dt.datetime | None = None) -> dict[str, DataFrame]:
     """Stored tables; with ``valid_from`` the dimensions skip versions that

@@ -19,7 +19,9 @@ readable until the commit. Layout under one root folder:
 - ``rep_fraud/run=<folder>/report_day=YYYY-MM-DD``: the mart; for each report
   day the last committed folder whose days include it.
 - ``rejects/run=<folder>``: refused lines; per file the last committed load.
-- ``commits/table_name=...``: commit log of blacklist, report and rejects.
+- ``commits/table_name=...``: commit log of blacklist, report and rejects, and
+  the record of loaded and refused files.
+- ``refused_files``: repeats of loaded files.
 """
 
 from __future__ import annotations
@@ -91,6 +93,10 @@ class Warehouse:
     def rejects(self) -> str:
         return self.path("rejects")
 
+    @property
+    def refused(self) -> str:
+        return self.path("refused_files")
+
     def dim(self, spec: DimSpec) -> str:
         return self.path(f"dim_{spec.name.lower()}")
 
@@ -308,6 +314,33 @@ def read_rejects(spark: SparkSession, wh: Warehouse) -> DataFrame:
                .select(*[f.name for f in REJECTS.fields])
 
 
+def archive_files(spark: SparkSession, wh: Warehouse, files: DataFrame) -> None:
+    """Record files as loaded: ``file_name`` and ``folder`` (its time stamp)."""
+    _commit_files(files, wh, "LOADED")
+
+
+def refuse_files(spark: SparkSession, wh: Warehouse, files: DataFrame, reason: str,
+                 keep_rejects: bool = False) -> None:
+    """Record files as refused, so that later runs pass them over; the same
+    name with another time stamp is looked at again."""
+    if not keep_rejects:
+        rows = files.select("file_name", F.lit(reason).alias("reason"), F.lit(None).cast("string").alias("raw"))
+        folder = new_folder("refused")
+        rows.write.parquet(f"{wh.refused}/run={folder}")
+    _commit_files(files, wh, "REFUSED")
+
+
+def _commit_files(files: DataFrame, wh: Warehouse, table: str) -> None:
+    files.select(F.lit(table).alias("table_name"), "folder", F.lit(time.time_ns()).cast("long").alias("committed_at"),
+                 F.lit(None).cast("date").alias("first_day"), F.lit(None).cast("date").alias("last_day"), "file_name") \
+         .write.mode("append").partitionBy("table_name").parquet(wh.commits)
+
+
+def read_refused(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """``file_name, reason`` of repeated files."""
+    return _read(spark, wh.refused, REJECTS).select("file_name", "reason")
+
+
 # --- mart ----------------------------------------------------------------------------
 
 def write_report(spark: SparkSession, report: DataFrame, wh: Warehouse, first: dt.date,

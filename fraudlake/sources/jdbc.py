@@ -21,16 +21,33 @@ def ts_literal(value: dt.datetime, dialect: str = "ansi") -> str:
     return f"TIMESTAMP '{text}'"
 
 
-def _reader(spark: SparkSession, url: str, props: dict[str, str] | None,
-            partition_column: str | None, bounds: tuple | None, partitions: int):
-    r = spark.read.format("jdbc").option("url", url)
-    for k, v in (props or {}).items():
-        r = r.option(k, v)
-    if partition_column:
-        lo, hi = bounds or (0, 1)
-        r = (r.option("partitionColumn", partition_column).option("lowerBound", str(lo))
-              .option("upperBound", str(hi)).option("numPartitions", partitions))
-    return r
+def slices(column: str, bounds: tuple | None, partitions: int, dialect: str = "ansi") -> list[str]:
+    """Conditions that cut a table into ``partitions`` ranges of ``column``
+    (numbers, or times as datetimes or text); rows outside the bounds and
+    nulls fall into the first or last range."""
+    if bounds is None:
+        raise ValueError("partition_column needs bounds: without them one slice gets every row")
+    lo, hi = bounds
+    if isinstance(lo, str):
+        try:
+            lo, hi = float(lo), float(hi)
+        except ValueError:
+            lo, hi = dt.datetime.fromisoformat(lo), dt.datetime.fromisoformat(hi)
+    cuts = [lo + (hi - lo) * i / partitions for i in range(1, partitions)]
+    text = [ts_literal(c, dialect) if isinstance(c, dt.datetime) else repr(c) for c in cuts]
+    if not text:
+        return ["1 = 1"]
+    return [f"{column} < {text[0]} OR {column} IS NULL",
+            *[f"{column} >= {a} AND {column} < {b}" for a, b in zip(text, text[1:])], f"{column} >= {text[-1]}"]
+
+
+def _load(spark: SparkSession, url: str, props: dict[str, str] | None, query: str,
+          conditions: list[str] | None) -> DataFrame:
+    # Source times are wall times without zone, as in the warehouse.
+    opts = {**(props or {}), "preferTimestampNTZ": "true"}
+    if conditions:
+        return spark.read.jdbc(url, f"({query}) src", predicates=conditions, properties=opts)
+    return spark.read.format("jdbc").options(url=url, **opts).option("query", query).load()
 
 
 def extract_since(spark: SparkSession, url: str, table: str, spec: DimSpec,
@@ -39,32 +56,31 @@ def extract_since(spark: SparkSession, url: str, table: str, spec: DimSpec,
                   bounds: tuple | None = None, partitions: int = 8) -> DataFrame:
     """Rows with ``coalesce(update_dt, create_dt) >= watermark`` (S4).
 
-    ``partition_column`` (numeric, date or timestamp) with ``bounds`` reads
-    the extract as ``partitions`` parallel range slices; rows outside the
-    bounds still land in the first or last slice.
+    ``partition_column`` with ``bounds`` reads the extract as ``partitions``
+    parallel range slices over as many connections.
     """
     wm = ts_literal(watermark or FIRST_WATERMARK, dialect)
-    cols = ", ".join(f.name for f in spec.source.fields)
-    q = f"SELECT {cols} FROM {table} WHERE COALESCE(update_dt, create_dt) >= {wm}"
     names = [f.name for f in spec.source.fields]
-    if partition_column:
-        q = f"({q}) src"
-        df = _reader(spark, url, props, partition_column, bounds, partitions).option("dbtable", q).load()
-    else:
-        df = _reader(spark, url, props, None, None, partitions).option("query", q).load()
-    return df.toDF(*names)   # databases may fold identifiers to upper case
+    q = f"SELECT {', '.join(names)} FROM {table} WHERE COALESCE(update_dt, create_dt) >= {wm}"
+    parts = slices(partition_column, bounds, partitions, dialect) if partition_column else None
+    return _load(spark, url, props, q, parts).toDF(*names)   # databases may fold identifiers to upper case
 
 
 def read_table(spark: SparkSession, url: str, table: str, spec: DimSpec,
                props: dict[str, str] | None = None) -> DataFrame:
     """The whole source table (typed by the source schema's column names)."""
-    cols = ", ".join(f.name for f in spec.source.fields)
-    df = _reader(spark, url, props, None, None, 1).option("query", f"SELECT {cols} FROM {table}").load()
-    return df.toDF(*[f.name for f in spec.source.fields])
+    names = [f.name for f in spec.source.fields]
+    return _load(spark, url, props, f"SELECT {', '.join(names)} FROM {table}", None).toDF(*names)
 
 
 def live_keys(spark: SparkSession, url: str, table: str, spec: DimSpec,
-              props: dict[str, str] | None = None) -> DataFrame:
-    """Every key now in the source, tagged with the table name (S5)."""
-    q = f"SELECT {spec.key}, '{spec.name}' FROM {table}"
-    return _reader(spark, url, props, None, None, 1).option("query", q).load().toDF("id", "table_name")
+              props: dict[str, str] | None = None, partition_column: str | None = None,
+              bounds: tuple | None = None, partitions: int = 8, dialect: str = "ansi") -> DataFrame:
+    """Every key now in the source, tagged with the table name (S5); with
+    ``partition_column`` and ``bounds`` in parallel range slices."""
+    cols = f"{spec.key}, '{spec.name}' AS table_name"
+    if not partition_column:
+        return _load(spark, url, props, f"SELECT {cols} FROM {table}", None).toDF("id", "table_name")
+    parts = slices(partition_column, bounds, partitions, dialect)
+    rows = _load(spark, url, props, f"SELECT {cols}, {partition_column} FROM {table}", parts)
+    return rows.toDF("id", "table_name", "_slice").drop("_slice")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from fraudlake.functions.expr import base_name, file_date
 
 NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
-ROWS_SCHEMA = "file_name string, row_idx int, cells array<string>"
+ROWS_SCHEMA = "file_name string, row_idx int, cells array<string>, error string"
 # Fixed value: day 0 of workbook date serials (1900 date system).
 SERIAL_EPOCH = "1899-12-30"
 
@@ -38,11 +38,28 @@ def _text(el) -> str:
     return "".join(t.text or "" for t in el.iter(f"{{{NS['m']}}}t"))
 
 
+def _first_sheet(z: zipfile.ZipFile, names: list[str]) -> str:
+    """Part name of the workbook's first sheet, by its own list of sheets; a
+    file without that list: the sheet part with the lowest number."""
+    rel = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+    if "xl/workbook.xml" in names and "xl/_rels/workbook.xml.rels" in names:
+        first = ElementTree.fromstring(z.read("xl/workbook.xml")).find("m:sheets/m:sheet", NS)
+        targets = {r.get("Id"): r.get("Target")
+                   for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
+        target = targets.get(first.get(rel)) if first is not None else None
+        if target:
+            part = target.lstrip("/") if target.startswith("/") else f"xl/{target}"
+            if part in names:
+                return part
+    parts = [n for n in names if re.match(r"xl/worksheets/sheet\d+\.xml$", n)]
+    return min(parts, key=lambda n: int(re.search(r"\d+", n.rsplit("/", 1)[1]).group(0)))
+
+
 def iter_sheet_rows(content: bytes) -> Iterator[list[str | None]]:
     """Cell texts of the first worksheet, row by row (numbers as written).
 
-    The sheet XML is parsed as a stream and each row is freed once read, so
-    memory stays flat however long the sheet is.
+    The sheet XML is parsed as a stream and each row's cells are freed once
+    read; what stays is one empty element a row.
     """
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         names = z.namelist()
@@ -50,14 +67,16 @@ def iter_sheet_rows(content: bytes) -> Iterator[list[str | None]]:
         if "xl/sharedStrings.xml" in names:
             root = ElementTree.fromstring(z.read("xl/sharedStrings.xml"))
             shared = [_text(si) for si in root.findall("m:si", NS)]
-        sheet = sorted(n for n in names if re.match(r"xl/worksheets/sheet\d+\.xml$", n))[0]
+        sheet = _first_sheet(z, names)
         row_tag = f"{{{NS['m']}}}row"
         with z.open(sheet) as f:
             for _, row in ElementTree.iterparse(f, events=("end",)):
                 if row.tag != row_tag:
                     continue
                 cells: dict[int, str | None] = {}
+                at = -1
                 for c in row.findall("m:c", NS):
+                    at = _col_index(c.get("r")) if c.get("r") else at + 1   # the place may be left out
                     kind, v = c.get("t"), c.find("m:v", NS)
                     if kind == "s" and v is not None:
                         val = shared[int(v.text)]
@@ -65,7 +84,7 @@ def iter_sheet_rows(content: bytes) -> Iterator[list[str | None]]:
                         val = _text(c)
                     else:
                         val = v.text if v is not None else None
-                    cells[_col_index(c.get("r"))] = val
+                    cells[at] = val
                 row.clear()
                 width = max(cells) + 1 if cells else 0
                 yield [cells.get(i) for i in range(width)]
@@ -76,22 +95,26 @@ def sheet_rows(content: bytes) -> list[list[str | None]]:
 
 
 def _decode(batches: Iterator[pd.DataFrame], chunk: int = 10_000) -> Iterator[pd.DataFrame]:
-    cols = ["file_name", "row_idx", "cells"]
+    cols = ["file_name", "row_idx", "cells", "error"]
     for b in batches:
         for path, content in zip(b["path"], b["content"]):
             name = path.rsplit("/", 1)[-1]
             recs = []
-            for i, cells in enumerate(iter_sheet_rows(bytes(content))):
-                recs.append((name, i, cells))
-                if len(recs) >= chunk:
-                    yield pd.DataFrame(recs, columns=cols)
-                    recs = []
+            try:
+                for i, cells in enumerate(iter_sheet_rows(bytes(content))):
+                    recs.append((name, i, cells, None))
+                    if len(recs) >= chunk:
+                        yield pd.DataFrame(recs, columns=cols)
+                        recs = []
+            except (zipfile.BadZipFile, ElementTree.ParseError, KeyError, IndexError, ValueError) as e:
+                recs.append((name, -1, None, f"{type(e).__name__}: {e}"[:200]))   # the file is refused as a whole
             if recs:
                 yield pd.DataFrame(recs, columns=cols)
 
 
 def read_rows(spark: SparkSession, path_glob: str) -> DataFrame:
-    """``file_name, row_idx, cells`` for every row of every matching workbook."""
+    """``file_name, row_idx, cells, error`` for every row of every matching
+    workbook; a file that cannot be read has a row with ``error``."""
     files = spark.read.format("binaryFile").load(path_glob).select("path", "content")
     return files.mapInPandas(_decode, ROWS_SCHEMA)
 
@@ -104,23 +127,42 @@ def cell_date(c) -> F.Column:
     return F.when(serial.isNotNull(), from_serial).otherwise(from_text).cast("timestamp_ntz")
 
 
-def _positional(rows: DataFrame, names: list[str]) -> DataFrame:
-    """Bind cells to names by position; the first row is the header."""
-    body = rows.filter(F.col("row_idx") > 0)
-    return body.select("file_name", *[F.trim(F.col("cells")[i]).alias(n) for i, n in enumerate(names)])
+def _split(rows: DataFrame, names: list[str], reason) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejects)``: rows bound to ``names``, and ``(file_name, reason,
+    raw)`` of rows that ``reason`` refuses and of unreadable files."""
+    x = rows.filter((F.col("row_idx") > 0) | F.col("error").isNotNull()).select(
+        "file_name", "error", F.concat_ws(";", "cells").alias("raw"),
+        *[F.trim(F.get("cells", F.lit(i))).alias(n) for i, n in enumerate(names)])
+    x = x.withColumn("reason", F.when(F.col("error").isNotNull(), F.concat(F.lit("unreadable file: "), F.col("error")))
+                     .when(F.col("raw") != "", reason))
+    broken = x.filter(F.col("error").isNotNull()).select("file_name").distinct()
+    bad = x.filter(F.col("reason").isNotNull()).select("file_name", "reason", "raw")
+    good = x.filter(F.col("reason").isNull() & (F.col("raw") != "")).join(broken, "file_name", "left_anti")
+    return good.select("file_name", *names), bad
+
+
+def split_blacklist(spark: SparkSession, path_glob: str) -> tuple[DataFrame, DataFrame]:
+    """``(entry_dt, passport, file_name)`` and the refused rows."""
+    blank = lambda n: F.coalesce(F.col(n), F.lit("")) == ""
+    reason = F.when(blank("passport"), "missing passport").when(cell_date(F.col("date")).isNull(), "bad date")
+    good, bad = _split(read_rows(spark, path_glob), ["date", "passport"], reason)
+    return good.select(cell_date(F.col("date")).alias("entry_dt"), "passport", "file_name"), bad
 
 
 def read_blacklist(spark: SparkSession, path_glob: str) -> DataFrame:
     """``entry_dt, passport`` (+ ``file_name``) from blacklist workbooks."""
-    b = _positional(read_rows(spark, path_glob), ["date", "passport"])
-    return b.select(cell_date(F.col("date")).alias("entry_dt"), "passport", "file_name") \
-            .filter(F.col("passport").isNotNull())
+    return split_blacklist(spark, path_glob)[0]
+
+
+def split_terminals(spark: SparkSession, path_glob: str) -> tuple[DataFrame, DataFrame]:
+    """The terminal slice, with ``update_dt`` from the file name's date, and
+    the refused rows."""
+    reason = F.when(F.coalesce(F.col("terminal_id"), F.lit("")) == "", "missing terminal_id")
+    good, bad = _split(read_rows(spark, path_glob),
+                       ["terminal_id", "terminal_type", "terminal_city", "terminal_address"], reason)
+    return good.select("terminal_id", "terminal_type", "terminal_city", "terminal_address",
+                       file_date(base_name("file_name")).alias("update_dt"), "file_name"), bad
 
 
 def read_terminals(spark: SparkSession, path_glob: str) -> DataFrame:
-    """Terminal slice with ``update_dt`` from the file name's date."""
-    t = _positional(read_rows(spark, path_glob),
-                    ["terminal_id", "terminal_type", "terminal_city", "terminal_address"])
-    return t.select("terminal_id", "terminal_type", "terminal_city", "terminal_address",
-                    file_date(base_name("file_name")).alias("update_dt"), "file_name") \
-            .filter(F.col("terminal_id").isNotNull())
+    return split_terminals(spark, path_glob)[0]
