@@ -40,3 +40,31 @@ def test_fact_append_reads_ids_only(spark, scratch):
 
     assert "ReadSchema: struct<transaction_id:string>" in plan(None)
     assert "dynamicpruningexpression(event_date" in plan(1)
+
+
+def test_only_rows_that_can_hit_are_enriched(spark):
+    w = demo.warehouse(spark, SF)
+    df = rules.fraud_report(w.tr, w.cards, w.accounts, w.clients, w.terminals, w.blacklist, profile=w.profile)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    # a child is printed after its parent: the filter sits below the profile join
+    can_hit = re.search(r"Filter .*= SUCCESS\) OR .*", plan)
+    assert can_hit and can_hit.start() > plan.index("Join LeftOuter")
+
+
+def test_daily_rule4_reads_bounded_days(spark, scratch):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from fraudlake.plans import warehouse as W
+    from fraudlake.sources import fixture
+    wh = W.Warehouse(f"{scratch}/wh")
+    tr = fixture.transactions(spark, SF)
+    W.append_transactions(spark, wh, tr)
+    fact = W.read_fact(spark, wh)
+    day = dt.date(2024, 1, 16)
+    got = rules.guessing_on_day(fact, day, "7 days")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert scans and all(">= 2024-01-" in s or "event_date" not in s or re.search(r"= 2024-01-16", s) for s in scans)
+    assert all("event_date" in s for s in scans if s)
+    every = rules.with_guessing(tr, "7 days").filter(F.col("is_guess") & (F.to_date("transaction_date") == F.lit(day)))
+    assert sorted(r["transaction_id"] for r in got.collect()) == sorted(r["transaction_id"] for r in every.collect())
