@@ -27,6 +27,7 @@ from fraudlake.plans import warehouse as W
 from fraudlake.schemas import ACCOUNTS, CARDS, CLIENTS, TERMINALS
 from fraudlake.session import checkpoint_base
 from fraudlake.sources import fixture, intake, manifest
+from fraudlake.streaming.intake import run_intake
 
 Query = Callable[[SparkSession, str], DataFrame]
 # The day on which the fact already holds the earlier half of
@@ -51,6 +52,34 @@ def q_txn_normalize(spark, sf):
     return _money(good.drop("file_name"))
 
 
+def _csv_feed(spark, sf) -> str:
+    """The raw feed as ``;`` text files with header in the session's shared folder."""
+    path = f"{checkpoint_base(spark)}/feed-{uuid.uuid4().hex}"
+    fixture.raw_transactions(spark, sf).drop("file_name").write.csv(path, sep=";", header=True)
+    return path
+
+
+def q_txn_csv_scan(spark, sf):
+    """The feed through text files: scan, bind by position, type."""
+    good, _ = intake.type_transactions(intake.read_transactions_csv(spark, _csv_feed(spark, sf)))
+    return _money(good.drop("file_name"))
+
+
+def q_txn_stream(spark, sf):
+    """The feed through the run-to-completion file stream into the stored fact."""
+    wh = W.Warehouse(f"{checkpoint_base(spark)}/stream-{uuid.uuid4().hex}")
+    run_intake(spark, wh, _csv_feed(spark, sf), pattern="part-*.csv")
+    return _money(W.read_fact(spark, wh).drop("event_date"))
+
+
+def q_rejects_stored(spark, sf):
+    """Refused lines of the feed as a load stores them (loaded twice)."""
+    wh = W.Warehouse(f"{checkpoint_base(spark)}/rejects-{uuid.uuid4().hex}")
+    for _ in range(2):
+        daily.load_transactions(spark, wh, fixture.raw_transactions(spark, sf))
+    return W.read_rejects(spark, wh)
+
+
 def q_txn_rejects(spark, sf):
     _, bad = intake.type_transactions(fixture.raw_transactions(spark, sf))
     return bad
@@ -155,6 +184,24 @@ def q_scd2_terminals(spark, sf):
     return _hist_out(demo.terminals_history(spark, sf))
 
 
+def q_scd2_clients_stored(spark, sf):
+    """Three loads of clients through storage; the last one is repeated."""
+    wh = W.Warehouse(f"{checkpoint_base(spark)}/clients-{uuid.uuid4().hex}")
+    for n in (1, 2, 3, 3):
+        W.load_dim(spark, wh, CLIENTS, normalize_source(fixture.clients(spark, sf, n), CLIENTS), demo.RUNS[n],
+                   extract=extract_since)
+    return _hist_out(W.read_dim(spark, wh, CLIENTS))
+
+
+def q_blacklist_stored(spark, sf):
+    """The stored blacklist after two refreshes: the last listing only."""
+    wh = W.Warehouse(f"{checkpoint_base(spark)}/blacklist-{uuid.uuid4().hex}")
+    full = fixture.blacklist(spark, sf)
+    W.replace_blacklist(spark, wh, full.filter(F.col("entry_dt") < F.lit(fixture.BLACKLIST_DAYS[1])), demo.RUNS[1])
+    W.replace_blacklist(spark, wh, full, demo.RUNS[2])
+    return W.read_blacklist(spark, wh)
+
+
 def q_scd2_accounts_second(spark, sf):
     """Three loads of accounts: changes, deletes, returns."""
     return _hist_out(demo.replay(spark, ACCOUNTS, lambda n: fixture.accounts_snapshot(spark, sf, n)))
@@ -290,6 +337,11 @@ QUERIES: dict[str, Query] = {
     "txn_normalize": q_txn_normalize,
     "txn_rejects": q_txn_rejects,
     "txn_dedupe": q_txn_dedupe,
+    "txn_csv_scan": q_txn_csv_scan,
+    "txn_stream": q_txn_stream,
+    "rejects_stored": q_rejects_stored,
+    "scd2_clients_stored": q_scd2_clients_stored,
+    "blacklist_stored": q_blacklist_stored,
     "txn_duplicates": q_txn_duplicates,
     "file_manifest_oldest": q_file_manifest_oldest,
     "file_manifest_unseen": q_file_manifest_unseen,

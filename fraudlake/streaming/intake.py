@@ -23,11 +23,11 @@ from fraudlake.sources.intake import CORRUPT
 
 
 def transaction_stream(spark: SparkSession, landing: str, archive: str | None = None,
-                       files_per_batch: int | None = None) -> DataFrame:
+                       files_per_batch: int | None = None, pattern: str = "transactions_*.txt") -> DataFrame:
     schema = T.StructType(TRANSACTIONS_RAW.fields + [T.StructField(CORRUPT, T.StringType(), True)])
     r = (spark.readStream.schema(schema).option("sep", ";").option("header", True)
          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-         .option("pathGlobFilter", "transactions_*.txt"))
+         .option("pathGlobFilter", pattern))
     if files_per_batch:
         r = r.option("maxFilesPerTrigger", files_per_batch)
     if archive:
@@ -36,7 +36,7 @@ def transaction_stream(spark: SparkSession, landing: str, archive: str | None =
 
 
 def run_intake(spark: SparkSession, wh: W.Warehouse, landing: str, archive: str | None = None,
-               checkpoint: str | None = None, on_bad: str = "row") -> int:
+               checkpoint: str | None = None, on_bad: str = "row", pattern: str = "transactions_*.txt") -> int:
     """Load every new file of the landing folder; returns the batches run."""
     ckpt = checkpoint or wh.path("_stream/transactions")   # the same for every application
     batches = []
@@ -49,7 +49,7 @@ def run_intake(spark: SparkSession, wh: W.Warehouse, landing: str, archive: str
             batch.unpersist()
         batches.append(epoch)
 
-    q = (transaction_stream(spark, landing, archive).writeStream
+    q = (transaction_stream(spark, landing, archive, pattern=pattern).writeStream
          .foreachBatch(load).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -375,6 +375,11 @@ SELECT DISTINCT {_money(TX_COLS)} FROM batch b
 WHERE NOT EXISTS (SELECT 1 FROM tx x WHERE x.transaction_id = b.transaction_id
                   AND CAST(x.transaction_date AS DATE) <= DATE '2024-01-15')""",
         "txn_duplicates": DUPLICATES,
+        "txn_csv_scan": f"WITH {RAW} SELECT {_money(TX_COLS)} FROM checked WHERE reason IS NULL",
+        "txn_stream": f"WITH {RAW} SELECT {_money(TX_COLS)} FROM checked WHERE reason IS NULL",
+        "rejects_stored": f"WITH {RAW} SELECT file_name, reason, raw_line AS raw FROM checked WHERE reason IS NOT NULL",
+        "scd2_clients_stored": "WITH " + clients_history(3) + "\n" + hist_select("h3", CLIENT_COLS),
+        "blacklist_stored": f"WITH {BLACKLIST} SELECT entry_dt, passport FROM bl",
         "scd2_accounts_second": three_loads(
             "account", {"valid_to": "TIMESTAMP", "client": "VARCHAR", "create_dt": "TIMESTAMP"}, accounts_snapshot),
         "scd2_cards_second": three_loads(
