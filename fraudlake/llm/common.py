@@ -93,13 +93,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b",
     return cur.select(F.col("u").alias("id"), F.col("v").alias("component")).unionAll(heads)
 
 
-def blocked(rows: DataFrame, key: list[str], vid: str, most: int) -> DataFrame:
-    """Deal each key's rows into blocks of about ``most`` and each block to
-    its pairings with every block of the key: adds ``bi <= bj`` and ``own``
-    (the row's block). All pairs of a key's rows then meet in exactly one
-    (key, bi, bj), those of one block in (b, b); no task holds over two blocks.
-    Keys with a single row are dropped."""
-    n = rows.groupBy(*key).agg(F.count("*").alias("__n")).filter("__n > 1")
+def blocked(rows: DataFrame, key: list[str], vid: str, most: int, weight: str | None = None) -> DataFrame:
+    """Deal each key's rows into blocks of about ``most`` (rows, or of the
+    column ``weight``) and each block to its pairings with every block of the
+    key: adds ``bi <= bj`` and ``own`` (the row's block). All pairs of a key's
+    rows then meet in exactly one (key, bi, bj), those of one block in (b, b);
+    no task holds over two blocks. Keys with a single row are dropped."""
+    total = F.sum(weight) if weight else F.count("*")
+    n = rows.groupBy(*key).agg(total.alias("__n"), F.count("*").alias("__c")).filter("__c > 1").drop("__c")
     q = F.ceil(F.col("__n") / most).cast("int")
     x = rows.join(n, key).withColumn("__q", q) \
             .withColumn("own", F.pmod(F.xxhash64(vid), F.col("__q")).cast("int"))

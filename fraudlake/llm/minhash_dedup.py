@@ -13,11 +13,13 @@ more than ``ERRORS`` differences is below 1 in 1,000, at 0.85 below 1 in
 
 Documents with equal sets are one class. Candidates are verified on full
 sets (100 * intersection >= ``percent`` * union), first each key's rows
-against its smallest row, then, where a key's rows are still in different
-components, all pairs across components within the signature distance, in
-blocks. Each comparison reads whole texts, sorted by the common partner and
-dealt in runs of bounded length, so a partner of a third of all
-documents is many tasks.
+against its smallest row; whole texts are dealt in runs of bounded length
+with the common partner, so a partner of a third of all documents is many
+tasks. Where a key's rows are still in different components, the rows such
+keys link are a cluster, dealt in blocks of bounded size; a pairing of blocks
+compares all pairs of different components within the signature distance
+and yields links that join components only. A cluster of g documents
+that do not link through their smallest rows is sent g / block times.
 
 Defined cases: null, empty and blank texts have an empty set and link with
 nothing; repeated rows and null or repeated ids are documents of their own
@@ -38,6 +40,7 @@ from fraudlake.llm.common import blocked, connected_components, partitions, stor
 
 SYMBOLS, ERRORS, CHUNKS = 48, 19, 10
 RUN = 64          # comparisons with one partner that are dealt together
+BLOCK = 200_000   # shingles that one side of a block comparison holds, about
 U = np.uint64
 _RNG = np.random.default_rng(20240101)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
@@ -158,6 +161,46 @@ def _verify(pairs: DataFrame, reps: DataFrame, texts: DataFrame, words: int, per
     return read.mapInPandas(compare, "a long, b long")
 
 
+def _compare_blocks(seats: DataFrame, texts: DataFrame, words: int, percent: int, n_parts: int) -> DataFrame:
+    """Links ``(a, b)`` found between rows of different components of a cluster:
+    each block pairing compares full sets of pairs within the signature
+    distance, skipping those whose components it has joined already. Only links
+    that join components leave the task."""
+    group = ["cluster", "bi", "bj"]
+    read = texts.join(seats, texts["__id"].eqNullSafe(seats["doc"]) & (texts["__t1"] == seats["s1"])
+                      & (texts["__t2"] == seats["s2"])) \
+                .select(*group, "own", "vid", "component", "size", "sig", "text")
+    read = read.repartition(n_parts, *group).sortWithinPartitions(*group)
+
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in whole_groups(frames, group):
+            g = g.drop_duplicates("vid")
+            own, vid, size = g["own"].to_numpy(), g["vid"].to_numpy(), g["size"].to_numpy()
+            comp, sig, text = g["component"].to_numpy().copy(), np.stack(g["sig"].to_numpy()), list(g["text"])
+            bi, bj = g["bi"].iloc[0], g["bj"].iloc[0]
+            sets: dict[int, set] = {}
+            hits = []
+            right = np.flatnonzero(own == bj)
+            for i in np.flatnonzero(own == bi):
+                js = right[right > i] if bi == bj else right
+                js = js[comp[js] != comp[i]]
+                js = js[np.minimum(size[js], size[i]) * 100 >= np.maximum(size[js], size[i]) * percent]
+                js = js[(sig[js] != sig[i]).sum(axis=1) <= ERRORS] if len(js) else js
+                for j in js:
+                    if comp[i] == comp[j]:
+                        continue
+                    for k in (i, j):
+                        if k not in sets:
+                            sets[k] = shingles(text[k], words)
+                    if similar(sets[i], sets[j], percent):
+                        hits.append((vid[i], vid[j]))
+                        comp[comp == comp[j]] = comp[i]
+            if hits:
+                yield pd.DataFrame(hits, columns=["a", "b"])
+
+    return read.mapInPandas(compare, "a long, b long")
+
+
 def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, row: str | None = None) -> DataFrame:
     """``(vid, doc_id, n_shingles, component_id, kept, first)``, a row per
     document; ``first`` marks one row of each component. ``row``: a column of
@@ -214,36 +257,24 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, row: str
     links = store(_verify(star, reps, texts, words, percent), "links")
     comps = store(connected_components(links), "comps")
 
-    # Keys whose rows are still apart: all pairs across components.
-    at = shared.select("key", "vid").join(comps.withColumnRenamed("id", "vid"), "vid", "left") \
+    # Keys whose rows are still apart: their rows form clusters (rows linked by
+    # such keys), within which all rows of different components are compared.
+    at = shared.select("key", "vid", "hub").join(comps.withColumnRenamed("id", "vid"), "vid", "left") \
                .withColumn("component", F.coalesce("component", "vid"))
     apart = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
               .filter("lo < hi").select("key")
-    left = at.join(apart, "key").join(reps.select("vid", "size", "sig"), "vid")
-    group = ["key", "bi", "bj"]
-    deal = blocked(left, ["key"], "vid", 1000).repartition(n_parts, *group).sortWithinPartitions(*group)
-
-    def across(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for g in whole_groups(frames, group):
-            sig, own = np.stack(g["sig"].to_numpy()), g["own"].to_numpy()
-            vid, comp, size = g["vid"].to_numpy(), g["component"].to_numpy(), g["size"].to_numpy()
-            bi, bj = g["bi"].iloc[0], g["bj"].iloc[0]
-            right = np.flatnonzero(own == bj)
-            for i in np.flatnonzero(own == bi):
-                js = right[(comp[right] != comp[i])
-                           & (np.minimum(size[right], size[i]) * 100 >= np.maximum(size[right], size[i]) * percent)]
-                if bi == bj:
-                    js = js[js > i]
-                js = js[(sig[js] != sig[i]).sum(axis=1) <= ERRORS] if len(js) else js
-                if len(js):
-                    yield pd.DataFrame({"a": np.minimum(vid[i], vid[js]), "b": np.maximum(vid[i], vid[js])})
-
-    more = store(deal.mapInPandas(across, "a long, b long").distinct().join(star, ["a", "b"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        again = store(_verify(more, reps, texts, words, percent), "links")
-        if not again.isEmpty():
-            joined = comps.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(again)
-            comps = store(connected_components(joined), "comps")
+    left = store(at.join(apart, "key").select("vid", "hub", "component").distinct(), "apart")
+    again = None
+    if not left.isEmpty():
+        cluster = connected_components(left, "hub", "vid").select(F.col("id").alias("vid"), F.col("component").alias("cluster"))
+        rest = left.select("vid", "component").distinct().join(cluster, "vid") \
+                   .join(reps.select("vid", F.col("id").alias("doc"), F.col("t1").alias("s1"), F.col("t2").alias("s2"),
+                                     "size", "sig"), "vid")
+        seats = blocked(rest, ["cluster"], "vid", BLOCK, "size")
+        again = store(_compare_blocks(seats, texts, words, percent, n_parts), "links")
+    if again is not None and not again.isEmpty():
+        joined = comps.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(again)
+        comps = store(connected_components(joined), "comps")
 
     per = classes.join(comps, F.col("rep") == F.col("id"), "left") \
                  .select("k1", "k2", "n", F.coalesce("component", "rep").alias("component"))
@@ -259,7 +290,8 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, row: str
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component (the smallest id), columns unchanged; rows
-    with an empty set all stay."""
+    with an empty set all stay. ``docs`` is read more than once and must give its
+    rows in the same partitions each time (a stored table)."""
     x = docs.withColumn("__row", F.monotonically_increasing_id())
     stay = near_documents(x, words, percent, row="__row").filter("first").select(F.col("vid").alias("__row"))
     return x.join(store(stay, "stay"), "__row").drop("__row")
