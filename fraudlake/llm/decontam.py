@@ -154,7 +154,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, per_edit: int = 20,
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, per_edit: int = 20) -> DataFrame:
-    """The rows of ``docs`` that hold no item, columns unchanged."""
+    """The rows of ``docs`` that hold no item, columns unchanged. ``docs`` is
+    read twice and must give its rows in the same partitions (a stored table)."""
     x = docs.withColumn("__row", F.monotonically_increasing_id())
     bad = store(contaminated(x, benchmark, per_edit, key="__row").select(F.col("doc_id").alias("__row")).distinct(),
                 "contaminated")

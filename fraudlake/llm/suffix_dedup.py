@@ -243,24 +243,25 @@ def repeated_ranges(parts: list[bytes], doc, vid, start, least: int):
     return join(out_v), join(out_a), join(out_b)
 
 
-def remove_repeats(docs: DataFrame, least: int = 100, hot: int = 20_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, least: int = 100, hot: int = 20_000, segment: int = SEGMENT) -> DataFrame:
     """``(doc_id, n_bytes, kept, spans)``: ``kept`` are the bytes that stay,
-    ``spans`` the removed ranges (start, end), a row per document."""
+    ``spans`` the removed ranges (start, end), a row per document. ``docs`` is
+    read twice and must give its rows in the same partitions (a stored table)."""
     spark = docs.sparkSession
     n_parts = partitions(spark)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("vid"),
                       F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text"))
     chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    doc_buckets = int(max(n_parts, chars // (2 * SEGMENT) + 1))
+    doc_buckets = int(max(n_parts, chars // (2 * segment) + 1))
     buckets = 4 * n_parts
 
     def segments(f: pd.DataFrame) -> Iterator[tuple[list, list, list, list]]:
         """Pieces of bounded size; a long text's overlap by less than a window."""
         doc, vid, off, raw, size = [], [], [], [], 0
         for d, v, t in zip(f["doc_id"], f["vid"], f["text"]):
-            for at in range(0, max(1, len(t) - least + 1), SEGMENT):
-                piece = t[at:at + SEGMENT + least - 1]
-                if raw and size + len(piece) > SEGMENT:
+            for at in range(0, max(1, len(t) - least + 1), segment):
+                piece = t[at:at + segment + least - 1]
+                if raw and size + len(piece) > segment:
                     yield doc, vid, off, raw
                     doc, vid, off, raw, size = [], [], [], [], 0
                 doc.append(LAST if pd.isna(d) else int(d)), vid.append(v), off.append(at), raw.append(piece)

@@ -98,12 +98,11 @@ def test_suffix_repeats(spark, hot):
     assert remove_repeats(docs(spark, []), 100).count() == 0
 
 
-def test_long_texts_cross_segments(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "SEGMENT", 300)     # the driver's copy; segments are cut in workers
+def test_long_texts_cross_segments(spark):
     rng = random.Random(5)
     a = prose(rng, 300)
     texts = [a, prose(rng, 40) + a[100:1500], a[300:420]]
-    got = as_dict(remove_repeats(docs(spark, texts), 100))
+    got = as_dict(remove_repeats(docs(spark, texts), 100, segment=300))
     assert {i: (r["n_bytes"], bytes(r["kept"]), len(r["spans"])) for i, r in got.items()} == brute_repeats(texts, 100)
 
 
