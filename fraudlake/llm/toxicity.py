@@ -3,8 +3,9 @@
 Severity grades run from 0 (clean) to 3. The model is
 ``P(grade <= k) = sigmoid(theta_k - w.x)`` with one weight vector ``w``
 shared by all ordered thresholds ``theta``; ``x`` holds log(1 + count) of the
-document's words. An L1 penalty keeps the weights few, so scoring needs one
-small dictionary. Output: the probability of any toxicity, the expected
+document's words and of the beginnings of words (``PREFIXES`` letters), since
+in inflected languages one stem has many forms, each of them rare. An L1 penalty
+keeps the weights few, so scoring needs one small dictionary. Output: the probability of any toxicity, the expected
 severity (sum over k of P(grade >= k)) and whether the document is rejected.
 
 Labels are binary, so a toxic row's training grade is drawn from how often it
@@ -34,6 +35,17 @@ from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\W\d_]+")
 GRADES = 3
+PREFIXES = (3, 4, 5, 6)
+
+
+def features(words: Counter) -> Counter:
+    """Counts of words and of the beginnings (``^abc``) of longer words."""
+    out = Counter(words)
+    for w, n in words.items():
+        for k in PREFIXES:
+            if len(w) > k:
+                out["^" + w[:k]] += n
+    return out
 
 
 @dataclass
@@ -46,40 +58,49 @@ class OrdinalModel:
         if not self.thetas:
             return 0.0, 0.0
         w = self.weights
-        hits = Counter(filter(w.__contains__, WORD.findall(text.lower()))) if text else {}
+        hits: Counter = Counter()
+        for word, n in Counter(WORD.findall(text.lower())).items() if text else ():
+            if word in w:
+                hits[word] += n
+            for k in PREFIXES:
+                if len(word) > k and (start := "^" + word[:k]) in w:
+                    hits[start] += n
         z = sum(w[k] * np.log1p(n) for k, n in hits.items())
         p = [1.0 / (1.0 + np.exp(min(50.0, t - z))) for t in self.thetas]
         return float(p[0]), float(sum(p))
 
 
-def grades(words: list[Counter], toxic: np.ndarray) -> np.ndarray:
+def grades(words: list[Counter], feats: list[Counter], toxic: np.ndarray) -> np.ndarray:
     """Training grades of the sample's rows from the binary labels."""
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     in1, in0 = Counter(), Counter()
-    for c, t in zip(words, toxic):
+    for c, t in zip(feats, toxic):
         (in1 if t else in0).update(c.keys())
     tied = {w for w, n in in1.items()
             if n >= 5 and np.log(((n + 1) / (n1 + 2)) / ((in0[w] + 1) / (n0 + 2))) >= 2.0}
-    uses = np.array([sum(n for w, n in c.items() if w in tied) for c in words])
+    uses = np.array([sum(n for w, n in c.items() if w in tied or any("^" + w[:k] in tied for k in PREFIXES if len(w) > k))
+                     for c in words])
     return np.where(~toxic, 0, np.where(uses <= 1, 1, np.where(uses <= 3, 2, 3)))
 
 
 def fit(words: list[Counter], toxic: np.ndarray, l1: float = 2e-4, steps: int = 400,
         min_docs: int = 5, max_share: float = 0.2) -> OrdinalModel:
-    """Proximal gradient (accelerated) on the cumulative-link likelihood.
+    """Accelerated proximal gradient, restarted where it overshoots, on the
+    cumulative-link likelihood.
 
-    Words in fewer than ``min_docs`` or over ``max_share`` of the rows are
-    no features.
+    Features in fewer than ``min_docs`` or over ``max_share`` of the rows do not
+    take part, nor do those whose gradient without weights is below ``2 * l1``.
     """
     n = len(words)
     if n == 0 or toxic.all() or not toxic.any():
         return OrdinalModel()
-    y = grades(words, toxic)
-    df = Counter(w for c in words for w in c)
+    feats = [features(c) for c in words]
+    y = grades(words, feats, toxic)
+    df = Counter(w for c in feats for w in c)
     vocab = sorted(w for w, k in df.items() if min_docs <= k <= max(min_docs, max_share * n))
     at = {w: i for i, w in enumerate(vocab)}
     rows, cols, vals = [], [], []
-    for i, c in enumerate(words):
+    for i, c in enumerate(feats):
         for w, k in c.items():
             if w in at:
                 rows.append(i), cols.append(at[w]), vals.append(np.log1p(k))
@@ -89,33 +110,59 @@ def fit(words: list[Counter], toxic: np.ndarray, l1: float = 2e-4, steps: int =
     sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
     def loss(w, th):
+        """Mean of -log P(grade) and its gradients, from
+        ``sig(b) - sig(a) = sig(b) sig(-a) (1 - exp(a - b))``, which neither
+        cancels nor underflows; infinite where a grade that has rows gets none."""
         z = dot(w)
         cut = np.concatenate([[-np.inf], th, [np.inf]])
-        hi, lo = sig(cut[y + 1] - z), np.where(y > 0, sig(cut[y] - z), 0.0)
-        p = np.maximum(hi - lo, 1e-12)
-        dh, dl = np.where(y < GRADES, hi * (1 - hi), 0.0), lo * (1 - lo)
-        gz = (dh - dl) / p / n                 # d loss / dz
-        gt = np.array([(-(dh / p)[y == k].sum() + (dl / p)[y == k + 1].sum()) / n for k in range(GRADES)])
-        return -np.log(p).mean(), back(gz), gt
-
-    share = [np.clip((y <= k).mean(), 1e-3, 1 - 1e-3) for k in range(GRADES)]
-    th = np.log(np.array(share) / (1 - np.array(share)))
-    th = np.maximum.accumulate(th + 1e-3 * np.arange(GRADES))
+        a, b = cut[y] - z, cut[y + 1] - z
+        gap = cut[y + 1] - cut[y]
+        if gap.min() <= 0:
+            return np.inf, None, None
+        value = np.logaddexp(0, -b) + np.logaddexp(0, a) - np.log(-np.expm1(-gap))
+        both = 1 / np.expm1(np.minimum(gap, 500.0))
+        up, down = sig(-b) + both, sig(a) + both         # d log p / db, - d log p / da
+        gt = np.array([down[y == k + 1].sum() - up[y == k].sum() for k in range(GRADES)]) / n
+        return value.mean(), back((up - down) / n), gt
+
+    # Start from the shares of the grades, without weights.
+    share = np.clip([(y <= k).mean() for k in range(GRADES)], 1e-3, 1 - 1e-3)
+    th = np.maximum.accumulate(np.log(share / (1 - share)) + 1e-3 * np.arange(GRADES))
+    pull = np.abs(loss(np.zeros(len(vocab)), th)[1])
+    stay = pull >= 2 * l1
+    new = np.cumsum(stay) - 1
+    some = stay[cols]
+    rows, cols, vals = rows[some], new[cols[some]], vals[some]
+    vocab = [v for v, k in zip(vocab, stay) if k]
     w = np.zeros(len(vocab))
+    best = loss(w, th)[0]
     vw, vt, t, step = w, th, 1.0, 1.0
     for _ in range(steps):
         f, gw, gt = loss(vw, vt)
+        if not np.isfinite(f):                            # overshot: go on from the last point
+            vw, vt, t = w, th, 1.0
+            f, gw, gt = loss(vw, vt)
         while True:
             nw = vw - step * gw
             nw = np.sign(nw) * np.maximum(np.abs(nw) - step * l1, 0)
-            nt = np.maximum.accumulate(vt - step * gt + 1e-6 * np.arange(GRADES))
+            nt = np.maximum.accumulate(vt - step * gt)
             dw, dt = nw - vw, nt - vt
-            if step < 1e-6 or loss(nw, nt)[0] <= f + gw @ dw + gt @ dt + (dw @ dw + dt @ dt) / (2 * step) + 1e-12:
+            now = loss(nw, nt)[0]
+            if now <= f + gw @ dw + gt @ dt + (dw @ dw + dt @ dt) / (2 * step) + 1e-12:
+                break
+            if step < 1e-12:                              # no descent left
+                nw, nt, now = w, th, best - l1 * np.abs(w).sum()
                 break
             step /= 2
+        now += l1 * np.abs(nw).sum()
+        if now > best:                                    # accelerated past the valley: restart there
+            if t == 1.0:
+                break
+            vw, vt, t = w, th, 1.0
+            continue
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         vw, vt = nw + (t - 1) / t2 * (nw - w), nt + (t - 1) / t2 * (nt - th)
-        w, th, t, step = nw, nt, t2, step * 1.1
+        w, th, t, best, step = nw, nt, t2, now, step * 1.1
     return OrdinalModel({v: float(x) for v, x in zip(vocab, w) if abs(x) > 1e-3}, tuple(map(float, th)))
 
 
@@ -127,14 +174,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 4000) -> OrdinalMode
     rows = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")   # at most ``sample`` ids
     rows = rows.groupBy("doc_id").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic"))
 
-    def features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             c = [Counter(WORD.findall(t.lower())) if t else Counter() for t in f["text"]]
             yield pd.DataFrame({"doc_id": f["doc_id"], "toxic": f["toxic"] > 0,
                                 "words": [" ".join(x) for x in c],
                                 "counts": [list(x.values()) for x in c]})
 
-    got = sorted(rows.mapInPandas(features, "doc_id long, toxic boolean, words string, counts array<int>").collect(),
+    got = sorted(rows.mapInPandas(counted, "doc_id long, toxic boolean, words string, counts array<int>").collect(),
                  key=lambda r: r["doc_id"])
     return fit([Counter(dict(zip(r["words"].split(), r["counts"]))) for r in got],
                np.array([r["toxic"] for r in got], bool))

@@ -98,6 +98,19 @@ def test_suffix_repeats(spark, hot):
     assert remove_repeats(docs(spark, []), 100).count() == 0
 
 
+@pytest.mark.parametrize("hot", [20_000, 80, 1])
+def test_hot_anchor_in_many_blocks(spark, hot):
+    """A passage with other words around it in every text, over many small blocks."""
+    rng = random.Random(9)
+    a = prose(rng, 25)
+    texts = [prose(rng, rng.randrange(30)) + a + prose(rng, rng.randrange(30)) for _ in range(120)]
+    texts += [prose(rng, 40) for _ in range(20)] + [texts[3], a[:110], a + a]
+    got = as_dict(remove_repeats(docs(spark, texts).repartition(5), 100, hot=hot, segment=2000))
+    for i, (size, kept, runs) in brute_repeats(texts, 100).items():
+        r = got[i]
+        assert (r["n_bytes"], bytes(r["kept"]), len(r["spans"])) == (size, kept, runs), i
+
+
 def test_long_texts_cross_segments(spark):
     rng = random.Random(5)
     a = prose(rng, 300)
@@ -174,6 +187,23 @@ def test_toxicity(spark):
     assert toxicity.score(d.limit(0), model).count() == 0
 
 
+def test_toxicity_of_word_forms_and_separable_labels():
+    """Stems whose forms hardly repeat are learnt; labels that the features part
+    completely, or of grades that no row has, leave finite weights in order."""
+    rng = random.Random(11)
+    form = lambda stem: stem + "".join(rng.choice("aeiou") + rng.choice("nrst") for _ in range(3))
+    words, toxic = [], []
+    for i in range(1200):
+        w = [form(rng.choice(["mor", "tel", "gan", "sip", "bod"])) for _ in range(60)]
+        if i % 6 == 0:
+            w[:4] = [form("vequt") for _ in range(4)]
+        words.append(collections.Counter(w)), toxic.append(i % 6 == 0)
+    model = toxicity.fit(words[:600], np.array(toxic[:600]))
+    assert np.isfinite([*model.thetas, *model.weights.values()]).all() and list(model.thetas) == sorted(model.thetas)
+    said = [model.score(" ".join(c.elements()))[0] >= 0.5 for c in words[600:]]
+    assert sum(a == b for a, b in zip(said, toxic[600:])) >= 594
+
+
 # --- 4 packing -----------------------------------------------------------------------
 
 def check_pieces(rows, texts, length):

@@ -6,6 +6,7 @@ import os
 import sys
 
 import duckdb
+import numpy as np
 import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "..", "..", "tools"))
@@ -13,6 +14,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), ".."
 import __spark_entry__ as entry  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from check_oracle import digest  # noqa: E402
+from fraudlake.llm import toxicity  # noqa: E402
 from fraudlake.llm.common import store  # noqa: E402
 from fraudlake.llm.queries import ORACLE_SQL, QUERIES  # noqa: E402
 
@@ -62,6 +64,19 @@ def test_op3_flags_the_labelled(spark, con):
     assert sum(got[d] == (t == 1) for d, t in labels) >= 0.99 * len(labels)
 
 
+def test_op3_held_out(con):
+    """Half of sf0.1's labelled rows fit, the other half judges."""
+    rows = con.execute("""SELECT d.doc_id, any_value(d.text), max(l.toxic) FROM read_parquet('/root/testdata/sf0.1/documents.parquet') d
+        JOIN read_parquet('/root/testdata/sf0.1/labels.parquet') l USING (doc_id)
+        WHERE l.toxic IS NOT NULL GROUP BY d.doc_id ORDER BY hash(d.doc_id)""").fetchall()
+    half, rest = rows[::2], rows[1::2]
+    words = [collections.Counter(toxicity.WORD.findall((t or "").lower())) for _, t, _ in half]
+    model = toxicity.fit(words, np.array([y == 1 for _, _, y in half]))
+    said = [(model.score(t)[0] >= 0.5, y == 1) for _, t, y in rest]
+    assert sum(a for a, b in said if b) >= 0.9 * sum(b for _, b in said)
+    assert sum(a for a, b in said if not b) <= 0.005 * len(said)
+
+
 def test_op7_law(spark):
     rows = QUERIES["op7_balanced_shards"](spark, SF).collect()
     n = collections.Counter(r["shard"] for r in rows)
