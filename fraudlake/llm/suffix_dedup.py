@@ -9,8 +9,9 @@ in it with the smallest hash, which depends on the window's content alone.
 Successive windows with one anchor form a run; a run's context is its bytes.
 
 1. Runs of equal context are one class, whose members after the first are
-   repeated as a whole. Members are folded within each block of text first,
-   so a passage in a third of all documents sends one row per block.
+   repeated as a whole. Members are folded within each block of text, then
+   among about the square root of all blocks, then over all: a passage in a
+   third of all documents sends one row per block, later one per group of them.
 2. Of the classes that share an anchor, the first members' contexts are
    fetched, and per bucket of anchors a suffix array is built over their
    suffixes (those whose first ``least`` bytes are not unique), with its table
@@ -20,8 +21,11 @@ Successive windows with one anchor form a run; a run's context is its bytes.
    a maximal repeat: all its occurrences but the first are marked.
 3. Marks are merged per document.
 
-An anchor with over ``hot`` classes is dealt anew by the hash of each window,
-so that no task holds more than its share.
+An anchor with over ``hot`` classes, or over ``hot / 40`` in one group of
+blocks, is dealt anew by the hash of each window; equal windows of one bucket
+of documents are folded first. A group of blocks passes on at most ``hot / 40``
+classes of an anchor and otherwise a note that it is hot, so no task gathers
+the classes of a frequent one, however different the texts around it are.
 
 Defined cases: a null text has no bytes; documents shorter than ``least``
 stay as they are; null ids come after all others and repeated ids are
@@ -32,10 +36,12 @@ an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pandas as pd
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -154,6 +160,18 @@ def marks(vid, lo, hi, doc_buckets: int) -> list[tuple]:
             for k in np.unique(b)]
 
 
+def equal_before(data: np.ndarray, cell: np.ndarray, hashes: np.ndarray, least: int) -> np.ndarray:
+    """Which of the windows ``data[cell:cell + least]``, sorted by hash, hold the
+    bytes of the one before them."""
+    same = np.r_[False, hashes[1:] == hashes[:-1]]
+    at = np.flatnonzero(same)
+    for lo in range(0, len(at), 50_000):
+        i = at[lo:lo + 50_000]
+        a, b = (data[cell[k][:, None] + np.arange(least)] for k in (i, i - 1))
+        same[i] = (a == b).all(axis=1)
+    return same
+
+
 def suffix_array(parts: list[bytes], frag: np.ndarray, off: np.ndarray):
     """Order of the suffixes ``parts[frag][off:]`` and the common prefix
     length of each with the one before it (0 for the first)."""
@@ -254,6 +272,8 @@ def remove_repeats(docs: DataFrame, least: int = 100, hot: int = 20_000, segment
     chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     doc_buckets = int(max(n_parts, chars // (2 * segment) + 1))
     buckets = 4 * n_parts
+    salts = isqrt(chars // segment) + 1                 # groups of blocks
+    few = max(1, hot // 40)
 
     def segments(f: pd.DataFrame) -> Iterator[tuple[list, list, list, list]]:
         """Pieces of bounded size; a long text's overlap by less than a window."""
@@ -269,7 +289,13 @@ def remove_repeats(docs: DataFrame, least: int = 100, hot: int = 20_000, segment
         if raw:
             yield doc, vid, off, raw
 
+    def packed_runs(key: int, gram, ctx, doc, vid, lo, size) -> tuple:
+        return ("A", key, pack([(gram >> U(32)).astype("<u4"), ctx.astype("<u8")],
+                               [np.diff(doc, prepend=0).astype("<i8"), np.diff(vid, prepend=0).astype("<i8"),
+                                lo.astype("<i4"), size.astype("<i4")]))
+
     def runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        salt = TaskContext.get().partitionId()
         for f in frames:
             for doc, vid, off, raw in segments(f):
                 ends = np.cumsum([len(r) for r in raw])
@@ -286,42 +312,58 @@ def remove_repeats(docs: DataFrame, least: int = 100, hot: int = 20_000, segment
                 o = np.argsort(b, kind="stable")
                 keep, b = keep[o], b[o]
                 cut = np.r_[np.flatnonzero(np.diff(b, prepend=-1)), len(b)]
+                salt = (salt + 1) % salts
                 for a, e in zip(cut, cut[1:]):
                     k = keep[a:e]
-                    rows.append(("A", int(b[a]), pack(
-                        [(gram[k] >> U(32)).astype("<u4"), ctx[k].astype("<u8")],
-                        [np.diff(doc[k], prepend=0).astype("<i8"), np.diff(vid[k], prepend=0).astype("<i8"),
-                         lo[k].astype("<i4"), size[k].astype("<i4")])))
+                    rows.append(packed_runs(int(b[a]) * salts + salt, gram[k], ctx[k], doc[k], vid[k], lo[k], size[k]))
                 yield pd.DataFrame(rows, columns=["kind", "key", "data"])
 
-    def classes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for g in whole_groups(frames, ["kind", "key"]):
-            if g["kind"].iloc[0] == "S":
-                yield g
-                continue
-            cols = [unpack(x, RUN_HARD, RUN_SOFT)[0] for x in g["data"]]
-            gram, ctx, lo, size = (np.concatenate([c[i] for c in cols]) for i in (0, 1, 4, 5))
-            doc, vid = (np.concatenate([np.cumsum(c[i]) for c in cols]) for i in (2, 3))
-            o = np.lexsort((lo, vid, doc, ctx, gram))
-            gram, ctx, doc, vid, lo, size = (x[o] for x in (gram, ctx, doc, vid, lo, size))
-            first = np.ones(len(o), bool)
-            first[1:] = (gram[1:] != gram[:-1]) | (ctx[1:] != ctx[:-1])
-            rows = marks(vid[~first], lo[~first], lo[~first] + size[~first], doc_buckets)
-            gram, doc, vid, lo, size = (x[first] for x in (gram, doc, vid, lo, size))
-            _, back, many = np.unique(gram, return_inverse=True, return_counts=True)
-            many = many[back]
-            w = np.flatnonzero(many > 1)
-            d = vid[w] % doc_buckets
-            for k in np.unique(d):
-                i = w[d == k]
-                rows.append(("W", int(k), pack([], [
-                    gram[i].astype("<u4"), doc[i], vid[i], lo[i].astype("<i4"), size[i].astype("<i4"),
-                    np.full(len(i), g["key"].iloc[0], "<i4"), (many[i] > hot).astype("<i4")])))
-            yield pd.DataFrame(rows, columns=["kind", "key", "data"])
+    def fold(last: bool):
+        """Classes of runs, of one group of blocks or (``last``) of all."""
+
+        def classes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for g in whole_groups(frames, ["kind", "key"]):
+                if g["kind"].iloc[0] != "A":
+                    yield g
+                    continue
+                bucket = int(g["key"].iloc[0]) // (1 if last else salts)
+                cols = [unpack(x, RUN_HARD, RUN_SOFT)[0] for x in g["data"]]
+                gram, ctx, lo, size = (np.concatenate([c[i] for c in cols]) for i in (0, 1, 4, 5))
+                doc, vid = (np.concatenate([np.cumsum(c[i]) for c in cols]) for i in (2, 3))
+                noted = np.unique(gram[size == 0])             # hot in some group of blocks
+                o = np.flatnonzero(size > 0)
+                o = o[np.lexsort((lo[o], vid[o], doc[o], ctx[o], gram[o]))]
+                gram, ctx, doc, vid, lo, size = (x[o] for x in (gram, ctx, doc, vid, lo, size))
+                first = np.ones(len(o), bool)
+                first[1:] = (gram[1:] != gram[:-1]) | (ctx[1:] != ctx[:-1])
+                rows = marks(vid[~first], lo[~first], lo[~first] + size[~first], doc_buckets)
+                gram, ctx, doc, vid, lo, size = (x[first] for x in (gram, ctx, doc, vid, lo, size))
+                _, back, many = np.unique(gram, return_inverse=True, return_counts=True)
+                many = many[back]
+                much = (many > hot) | np.isin(gram, noted) if last else many > few
+                w = np.flatnonzero((many > 1) | much if last else much)
+                d = vid[w] % doc_buckets
+                for k in np.unique(d):
+                    i = w[d == k]
+                    rows.append(("W", int(k), pack([], [
+                        gram[i].astype("<u4"), doc[i], vid[i], lo[i].astype("<i4"), size[i].astype("<i4"),
+                        np.full(len(i), bucket, "<i4"), much[i].astype("<i4")])))
+                if not last:
+                    note = np.unique(gram[much])
+                    none = np.zeros(len(note), np.int64)
+                    gram, ctx, doc, vid, lo, size = (np.r_[x[~much], y] for x, y in zip(
+                        (gram, ctx, doc, vid, lo, size), (note, none.astype(np.uint64), none, none, none, none)))
+                    rows.append(packed_runs(bucket, gram.astype(np.uint64) << U(32), ctx, doc, vid, lo, size))
+                yield pd.DataFrame(rows, columns=["kind", "key", "data"])
+
+        return classes
 
     form = "kind string, key long, data binary"
-    found = store(src.mapInPandas(runs, form).repartition(n_parts, "kind", "key").sortWithinPartitions("kind", "key")
-                  .mapInPandas(classes, form), "runs")
+    found = src.mapInPandas(runs, form)
+    for last in (False, True):
+        found = found.repartition(n_parts, "kind", "key").sortWithinPartitions("kind", "key") \
+                     .mapInPandas(fold(last), form)
+    found = store(found, "runs")
     # The texts are dealt out once; both uses below read the same exchange.
     text = src.withColumn("key", F.pmod("vid", F.lit(doc_buckets)))
 
@@ -332,14 +374,21 @@ def remove_repeats(docs: DataFrame, least: int = 100, hot: int = 20_000, segment
         rows = []
         if cols:
             gram, doc, vid, lo, size, bucket, many = (np.concatenate(c) for c in zip(*cols))
-            if many.any():        # hot anchors: each window by its own hash
-                i = np.flatnonzero(many)
+            i = np.flatnonzero(many)
+            if len(i):            # hot anchors: each window by its own hash
+                flat = np.frombuffer(b"".join(raw[v][a:a + n] for v, a, n in zip(vid[i], lo[i], size[i])), np.uint8)
                 n = size[i] - least + 1
-                i, step = np.repeat(i, n), np.arange(n.sum()) - np.repeat(np.cumsum(np.r_[0, n])[:-1], n)
-                own = np.frombuffer(b"".join(raw[v][a:a + least] for v, a in zip(vid[i], lo[i] + step)), np.uint8)
-                h = Hashes(own).fixed(least)[::least]
+                step = np.arange(n.sum()) - np.repeat(np.cumsum(np.r_[0, n])[:-1], n)
+                cell = np.repeat(np.cumsum(np.r_[0, size[i]])[:-1], n) + step
+                h, i = Hashes(flat).fixed(least)[cell], np.repeat(i, n)
+                at = lo[i] + step
+                o = np.lexsort((at, vid[i], doc[i], h))
+                h, i, at = h[o], i[o], at[o]
+                again = equal_before(flat, cell[o], h, least)
+                rows += marks(vid[i[again]], at[again], at[again] + least, doc_buckets)
+                h, i, at = h[~again], i[~again], at[~again]
                 cold = np.flatnonzero(many == 0)
-                lo = np.r_[lo[cold], lo[i] + step]
+                lo = np.r_[lo[cold], at]
                 size = np.r_[size[cold], np.full(len(i), least)]
                 bucket = np.r_[bucket[cold], (h % U(buckets)).astype(np.int64)]
                 gram = np.r_[gram[cold], (h >> U(32)).astype(np.uint32)]
@@ -347,12 +396,15 @@ def remove_repeats(docs: DataFrame, least: int = 100, hot: int = 20_000, segment
             for k in np.unique(bucket):
                 j = np.flatnonzero(bucket == k)
                 body = b"".join(raw[vid[x]][lo[x]:lo[x] + size[x]] for x in j)
-                rows.append((int(k), pack([], [gram[j].astype("<u4"), doc[j], vid[j], lo[j].astype("<i4"),
-                                               size[j].astype("<i4")], body)))
-        return pd.DataFrame(rows, columns=["key", "data"])
+                rows.append(("C", int(k), pack([], [gram[j].astype("<u4"), doc[j], vid[j], lo[j].astype("<i4"),
+                                                    size[j].astype("<i4")], body)))
+        return pd.DataFrame(rows, columns=["kind", "key", "data"])
 
     def repeats(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for g in whole_groups(frames, ["key"]):
+        for g in whole_groups(frames, ["kind", "key"]):
+            if g["kind"].iloc[0] == "S":
+                yield g[["key", "data"]]
+                continue
             parts, cols = [], []
             for blob in g["data"]:
                 c, body = unpack(blob, [], PART)
@@ -365,8 +417,9 @@ def remove_repeats(docs: DataFrame, least: int = 100, hot: int = 20_000, segment
                 yield pd.DataFrame(marks(v, a, b, doc_buckets), columns=["kind", "key", "data"])[["key", "data"]]
 
     wanted = found.filter("kind = 'W'").select("key", "data")
-    contexts = text.groupBy("key").cogroup(wanted.groupBy("key")).applyInPandas(fetch, "key long, data binary")
-    more = contexts.repartition(n_parts, "key").sortWithinPartitions("key").mapInPandas(repeats, "key long, data binary")
+    contexts = text.groupBy("key").cogroup(wanted.groupBy("key")).applyInPandas(fetch, form)
+    more = contexts.repartition(n_parts, "kind", "key").sortWithinPartitions("kind", "key") \
+                   .mapInPandas(repeats, "key long, data binary")
     every = found.filter("kind = 'S'").select("key", "data").unionAll(more)
 
     def cleaned(texts: pd.DataFrame, gone: pd.DataFrame) -> pd.DataFrame:
