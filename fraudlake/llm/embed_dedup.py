@@ -7,12 +7,14 @@ and are compared exactly (double precision). A pair that meets in several
 tables is counted in the first only, which both signatures tell, so no pair
 is ever sent anywhere: a bucket yields, per vector, the number of links and
 one link towards each local component. Buckets are dealt into blocks, so a
-bucket that holds a third of all vectors is many tasks. With 16 tables of 8
-planes a pair of cosine 0.9 meets with probability 0.996, closer pairs
-with more.
+bucket that holds a third of all vectors is many tasks.
 
-Counting every link of a vector takes as many comparisons as there are pairs
-in a bucket; only the result is linear.
+``table_plan`` takes as many planes as keep an average bucket at one block of
+vectors, 8 at least, and as many tables as give a pair at the threshold the
+chance ``recall`` of meeting: 16 tables of 8 planes up to half a million
+different vectors at cosine 0.9. Comparisons then grow with vectors times
+tables, not with their square. Counting every link of a vector still takes
+as many comparisons as there are pairs in a dense cluster.
 
 Defined cases: a vector that is null, empty, zero or holds a null, NaN or
 infinite component links with nothing; vectors of different lengths do not
@@ -24,6 +26,7 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import acos, ceil, log, log2, pi
 
 import numpy as np
 import pandas as pd
@@ -33,6 +36,13 @@ from pyspark.sql import functions as F
 from fraudlake.llm.common import blocked, connected_components, partitions, store, whole_groups
 
 
+def table_plan(n: int, least: float, block: int, recall: float) -> tuple[int, int]:
+    """``(tables, bits)`` for ``n`` different vectors."""
+    bits = max(8, ceil(log2(max(1, n) / block)))
+    meet = (1 - acos(min(1.0, least)) / pi) ** bits
+    return (ceil(log(1 - recall) / log(1 - meet)) if meet < 1 else 1), bits
+
+
 def planes(dim: int, tables: int, bits: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, dim]).standard_normal((dim, tables * bits))
 
@@ -67,9 +77,10 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return root
 
 
-def near_vectors(rows: DataFrame, least: float = 0.9, tables: int = 16, bits: int = 8, seed: int = 7,
-                 block: int = 2048) -> DataFrame:
-    """``(vec_id, n_links, component_id, kept)``, a row per vector."""
+def near_vectors(rows: DataFrame, least: float = 0.9, tables: int | None = None, bits: int | None = None,
+                 seed: int = 7, block: int = 2048, recall: float = 0.995) -> DataFrame:
+    """``(vec_id, n_links, component_id, kept)``, a row per vector. ``tables`` and
+    ``bits``: instead of the ones ``table_plan`` gives."""
     vec = F.col("embedding").cast("array<double>")
     good = (F.coalesce(F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
             & F.coalesce(F.exists(vec, lambda x: x != 0), F.lit(False)))
@@ -79,6 +90,8 @@ def near_vectors(rows: DataFrame, least: float = 0.9, tables: int = 16, bits: in
                                            F.sha2(F.to_json(F.struct("embedding")), 256))), "vectors")
     classes = store(base.filter(F.col("key").isNotNull()).groupBy("key")
                     .agg(F.min("vid").alias("rep"), F.count("*").alias("many")), "classes")
+    if tables is None or bits is None:
+        tables, bits = table_plan(classes.count(), least, block, recall)
     reps = base.join(classes, [base["vid"] == classes["rep"]]).select("vid", "embedding", "many")
 
     def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

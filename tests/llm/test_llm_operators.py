@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fraudlake.llm import decontam, packing, suffix_dedup, toxicity
 from fraudlake.llm.common import connected_components
-from fraudlake.llm.embed_dedup import near_vectors
+from fraudlake.llm.embed_dedup import near_vectors, table_plan
 from fraudlake.llm.line_templates import drop_templates
 from fraudlake.llm.minhash_dedup import drop_near_duplicates, near_documents, shingles, similar
 from fraudlake.llm.sharding import copy_links, label_propagation, shard_documents
@@ -402,6 +402,14 @@ def test_propagation_over_general_links(spark):
 
 # --- 8 vectors --------------------------------------------------------------------------
 
+def test_tables_follow_the_number_of_vectors():
+    assert table_plan(0, 0.9, 2048, 0.995) == table_plan(500_000, 0.9, 2048, 0.995) == (16, 8)
+    for n in (10**6, 10**9):
+        tables, bits = table_plan(n, 0.9, 2048, 0.995)
+        assert n / 2**bits <= 2048 and 1 - (1 - (1 - np.arccos(0.9) / np.pi) ** bits) ** tables >= 0.995
+    assert table_plan(10, 1.0, 2048, 0.995) == (1, 8)
+
+
 @pytest.mark.parametrize("block", [2048, 16])
 def test_vectors_equal_brute_force(spark, block):
     rng = np.random.default_rng(19)
