@@ -70,14 +70,9 @@ class OrdinalModel:
         return float(p[0]), float(sum(p))
 
 
-def grades(words: list[Counter], feats: list[Counter], toxic: np.ndarray) -> np.ndarray:
-    """Training grades of the sample's rows from the binary labels."""
-    n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    in1, in0 = Counter(), Counter()
-    for c, t in zip(feats, toxic):
-        (in1 if t else in0).update(c.keys())
-    tied = {w for w, n in in1.items()
-            if n >= 5 and np.log(((n + 1) / (n1 + 2)) / ((in0[w] + 1) / (n0 + 2))) >= 2.0}
+def grades(words: list[Counter], tied: set[str], toxic: np.ndarray) -> np.ndarray:
+    """Training grades of the sample's rows: how often a toxic row uses words of
+    which the word or a beginning is in ``tied``."""
     uses = np.array([sum(n for w, n in c.items() if w in tied or any("^" + w[:k] in tied for k in PREFIXES if len(w) > k))
                      for c in words])
     return np.where(~toxic, 0, np.where(uses <= 1, 1, np.where(uses <= 3, 2, 3)))
@@ -94,17 +89,25 @@ def fit(words: list[Counter], toxic: np.ndarray, l1: float = 2e-4, steps: int =
     n = len(words)
     if n == 0 or toxic.all() or not toxic.any():
         return OrdinalModel()
-    feats = [features(c) for c in words]
-    y = grades(words, feats, toxic)
-    df = Counter(w for c in feats for w in c)
-    vocab = sorted(w for w, k in df.items() if min_docs <= k <= max(min_docs, max_share * n))
-    at = {w: i for i, w in enumerate(vocab)}
-    rows, cols, vals = [], [], []
-    for i, c in enumerate(feats):
-        for w, k in c.items():
-            if w in at:
-                rows.append(i), cols.append(at[w]), vals.append(np.log1p(k))
-    rows, cols, vals = np.array(rows, int), np.array(cols, int), np.array(vals, float)
+    # Only numbers are kept per row; its features' names stand once in ``at``.
+    at: dict[str, int] = {}
+    cols, vals = [], []
+    for c in words:
+        f = features(c)
+        cols.append(np.array([at.setdefault(w, len(at)) for w in f], np.int32))
+        vals.append(np.log1p(np.array(list(f.values()), float)))
+    rows = np.repeat(np.arange(n), [len(x) for x in cols])
+    cols, vals = np.concatenate(cols), np.concatenate(vals)
+    df, in1 = np.bincount(cols, minlength=len(at)), np.bincount(cols[toxic[rows]], minlength=len(at))
+    n1 = int(toxic.sum())
+    odds = np.log(((in1 + 1) / (n1 + 2)) / ((df - in1 + 1) / (n - n1 + 2)))
+    names = list(at)
+    y = grades(words, {names[i] for i in np.flatnonzero((in1 >= 5) & (odds >= 2.0))}, toxic)
+    stay = (df >= min_docs) & (df <= max(min_docs, max_share * n))
+    vocab = [names[i] for i in np.flatnonzero(stay)]
+    some, new = stay[cols], np.cumsum(stay) - 1
+    rows, cols, vals = rows[some], new[cols[some]], vals[some]
+    del at, names
     dot = lambda w: np.bincount(rows, vals * w[cols], n)
     back = lambda r: np.bincount(cols, vals * r[rows], len(vocab))
     sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -50, 50)))
