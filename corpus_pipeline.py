@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fraudlake.llm import packing, toxicity as tox
 from fraudlake.llm.common import read, store
 from fraudlake.llm.decontam import drop_contaminated
-from fraudlake.llm.line_templates import drop_templates
+from fraudlake.llm.line_templates import drop_boilerplate
 from fraudlake.llm.minhash_dedup import drop_near_duplicates
 
 
@@ -23,7 +23,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines go; every document stays."""
-    return drop_templates(docs)
+    return drop_boilerplate(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

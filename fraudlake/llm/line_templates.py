@@ -18,11 +18,14 @@ Defined cases: a null text stays null; an empty or blank line is never
 dropped; a text whose lines are all dropped becomes empty; repeated rows are
 counted as they are (same context) and all cleaned alike; other columns pass
 through, whatever their names.
+
+``drop_boilerplate`` is the same with contexts that neither the lines around
+a line nor copies decide: see ``witnesses``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudlake.llm.common import store
@@ -43,6 +46,10 @@ def _leaf(masked: Column, depth: int) -> Column:
     return F.when(masked != "", F.xxhash64(blanks, F.substring_index(masked, " ", depth)))
 
 
+def _words(masked: Column) -> Column:
+    return F.octet_length(masked) - F.octet_length(F.replace(masked, F.lit(" "), F.lit(""))) + 1
+
+
 def _text_key(text: str) -> tuple[Column, Column]:
     """Two hashes and the length of a text (96 bits and more): equal texts,
     equal key; null for a null text."""
@@ -63,22 +70,51 @@ def _lines(rows: DataFrame, depth: int) -> DataFrame:
              .filter(F.col("leaf").isNotNull()))
 
 
+def witnesses(lines: DataFrame, min_own: float) -> DataFrame:
+    """``lines``, once per text, with the context that the rest of the text gives.
+
+    To a line whose leaf stands in d texts, the lines of leaves in at most d / 2
+    texts are its text's own. They must hold ``min_own`` of the text's words, or
+    the context is null: copies and near copies share most of their lines, so none
+    of them bears witness against a line of theirs. The context is one own leaf,
+    the least of a hash weighted by words over texts: other documents give another,
+    copies of one document the same. Blank lines, the place of the line and a
+    recurring block around it do not matter.
+    """
+    x = lines.select("k1", "k2", "pos", "leaf", "mh", "words").distinct()
+    texts = x.select("leaf", "k1", "k2").distinct().groupBy("leaf").agg(F.count("*").alias("d"))
+    x = x.join(texts, "leaf")
+    u = (F.pmod(F.xxhash64("leaf", F.lit(5)), F.lit(1 << 40)) + 1) / F.lit(float((1 << 40) + 1))
+    x = x.withColumn("lot", F.struct((-F.log(u) * F.col("d") / F.col("words")).alias("at"), "leaf"))
+    whole = Window.partitionBy("k1", "k2")
+    own = whole.orderBy("level").rangeBetween(Window.unboundedPreceding, -64)
+    return (x.withColumn("level", F.floor(F.log2(F.col("d").cast("double")) * 64 + 1e-6))
+            .select("k1", "k2", "pos", "leaf", "mh", "words",
+                    F.when(F.sum("words").over(own) >= min_own * F.sum("words").over(whole),
+                           F.min("lot").over(own)["leaf"]).alias("ctx")))
+
+
 def template_lines(docs: DataFrame, text: str = "text", depth: int = 3, min_contexts: int = 8,
-                   min_spread: float = 0.5, min_constant: float = 0.6) -> tuple[DataFrame, DataFrame]:
+                   min_spread: float = 0.5, min_constant: float = 0.6,
+                   min_own: float | None = None) -> tuple[DataFrame, DataFrame]:
     """``(lines, templates)``.
 
     ``templates``: per boilerplate masked line ``leaf, mh, template, contexts,
     texts``. ``lines``: where lines of recurring leaves stand (``k1, k2`` are
-    hashes of the whole text, so equal texts share their rows).
+    hashes of the whole text, so equal texts share their rows). With ``min_own``,
+    contexts are those of ``witnesses``.
     """
     rows = docs.select(F.col(text).alias("text")).select(*_text_key("text"), "text") \
                .filter(F.col("text").isNotNull())
     every = store(_lines(rows, depth), "lines")
     lines = every.drop("masked")
-    leaves = (lines.groupBy("leaf", "ctx").count().groupBy("leaf").agg(F.count("*").alias("n"))
+    if min_own is not None:
+        lines = store(witnesses(every.select("*", _words(F.col("masked")).alias("words")), min_own), "lines")
+    leaves = (lines.filter(F.col("ctx").isNotNull()).groupBy("leaf", "ctx").count().groupBy("leaf").agg(F.count("*").alias("n"))
               .filter(F.col("n") >= min_contexts).select("leaf"))
     lines = store(lines.join(leaves, "leaf"), "lines")
-    weight = lines.groupBy("leaf", "mh", "ctx").count().groupBy("leaf", "mh").agg(F.count("*").alias("w"))
+    weight = (lines.groupBy("leaf", "mh", "ctx").count().groupBy("leaf", "mh")
+              .agg(F.count("ctx").alias("w")))
 
     # The texts of the distinct masked lines of those leaves, by token position.
     words = (every.select("leaf", "mh", "masked").join(leaves, "leaf")
@@ -112,7 +148,18 @@ def drop_templates(docs: DataFrame, text: str = "text", depth: int = 3, min_cont
 
     ``dropped``: name of a column to add with the number of lines removed.
     """
-    lines, templates = template_lines(docs, text, depth, min_contexts, min_spread, min_constant)
+    return _without(docs, text, dropped, *template_lines(docs, text, depth, min_contexts, min_spread, min_constant))
+
+
+def drop_boilerplate(docs: DataFrame, text: str = "text", depth: int = 3, min_contexts: int = 8,
+                     min_spread: float = 0.5, min_constant: float = 0.6, min_own: float = 0.5,
+                     dropped: str | None = None) -> DataFrame:
+    """``drop_templates`` with the contexts of ``witnesses``."""
+    return _without(docs, text, dropped,
+                    *template_lines(docs, text, depth, min_contexts, min_spread, min_constant, min_own))
+
+
+def _without(docs: DataFrame, text: str, dropped: str | None, lines: DataFrame, templates: DataFrame) -> DataFrame:
     gone = (lines.join(templates.select("leaf", "mh"), ["leaf", "mh"])
             .groupBy(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"))
             .agg(F.collect_set("pos").alias("__gone")))

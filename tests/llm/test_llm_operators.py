@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from fraudlake.llm import decontam, packing, suffix_dedup, toxicity
 from fraudlake.llm.common import connected_components
 from fraudlake.llm.embed_dedup import near_vectors, table_plan
-from fraudlake.llm.line_templates import drop_templates
+from fraudlake.llm.line_templates import drop_boilerplate, drop_templates
 from fraudlake.llm.minhash_dedup import drop_near_duplicates, near_documents, shingles, similar
 from fraudlake.llm.sharding import copy_links, label_propagation, shard_documents
 from fraudlake.llm.suffix_dedup import remove_repeats
@@ -362,6 +362,19 @@ def test_line_templates(spark):
     assert drop_templates(docs(spark, [])).count() == 0
 
 
+def test_boilerplate_blocks(spark):
+    """Fixed blocks, also between blank lines, go; near copies keep their lines."""
+    rng = random.Random(16)
+    block = [letters(rng, 9) for _ in range(4)]
+    texts = ["\n".join([letters(rng, 12), letters(rng, 12), letters(rng, 12), *block]) for _ in range(12)]
+    texts += ["\n\n".join([letters(rng, 12), block[1], letters(rng, 12), letters(rng, 12)]) for _ in range(12)]
+    copy = [letters(rng, 12) for _ in range(8)]
+    near = ["\n".join([*copy[:i % 8], letters(rng, 12), *copy[i % 8 + 1:]]) for i in range(40)]
+    got = as_dict(drop_boilerplate(docs(spark, texts + near), dropped="n_dropped"))
+    assert [got[i]["n_dropped"] for i in range(64)] == [4] * 12 + [1] * 12 + [0] * 40
+    assert not any(s in got[i]["text"] for i in range(24) for s in block)
+
+
 # --- 7 sharding -------------------------------------------------------------------------
 
 def test_shards_are_even_and_keep_copies_together(spark):
