@@ -152,11 +152,11 @@ def drop_templates(docs: DataFrame, text: str = "text", depth: int = 3, min_cont
 
 
 def drop_boilerplate(docs: DataFrame, text: str = "text", depth: int = 3, min_contexts: int = 8,
-                     min_spread: float = 0.5, min_constant: float = 0.6, min_own: float = 0.5,
-                     dropped: str | None = None) -> DataFrame:
-    """``drop_templates`` with the contexts of ``witnesses``."""
+                     min_constant: float = 0.6, min_own: float = 0.5, dropped: str | None = None) -> DataFrame:
+    """``drop_templates`` with the contexts of ``witnesses``, which copies do not
+    multiply; so a template needs its contexts only, in however many texts it stands."""
     return _without(docs, text, dropped,
-                    *template_lines(docs, text, depth, min_contexts, min_spread, min_constant, min_own))
+                    *template_lines(docs, text, depth, min_contexts, 0.0, min_constant, min_own))
 
 
 def _without(docs: DataFrame, text: str, dropped: str | None, lines: DataFrame, templates: DataFrame) -> DataFrame:

@@ -375,6 +375,16 @@ def test_boilerplate_blocks(spark):
     assert not any(s in got[i]["text"] for i in range(24) for s in block)
 
 
+def test_copies_do_not_keep_boilerplate(spark):
+    """A footer of ten documents goes, though one of them stands in forty near copies."""
+    rng = random.Random(18)
+    foot, copy = letters(rng, 6), [letters(rng, 12) for _ in range(8)]
+    texts = ["\n".join([*(letters(rng, 12) for _ in range(4)), foot]) for _ in range(10)]
+    texts += ["\n".join([*copy[:i % 8], letters(rng, 12), *copy[i % 8 + 1:], foot]) for i in range(40)]
+    got = as_dict(drop_boilerplate(docs(spark, texts), dropped="n_dropped"))
+    assert [got[i]["n_dropped"] for i in range(50)] == [1] * 50
+
+
 # --- 7 sharding -------------------------------------------------------------------------
 
 def test_shards_are_even_and_keep_copies_together(spark):
