@@ -94,15 +94,26 @@ def witnesses(lines: DataFrame, min_own: float) -> DataFrame:
                            F.min("lot").over(own)["leaf"]).alias("ctx")))
 
 
+def _needed(words: Column, min_contexts: int, long: int | None) -> Column:
+    """Contexts that make a template of so many constant words boilerplate:
+    ``min_contexts`` up to a fifth of ``long`` words, then fewer, 2 from ``long`` on."""
+    if long is None:
+        return F.lit(min_contexts)
+    short = long // 5
+    less = F.ceil(min_contexts - (min_contexts - 2) * (words - short) / (long - short))
+    return F.greatest(F.lit(2), F.least(F.lit(min_contexts), less)).cast("int")
+
+
 def template_lines(docs: DataFrame, text: str = "text", depth: int = 3, min_contexts: int = 8,
                    min_spread: float = 0.5, min_constant: float = 0.6,
-                   min_own: float | None = None) -> tuple[DataFrame, DataFrame]:
+                   min_own: float | None = None, long: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``(lines, templates)``.
 
     ``templates``: per boilerplate masked line ``leaf, mh, template, contexts,
     texts``. ``lines``: where lines of recurring leaves stand (``k1, k2`` are
     hashes of the whole text, so equal texts share their rows). With ``min_own``,
-    contexts are those of ``witnesses``.
+    contexts are those of ``witnesses``; with ``long`` as well, long templates need
+    fewer of them (``_needed``).
     """
     rows = docs.select(F.col(text).alias("text")).select(*_text_key("text"), "text") \
                .filter(F.col("text").isNotNull())
@@ -110,34 +121,42 @@ def template_lines(docs: DataFrame, text: str = "text", depth: int = 3, min_cont
     lines = every.drop("masked")
     if min_own is not None:
         lines = store(witnesses(every.select("*", _words(F.col("masked")).alias("words")), min_own), "lines")
-    leaves = (lines.filter(F.col("ctx").isNotNull()).groupBy("leaf", "ctx").count().groupBy("leaf").agg(F.count("*").alias("n"))
-              .filter(F.col("n") >= min_contexts).select("leaf"))
-    lines = store(lines.join(leaves, "leaf"), "lines")
+    size = F.lit(0) if min_own is None else F.max("words")   # all lines of a leaf have as many
+    leaves = (lines.filter(F.col("ctx").isNotNull()).groupBy("leaf", "ctx").agg(size.alias("words"))
+              .groupBy("leaf").agg(F.count("*").alias("n"), F.max("words").alias("words"))
+              .select("leaf", "n", _needed(F.col("words"), min_contexts, long).alias("need"))
+              .filter(F.col("n") >= F.col("need")).select("leaf", "need"))
+    lines = store(lines.join(leaves.select("leaf"), "leaf"), "lines")
     weight = (lines.groupBy("leaf", "mh", "ctx").count().groupBy("leaf", "mh")
               .agg(F.count("ctx").alias("w")))
 
     # The texts of the distinct masked lines of those leaves, by token position.
     words = (every.select("leaf", "mh", "masked").join(leaves, "leaf")
-             .groupBy("leaf", "mh").agg(F.first("masked").alias("masked")).join(weight, ["leaf", "mh"])
-             .select("leaf", "mh", "w", F.posexplode(F.split("masked", " ")).alias("at", "token")))
+             .groupBy("leaf", "mh").agg(F.first("masked").alias("masked"), F.first("need").alias("need"))
+             .join(weight, ["leaf", "mh"])
+             .select("leaf", "mh", "need", "w", F.posexplode(F.split("masked", " ")).alias("at", "token")))
     words = store(words, "words")
-    steady = (words.groupBy("leaf", "at", "token").agg(F.sum("w").alias("s"))
-              .filter((F.col("s") >= min_contexts) & (F.col("token") != WILD))
+    steady = (words.groupBy("leaf", "at", "token").agg(F.sum("w").alias("s"), F.first("need").alias("need"))
+              .filter((F.col("s") >= F.col("need")) & (F.col("token") != WILD))
               .select("leaf", "at", "token", F.lit(True).alias("steady")))
     shown = F.when(F.col("steady"), F.col("token")).otherwise(WILD)
     parsed = (words.join(steady, ["leaf", "at", "token"], "left")
               .groupBy("leaf", "mh")
               .agg(F.array_sort(F.collect_list(F.struct("at", shown.alias("t")))).alias("ts"),
-                   F.avg(F.when(F.col("steady"), 1.0).otherwise(0.0)).alias("constant"))
+                   F.avg(F.when(F.col("steady"), 1.0).otherwise(0.0)).alias("constant"),
+                   F.count("steady").alias("words"))
               .filter(F.col("constant") >= min_constant)
-              .select("leaf", "mh", F.concat_ws(" ", F.col("ts.t")).alias("template")))
+              .select("leaf", "mh", F.concat_ws(" ", F.col("ts.t")).alias("template"), "words"))
     parsed = store(parsed, "parsed")
-    seen = lines.join(parsed.select("leaf", "mh", F.xxhash64("template").alias("th")), ["leaf", "mh"])
+    seen = lines.drop("words").join(parsed.select("leaf", "mh", F.xxhash64("template").alias("th"), "words"),
+                                    ["leaf", "mh"])
     support = (seen.groupBy("leaf", "th")
-               .agg(F.count_distinct("ctx").alias("contexts"), F.count_distinct("k1", "k2").alias("texts"))
-               .filter((F.col("contexts") >= min_contexts)
+               .agg(F.count_distinct("ctx").alias("contexts"), F.count_distinct("k1", "k2").alias("texts"),
+                    F.first("words").alias("words"))
+               .filter((F.col("contexts") >= _needed(F.col("words"), min_contexts, long))
                        & (F.col("contexts") >= min_spread * F.col("texts"))))
-    templates = parsed.withColumn("th", F.xxhash64("template")).join(support, ["leaf", "th"]).drop("th")
+    templates = parsed.drop("words").withColumn("th", F.xxhash64("template")) \
+                      .join(support.drop("words"), ["leaf", "th"]).drop("th")
     return lines, templates
 
 
@@ -152,11 +171,13 @@ def drop_templates(docs: DataFrame, text: str = "text", depth: int = 3, min_cont
 
 
 def drop_boilerplate(docs: DataFrame, text: str = "text", depth: int = 3, min_contexts: int = 8,
-                     min_constant: float = 0.6, min_own: float = 0.5, dropped: str | None = None) -> DataFrame:
+                     min_constant: float = 0.6, min_own: float = 0.5, long: int = 50,
+                     dropped: str | None = None) -> DataFrame:
     """``drop_templates`` with the contexts of ``witnesses``, which copies do not
-    multiply; so a template needs its contexts only, in however many texts it stands."""
+    multiply; so a template needs its contexts only, in however many texts it stands,
+    and of ``long`` constant words on two contexts are enough."""
     return _without(docs, text, dropped,
-                    *template_lines(docs, text, depth, min_contexts, 0.0, min_constant, min_own))
+                    *template_lines(docs, text, depth, min_contexts, 0.0, min_constant, min_own, long))
 
 
 def _without(docs: DataFrame, text: str, dropped: str | None, lines: DataFrame, templates: DataFrame) -> DataFrame:

@@ -385,6 +385,17 @@ def test_copies_do_not_keep_boilerplate(spark):
     assert [got[i]["n_dropped"] for i in range(50)] == [1] * 50
 
 
+def test_long_passages_need_two_contexts(spark):
+    """A line of 60 words goes from two documents; short ones and lines of near copies stay."""
+    rng = random.Random(20)
+    long, short = letters(rng, 60), letters(rng, 8)
+    texts = ["\n".join([letters(rng, 70), s, letters(rng, 70)]) for s in [long] * 2 + [short] * 7]
+    copy = [letters(rng, 60) for _ in range(4)]
+    texts += ["\n".join([*copy, letters(rng, 60)]) for _ in range(3)]
+    got = as_dict(drop_boilerplate(docs(spark, texts), dropped="n_dropped"))
+    assert [got[i]["n_dropped"] for i in range(12)] == [1] * 2 + [0] * 10
+
+
 # --- 7 sharding -------------------------------------------------------------------------
 
 def test_shards_are_even_and_keep_copies_together(spark):
