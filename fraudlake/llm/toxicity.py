@@ -79,12 +79,12 @@ def grades(words: list[Counter], tied: set[str], toxic: np.ndarray) -> np.ndarra
 
 
 def fit(words: list[Counter], toxic: np.ndarray, l1: float = 2e-4, steps: int = 400,
-        min_docs: int = 5, max_share: float = 0.2) -> OrdinalModel:
+        min_docs: int = 5) -> OrdinalModel:
     """Accelerated proximal gradient, restarted where it overshoots, on the
     cumulative-link likelihood.
 
-    Features in fewer than ``min_docs`` or over ``max_share`` of the rows do not
-    take part, nor do those whose gradient without weights is below ``2 * l1``.
+    Features in fewer than ``min_docs`` rows do not take part, nor do those whose
+    gradient without weights is below ``2 * l1``; frequent ones do if they tell.
     """
     n = len(words)
     if n == 0 or toxic.all() or not toxic.any():
@@ -96,18 +96,18 @@ def fit(words: list[Counter], toxic: np.ndarray, l1: float = 2e-4, steps: int =
         f = features(c)
         cols.append(np.array([at.setdefault(w, len(at)) for w in f], np.int32))
         vals.append(np.log1p(np.array(list(f.values()), float)))
-    rows = np.repeat(np.arange(n), [len(x) for x in cols])
+    rows = np.repeat(np.arange(n, dtype=np.int32), [len(x) for x in cols])
     cols, vals = np.concatenate(cols), np.concatenate(vals)
     df, in1 = np.bincount(cols, minlength=len(at)), np.bincount(cols[toxic[rows]], minlength=len(at))
     n1 = int(toxic.sum())
     odds = np.log(((in1 + 1) / (n1 + 2)) / ((df - in1 + 1) / (n - n1 + 2)))
     names = list(at)
     y = grades(words, {names[i] for i in np.flatnonzero((in1 >= 5) & (odds >= 2.0))}, toxic)
-    stay = (df >= min_docs) & (df <= max(min_docs, max_share * n))
+    stay = df >= min_docs
     vocab = [names[i] for i in np.flatnonzero(stay)]
     some, new = stay[cols], np.cumsum(stay) - 1
-    rows, cols, vals = rows[some], new[cols[some]], vals[some]
-    del at, names
+    rows, cols, vals = rows[some], new[cols[some]].astype(np.int32), vals[some]
+    del at, names, some
     dot = lambda w: np.bincount(rows, vals * w[cols], n)
     back = lambda r: np.bincount(cols, vals * r[rows], len(vocab))
     sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -50, 50)))
@@ -135,7 +135,7 @@ def fit(words: list[Counter], toxic: np.ndarray, l1: float = 2e-4, steps: int =
     stay = pull >= 2 * l1
     new = np.cumsum(stay) - 1
     some = stay[cols]
-    rows, cols, vals = rows[some], new[cols[some]], vals[some]
+    rows, cols, vals = rows[some], new[cols[some]].astype(np.int32), vals[some]
     vocab = [v for v, k in zip(vocab, stay) if k]
     w = np.zeros(len(vocab))
     best = loss(w, th)[0]

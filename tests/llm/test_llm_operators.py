@@ -204,6 +204,17 @@ def test_toxicity_of_word_forms_and_separable_labels():
     assert sum(a == b for a, b in zip(said, toxic[600:])) >= 594
 
 
+def test_toxicity_of_a_frequent_copy():
+    """One toxic text that makes up a third of the rows is learnt."""
+    rng = random.Random(12)
+    bad = "".join(rng.choice("aeioulmn") for _ in range(40))
+    copy = " ".join(bad[i:i + 7] for i in range(0, 35, 7))
+    clean = [" ".join("".join(rng.choice("bcdfghjkp") for _ in range(4)) for _ in range(30)) for _ in range(400)]
+    texts, toxic = clean + [copy] * 200, [False] * 400 + [True] * 200
+    model = toxicity.fit([collections.Counter(t.split()) for t in texts], np.array(toxic))
+    assert model.score(copy)[0] >= 0.5 and sum(model.score(t)[0] >= 0.5 for t in clean) <= 4
+
+
 # --- 4 packing -----------------------------------------------------------------------
 
 def check_pieces(rows, texts, length):
