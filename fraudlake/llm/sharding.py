@@ -4,9 +4,10 @@ Rows start spread by a hash. In each round every row looks at the shards of
 its neighbours of smaller id (so that two rows never swap places for ever),
 by a join of the links with the labels, and wishes to move to the shard most
 of them are in. A star needs one round, a path as many as it is long. Wishes are granted within quotas: a
-shard's room for linked rows over its demand is the share of link groups it
-takes, decided by a hash of the group, so a group moves together. After the rounds
-an exact repair moves what stands above a shard's count, rows without links
+shard's room for linked rows, counting those that leave it in the same round, over
+its demand is the share of link groups it takes, decided by a hash of the group, so
+a group moves together. Rounds go on until no wish is left or can be granted. An
+exact repair then moves what stands above a shard's count, rows without links
 first, into the shards below theirs.
 
 Law: ``rows``. Counts differ by one at most.
@@ -18,8 +19,9 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from itertools import accumulate
+from itertools import accumulate, count
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +31,8 @@ from fraudlake.llm.common import partitions, release, store
 def copy_links(rows: DataFrame, group: list[str], most: int) -> DataFrame:
     """Star links ``(src, dst)`` between rows (``vid``) that agree on ``group``.
 
-    A group of over ``most`` rows is dealt by a hash into stars of about that
-    many, since one shard could not hold it; no star's links pass through a
+    A group of over ``most`` rows (a whole shard) is dealt by a hash into stars of
+    at most about that many, since one shard could not hold it; no star's links pass through a
     single task except as a count.
     """
     n = rows.groupBy(*group).agg(F.count("*").alias("n")).filter("n > 1")
@@ -40,12 +42,31 @@ def copy_links(rows: DataFrame, group: list[str], most: int) -> DataFrame:
     return x.join(hub, [*group, "part"]).select(F.col("vid").alias("src"), "dst").filter("src != dst")
 
 
-def label_propagation(rows: DataFrame, links: DataFrame, shards: int, rounds: int = 3,
+def shares(room: list[float], flow: dict[tuple[int, int], int]) -> list[float]:
+    """The share of the wishes to each shard that is granted: the largest for which
+    no shard's granted inflow is over its ``room`` and its granted outflow.
+    ``flow``: ``(from, to) -> wishes``."""
+    n = len(room)
+    w = np.zeros((n, n))
+    for (a, b), k in flow.items():
+        w[a, b] = k
+    demand = w.sum(axis=0)
+    share = (demand > 0).astype(float)
+    for _ in range(10_000):   # from all granted downwards; a few thousand numbers a step
+        free = np.maximum(0.0, np.array(room)) + w @ share
+        nxt = np.minimum(share, np.divide(free, demand, out=np.zeros(n), where=demand > 0))
+        done, share = np.abs(nxt - share).max(initial=0.0) < 1e-9, nxt
+        if done:
+            break
+    return share.tolist()
+
+
+def label_propagation(rows: DataFrame, links: DataFrame, shards: int, rounds: int | None = None,
                       fill: float = 0.95) -> DataFrame:
     """``(vid, shard, slot)`` for every row of ``rows`` (unique ``vid``).
 
     ``links`` holds ``(src, dst)``; direction is ignored. Slots number each
-    shard's rows from 0 without gaps.
+    shard's rows from 0 without gaps. ``rounds``: at most so many.
     """
     spark = rows.sparkSession
     down = store(links.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
@@ -54,12 +75,16 @@ def label_propagation(rows: DataFrame, links: DataFrame, shards: int, rounds: in
     star = (down.groupBy(F.col("src").alias("vid")).agg(F.min("dst").alias("star"))
             .unionAll(down.select(F.col("dst").alias("vid"), F.col("dst").alias("star")).distinct())
             .groupBy("vid").agg(F.min("star").alias("star")))
+    # Its size, as a power of two: the repair moves small ones first.
+    band = star.groupBy("star").agg(F.floor(F.log2(F.count("*").cast("double"))).cast("int").alias("band"))
+    star = star.join(band, "star")
     now = rows.select("vid").withColumn("shard", F.pmod(F.xxhash64("vid"), F.lit(shards)).cast("int")) \
               .join(star, "vid", "left")
     now = store(now, "labels")
     total = now.count()
-    limit = total / shards * fill   # for linked rows; the others make room for them
-    for r in range(rounds):
+    linked = now.filter(F.col("star").isNotNull()).count()
+    limit = max(total * fill, linked) / shards   # for linked rows; the others make room for them
+    for r in count() if rounds is None else range(rounds):
         votes = (down.join(now.select(F.col("vid").alias("dst"), F.col("shard").alias("to")), "dst")
                  .groupBy("src", "to").agg(F.count("*").alias("n")))
         best = (votes.join(now.select(F.col("vid").alias("src"), "shard", "star"), "src")
@@ -67,17 +92,18 @@ def label_propagation(rows: DataFrame, links: DataFrame, shards: int, rounds: in
                 .agg(F.max_by("to", F.struct("n", F.col("to") == F.col("shard"), -F.col("to"))).alias("to"))
                 .filter("to != shard"))
         best = store(best, "moves")
-        if best.isEmpty():
-            break
+        flow = {(x["shard"], x["to"]): x["count"] for x in best.groupBy("shard", "to").count().collect()}
         size = {x["shard"]: x["n"] for x in now.groupBy("shard").agg(F.count("star").alias("n")).collect()}
-        wish = {x["to"]: x["count"] for x in best.groupBy("to").count().collect()}
-        share = [min(1.0, max(0.0, limit - size.get(s, 0)) / wish[s]) if s in wish else 0.0
-                 for s in range(shards)]
+        share = shares([limit - size.get(s, 0) for s in range(shards)], flow)
+        # Expected grants of under one row in all: no wish is left that can be granted.
+        if sum(k * share[b] for (_, b), k in flow.items()) < 1:
+            release(best)
+            break
         quota = F.get(F.array(*[F.lit(x) for x in share]), F.col("to"))
         lot = F.pmod(F.xxhash64("star", F.lit(r)), F.lit(1 << 20)) / F.lit(float(1 << 20))
         moved = best.filter(lot < quota).select(F.col("src").alias("vid"), "to")
         nxt = store(now.join(moved, "vid", "left")
-                    .select("vid", F.coalesce("to", "shard").alias("shard"), "star"), "labels")
+                    .select("vid", F.coalesce("to", "shard").alias("shard"), "star", "band"), "labels")
         release(now)
         release(best)
         now = nxt
@@ -88,17 +114,19 @@ def _even(labels: DataFrame, shards: int, total: int, blocks: int) -> DataFrame:
     """Exact counts: rows ranked beyond their shard's count fill the others.
 
     Ranks are taken in two steps, counts per block and then row numbers in a
-    block, so no shard is sorted in one task. Linked rows come first and in
-    the order of their star, so those without links are moved first.
+    block, so no shard is sorted in one task. Linked rows come first, those of large
+    stars before others and in the order of their star, so rows without links and
+    then small stars are moved first.
     """
     blocks = max(blocks, total // 200_000 + 1)
     x = labels.select("vid", "shard", "star", F.col("star").isNull().alias("free"),
+                      F.coalesce(-F.col("band"), F.lit(0)).alias("band"),
                       F.pmod(F.xxhash64(F.coalesce("star", "vid")), F.lit(blocks)).alias("block"),
                       # a large star is ranked in several pieces
                       F.pmod(F.xxhash64("vid", F.lit(3)), F.lit(8)).alias("sub"))
-    key = ["shard", "free", "block", "sub"]
+    key = ["shard", "free", "band", "block", "sub"]
     n = x.groupBy(*key).agg(F.count("*").alias("n"))
-    before = Window.partitionBy("shard").orderBy("free", "block", "sub") \
+    before = Window.partitionBy("shard").orderBy("free", "band", "block", "sub") \
                    .rowsBetween(Window.unboundedPreceding, -1)
     n = n.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
     inside = Window.partitionBy(*key).orderBy("vid")
@@ -125,7 +153,7 @@ def _even(labels: DataFrame, shards: int, total: int, blocks: int) -> DataFrame:
          .otherwise(F.col("rank")).cast("long").alias("slot"))
 
 
-def shard_documents(docs: DataFrame, shards: int = 40, rounds: int = 3, fill: float = 0.95) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 40, rounds: int | None = None, fill: float = 0.95) -> DataFrame:
     """Every document with its shard: links join documents of equal text."""
     body = F.coalesce(F.col("text"), F.lit(""))
     rows = store(docs.select(
@@ -133,6 +161,6 @@ def shard_documents(docs: DataFrame, shards: int = 40, rounds: int = 3, fill: fl
         (F.octet_length(body) + 16).cast("long").alias("size"), F.crc32(body).alias("text_crc32"),
         F.xxhash64(body).alias("text_key")), "rows")
     total = rows.count()
-    links = copy_links(rows, ["text_key", "text_crc32", "size"], max(2, total // shards // 4))
+    links = copy_links(rows, ["text_key", "text_crc32", "size"], max(2, total // shards))
     placed = label_propagation(rows, links, shards, rounds, fill)
     return rows.join(placed, "vid").select("doc_id", "size", "text_crc32", "shard", "slot", "text_key")

@@ -434,6 +434,20 @@ def test_shards_are_even_and_keep_copies_together(spark):
     assert shard_documents(docs(spark, []), 10).count() == 0
 
 
+def test_copies_gather_where_all_rows_are_linked(spark):
+    """No row is free, no shard has room but by what leaves it; defaults as in production."""
+    texts = [f"text {i // 5}" for i in range(2000)] + ["large"] * 60
+    rows = shard_documents(docs(spark, texts), 10).collect()
+    size, where = collections.Counter(), collections.defaultdict(collections.Counter)
+    for r in rows:
+        size[r["shard"]] += 1
+        where[texts[r["doc_id"]]][r["shard"]] += 1
+    assert len(rows) == len(texts) and max(size.values()) - min(size.values()) <= 1
+    together = sum(max(c.values()) for t, c in where.items() if t != "large")
+    assert together >= 0.85 * 2000                  # about 0.37 for shards drawn at random
+    assert max(where["large"].values()) >= 54       # under a shard, over a quarter of one
+
+
 def test_propagation_over_general_links(spark):
     rows = spark.range(400).select(F.col("id").alias("vid"))
     links = spark.createDataFrame([(10 * g + i, 10 * g + j) for g in range(40) for i in range(10) for j in range(i)],
