@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from fraudlake.llm import decontam, packing, toxicity
+from fraudlake.llm import conversation_repair as conversations, decontam, packing, toxicity
 from fraudlake.llm.common import read, scratch_root, store
 from fraudlake.llm.embed_dedup import near_vectors
 from fraudlake.llm.line_templates import drop_templates
@@ -113,6 +113,19 @@ def q_op10_token_rollup(spark, sf):
     return rollup.totals()
 
 
+def q_op11_conversation_repair(spark, sf):
+    """Every conversation's faults, cheapest repair and the repaired rows' digest."""
+    given = read(spark, sf, "conversations")
+    edits, summary = conversations.repair(conversations.damage(given))
+    ids = given.select(conversations.conversation_key().alias("conv")).distinct()
+    out = ids.join(summary, "conv", "left").join(conversations.digests(edits), "conv", "left")
+    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in
+            ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select(F.expr("cast(nullif(substr(conv, 2), '') as bigint)").alias("conv_id"), *zero,
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_suffix_repeats": q_op1_suffix_repeats,
     "op2_template_urls": q_op2_template_urls,
@@ -124,6 +137,7 @@ QUERIES = {
     "op8_hyperplane_vectors": q_op8_hyperplane_vectors,
     "op9_hamming_minhash": q_op9_hamming_minhash,
     "op10_token_rollup": q_op10_token_rollup,
+    "op11_conversation_repair": q_op11_conversation_repair,
 }
 
 _OP6 = r"""
@@ -202,9 +216,73 @@ SELECT s.doc_id, len(s.s) AS n_shingles, c.c AS component_id, s.doc_id = c.c AS
 FROM s JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) c ON c.a = s.doc_id
 """
 
+_OP11 = r"""
+WITH RECURSIVE tab AS (
+  SELECT list(list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z:
+           CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab
+  FROM (SELECT i::BIGINT AS i FROM range(256) r(i))),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_concat([4294967295], list_transform(
+           string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+           lambda x: ord(x)::BIGINT)), lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 AS k
+  FROM conversations, tab),
+rows_ AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM given WHERE k <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS fin FROM rows_),
+x AS MATERIALIZED (
+  SELECT *, CASE WHEN fin = '' THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN fin NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         left(role, 1) || coalesce(lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i), '-') AS pair,
+         count(*) OVER (PARTITION BY conv_id) = i AS final
+  FROM placed),
+per AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (NOT final AND pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM x GROUP BY conv_id),
+state(s, follow, says) AS (VALUES ('', 'u', 'user:'), ('s', 'u', 'user:'), ('u', 'a', 'assistant:'), ('a', 'u', 'user:')),
+gap AS (
+  SELECT s AS s0, s, '' AS pre, 0 AS c, []::VARCHAR[] AS ins FROM state
+  UNION ALL SELECT s, follow, 'I', 3, [says] FROM state),
+best AS (
+  SELECT conv_id, n + 1 AS i, s, {c: c::BIGINT, a: a, r: r} AS w
+  FROM per, (VALUES ('', 0, '', []::VARCHAR[]), ('s', 6, 'II', ['user:', 'assistant:']),
+                    ('u', 3, 'I', ['assistant:']), ('a', 0, '', []::VARCHAR[])) e(s, c, a, r)
+  UNION ALL
+  SELECT conv_id, i, s0, min({c: c, a: a, r: r}) FROM (
+    SELECT b.conv_id, x.i, g.s0,
+           g.c + b.w.c + CASE e WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END
+             + CASE WHEN e <> 'D' AND fault = 'truncated' THEN 3 ELSE 0 END AS c,
+           g.pre || e || b.w.a AS a,
+           list_concat(g.ins, CASE e WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [role || ':' || text]
+                                ELSE [says || text] END, b.w.r) AS r
+    FROM best b JOIN x ON x.conv_id IS NOT DISTINCT FROM b.conv_id AND x.i = b.i - 1,
+         gap g JOIN state t ON t.s = g.s, (VALUES ('D'), ('K'), ('R')) l(e)
+    WHERE CASE e WHEN 'D' THEN b.s = g.s
+               WHEN 'R' THEN fault NOT IN ('blank', 'duplicate') AND b.s = follow
+               ELSE fault NOT IN ('blank', 'duplicate') AND b.s = left(role, 1)
+                    AND (b.s = follow OR b.s = 's' AND g.s = '') END)
+  GROUP BY conv_id, i, s0)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.w.c, 0) AS cost,
+       coalesce(b.w.a, '') AS audit, sha256(coalesce(array_to_string(b.w.r, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d
+LEFT JOIN per p ON p.conv_id IS NOT DISTINCT FROM d.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM d.conv_id AND b.i = 1 AND b.s = ''
+"""
+
 ORACLE_SQL = {
     "op2_template_urls": judge_sql(RULES),
     "op6_line_templates": _OP6,
     "op8_hyperplane_vectors": _OP8,
     "op9_hamming_minhash": _OP9,
+    "op11_conversation_repair": _OP11,
 }
