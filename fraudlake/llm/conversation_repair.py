@@ -150,11 +150,6 @@ def join_blocks(a: tuple[list, list], b: tuple[list, list]) -> tuple[list, list,
     return cost, rank, mid
 
 
-def last_state(cost: list, rank: list) -> int:
-    """The exit state of a whole conversation."""
-    return min((cost[t] + END[t][1], rank[t], t) for t in STATES if cost[t] is not None)[2]
-
-
 def fill(rows: list[tuple[str, bool, bool]], entry: int, leave: int | None) -> tuple[int, str]:
     """Cost and audit of a block between two states; to the conversation's end if ``leave`` is None."""
     width = 2 * len(rows) + 2
@@ -307,14 +302,12 @@ def decide(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
                         .mapInPandas(fold, NODE + ", children array<long>, steps array<array<int>>"), "joined"))
         level = up[-1].select(*level.columns)
 
-    @F.pandas_udf("int")
-    def leave(cost: pd.Series, rank: pd.Series) -> pd.Series:
-        whole = lambda y: [None if pd.isna(x) else int(x) for x in y]
-        return pd.Series([last_state(whole(c), whole(r)) for c, r in zip(cost, rank)], dtype="int32")
-
-    roots = store(level.select("conv", "block", "illegal", "cost", leave("cost", "rank").alias("leave")), "roots")
-    tail = F.element_at(F.array(*[F.lit(END[t][1]) for t in STATES]), F.col("leave") + 1)
-    ends = roots.select("conv", "illegal", "leave", (F.element_at("cost", F.col("leave") + 1) + tail).cast("long").alias("cost"))
+    exits = [F.struct((F.col("cost")[t] + END[t][1]).alias("cost"), F.col("rank")[t].alias("rank"), F.lit(t).alias("leave"))
+             for t in STATES]
+    whole = F.array_min(F.filter(F.array(*exits), lambda x: x["cost"].isNotNull()))
+    roots = store(level.select("conv", "block", "illegal", whole.alias("x")).select(
+        "conv", "block", "illegal", "x.cost", "x.leave"), "roots")
+    ends = roots.select("conv", "illegal", "leave", "cost")
     states = roots.select("block", F.lit(START).alias("entry"), "leave")
     for joined in reversed(up):
         states = store(joined.select("block", "children", "steps").join(states, "block")
@@ -378,16 +371,18 @@ def digests(edits: DataFrame) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         conv = None
-        for g in (g for f in frames for _, g in f.groupby("conv", sort=False)):
-            if g["conv"].iloc[0] != conv:
-                if conv is not None:
-                    yield pd.DataFrame([(conv, "".join(audit), sha.hexdigest())], columns=names)
-                conv, sha, audit, sep = g["conv"].iloc[0], hashlib.sha256(), [], ""
-            audit.append("".join(g["edit"]))
-            for edit, role, text in zip(g["edit"], g["role"], g["text"]):
+        for f in frames:
+            done = []
+            for name, edit, role, text in zip(f["conv"], f["edit"], f["role"], f["text"]):
+                if name != conv:
+                    if conv is not None:
+                        done.append((conv, "".join(audit), sha.hexdigest()))
+                    conv, sha, audit, sep = name, hashlib.sha256(), [], ""
+                audit.append(edit)
                 if edit != "D":
                     sha.update(f"{sep}{role}:{text}".encode())
                     sep = "\n"
+            yield pd.DataFrame(done, columns=names)
         if conv is not None:
             yield pd.DataFrame([(conv, "".join(audit), sha.hexdigest())], columns=names)
 

@@ -169,7 +169,7 @@ def test_blocks_and_joined_blocks(block):
         for other in nodes[1:]:
             *node, mid = R.join_blocks(node, other)
             mids.append(mid)
-        at = R.last_state(*node)
+        at = min((node[0][t] + R.END[t][1], node[1][t], t) for t in R.STATES if node[0][t] is not None)[2]
         audit = R.END[at][0]
         for p, mid in zip(reversed(parts[1:]), reversed(mids)):
             s = mid[at]
