@@ -15,6 +15,7 @@ from fraudlake.llm.sharding import shard_documents
 from fraudlake.llm.suffix_dedup import remove_repeats
 from fraudlake.llm.token_rollup import TokenRollup, count_tokens
 from fraudlake.llm.url_filter import judge, judge_sql
+from fraudlake.llm.vector_search import search
 
 SHARDS = 40
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
@@ -126,6 +127,11 @@ def q_op11_conversation_repair(spark, sf):
                       F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+def q_op12_polytope_search(spark, sf):
+    """The 20 nearest vectors of each vector whose id is divisible by 20."""
+    return search(read(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 QUERIES = {
     "op1_suffix_repeats": q_op1_suffix_repeats,
     "op2_template_urls": q_op2_template_urls,
@@ -138,6 +144,7 @@ QUERIES = {
     "op9_hamming_minhash": q_op9_hamming_minhash,
     "op10_token_rollup": q_op10_token_rollup,
     "op11_conversation_repair": q_op11_conversation_repair,
+    "op12_polytope_search": q_op12_polytope_search,
 }
 
 _OP6 = r"""
