@@ -13,6 +13,7 @@ from fraudlake.llm.line_templates import drop_templates
 from fraudlake.llm.minhash_dedup import near_documents
 from fraudlake.llm.sharding import shard_documents
 from fraudlake.llm.suffix_dedup import remove_repeats
+from fraudlake.llm.token_alignment import align_documents
 from fraudlake.llm.token_rollup import TokenRollup, count_tokens
 from fraudlake.llm.url_filter import judge, judge_sql
 from fraudlake.llm.vector_search import search
@@ -132,6 +133,11 @@ def q_op12_polytope_search(spark, sf):
     return search(read(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def q_op13_token_alignment(spark, sf):
+    """Every document's alignment of two vocabularies, measured over the corpus."""
+    return align_documents(read(spark, sf, "documents"))[0]
+
+
 QUERIES = {
     "op1_suffix_repeats": q_op1_suffix_repeats,
     "op2_template_urls": q_op2_template_urls,
@@ -145,6 +151,7 @@ QUERIES = {
     "op10_token_rollup": q_op10_token_rollup,
     "op11_conversation_repair": q_op11_conversation_repair,
     "op12_polytope_search": q_op12_polytope_search,
+    "op13_token_alignment": q_op13_token_alignment,
 }
 
 _OP6 = r"""
