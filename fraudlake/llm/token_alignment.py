@@ -32,7 +32,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -65,10 +64,10 @@ def pieces(path: str):
 
 
 @lru_cache(maxsize=4)
-def shapes(kind: str, path: str) -> tuple[list[bytes], np.ndarray, list[str]]:
+def shapes(kind: str, path: str) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Bytes, lengths and decimal names of a vocabulary's ids."""
     tokens = byte_tokens(path) if kind == "bytes" else pieces(path)[1]
-    return tokens, np.array([len(t) for t in tokens], np.int64), [str(i) for i in range(len(tokens))]
+    return tokens, np.array([len(t) for t in tokens], np.int64), np.array([str(i) for i in range(len(tokens))], object)
 
 
 class Alignment:
@@ -82,15 +81,14 @@ class Alignment:
         self.count_b = np.diff(np.flatnonzero(cut_b), prepend=-1)
         self.links = self.count_a * self.count_b
 
-    def text(self, names_a: list[str], names_b: list[str]) -> str:
+    def text(self, names_a: np.ndarray, names_b: np.ndarray) -> str:
         """``a1,a2|b1;a3|b2,b3``"""
-        n = len(self.a)
         order = np.argsort(np.concatenate([self.group_a * 2, self.group_b * 2 + 1]), kind="stable")
-        marks = np.full(len(order), ",", "<U1")
+        out = np.full(2 * len(order), ",", object)
+        out[0::2] = np.concatenate([names_a[self.a], names_b[self.b]])[order]
         ends = np.cumsum(np.stack([self.count_a, self.count_b], axis=1).ravel()) - 1
-        marks[ends[0::2]], marks[ends[1::2]] = "|", ";"
-        ids = (names_a[self.a[i]] if i < n else names_b[self.b[i - n]] for i in order.tolist())
-        return "".join(chain.from_iterable(zip(ids, marks.tolist())))[:-1]
+        out[2 * ends[0::2] + 1], out[2 * ends[1::2] + 1] = "|", ";"
+        return "".join(out.tolist()[:-1])
 
     def pairs(self, base: int) -> tuple[np.ndarray, np.ndarray]:
         """Different pairs (``a * base + b``), ascending, and their links."""
