@@ -52,6 +52,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names`` for inner columns, made longer where ``df`` has such a column."""
+    have, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in have:
+            n += "_"
+        have.add(n.lower())
+        out.append(n)
+    return out
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b",
                          max_rounds: int = 60) -> DataFrame:
     """Connected components of an edge list by alternating large-star and

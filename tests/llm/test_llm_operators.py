@@ -187,6 +187,35 @@ def test_toxicity(spark):
     assert toxicity.score(d.limit(0), model).count() == 0
 
 
+def test_toxicity_is_not_hidden_by_clean_text(spark):
+    rng = random.Random(17)
+    bad = ["idiot", "moron", "scum"]
+    texts = [" ".join(rng.choice(bad) if i % 4 == 0 and rng.random() < 0.08 else w for w in prose(rng, 90).split())
+             + (" scum idiot" if i % 4 == 0 else "") for i in range(500)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)], "doc_id long, toxic int")
+    model = toxicity.train(docs(spark, texts), labels)
+    clean = " ".join(texts[i] for i in range(300, 320) if i % 4)
+    held = [t for i, t in enumerate(texts) if i >= 300 and i % 4 == 0]
+    for t in held:
+        assert model.score(t + " " + clean)[0] >= model.score(t)[0]
+    assert sum(model.score(t + " " + clean)[0] >= 0.5 for t in held) >= 0.9 * len(held)
+    assert model.score(clean)[0] < 0.5
+    for t in (None, "", "1 2 3", "qqq zzz"):
+        assert np.allclose(model.score(t), (0.25, sum(model.base))) and model.base[0] == 0.25
+
+
+def test_toxicity_fit_is_bounded_in_bytes(spark):
+    """Rows are taken in hash order up to the bound; a text over a sixteenth of it is not read."""
+    rng = random.Random(3)
+    texts = [prose(rng, 40) + (" scum" * 3 if i % 3 == 0 else "") for i in range(200)] + ["scum " * 100_000]
+    d = docs(spark, texts).withColumn("said", F.lit(1)).withColumn("size", F.lit("x"))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(201)], "doc_id long, toxic int")
+    model = toxicity.train(d, labels, sample_bytes=20_000)
+    assert 0 < len(model.thetas) and 0.2 < model.base[0] < 0.5
+    x = toxicity.score(d, model)
+    assert x.columns == [*d.columns, "toxicity"] and x.filter("toxicity.rejected").count() >= 1
+
+
 def test_toxicity_of_word_forms_and_separable_labels():
     """Stems whose forms hardly repeat are learnt; labels that the features part
     completely, or of grades that no row has, leave finite weights in order."""
