@@ -33,11 +33,12 @@ from fraudlake.llm.common import store
 WILD = "<*>"
 
 
-def _masked(text: Column) -> Column:
-    """A whole text with runs of blanks as one and variable tokens masked; the
-    patterns match only what changes, and most texts need neither."""
-    one = F.regexp_replace(text, r"\t[ \t]*| [ \t]+", " ")
-    return F.when(one.rlike("[0-9]"), F.regexp_replace(one, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*", WILD)).otherwise(one)
+def _masked(line: Column) -> Column:
+    """A line with runs of blanks as one and variable tokens masked. Most lines
+    need neither, which plain searches for a tab, two blanks or a digit tell."""
+    odd = line.contains("\t") | line.contains("  ")
+    one = F.when(odd, F.regexp_replace(line, r"[ \t]+", " ")).otherwise(line)
+    return F.trim(F.when(line.rlike("[0-9]"), F.regexp_replace(one, r"[^ ]*[0-9][^ ]*", WILD)).otherwise(one))
 
 
 def _leaf(masked: Column, depth: int) -> Column:
@@ -59,8 +60,7 @@ def _text_key(text: str) -> tuple[Column, Column]:
 
 def _lines(rows: DataFrame, depth: int) -> DataFrame:
     """One row per line: its leaf, the hash of its masked form, its context."""
-    x = rows.select("k1", "k2", _masked(F.col("text")).alias("m"))
-    x = x.select("k1", "k2", F.transform(F.split("m", "\n"), F.trim).alias("m"))
+    x = rows.select("k1", "k2", F.transform(F.split("text", "\n"), _masked).alias("m"))
     x = x.select("k1", "k2", "m", F.transform("m", lambda t: _leaf(t, depth)).alias("lf"))
     at = lambda i: F.coalesce(F.get("lf", F.col("pos") + i), F.lit(0))
     return (x.select("k1", "k2", "lf", F.posexplode("m").alias("pos", "masked"))
