@@ -16,8 +16,8 @@ dropped, if it
 
 Defined cases: a null text stays null; an empty or blank line is never
 dropped; a text whose lines are all dropped becomes empty; repeated rows are
-counted as they are (same context) and all cleaned alike; other columns pass
-through, whatever their names.
+counted as they are (same context) and all cleaned alike; a text may have any
+number of lines; other columns pass through, whatever their names.
 
 ``drop_boilerplate`` is the same with contexts that neither the lines around
 a line nor copies decide: see ``witnesses``.
@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudlake.llm.common import store
+from fraudlake.llm.common import fresh, store
 
 WILD = "<*>"
 
@@ -181,14 +181,22 @@ def drop_boilerplate(docs: DataFrame, text: str = "text", depth: int = 3, min_co
 
 
 def _without(docs: DataFrame, text: str, dropped: str | None, lines: DataFrame, templates: DataFrame) -> DataFrame:
-    gone = (lines.join(templates.select("leaf", "mh"), ["leaf", "mh"])
-            .groupBy(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"))
-            .agg(F.collect_set("pos").alias("__gone")))
+    # A bit for each line that goes, 64 to a word: looked up in one step per line.
+    pos = F.col("pos")
+    words = (lines.join(templates.select("leaf", "mh"), ["leaf", "mh"])
+             .groupBy("k1", "k2", F.shiftright(pos, 6).alias("w"))
+             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), pos.bitwiseAND(63))).alias("b")))
+    a, b, bits, n = fresh(docs, "k1", "k2", "bits", "gone")
+    gone = (words.groupBy("k1", "k2").agg(F.map_from_entries(F.collect_list(F.struct("w", "b"))).alias("m"),
+                                          F.max("w").alias("top"), F.sum(F.bit_count("b")).alias("n"))
+            .select(F.col("k1").alias(a), F.col("k2").alias(b), F.col("n").cast("long").alias(n),
+                    F.transform(F.sequence(F.lit(0), "top"), lambda i: 
+                        F.coalesce(F.try_element_at("m", i), F.lit(0).cast("long"))).alias(bits)))
     k1, k2 = _text_key(text)
-    x = docs.select("*", k1.alias("__k1"), k2.alias("__k2")).join(gone, ["__k1", "__k2"], "left")
-    kept = F.concat_ws("\n", F.filter(F.split(text, "\n"), lambda s, i: ~F.array_contains("__gone", i)))
-    new = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept)
+    x = docs.select("*", k1.alias(a), k2.alias(b)).join(gone, [a, b], "left")
+    stays = lambda _, i: F.coalesce(F.getbit(F.get(bits, F.shiftright(i, 6)), i.bitwiseAND(63)), F.lit(0)) == 0
+    new = F.when(F.col(n).isNull(), F.col(text)).otherwise(F.concat_ws("\n", F.filter(F.split(text, "\n"), stays)))
     cols = [new.alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns]
     if dropped:
-        cols.append(F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias(dropped))
+        cols.append(F.coalesce(n, F.lit(0).cast("long")).alias(dropped))
     return x.select(*cols)

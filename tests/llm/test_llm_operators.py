@@ -436,6 +436,22 @@ def test_long_passages_need_two_contexts(spark):
     assert [got[i]["n_dropped"] for i in range(12)] == [1] * 2 + [0] * 10
 
 
+def test_a_text_of_many_lines_and_clashing_columns(spark):
+    rng = random.Random(31)
+    say = lambda n: prose(rng, n).translate(str.maketrans("0123456789", "qrstuvwxyz"))
+    many = "\n".join("Share this page with your friends today" if i % 3 == 0 else say(6) for i in range(3000))
+    texts = [many] + [say(9) + "\nShare this page with your friends today\n" + say(7) for _ in range(20)]
+    rows = [(i, t, "a", "b", "c", 1) for i, t in enumerate(texts)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, k1 string, k2 string, bits string, gone int")
+    for drop in (drop_templates, drop_boilerplate):
+        out = drop(d, dropped="n")
+        assert out.columns == [*d.columns, "n"]
+        got = {r["doc_id"]: r for r in out.collect()}
+        assert got[0]["text"] == "\n".join(x for x in many.split("\n") if not x.startswith("Share")) and got[0]["n"] == 1000
+        assert all(got[i]["text"] == texts[i].replace("Share this page with your friends today\n", "") for i in range(1, 21))
+        assert got[3]["k1"] == "a" and got[3]["gone"] == 1
+
+
 # --- 7 sharding -------------------------------------------------------------------------
 
 def test_shards_are_even_and_keep_copies_together(spark):
