@@ -6,11 +6,16 @@ A batch is reduced to signed additive totals per (source, lang, tokenizer)
 before anything is shuffled or stored, so one hot source costs one row per
 task. Totals are the sums over committed batches.
 
-Commits are idempotent: a batch is written under its own id and counts only
-from its commit record on; a batch id that is committed already is skipped,
-one that died half way is overwritten by its rerun.
+The totals are maintained: a commit adds a batch's signed totals to those of the last
+generation and writes them as the next one, so a read is one generation, however
+many batches were committed. A generation is a row per key, not per change.
 
-Defined cases: null source or language is a key of its own; a null or empty
+Commits are idempotent: a batch's generation counts only from its commit record
+on, which names the batch, the generation and the one it adds to; a batch id that
+is committed already is skipped, one that died half way left no record and is
+run again. There is one committing run at a time. Ids are free text: folders are named otherwise.
+
+Defined cases: an unknown or null operation is refused before anything is written; null source or language is a key of its own; a null or empty
 text has no tokens but is a document; a null count is 0; a key whose totals
 are all 0 is not reported; an empty batch commits and changes nothing;
 repeated rows are counted as often as they stand.
@@ -18,12 +23,15 @@ repeated rows are counted as often as they stand.
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KEYS = ["source", "lang", "tokenizer"]
+OPERATIONS = ("insert", "delete", "revise")
 TOTALS = "source string, lang string, tokenizer string, docs long, tokens long"
 
 
@@ -58,23 +66,34 @@ class TokenRollup:
             return self.spark.createDataFrame([], schema)
 
     def committed(self) -> DataFrame:
-        return self._read("commits", "batch string").distinct()
+        """``(batch, number, folder)``: a row per batch, in the order of ``number``."""
+        return self._read("commits", "batch string, number long, folder string")
+
+    def _last(self) -> tuple[int, str | None]:
+        r = self.committed().agg(F.max(F.struct("number", "folder")).alias("m")).first()["m"]
+        return (r["number"], r["folder"]) if r else (0, None)
+
+    def _generation(self, folder: str | None) -> DataFrame:
+        return self._read(f"totals/{folder}", TOTALS) if folder else self.spark.createDataFrame([], TOTALS)
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Apply a batch; False if it is committed already."""
-        if not self.committed().filter(F.col("batch") == batch).isEmpty():
+        if not self.committed().filter(F.col("batch") == F.lit(batch)).isEmpty():
             return False
-        (signed(changes).withColumn("batch", F.lit(batch))
-         .write.mode("overwrite").parquet(f"{self.root}/deltas/{batch}"))
-        self.spark.createDataFrame([(batch,)], "batch string").coalesce(1) \
+        odd = changes.filter(~F.coalesce(F.col("op").isin(*OPERATIONS), F.lit(False))).select("op").limit(1).collect()
+        if odd:
+            raise ValueError(f"unknown operation {odd[0]['op']!r}; known: {', '.join(OPERATIONS)}")
+        number, was = self._last()
+        folder = uuid.uuid4().hex
+        now = self._generation(was).unionByName(signed(changes)).groupBy(*KEYS) \
+                  .agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).filter("docs != 0 or tokens != 0")
+        now.write.parquet(f"{self.root}/totals/{folder}")
+        self.spark.createDataFrame([(batch, number + 1, folder)], "batch string, number long, folder string").coalesce(1) \
             .write.mode("append").parquet(f"{self.root}/commits")
         return True
 
     def totals(self) -> DataFrame:
-        deltas = self._read("deltas/*", TOTALS + ", batch string")
-        return (deltas.join(self.committed(), "batch", "left_semi").groupBy(*KEYS)
-                .agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-                .filter("docs != 0 or tokens != 0"))
+        return self._generation(self._last()[1])
 
 
 def count_tokens(docs: DataFrame, tokenizers: dict[str, str]) -> DataFrame:

@@ -3,7 +3,7 @@
 Paths are parsed segment by segment below their host. Digits within a
 segment are generalised first (``39547.html`` -> ``#.html``). At each node of a
 host's tree a segment value stays a branch of its own only if it is frequent
-(``min_support`` urls and ``min_share`` of the node's) and its labelled bad
+(``min_support`` urls, on a host of any size) and its labelled bad
 rate differs significantly from the node's (a two-sided test at ``z``); the
 other, variable or statistically similar, branches are merged into a
 wildcard. A url's template is its way through the tree. A template is
@@ -39,7 +39,6 @@ class Tree:
 
     max_depth: int = 6
     min_support: int = 10
-    min_share: float = 0.02
     z: float = 1.96
     weight: float = 20.0
     max_bad: float = 0.25
@@ -80,13 +79,12 @@ def templates(urls: DataFrame, tree: Tree) -> DataFrame:
         here = cur.withColumn("seg", F.get("segs", F.lit(i)))
         sums = lambda *k: [F.sum(c).alias(f"{k[0]}_{c}") for c in ("n", "lab", "bad")]
         child = here.filter(F.col("seg").isNotNull()).groupBy("host", "template", "seg").agg(*sums("c"))
-        node = child.groupBy("host", "template").agg(*[F.sum(f"c_{c}").alias(f"n_{c}") for c in ("n", "lab", "bad")])
+        node = child.groupBy("host", "template").agg(*[F.sum(f"c_{c}").alias(f"n_{c}") for c in ("lab", "bad")])
         rate = F.col("n_bad") / F.col("n_lab")
         differs = (F.pow(F.col("c_bad") / F.col("c_lab") - rate, F.lit(2.0)) * F.col("c_lab")
                    > F.lit(tree.z * tree.z) * rate * (1 - rate))
         own = child.join(node, ["host", "template"]).filter(
-            (F.col("c_n") >= tree.min_support) & (F.col("c_n") >= tree.min_share * F.col("n_n"))
-            & (F.col("c_lab") > 0)).filter(differs).select("host", "template", "seg", F.lit(True).alias("own"))
+            (F.col("c_n") >= tree.min_support) & (F.col("c_lab") > 0)).filter(differs).select("host", "template", "seg", F.lit(True).alias("own"))
         step = F.when(F.col("seg").isNull(), "").otherwise(
             F.concat(F.lit("/"), F.when(F.col("own"), F.col("seg")).otherwise("*")))
         cur = store(here.join(own, ["host", "template", "seg"], "left")
@@ -130,9 +128,9 @@ def judge_sql(rules: list[tuple[str, str]], tree: Tree = Tree()) -> str:
         levels += f"""
 c{i} AS (SELECT host, template, segs[{i}] AS seg, sum(n) AS n, sum(lab) AS lab, sum(bad) AS bad
   FROM {last} WHERE len(segs) >= {i} GROUP BY ALL),
-n{i} AS (SELECT host, template, sum(n) AS nn, sum(lab) AS nlab, sum(bad) AS nbad FROM c{i} GROUP BY ALL),
+n{i} AS (SELECT host, template, sum(lab) AS nlab, sum(bad) AS nbad FROM c{i} GROUP BY ALL),
 o{i} AS (SELECT host, template, seg FROM c{i} JOIN n{i} USING (host, template)
-  WHERE n >= {tree.min_support} AND n >= {tree.min_share} * nn AND lab > 0
+  WHERE n >= {tree.min_support} AND lab > 0
     AND power(bad / lab - nbad / nlab, 2) * lab > {tree.z * tree.z!r}::DOUBLE * (nbad / nlab) * (1 - nbad / nlab)),
 l{i} AS (SELECT l.host, l.masked, l.n, l.lab, l.bad, l.segs, l.template ||
     CASE WHEN len(l.segs) < {i} THEN '' WHEN o.seg IS NOT NULL THEN '/' || o.seg ELSE '/*' END AS template

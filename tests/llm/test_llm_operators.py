@@ -157,6 +157,16 @@ def test_urls(spark):
     assert {r["verdict"] for r in judge(pages, labels.limit(0), []).collect()} == {"allow"}
 
 
+def test_a_bad_section_is_found_on_hosts_of_any_size(spark):
+    rows = [(h, f"http://{h}.org/bad/{i}.html") for h in "ab" for i in range(38)]
+    rows += [(h, f"http://{h}.org/{'pqrstuvw'[i % 8]}/{i}.html") for h, n in (("a", 2000), ("b", 200)) for i in range(n)]
+    pages = spark.createDataFrame([(i, u) for i, (_, u) in enumerate(rows)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, "/bad/" in u) for i, (_, u) in enumerate(rows)], "page_id long, bad boolean")
+    got = judge(pages, labels, []).groupBy("host", F.col("path").contains("/bad/").alias("bad"), "verdict").count().collect()
+    assert sorted((r["host"], r["bad"], r["verdict"]) for r in got) == [
+        (h, bad, "block" if bad else "allow") for h in ("a.org", "b.org") for bad in (False, True)]
+
+
 # --- 3 toxicity ----------------------------------------------------------------------
 
 def test_toxicity(spark):
@@ -617,3 +627,20 @@ def test_token_counts(spark):
     got = as_dict(count_tokens(docs(spark, texts), {"byte_bpe_50k": "true", "byte_bpe_multi_50k": "doc_id > 1"}))
     assert [got[i]["byte_bpe_50k"] for i in range(4)] == [len(encode(t)) for t in texts]
     assert [got[i]["byte_bpe_multi_50k"] for i in range(4)] == [None, None, 0, len(encode(texts[3], "byte_bpe_multi_50k"))]
+
+
+def test_rollup_ids_and_operations(spark, scratch):
+    """Any text is a batch id; unknown operations are refused; a read is one generation."""
+    cols = "op string, source string, lang string, tokenizer string, tokens long, old_source string, old_lang string, old_tokenizer string, old_tokens long"
+    change = lambda op, n: spark.createDataFrame([(op, "s", "en", "t", n, "s", "en", "t", 1)], cols)
+    r = TokenRollup(spark, f"{scratch}/rollup")
+    assert r.totals().count() == 0
+    for i, batch in enumerate(["2024/01", "*", "..", "a=b c", ""]):
+        assert r.commit(batch, change("insert", 10)) and not r.commit(batch, change("insert", 10))
+        assert [tuple(x) for x in r.totals().collect()] == [("s", "en", "t", i + 1, 10 * (i + 1))]
+    for op in ("upsert", None):
+        with pytest.raises(ValueError, match="unknown operation"):
+            r.commit("bad", change(op, 1))
+    assert r.committed().count() == 5 and r.commit("bad", change("revise", 4))
+    assert [tuple(x)[3:] for x in r.totals().collect()] == [(5, 53)]
+    assert len({f.rsplit("/", 2)[1] for f in r.totals().inputFiles()}) == 1
