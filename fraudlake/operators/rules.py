@@ -155,9 +155,13 @@ def _rej() -> Column:
 
 
 def guessing_on_day(tr: DataFrame, day: dt.date, within: str = "20 minutes", strict: bool = False,
-                    skew_safe: bool = True, until: dt.date | None = None) -> DataFrame:
+                    skew_safe: bool = True, until: dt.date | None = None,
+                    before: DataFrame | None = None) -> DataFrame:
     """Rule 4 hits of one day (or of ``day..until``), reading only
-    ``[day - within, last day's end]``.
+    ``[day - within, last day's end]``, or with ``before`` those days alone.
+
+    ``before``: each card's last four operations before ``day``, which with the
+    days' own hold every predecessor that the lags reach.
 
     A hit's third predecessor is less than ``within`` older than it, so the
     operations since ``day - within`` hold predecessors 1-3 of every
@@ -174,13 +178,18 @@ def guessing_on_day(tr: DataFrame, day: dt.date, within: str = "20 minutes", str
     # A hit is an operation that was not refused.
     active = in_days(tr, day, last).filter(success() if strict else F.col("oper_result") != RESULT_REJECT) \
         .select("card_num").distinct()
+    cols = [c for c in tr.columns if c != "event_date"]
+    if before is not None:
+        x = before.unionByName(in_days(tr, day, last), allowMissingColumns=True)
+        x = x.join(active, "card_num", "left_semi").withColumn("_rej", _rej())
+        x = sequence_lags(x, ["card_num"], [T, "transaction_id"], GUESS_LAGS, T, skew_safe=skew_safe)
+        return x.filter((F.col(T) >= ts_lit(day)) & guessing_condition(within, strict)).select(*cols)
     recent = tr.filter((F.col(T) >= start) & (F.col(T) < end))
     if "event_date" in tr.columns:   # stored fact: read only the partitions in range
         recent = recent.filter((F.col("event_date") >= F.to_date(start)) & (F.col("event_date") <= F.lit(last)))
     recent = recent.join(active, "card_num", "left_semi").withColumn("_rej", _rej())
     x = sequence_lags(recent, ["card_num"], [T, "transaction_id"], GUESS_LAGS, T, skew_safe=skew_safe)
     x = in_days(x, day, last)
-    cols = [c for c in tr.columns if c != "event_date"]
     hits = x.filter(guessing_condition(within, strict)).select(*cols)
     if strict:
         return hits
@@ -236,7 +245,7 @@ def last_before(tr: DataFrame, cards: DataFrame, day: dt.date, within: str) -> D
 def rule_guessing(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
                   day=None, within: str = "20 minutes", strict: bool = False,
                   skew_safe: bool = True, profile: DataFrame | None = None,
-                  until=None) -> DataFrame:
+                  until=None, before: DataFrame | None = None) -> DataFrame:
     """Rule 4: amount guessing; flags on the fact first, then enrich the hits.
 
     ``day``: that day's report; with ``until``, the days ``day..until``
@@ -246,7 +255,7 @@ def rule_guessing(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients:
     if day is None:
         flagged = with_guessing(tr, within, strict, skew_safe).filter("is_guess").drop("is_guess")
     else:
-        flagged = guessing_on_day(tr, day, within, strict, skew_safe, until)
+        flagged = guessing_on_day(tr, day, within, strict, skew_safe, until, before)
     e = enrich(flagged, cards, accounts, clients, profile=profile)
     return report_rows(e, EVENT_GUESSING, day if until is None else None)
 
@@ -292,7 +301,8 @@ def fraud_report(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients:
                  terminals: DataFrame, blacklist: DataFrame, day=None,
                  cities_within: str = "1 hour", guess_within: str = "20 minutes",
                  strict: bool = False, skew_safe: bool = True,
-                 profile: DataFrame | None = None, until=None) -> DataFrame:
+                 profile: DataFrame | None = None, until=None,
+                 before: DataFrame | None = None) -> DataFrame:
     """The fraud mart rows for one day, for ``day..until``, or for every day
     when ``day`` is None.
 
@@ -301,7 +311,7 @@ def fraud_report(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients:
     versions, with the blacklist listing) and the terminals once, and all
     four rules are flags of that one row set. For a day or a range, rules
     1-3 enrich only those days' operations and rule 4 reads from the first
-    day minus its window on.
+    day minus its window on, or those days and the cards' state ``before`` them.
     """
     day, until = _day(day), _day(until)
     prof = profile if profile is not None else card_profile(cards, accounts, clients, blacklist)
@@ -314,5 +324,5 @@ def fraud_report(tr: DataFrame, cards: DataFrame, accounts: DataFrame, clients:
     e = enrich(in_days(tr, day, until or day).filter(success()), cards, accounts, clients, terminals, profile=prof)
     r13 = report_from_flags(flag_rules(e, blacklist, cities_within, skew_safe),
                             day if until is None else None)
-    r4 = rule_guessing(tr, cards, accounts, clients, day, guess_within, strict, skew_safe, prof, until)
+    r4 = rule_guessing(tr, cards, accounts, clients, day, guess_within, strict, skew_safe, prof, until, before)
     return r13.unionByName(r4)

@@ -10,7 +10,7 @@ counts from its commit on, and the fact append skips stored ids).
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from fraudlake.functions.expr import blank_to_null
 from fraudlake.operators.rules import fraud_report
 from fraudlake.operators.scd2 import extract_since, normalize_source
+from fraudlake.plans import cardstate
 from fraudlake.plans import warehouse as W
 from fraudlake.schemas import ACCOUNTS, CARDS, CLIENTS, TERMINALS
 from fraudlake.session import cut_lineage
@@ -47,8 +48,9 @@ class DayFeeds:
     """What arrived for a day; any part may be missing."""
 
     transactions_raw: DataFrame | None = None   # raw text rows (sources.intake)
-    blacklist: DataFrame | None = None          # entry_dt, passport
-    terminals: DataFrame | None = None          # full slice, update_dt = file date
+    blacklist: DataFrame | None = None          # entry_dt, passport (and file_name)
+    terminals: DataFrame | None = None          # full slice, update_dt = file date (and file_name)
+    refused: dict[str, tuple[str, DataFrame]] | None = None   # of "blacklist" and "terminals": file, refused rows
     accounts: DataFrame | None = None           # bank tables now (JDBC or files)
     cards: DataFrame | None = None
     clients: DataFrame | None = None
@@ -77,11 +79,13 @@ def feeds_from_folder(spark: SparkSession, folder: str, day: dt.date, bank_url:
     tx = present(f"transactions_{stamp}.txt")
     bl = present(f"passport_blacklist_{stamp}.xlsx")
     tm = present(f"terminals_{stamp}.xlsx")
-    feeds = DayFeeds(
-        transactions_raw=read_transactions_csv(spark, tx) if tx else None,
-        blacklist=workbook.read_blacklist(spark, bl).drop("file_name") if bl else None,
-        terminals=workbook.read_terminals(spark, tm).drop("file_name") if tm else None,
-    )
+    feeds = DayFeeds(transactions_raw=read_transactions_csv(spark, tx) if tx else None, refused={})
+    if bl:
+        feeds.blacklist, bad = workbook.split_blacklist(spark, bl)
+        feeds.refused["blacklist"] = bl.rsplit("/", 1)[1], bad
+    if tm:
+        feeds.terminals, bad = workbook.split_terminals(spark, tm)
+        feeds.refused["terminals"] = tm.rsplit("/", 1)[1], bad
     if bank_url:
         feeds.bank = BankSource(bank_url, bank_props, dialect, bank_tables)
     return feeds
@@ -105,9 +109,16 @@ def load_transactions(spark: SparkSession, wh: W.Warehouse, raw: DataFrame, on_b
 
 def load_feeds(spark: SparkSession, wh: W.Warehouse, feeds: DayFeeds, run_ts: dt.datetime,
                on_bad: str = "row") -> None:
-    """Intake and SCD2 loads for one day."""
+    """Intake and SCD2 loads for one day. A refused workbook leaves what is
+    stored as it was; its rejects are stored and the other feeds go on."""
     if feeds.transactions_raw is not None:
         load_transactions(spark, wh, feeds.transactions_raw, on_bad)
+    for kind in ("blacklist", "terminals"):
+        good = getattr(feeds, kind)
+        if good is not None and kind in (feeds.refused or {}):
+            name, bad = feeds.refused[kind]
+            good, why = checked_workbook(spark, wh, kind, good, bad, on_bad, name)
+            feeds = replace(feeds, **{kind: None if why else good.drop("file_name")})
     if feeds.blacklist is not None:
         W.replace_blacklist(spark, wh, feeds.blacklist, run_ts)
     if feeds.terminals is not None:
@@ -129,6 +140,45 @@ def load_feeds(spark: SparkSession, wh: W.Warehouse, feeds: DayFeeds, run_ts: dt
             W.load_dim(spark, wh, spec, None, run_ts, keys=keys, extract=changed)
 
 
+#: Share of the stored listing's passports, in the months that a new one covers,
+#: that may be missing from it: within a month the file accumulates.
+MAX_LOST = 0.5
+SHRUNK = "listing lacks most passports stored for its months"
+EMPTY = "no usable row"
+
+
+def lost_share(stored: DataFrame, new: DataFrame) -> float:
+    """Share of ``stored`` passports that ``new`` lacks, over the months of ``new``."""
+    month = F.date_trunc("month", "entry_dt").alias("m")
+    months = new.select(month).distinct()
+    was = stored.select("passport", month).join(months, "m", "left_semi").select("passport").distinct()
+    there = new.select("passport").distinct().withColumn("_there", F.lit(1))
+    n, kept = was.join(there, "passport", "left").agg(F.count("*"), F.count("_there")).first()
+    return (n - kept) / n if n else 0.0
+
+
+def checked_workbook(spark: SparkSession, wh: W.Warehouse, kind: str, good: DataFrame, bad: DataFrame,
+                     on_bad: str, file_name: str) -> tuple[DataFrame, str | None]:
+    """``(rows, reason to refuse)`` of a workbook feed; its rejects are stored.
+
+    Refused: a workbook that cannot be read, one without a usable row, with
+    ``on_bad="file"`` one with any reject, and a blacklist that lost more than
+    ``MAX_LOST`` of the stored one (see ``lost_share``)."""
+    bad, good = cut_lineage(bad, "rejects"), cut_lineage(good, "workbook")
+    why = None
+    if not bad.filter(F.col("reason").startswith("unreadable file") if on_bad == "row" else F.lit(True)).isEmpty():
+        why = "refused workbook"
+    elif good.isEmpty():
+        why = EMPTY
+    elif kind == "blacklist" and lost_share(W.read_blacklist(spark, wh), good) > MAX_LOST:
+        why = SHRUNK
+    files = spark.range(1).select(F.lit(file_name).alias("file_name"))
+    if why in (EMPTY, SHRUNK):
+        bad = bad.unionByName(files.select("file_name", F.lit(why).alias("reason"), F.lit(None).cast("string").alias("raw")))
+    W.write_rejects(spark, wh, bad, files)
+    return good, why
+
+
 REPEATED_FILE = "file was loaded before"
 
 
@@ -165,14 +215,13 @@ def run_landing(spark: SparkSession, wh: W.Warehouse, landing: str, run_ts: dt.d
         if kind not in path:
             continue
         good, bad = split(spark, path[kind])
-        bad, good = cut_lineage(bad, "rejects"), cut_lineage(good.drop("file_name"), "workbook")
-        name = spark.createDataFrame([(batch[kind], mtime[batch[kind]])], "file_name string, folder string")
-        W.write_rejects(spark, wh, bad, name)
-        unreadable = F.col("reason").startswith("unreadable file")
-        if not bad.filter(unreadable if on_bad == "row" else F.lit(True)).isEmpty():
-            W.refuse_files(spark, wh, name, "refused workbook", keep_rejects=True)
+        feed = "blacklist" if kind == "passport_blacklist" else "terminals"
+        good, why = checked_workbook(spark, wh, feed, good, bad, on_bad, batch[kind])
+        if why:
+            name = spark.createDataFrame([(batch[kind], mtime[batch[kind]])], "file_name string, folder string")
+            W.refuse_files(spark, wh, name, why, keep_rejects=True)
             continue
-        setattr(feeds, "blacklist" if kind == "passport_blacklist" else "terminals", good)
+        setattr(feeds, feed, good.drop("file_name"))
         done[kind] = batch[kind]
     if "transactions" in path:
         feeds.transactions_raw = read_transactions_csv(spark, path["transactions"])
@@ -207,8 +256,9 @@ def build_report(spark: SparkSession, wh: W.Warehouse, report_day: dt.date | Non
     # before the first report day are never needed.
     since = dt.datetime(report_day.year, report_day.month, report_day.day) if report_day else None
     v = warehouse_view(spark, wh, since)
+    state = cardstate.before(spark, wh, report_day) if report_day else None
     return fraud_report(v["tr"], v["cards"], v["accounts"], v["clients"], v["terminals"],
-                        v["blacklist"], day=report_day, until=until, **rule_args)
+                        v["blacklist"], day=report_day, until=until, before=state, **rule_args)
 
 
 def run_day(spark: SparkSession, wh: W.Warehouse, feeds: DayFeeds, run_ts: dt.datetime,
@@ -219,16 +269,17 @@ def run_day(spark: SparkSession, wh: W.Warehouse, feeds: DayFeeds, run_ts: dt.da
 
 
 def write_day(spark: SparkSession, wh: W.Warehouse, report_day: dt.date, **rule_args) -> None:
-    """(Re)write the stored report of one day."""
+    """(Re)write the stored report of one day; the cards' state at its end is
+    kept for the next one."""
     W.write_report(spark, build_report(spark, wh, report_day, **rule_args), wh, report_day)
+    cardstate.store(spark, wh, report_day)
 
 
 def backfill(spark: SparkSession, wh: W.Warehouse, start: dt.date, end: dt.date,
              **rule_args) -> None:
     """Reports for every day in ``[start, end]`` in one pass.
 
-    Rules 1-3 read the range's fact partitions only; rule 4 reads from
-    ``start - window`` on, plus one lookup row per card whose count needs an
-    older operation. Days in range are replaced.
+    All rules read the range's fact partitions only; rule 4 also the cards'
+    state before ``start``. Days in range are replaced.
     """
     W.write_report(spark, build_report(spark, wh, start, until=end, **rule_args), wh, start, end)

@@ -22,6 +22,8 @@ readable until the commit. Layout under one root folder:
 - ``commits/table_name=...``: commit log of blacklist, report and rejects, and
   the record of loaded and refused files.
 - ``refused_files``: repeats of loaded files.
+- ``fact_ids``: sorted index of the fact's ids (``idindex``); ``card_state``: the
+  cards' last operations by day (``cardstate``).
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ from fraudlake.operators.scd2 import scd2_step
 from fraudlake.schemas import (
     BLACKLIST, FIRST_WATERMARK, META, REJECTS, REPORT, TABLE_DB, TRANSACTIONS, DimSpec,
 )
+from fraudlake.session import cut_lineage
 from fraudlake.sources.intake import duplicate_transactions, new_transactions
 
 META_LOG = T.StructType(META.fields + [T.StructField("run_id", T.LongType(), True),
@@ -73,6 +76,14 @@ class Warehouse:
     def fact(self) -> str:
         return self.path("fact_transactions")
 
+    @property
+    def ids(self) -> str:
+        return self.path("fact_ids")
+
+    @property
+    def card_state(self) -> str:
+        return self.path("card_state")
+
     @property
     def blacklist(self) -> str:
         return self.path("fact_blacklist")
@@ -173,9 +184,9 @@ def commit_log(spark: SparkSession, wh: Warehouse, table: str) -> DataFrame:
     return _read(spark, wh.commits, COMMITS, basePath=wh.commits).filter(F.col("table_name") == table)
 
 
-def _commit_rows(rows: DataFrame, wh: Warehouse, table: str, folder: str) -> None:
+def _commit_rows(rows: DataFrame, wh: Warehouse, table: str, folder: str, at: int | None = None) -> None:
     out = rows.select(F.lit(table).alias("table_name"), F.lit(folder).alias("folder"),
-                      F.lit(time.time_ns()).cast("long").alias("committed_at"),
+                      F.lit(time.time_ns() if at is None else at).cast("long").alias("committed_at"),
                       *[(F.col(c) if c in rows.columns else F.lit(None)).cast(COMMITS[c].dataType).alias(c)
                         for c in ("first_day", "last_day", "file_name")])
     out.write.mode("append").partitionBy("table_name").parquet(wh.commits)
@@ -249,38 +260,32 @@ def read_fact(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return _read(spark, wh.fact, schema, basePath=wh.fact)
 
 
-def append_transactions(spark: SparkSession, wh: Warehouse, batch: DataFrame,
-                        unique_days: int | None = None) -> None:
+def append_transactions(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> None:
     """Append new operations: one row per id, none already stored.
 
-    Ids are unique over the whole fact: the anti-join reads the one column
-    ``transaction_id`` of every partition. ``unique_days`` limits the check
-    to the partitions that close to the batch's days (pruned at runtime),
-    for a feed whose ids are known not to come back later.
+    Ids are unique over the whole fact; they are looked up in its id index, so
+    no stored operation is read.
     """
+    from fraudlake.plans import idindex
     batch = batch.select(*[f.name for f in TRANSACTIONS.fields]) \
                  .withColumn("event_date", F.to_date("transaction_date"))
-    new = new_transactions(batch, stored_near(spark, wh, batch, unique_days))
+    idindex.repair(spark, wh)
+    new = cut_lineage(new_transactions(batch, idindex.known(spark, wh, batch)), "new-operations")
+    first, last = new.agg(F.min("event_date"), F.max("event_date")).first()
+    if first is None:
+        return
+    attempt = idindex.begin(spark, wh, first, last)
     # One file per day and writer task of that day, not one per task and day.
     new.repartition("event_date", F.pmod(F.xxhash64("transaction_id"), F.lit(8))) \
        .write.mode("append").partitionBy("event_date").parquet(wh.fact)
+    idindex.add(spark, wh, new, attempt)
 
 
-def stored_near(spark: SparkSession, wh: Warehouse, batch: DataFrame, unique_days: int | None) -> DataFrame:
-    """The stored operations a batch's ids are compared with."""
-    stored = read_fact(spark, wh)
-    if unique_days is None:
-        return stored
-    days = batch.select(F.explode(F.sequence(F.date_sub(F.to_date("transaction_date"), unique_days),
-                                             F.date_add(F.to_date("transaction_date"), unique_days)))
-                        .alias("event_date")).distinct()
-    return stored.join(days, "event_date", "left_semi")
-
-
-def duplicates(spark: SparkSession, wh: Warehouse, batch: DataFrame,
-               unique_days: int | None = None) -> DataFrame:
+def duplicates(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> DataFrame:
     """Reject rows of a typed batch: ids repeated in it or stored with other values."""
-    return duplicate_transactions(batch, stored_near(spark, wh, batch, unique_days))
+    from fraudlake.plans import idindex
+    idindex.repair(spark, wh)
+    return duplicate_transactions(batch, idindex.stored_rows(spark, wh, batch))
 
 
 def replace_blacklist(spark: SparkSession, wh: Warehouse, blacklist: DataFrame, run_ts: dt.datetime) -> None:

@@ -26,20 +26,26 @@ def test_month_report_plan(spark):
 
 def test_fact_append_reads_ids_only(spark, scratch):
     from pyspark.sql import functions as F
-    from fraudlake.plans import warehouse as W
+    from fraudlake.plans import idindex, warehouse as W
     from fraudlake.sources import fixture, intake
     wh = W.Warehouse(f"{scratch}/wh")
     tr = fixture.transactions(spark, SF)
     W.append_transactions(spark, wh, tr.filter(F.to_date("transaction_date") <= F.lit("2024-01-10")))
     batch = (tr.filter(F.to_date("transaction_date") == F.lit("2024-01-11"))
                .withColumn("event_date", F.to_date("transaction_date")))
-
-    def plan(days):
-        existing = W.stored_near(spark, wh, batch, days)
-        return intake.new_transactions(batch, existing)._jdf.queryExecution().executedPlan().toString()
-
-    assert "ReadSchema: struct<transaction_id:string>" in plan(None)
-    assert "dynamicpruningexpression(event_date" in plan(1)
+    new = intake.new_transactions(batch, idindex.known(spark, wh, batch))
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "fact_transactions" not in plan and "fact_ids" in plan
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(transaction_id", plan)
+    # nothing stored under the batch's ids: no partition of the fact is read
+    stored = idindex.stored_rows(spark, wh, batch)
+    assert stored.count() == 0 and "fact_transactions" not in stored._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("/fact_transactions/" in f for f in stored.inputFiles())
+    replay = tr.filter(F.to_date("transaction_date") == F.lit("2024-01-10"))
+    again = idindex.stored_rows(spark, wh, replay)
+    assert again.count() == replay.count()
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*event_date#\d+ = 2024-01-10", plan)
 
 
 def test_only_rows_that_can_hit_are_enriched(spark):
