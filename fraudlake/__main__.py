@@ -4,6 +4,7 @@
         [--bank-url URL --bank-driver CLASS --bank-user U --bank-password P --dialect oracle]
     python -m fraudlake run-landing --warehouse W --landing L --run-ts 2024-01-16 [--on-bad file] [--bank-url ...]
     python -m fraudlake backfill --warehouse W --start 2024-01-01 --end 2024-01-31
+    python -m fraudlake sweep --warehouse W [--older-than-hours 24]
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from fraudlake.plans import daily
+from fraudlake.plans import daily, sweep
 from fraudlake.plans.warehouse import Warehouse
 from fraudlake.session import build_session
 
@@ -51,12 +52,19 @@ def main(argv: list[str] | None = None) -> None:
     back.add_argument("--warehouse", required=True)
     back.add_argument("--start", required=True, type=_date)
     back.add_argument("--end", required=True, type=_date)
-    for sp in (run, land, back):
+    tidy = sub.add_parser("sweep", help="delete folders that no commit needs, marked by an earlier sweep")
+    tidy.add_argument("--warehouse", required=True)
+    tidy.add_argument("--older-than-hours", type=float, default=24)
+    for sp in (run, land, back, tidy):
         sp.add_argument("--master", default=None, help="for local runs; spark-submit sets it")
     a = p.parse_args(argv)
 
     spark = build_session(a.master) if a.master else build_session_from_submit()
     wh = Warehouse(a.warehouse)
+    if a.cmd == "sweep":
+        for folder in sweep.sweep(spark, wh, dt.timedelta(hours=a.older_than_hours)):
+            print(folder)
+        return
     if a.cmd != "backfill":
         props = {k: v for k, v in (("driver", a.bank_driver), ("user", a.bank_user),
                                    ("password", a.bank_password)) if v}

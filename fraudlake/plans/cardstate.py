@@ -8,19 +8,19 @@ however old a card's predecessor is.
 
 A snapshot is valid if no append that began after it was computed holds
 operations of its days (``FACT_BEGIN`` rows of the commit log); an older one, or the fact
-from its first day, takes the place of one that late operations outdate.
+from its first day, takes the place of one that late operations outdate. The sweep
+(``sweep``) leaves the snapshots of the last days only.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import time
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fraudlake.plans import warehouse as W
+from fraudlake.plans import commitlog, warehouse as W
 from fraudlake.schemas import TRANSACTIONS
 
 KEEP = 4
@@ -38,6 +38,7 @@ def last_operations(ops: DataFrame, keep: int = KEEP) -> DataFrame:
 def _newest(spark: SparkSession, wh: W.Warehouse, day: dt.date) -> tuple[str, dt.date] | None:
     """The folder and day of the newest valid snapshot that ends before ``day``."""
     snaps = W.commit_log(spark, wh, "CARD_STATE").filter(F.col("last_day") < F.lit(day)) \
+             .filter(F.col("folder").isin([n.removeprefix("run=") for n in commitlog.listing(spark, wh.card_state)])) \
              .select("folder", "last_day", "committed_at")
     late = W.commit_log(spark, wh, "FACT_BEGIN").select(F.col("first_day").alias("_from"), F.col("committed_at").alias("_at"))
     valid = snaps.join(late, (F.col("_from") <= F.col("last_day")) & (F.col("_at") >= F.col("committed_at")), "left_anti")
@@ -60,7 +61,7 @@ def before(spark: SparkSession, wh: W.Warehouse, day: dt.date) -> DataFrame:
 
 def store(spark: SparkSession, wh: W.Warehouse, day: dt.date) -> None:
     """Store the state at the end of ``day``, unless a valid one is there."""
-    at = time.time_ns()     # what is appended from now on may not be in it
+    at = W.next_number(spark, wh)     # what is appended from now on may not be in it
     snap = _newest(spark, wh, day + dt.timedelta(days=1))
     if snap is not None and snap[1] == day:
         return

@@ -39,6 +39,11 @@ def _folders(spark: SparkSession, wh: W.Warehouse) -> tuple[list[str], set[str]]
     return sorted(every - {r["file_name"] for r in rows}), every
 
 
+def live(spark: SparkSession, wh: W.Warehouse) -> list[str]:
+    """Folders that make up the index."""
+    return _folders(spark, wh)[0]
+
+
 def ids(spark: SparkSession, wh: W.Warehouse) -> DataFrame:
     """``(transaction_id, event_date)`` of the live folders."""
     live, _ = _folders(spark, wh)
