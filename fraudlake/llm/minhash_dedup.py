@@ -11,7 +11,8 @@ allowed error, so all such pairs share a key. At similarity 0.8 the chance of
 more than ``ERRORS`` differences is below 1 in 1,000, at 0.85 below 1 in
 100,000, and most such pairs share a key all the same.
 
-Documents with equal sets are one class. Candidates are verified on full
+Documents with equal sets are one class: equal hashes of the set, and where
+different texts have those, an equal digest of the shingles themselves. Candidates are verified on full
 sets (100 * intersection >= ``percent`` * union), first each key's rows
 against its smallest row; whole texts are dealt in runs of bounded length
 with the common partner, so a partner of a third of all documents is many
@@ -29,6 +30,7 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -135,6 +137,30 @@ def similar(x: set, y: set, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both) and both > 0
 
 
+def set_digest(text: str, words: int) -> bytes:
+    """SHA-256 of the sorted shingles; no word holds the blanks that part them."""
+    return hashlib.sha256(b"\n".join(sorted(b" ".join(s) for s in shingles(text, words)))).digest()
+
+
+def _with_digests(rows: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """``rows`` (``vid, id, n, k1, k2``) with ``d``, the digest of the set where
+    different texts share the set's hashes. Each such text is digested once."""
+    several = rows.groupBy("k1", "k2", "n").agg(F.min(F.struct("t1", "t2")).alias("lo"), F.max(F.struct("t1", "t2")).alias("hi")) \
+                  .filter("n > 0 and lo <> hi").select("k1", "k2", "n")
+    one = rows.join(several, ["k1", "k2", "n"]).groupBy("t1", "t2").agg(F.min("id").alias("doc"))
+    read = texts.join(one.select("doc", F.col("t1").alias("s1"), F.col("t2").alias("s2")),
+                      texts["__id"].eqNullSafe(F.col("doc")) & (texts["__t1"] == F.col("s1"))
+                      & (texts["__t2"] == F.col("s2"))).select("s1", "s2", "text")
+
+    def digest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame({"t1": f["s1"], "t2": f["s2"], "d": [set_digest(t, words) for t in f["text"]]})
+
+    # A text that stands under one id several times gives the same row again.
+    sets = read.mapInPandas(digest, "t1 long, t2 string, d binary").groupBy("t1", "t2").agg(F.first("d").alias("d"))
+    return rows.join(sets, ["t1", "t2"], "left").select("vid", "id", "n", "k1", "k2", F.coalesce("d", F.lit(b"")).alias("d"))
+
+
 def _verify(pairs: DataFrame, reps: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose full sets are similar."""
     deg = pairs.groupBy("a").agg(F.ceil(F.count("*") / RUN).cast("int").alias("runs"))
@@ -223,10 +249,11 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, row: str
 
     rows = store(src.mapInPandas(sketch, "vid long, id long, t1 long, t2 string, n long, k1 long, k2 long, "
                                          "sig array<int>"), "sketches")
-    some = rows.filter("n > 0")
-    classes = some.groupBy("k1", "k2", "n").agg(F.min("vid").alias("rep"))
+    texts = src.select(F.col("id").alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2"), "text")
+    keyed_rows = store(_with_digests(rows.drop("sig"), texts, words), "sets")
+    classes = keyed_rows.filter("n > 0").groupBy("k1", "k2", "n", "d").agg(F.min("vid").alias("rep"))
     classes = store(classes, "classes")
-    reps = some.join(classes.select(F.col("rep").alias("vid")), "vid") \
+    reps = rows.join(classes.select(F.col("rep").alias("vid")), "vid") \
                .select("vid", "id", "t1", "t2", F.col("n").alias("size"), "sig")
     reps = store(reps, "reps")
 
@@ -253,7 +280,6 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, row: str
             .join(sigs.select(F.col("vid").alias("b"), F.col("sig").alias("sb")), "b")
             .filter(off <= ERRORS).select("a", "b"))
     star = store(star, "pairs")
-    texts = src.select(F.col("id").alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2"), "text")
     links = store(_verify(star, reps, texts, words, percent), "links")
     comps = store(connected_components(links), "comps")
 
@@ -277,8 +303,8 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, row: str
         comps = store(connected_components(joined), "comps")
 
     per = classes.join(comps, F.col("rep") == F.col("id"), "left") \
-                 .select("k1", "k2", "n", F.coalesce("component", "rep").alias("component"))
-    out = rows.select("vid", "id", "n", "k1", "k2").join(per, ["k1", "k2", "n"], "left") \
+                 .select("k1", "k2", "n", "d", F.coalesce("component", "rep").alias("component"))
+    out = keyed_rows.join(per, ["k1", "k2", "n", "d"], "left") \
               .withColumn("component", F.coalesce("component", "vid"))
     name = out.groupBy("component").agg(F.min("id").alias("component_id"),
                                         F.min_by("vid", F.struct("id", "vid")).alias("first"))
