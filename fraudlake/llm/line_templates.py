@@ -11,7 +11,6 @@ dropped, if it
   the leaves of the line before and the line after it. Copies of one document
   repeat a line in the same context and so count once: whole copied
   documents are left to near-duplicate removal, not emptied here;
-- has contexts for at least ``min_spread`` of its documents;
 - keeps at least ``min_constant`` of its tokens constant.
 
 Defined cases: a null text stays null; an empty or blank line is never
@@ -70,7 +69,7 @@ def _lines(rows: DataFrame, depth: int) -> DataFrame:
              .filter(F.col("leaf").isNotNull()))
 
 
-def witnesses(lines: DataFrame, min_own: float) -> DataFrame:
+def witnesses(lines: DataFrame, min_own: float, depth: int = 3) -> DataFrame:
     """``lines``, once per text, with the context that the rest of the text gives.
 
     To a line whose leaf stands in d texts, the lines of leaves in at most d / 2
@@ -81,10 +80,12 @@ def witnesses(lines: DataFrame, min_own: float) -> DataFrame:
     copies of one document the same. Blank lines, the place of the line and a
     recurring block around it do not matter.
     """
-    x = lines.select("k1", "k2", "pos", "leaf", "mh", "words").distinct()
+    lead = F.concat("words", F.lit(":"), F.substring_index("masked", " ", depth))
+    number = F.conv(F.substring(F.md5(lead), 1, 10), 16, 10).cast("long")
+    x = lines.select("k1", "k2", "pos", "leaf", "mh", "words", number.alias("number")).distinct()
     texts = x.select("leaf", "k1", "k2").distinct().groupBy("leaf").agg(F.count("*").alias("d"))
     x = x.join(texts, "leaf")
-    u = (F.pmod(F.xxhash64("leaf", F.lit(5)), F.lit(1 << 40)) + 1) / F.lit(float((1 << 40) + 1))
+    u = (F.col("number") + 1) / F.lit(float((1 << 40) + 1))
     x = x.withColumn("lot", F.struct((-F.log(u) * F.col("d") / F.col("words")).alias("at"), "leaf"))
     whole = Window.partitionBy("k1", "k2")
     own = whole.orderBy("level").rangeBetween(Window.unboundedPreceding, -64)
@@ -105,7 +106,7 @@ def _needed(words: Column, min_contexts: int, long: int | None) -> Column:
 
 
 def template_lines(docs: DataFrame, text: str = "text", depth: int = 3, min_contexts: int = 8,
-                   min_spread: float = 0.5, min_constant: float = 0.6,
+                   min_constant: float = 0.6,
                    min_own: float | None = None, long: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``(lines, templates)``.
 
@@ -120,7 +121,7 @@ def template_lines(docs: DataFrame, text: str = "text", depth: int = 3, min_cont
     every = store(_lines(rows, depth), "lines")
     lines = every.drop("masked")
     if min_own is not None:
-        lines = store(witnesses(every.select("*", _words(F.col("masked")).alias("words")), min_own), "lines")
+        lines = store(witnesses(every.select("*", _words(F.col("masked")).alias("words")), min_own, depth), "lines")
     size = F.lit(0) if min_own is None else F.max("words")   # all lines of a leaf have as many
     leaves = (lines.filter(F.col("ctx").isNotNull()).groupBy("leaf", "ctx").agg(size.alias("words"))
               .groupBy("leaf").agg(F.count("*").alias("n"), F.max("words").alias("words"))
@@ -153,21 +154,19 @@ def template_lines(docs: DataFrame, text: str = "text", depth: int = 3, min_cont
     support = (seen.groupBy("leaf", "th")
                .agg(F.count_distinct("ctx").alias("contexts"), F.count_distinct("k1", "k2").alias("texts"),
                     F.first("words").alias("words"))
-               .filter((F.col("contexts") >= _needed(F.col("words"), min_contexts, long))
-                       & (F.col("contexts") >= min_spread * F.col("texts"))))
+               .filter(F.col("contexts") >= _needed(F.col("words"), min_contexts, long)))
     templates = parsed.drop("words").withColumn("th", F.xxhash64("template")) \
                       .join(support.drop("words"), ["leaf", "th"]).drop("th")
     return lines, templates
 
 
 def drop_templates(docs: DataFrame, text: str = "text", depth: int = 3, min_contexts: int = 8,
-                   min_spread: float = 0.5, min_constant: float = 0.6,
-                   dropped: str | None = None) -> DataFrame:
+                   min_constant: float = 0.6, dropped: str | None = None) -> DataFrame:
     """``docs`` without its boilerplate lines; other columns unchanged.
 
     ``dropped``: name of a column to add with the number of lines removed.
     """
-    return _without(docs, text, dropped, *template_lines(docs, text, depth, min_contexts, min_spread, min_constant))
+    return _without(docs, text, dropped, *template_lines(docs, text, depth, min_contexts, min_constant))
 
 
 def drop_boilerplate(docs: DataFrame, text: str = "text", depth: int = 3, min_contexts: int = 8,
@@ -177,7 +176,7 @@ def drop_boilerplate(docs: DataFrame, text: str = "text", depth: int = 3, min_co
     multiply; so a template needs its contexts only, in however many texts it stands,
     and of ``long`` constant words on two contexts are enough."""
     return _without(docs, text, dropped,
-                    *template_lines(docs, text, depth, min_contexts, 0.0, min_constant, min_own, long))
+                    *template_lines(docs, text, depth, min_contexts, min_constant, min_own, long))
 
 
 def _without(docs: DataFrame, text: str, dropped: str | None, lines: DataFrame, templates: DataFrame) -> DataFrame:

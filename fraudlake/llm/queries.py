@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fraudlake.llm import conversation_repair as conversations, decontam, packing, toxicity
 from fraudlake.llm.common import read, scratch_root, store
 from fraudlake.llm.embed_dedup import near_vectors
-from fraudlake.llm.line_templates import drop_templates
+from fraudlake.llm.line_templates import drop_boilerplate
 from fraudlake.llm.minhash_dedup import near_documents
 from fraudlake.llm.sharding import shard_documents
 from fraudlake.llm.suffix_dedup import remove_repeats
@@ -55,7 +55,7 @@ def q_op5_edit_decontamination(spark, sf):
 
 def q_op6_line_templates(spark, sf):
     """Every document with its text after boilerplate lines are dropped."""
-    out = drop_templates(read(spark, sf, "documents").select("doc_id", "text"), dropped="n_dropped")
+    out = drop_boilerplate(read(spark, sf, "documents").select("doc_id", "text"), dropped="n_dropped")
     return out.select("doc_id", "n_dropped", "text")
 
 
@@ -161,32 +161,41 @@ arr AS (
   SELECT text, list_transform(string_split(text, chr(10)), lambda s:
     regexp_replace(trim(regexp_replace(s, '[ \t]+', ' ', 'g'), ' '), '[^ ]*[0-9][^ ]*', '<*>', 'g')) AS m
   FROM rows_),
-lf AS (
-  SELECT text, m, list_transform(m, lambda s: CASE WHEN s = '' THEN NULL ELSE
-    len(string_split(s, ' ')) || ':' || array_to_string(string_split(s, ' ')[1:3], ' ') END) AS lf
-  FROM arr),
-pos AS (SELECT text, m, lf, unnest(range(1, len(m) + 1)) AS p FROM lf),
+pos AS (SELECT text, m, unnest(range(1, len(m) + 1)) AS p FROM arr),
 lines AS (
-  SELECT text, p, m[p] AS masked, lf[p] AS leaf,
-         coalesce(CASE WHEN p > 1 THEN lf[p - 1] END, '') || chr(10) || coalesce(lf[p + 1], '') AS ctx
-  FROM pos WHERE lf[p] IS NOT NULL),
-leaves AS (SELECT leaf FROM lines GROUP BY leaf HAVING count(DISTINCT ctx) >= 8),
+  SELECT text, p, m[p] AS masked, len(string_split(m[p], ' ')) AS words,
+         len(string_split(m[p], ' ')) || ':' || array_to_string(string_split(m[p], ' ')[1:3], ' ') AS leaf
+  FROM pos WHERE m[p] <> ''),
+spread AS (SELECT leaf, count(DISTINCT text) AS d FROM lines GROUP BY leaf),
+lots AS (
+  SELECT l.*, floor(log2(d) * 64 + 1e-6) AS level,
+         -ln((('0x' || substr(md5(leaf), 1, 10))::BIGINT + 1)::DOUBLE / 1099511627777::DOUBLE) * d / words AS lot
+  FROM lines l JOIN spread USING (leaf)),
+seen AS MATERIALIZED (
+  SELECT text, p, masked, leaf, words,
+         CASE WHEN sum(words) OVER own >= 0.5 * sum(words) OVER (PARTITION BY text)
+              THEN arg_min(leaf, lot) OVER own END AS ctx
+  FROM lots WINDOW own AS (PARTITION BY text ORDER BY level RANGE BETWEEN UNBOUNDED PRECEDING AND 64 PRECEDING)),
+leaves AS (
+  SELECT leaf, greatest(2, least(8, ceil(8 - 6 * (max(words) - 10) / 40.0))) AS need
+  FROM seen WHERE ctx IS NOT NULL GROUP BY leaf
+  HAVING count(DISTINCT ctx) >= greatest(2, least(8, ceil(8 - 6 * (max(words) - 10) / 40.0)))),
 w AS (
-  SELECT leaf, masked, count(DISTINCT ctx) AS w FROM lines SEMI JOIN leaves USING (leaf) GROUP BY ALL),
+  SELECT leaf, masked, need, count(DISTINCT ctx) AS w FROM seen JOIN leaves USING (leaf) GROUP BY ALL),
 toks AS (
-  SELECT leaf, masked, w, unnest(range(1, len(string_split(masked, ' ')) + 1)) AS a,
+  SELECT leaf, masked, need, w, unnest(range(1, len(string_split(masked, ' ')) + 1)) AS a,
          unnest(string_split(masked, ' ')) AS token FROM w),
 steady AS (
-  SELECT leaf, a, token FROM toks WHERE token <> '<*>' GROUP BY ALL HAVING sum(w) >= 8),
+  SELECT leaf, a, token FROM toks WHERE token <> '<*>' GROUP BY leaf, a, token, need HAVING sum(w) >= need),
 parsed AS (
-  SELECT t.leaf, t.masked,
+  SELECT t.leaf, t.masked, count(s.token) AS constant,
          string_agg(CASE WHEN s.token IS NOT NULL THEN t.token ELSE '<*>' END, ' ' ORDER BY t.a) AS template
   FROM toks t LEFT JOIN steady s ON t.leaf = s.leaf AND t.a = s.a AND t.token = s.token
   GROUP BY t.leaf, t.masked
   HAVING avg(CASE WHEN s.token IS NOT NULL THEN 1.0 ELSE 0.0 END) >= 0.6),
 good AS (
-  SELECT leaf, template FROM lines JOIN parsed USING (leaf, masked) GROUP BY ALL
-  HAVING count(DISTINCT ctx) >= 8 AND count(DISTINCT ctx) >= 0.5 * count(DISTINCT text)),
+  SELECT leaf, template FROM seen JOIN parsed USING (leaf, masked) GROUP BY ALL
+  HAVING count(DISTINCT ctx) >= greatest(2, least(8, ceil(8 - 6 * (max(constant) - 10) / 40.0)))),
 bad AS (SELECT DISTINCT masked FROM parsed JOIN good USING (leaf, template)),
 cleaned AS (
   SELECT l.text, count(b.masked) AS n,
