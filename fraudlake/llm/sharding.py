@@ -122,8 +122,8 @@ def _even(labels: DataFrame, shards: int, total: int, blocks: int) -> DataFrame:
     x = labels.select("vid", "shard", "star", F.col("star").isNull().alias("free"),
                       F.coalesce(-F.col("band"), F.lit(0)).alias("band"),
                       F.pmod(F.xxhash64(F.coalesce("star", "vid")), F.lit(blocks)).alias("block"),
-                      # a large star is ranked in several pieces
-                      F.pmod(F.xxhash64("vid", F.lit(3)), F.lit(8)).alias("sub"))
+                      # a large star is ranked in pieces of some 100,000 rows
+                      F.expr("pmod(xxhash64(vid, 3), shiftleft(1, greatest(0, coalesce(band, 0) - 16)))").alias("sub"))
     key = ["shard", "free", "band", "block", "sub"]
     n = x.groupBy(*key).agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("free", "band", "block", "sub") \
