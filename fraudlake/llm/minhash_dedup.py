@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudlake.llm.common import blocked, connected_components, partitions, store, whole_groups
+from fraudlake.llm.common import blocked, connected_components, fresh, partitions, store, whole_groups
 
 SYMBOLS, ERRORS, CHUNKS = 48, 19, 10
 RUN = 64          # comparisons with one partner that are dealt together
@@ -318,6 +318,7 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) ->
     """One row of each component (the smallest id), columns unchanged; rows
     with an empty set all stay. ``docs`` is read more than once and must give its
     rows in the same partitions each time (a stored table)."""
-    x = docs.withColumn("__row", F.monotonically_increasing_id())
-    stay = near_documents(x, words, percent, row="__row").filter("first").select(F.col("vid").alias("__row"))
-    return x.join(store(stay, "stay"), "__row").drop("__row")
+    mine, = fresh(docs, "row")
+    x = docs.withColumn(mine, F.monotonically_increasing_id())
+    stay = near_documents(x, words, percent, row=mine).filter("first").select(F.col("vid").alias(mine))
+    return x.join(store(stay, "stay"), mine).drop(mine)

@@ -386,6 +386,29 @@ def test_decontamination_equals_brute_force(spark):
     assert decontam.contaminated(d.limit(0), bench).count() == decontam.contaminated(d, bench.limit(0)).count() == 0
 
 
+def test_short_items_and_repeated_items(spark):
+    """Short items stand between word bounds and drop only what holds nothing else;
+    a text under many ids is one item; chunks keep to their size."""
+    texts = ["banana split", "a banana", "it is a day", "A", None, "", "the cat sat on the mat by the old door in the rain"]
+    items = ["a", "banana", "the cat sat on the mat by the old door"] + ["a"] * 50
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [(i, t, 7) for i, t in enumerate(texts)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, __row int")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(d, bench).collect()}
+    many = [0, *range(3, 53)]
+    assert got == {(0, 1), (1, 1), (6, 2)} | {(i, k) for i in (1, 2, 3) for k in many}
+    kept = decontam.drop_contaminated(d, bench)
+    assert kept.columns == d.columns and {r["doc_id"] for r in kept.collect()} == {0, 1, 2, 4, 5}
+    numbered, ids = decontam._different_items(bench)
+    assert numbered.count() == 3 and ids.count() == 53
+    rng = random.Random(3)
+    lots = spark.createDataFrame([(i, prose(rng, rng.randrange(1, 40))) for i in range(300)], "item_id long, text string")
+    numbered, _ = decontam._different_items(lots)
+    chunks = [c.select("number", "chars").collect() for c in decontam._chunks(numbered, 1000)]
+    assert len(chunks) > 5 and all(len(c) == 1 or sum(r["chars"] for r in c) <= 1000 for c in chunks)
+    assert sorted(r["number"] for c in chunks for r in c) == sorted(r["number"] for r in numbered.collect())
+
+
 # --- 6 lines ---------------------------------------------------------------------------
 
 def letters(rng, n):
@@ -425,6 +448,16 @@ def test_boilerplate_blocks(spark):
     assert not any(s in got[i]["text"] for i in range(24) for s in block)
 
 
+def test_a_footer_of_two_lines_goes_everywhere(spark):
+    """Sixty different texts with one footer: neither line is kept by its neighbour."""
+    rng = random.Random(60)
+    foot = [letters(rng, 5), letters(rng, 7)]
+    texts = ["\n".join([*(letters(rng, 12) for _ in range(4)), *foot]) for _ in range(60)]
+    got = as_dict(drop_boilerplate(docs(spark, texts), dropped="n_dropped"))
+    assert [got[i]["n_dropped"] for i in range(60)] == [2] * 60
+    assert all(got[i]["text"] == "\n".join(texts[i].split("\n")[:4]) for i in range(60))
+
+
 def test_copies_do_not_keep_boilerplate(spark):
     """A footer of ten documents goes, though one of them stands in forty near copies."""
     rng = random.Random(18)
@@ -590,6 +623,21 @@ def test_near_documents_equal_brute_force(spark, words, percent):
         assert (r["n_shingles"], r["component_id"], r["kept"]) == (len(sets[i]), min(comp), i == min(comp)), i
 
 
+def test_equal_hashes_are_confirmed(spark):
+    """Two different words whose polynomial hashes agree (a Thue-Morse word of 1,024
+    letters and its complement) are no copies; texts of one set are."""
+    one = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    texts = [one, two, one, two.upper(), f" {one}\n", "x y z x y z x y", "X Y Z  X Y Z X Y", None]
+    for words in (1, 3):
+        got = as_dict(near_documents(docs(spark, texts).repartition(3), words, 85))
+        assert [got[i]["component_id"] for i in range(8)] == [0, 1, 0, 1, 0, 5, 5, 7]
+    clash = docs(spark, texts).selectExpr("*", "'mine' as __row")
+    out = drop_near_duplicates(clash)
+    assert out.columns == clash.columns and sorted(r["doc_id"] for r in out.collect()) == [0, 1, 5, 7]
+    assert {r["__row"] for r in out.collect()} == {"mine"}
+
+
 def test_near_documents_odd_rows(spark):
     rows = [(None, "a b c d e f"), (None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f"), (5, None), (5, "")]
     d = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, vid string")
