@@ -22,7 +22,7 @@ from fraudlake.operators.scd2 import (
     changed_keys, close_deleted, current, deleted_keys, extract_since, live_keys,
     normalize_source,
 )
-from fraudlake.plans import daily, demo
+from fraudlake.plans import daily, demo, profile
 from fraudlake.plans import warehouse as W
 from fraudlake.schemas import ACCOUNTS, CARDS, CLIENTS, TERMINALS
 from fraudlake.session import checkpoint_base
@@ -232,6 +232,22 @@ def q_asof_chain(spark, sf):
                     "passport_valid_to", "phone", "fio")
 
 
+def q_asof_chain_stored(spark, sf):
+    """The same through storage: the profile kept from load to load, each refresh
+    computing the cards of changed clients only."""
+    wh = W.Warehouse(f"{checkpoint_base(spark)}/asof-chain-stored-{uuid.uuid4().hex}")
+    for spec, src in ((ACCOUNTS, fixture.accounts), (CARDS, fixture.cards)):
+        W.load_dim(spark, wh, spec, normalize_source(src(spark, sf), spec), demo.RUNS[1])
+    for n, run in demo.RUNS.items():
+        clients = normalize_source(fixture.clients(spark, sf, n), CLIENTS)
+        W.load_dim(spark, wh, CLIENTS, clients, run, extract=extract_since)
+        profile.refresh(spark, wh)
+    prof = profile.read(spark, wh, fixture.blacklist(spark, sf))
+    e = enrich(fixture.transactions(spark, sf), None, None, None, profile=prof)
+    return e.select("transaction_id", "account", "valid_to", "client", "passport",
+                    "passport_valid_to", "phone", "fio")
+
+
 def q_asof_terminals(spark, sf):
     tr = fixture.transactions(spark, sf)
     x = asof_join(tr, demo.terminals_history(spark, sf), "terminal", "terminal_id",
@@ -320,8 +336,8 @@ def q_fraud_report_month(spark, sf):
 def _report_day(guess_within: str) -> Query:
     def q(spark, sf):
         w = demo.warehouse(spark, sf)
-        return rules.fraud_report(w.tr, w.cards, w.accounts, w.clients, w.terminals, w.blacklist,
-                                  day=REPORT_DAY, guess_within=guess_within, profile=w.profile)
+        return rules.fraud_report(fixture.dated_transactions(spark, sf), w.cards, w.accounts, w.clients,
+                                  w.terminals, w.blacklist, day=REPORT_DAY, guess_within=guess_within, profile=w.profile)
     return q
 
 
@@ -329,8 +345,8 @@ def q_fraud_report_range(spark, sf):
     """Backfill of a range of days: rules 1-3 read only those days, rule 4
     from the range start minus its window (plus exact older lookups)."""
     w = demo.warehouse(spark, sf)
-    return rules.fraud_report(w.tr, w.cards, w.accounts, w.clients, w.terminals, w.blacklist,
-                              day=RANGE[0], until=RANGE[1], guess_within="7 days", profile=w.profile)
+    return rules.fraud_report(fixture.dated_transactions(spark, sf), w.cards, w.accounts, w.clients,
+                              w.terminals, w.blacklist, day=RANGE[0], until=RANGE[1], guess_within="7 days", profile=w.profile)
 
 
 QUERIES: dict[str, Query] = {
@@ -363,6 +379,7 @@ QUERIES: dict[str, Query] = {
     "scd2_terminals_second": q_scd2_terminals_second,
     "asof_cards": q_asof_cards,
     "asof_chain": q_asof_chain,
+    "asof_chain_stored": q_asof_chain_stored,
     "asof_terminals": q_asof_terminals,
     "blacklist_first_entry": q_blacklist_first_entry,
     "client_fio": q_client_fio,

@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlake.functions.expr import blank_to_null
-from fraudlake.operators.rules import fraud_report
+from fraudlake.operators.rules import fraud_report, in_days
 from fraudlake.operators.scd2 import extract_since, normalize_source
-from fraudlake.plans import cardstate
+from fraudlake.plans import cardstate, profile
 from fraudlake.plans import warehouse as W
 from fraudlake.schemas import ACCOUNTS, CARDS, CLIENTS, TERMINALS
 from fraudlake.session import cut_lineage
@@ -257,8 +257,10 @@ def build_report(spark: SparkSession, wh: W.Warehouse, report_day: dt.date | Non
     since = dt.datetime(report_day.year, report_day.month, report_day.day) if report_day else None
     v = warehouse_view(spark, wh, since)
     state = cardstate.before(spark, wh, report_day) if report_day else None
+    cards = in_days(v["tr"], report_day, until or report_day).select("card_num").distinct() if report_day else None
+    stored = profile.read(spark, wh, v["blacklist"], cards, since)     # None: computed from the dimensions
     return fraud_report(v["tr"], v["cards"], v["accounts"], v["clients"], v["terminals"],
-                        v["blacklist"], day=report_day, until=until, before=state, **rule_args)
+                        v["blacklist"], day=report_day, until=until, before=state, profile=stored, **rule_args)
 
 
 def run_day(spark: SparkSession, wh: W.Warehouse, feeds: DayFeeds, run_ts: dt.datetime,
@@ -270,7 +272,8 @@ def run_day(spark: SparkSession, wh: W.Warehouse, feeds: DayFeeds, run_ts: dt.da
 
 def write_day(spark: SparkSession, wh: W.Warehouse, report_day: dt.date, **rule_args) -> None:
     """(Re)write the stored report of one day; the cards' state at its end is
-    kept for the next one."""
+    kept for the next one, as is their profile after the day's loads."""
+    profile.refresh(spark, wh)
     W.write_report(spark, build_report(spark, wh, report_day, **rule_args), wh, report_day)
     cardstate.store(spark, wh, report_day)
 
@@ -282,4 +285,5 @@ def backfill(spark: SparkSession, wh: W.Warehouse, start: dt.date, end: dt.date,
     All rules read the range's fact partitions only; rule 4 also the cards'
     state before ``start``. Days in range are replaced.
     """
+    profile.refresh(spark, wh)
     W.write_report(spark, build_report(spark, wh, start, until=end, **rule_args), wh, start, end)

@@ -5,7 +5,8 @@ A folder is live if the commit logs say so:
 - of a dimension: the closed folders of its history and the last ``RECENT`` loads;
 - the blacklist's last folder; of the report and the rejects those that are the
   last for some day or file; of the id index its live folders;
-- of the card states the newest of each of the last ``SNAPSHOTS`` days.
+- of the card states the newest of each of the last ``SNAPSHOTS`` days; of the card profile
+  the folders that its last refresh names.
 
 Everything else is left over: replaced, merged, or written by a load that died or
 is still running. The first sweep that finds such a folder marks it; a later one
@@ -22,7 +23,7 @@ import uuid
 from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
-from fraudlake.plans import commitlog, idindex, warehouse as W
+from fraudlake.plans import commitlog, idindex, profile, warehouse as W
 from fraudlake.schemas import DIMS
 
 SNAPSHOTS = 8
@@ -42,6 +43,7 @@ def live(spark: SparkSession, wh: W.Warehouse) -> dict[str, set[str]]:
     for path, folders in tables.items():
         out[path] = {f"run={r['folder']}" for r in folders.select("folder").distinct().collect()}
     out[wh.ids] = set(idindex.live(spark, wh))
+    out[wh.profile] = {f"run={f}" for f in profile.state(spark, wh)[1]}
     return out
 
 
@@ -52,7 +54,7 @@ def sweep(spark: SparkSession, wh: W.Warehouse, older_than: dt.timedelta = dt.ti
     marks = wh.path("marks")
     # Listed before the logs are read: what is committed in between is in the logs.
     found = {path: commitlog.listing(spark, path) for path in
-             [*(wh.dim(s) for s in DIMS.values()), wh.blacklist, wh.report, wh.rejects, wh.card_state, wh.ids]}
+             [*(wh.dim(s) for s in DIMS.values()), wh.blacklist, wh.report, wh.rejects, wh.card_state, wh.ids, wh.profile]}
     keep = live(spark, wh)
     probe = f"now-{uuid.uuid4().hex}"
     commitlog.put_once(spark, f"{marks}/{probe}", "")

@@ -27,7 +27,8 @@ readable until the commit. Layout under one root folder:
   ``sequence`` (no driver's clock decides what is newer).
 - ``refused_files``: repeats of loaded files.
 - ``fact_ids``: sorted index of the fact's ids (``idindex``); ``card_state``: the
-  cards' last operations by day (``cardstate``).
+  cards' last operations by day (``cardstate``); ``card_profile``, ``profile_log``: the
+  cards' segments, kept up to date by changed cards (``profile``).
 """
 
 from __future__ import annotations
@@ -92,6 +93,14 @@ class Warehouse:
     def card_state(self) -> str:
         return self.path("card_state")
 
+    @property
+    def profile(self) -> str:
+        return self.path("card_profile")
+
+    @property
+    def profile_log(self) -> str:
+        return self.path("profile_log")
+
     @property
     def blacklist(self) -> str:
         return self.path("fact_blacklist")

@@ -49,9 +49,9 @@ def terminal_k(props: Column) -> Column:
     return F.get_json_object(props, "$.k").cast("int")
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
-    return ev.select(
+def _operation() -> list[Column]:
+    """Columns of the feed over ``events``."""
+    return [
         F.col("event_id").cast("string").alias("transaction_id"),
         trunc_seconds("ts").alias("transaction_date"),
         F.round("value", 2).cast("decimal(10,2)").alias("amount"),
@@ -59,7 +59,17 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("oper_type"),
         F.when(F.col("event_type") == "purchase", "SUCCESS").otherwise("REJECT").alias("oper_result"),
         F.concat(F.lit("T"), _pad(terminal_k(F.col("props")), 3)).alias("terminal"),
-    )
+    ]
+
+
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(*_operation())
+
+
+def dated_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with ``event_date``, as the stored fact has it: here the date of the
+    raw time, so that a filter on it reaches the scan."""
+    return table(spark, sf_dir, "events").select(*_operation(), F.to_date("ts").alias("event_date"))
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -424,6 +424,9 @@ LEFT JOIN cards_h cd ON tr.card_num = cd.card_num AND cd.deleted_flg = 'N'
      AND tr.transaction_date BETWEEN cd.effective_from AND cd.effective_to""",
         "asof_chain": warehouse_ctes(terminals=False) + f""",
 e AS ({asof_chain()})
+SELECT transaction_id, account, valid_to, client, passport, passport_valid_to, phone, fio FROM e""",
+        "asof_chain_stored": warehouse_ctes(terminals=False) + f""",
+e AS ({asof_chain()})
 SELECT transaction_id, account, valid_to, client, passport, passport_valid_to, phone, fio FROM e""",
         "asof_terminals": f"""WITH {TX}, {TERMS}
 SELECT tr.transaction_id, tr.terminal, tm.terminal_city AS city FROM tx tr
