@@ -74,3 +74,12 @@ def test_daily_rule4_reads_bounded_days(spark, scratch):
     assert all("event_date" in s for s in scans if s)
     every = rules.with_guessing(tr, "7 days").filter(F.col("is_guess") & (F.to_date("transaction_date") == F.lit(day)))
     assert sorted(r["transaction_id"] for r in got.collect()) == sorted(r["transaction_id"] for r in every.collect())
+
+
+def test_report_of_a_day_reads_its_range(spark):
+    from fraudlake.plans.catalog import QUERIES, REPORT_DAY
+    plan = QUERIES["fraud_report_day"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.split("\n") if "events.parquet" in x]
+    # the day for rules 1-3 and the cards of rule 4, the day and its window before
+    assert scans and all("PushedFilters" in x and "(ts," in x.split("PushedFilters")[1] for x in scans)
+    assert any(f"GreaterThanOrEqual(ts,{REPORT_DAY}" in x for x in scans)
