@@ -24,7 +24,7 @@ from fraudlake.plans import warehouse as W
 from fraudlake.schemas import ACCOUNTS, CARDS, CLIENTS, TERMINALS
 from fraudlake.session import cut_lineage
 from fraudlake.sources import jdbc, manifest, workbook
-from fraudlake.sources.intake import read_transactions_csv, type_transactions
+from fraudlake.sources.intake import read_transactions_csv, split_typed, typed_lines
 
 
 @dataclass
@@ -97,14 +97,18 @@ def load_transactions(spark: SparkSession, wh: W.Warehouse, raw: DataFrame, on_b
 
     Rejects are stored first: they are decided against the fact as it was. A
     rerun decides the same, since rows equal to stored ones are replays."""
-    good, bad = type_transactions(raw, on_bad)
-    files = raw.select("file_name") if "file_name" in raw.columns else \
+    typed = cut_lineage(typed_lines(raw), "typed-feed")     # read and typed once
+    good, bad = split_typed(typed, on_bad)
+    files = typed.select("file_name") if "file_name" in raw.columns else \
         spark.range(1).select(F.lit(None).cast("string").alias("file_name"))
-    refused = cut_lineage(bad.unionByName(W.duplicates(spark, wh, good)), "rejects")
+    found = W.lookup(spark, wh, good)
+    refused = bad.unionByName(W.duplicates(spark, wh, good, found))
+    if on_bad == "file":
+        refused = cut_lineage(refused, "rejects")
     W.write_rejects(spark, wh, refused, files)
     if on_bad == "file":
         good = good.join(refused.select("file_name").distinct(), "file_name", "left_anti")
-    W.append_transactions(spark, wh, good)
+    W.append_transactions(spark, wh, good, found)
 
 
 def load_feeds(spark: SparkSession, wh: W.Warehouse, feeds: DayFeeds, run_ts: dt.datetime,

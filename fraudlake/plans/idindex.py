@@ -98,14 +98,18 @@ def repair(spark: SparkSession, wh: W.Warehouse) -> None:
 
 def known(spark: SparkSession, wh: W.Warehouse, batch: DataFrame) -> DataFrame:
     """``(transaction_id, event_date)`` of the batch's ids that are stored."""
+    if not live(spark, wh):
+        return spark.createDataFrame([], SCHEMA)
     low, high = batch.agg(F.min("transaction_id"), F.max("transaction_id")).first()
     near = ids(spark, wh).filter(F.col("transaction_id").between(F.lit(low), F.lit(high)))
     return near.join(batch.select("transaction_id").distinct(), "transaction_id", "left_semi")
 
 
-def stored_rows(spark: SparkSession, wh: W.Warehouse, batch: DataFrame) -> DataFrame:
-    """The fact's rows of the batch's ids, read from the days of those ids only."""
-    hits = W.cut_lineage(known(spark, wh, batch), "known-ids")
+def stored_rows(spark: SparkSession, wh: W.Warehouse, batch: DataFrame, hits: DataFrame | None = None) -> DataFrame:
+    """The fact's rows of the batch's ids, read from the days of those ids only.
+    ``hits``: ``known`` of the batch, already computed."""
+    if hits is None:
+        hits = W.cut_lineage(known(spark, wh, batch), "known-ids")
     days = [r["event_date"] for r in hits.select("event_date").distinct().collect()]   # a date a row
     return W.read_fact(spark, wh).filter(F.col("event_date").isin(days)) \
             .join(hits.select("transaction_id"), "transaction_id", "left_semi")

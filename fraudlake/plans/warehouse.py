@@ -50,7 +50,7 @@ from fraudlake.schemas import (
     BLACKLIST, FIRST_WATERMARK, META, REJECTS, REPORT, TABLE_DB, TRANSACTIONS, DimSpec,
 )
 from fraudlake.session import cut_lineage
-from fraudlake.sources.intake import duplicate_transactions, new_transactions
+from fraudlake.sources.intake import duplicate_transactions, new_transactions, repeated_ids
 
 META_LOG = T.StructType(META.fields + [T.StructField("run_id", T.LongType(), True),
                                        T.StructField("folder", T.StringType(), True),
@@ -341,17 +341,27 @@ def read_fact(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return _read(spark, wh.fact, schema, basePath=wh.fact)
 
 
-def append_transactions(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> None:
+def lookup(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(ids that the fact holds, ids repeated in the batch)``, each computed once: what
+    ``duplicates`` and ``append_transactions`` take as ``found``."""
+    from fraudlake.plans import idindex
+    idindex.repair(spark, wh)
+    return (cut_lineage(idindex.known(spark, wh, batch), "known-ids"),
+            cut_lineage(repeated_ids(batch), "repeated-ids"))
+
+
+def append_transactions(spark: SparkSession, wh: Warehouse, batch: DataFrame,
+                        found: tuple[DataFrame, DataFrame] | None = None) -> None:
     """Append new operations: one row per id, none already stored.
 
     Ids are unique over the whole fact; they are looked up in its id index, so
-    no stored operation is read.
+    no stored operation is read. ``found``: ``lookup`` of the batch, or of one that holds it.
     """
     from fraudlake.plans import idindex
     batch = batch.select(*[f.name for f in TRANSACTIONS.fields]) \
                  .withColumn("event_date", F.to_date("transaction_date"))
-    idindex.repair(spark, wh)
-    new = cut_lineage(new_transactions(batch, idindex.known(spark, wh, batch)), "new-operations")
+    known, repeated = found or lookup(spark, wh, batch)
+    new = cut_lineage(new_transactions(batch, known, repeated), "new-operations")
     first, last = new.agg(F.min("event_date"), F.max("event_date")).first()
     if first is None:
         return
@@ -362,11 +372,13 @@ def append_transactions(spark: SparkSession, wh: Warehouse, batch: DataFrame) ->
     idindex.add(spark, wh, new, attempt)
 
 
-def duplicates(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> DataFrame:
-    """Reject rows of a typed batch: ids repeated in it or stored with other values."""
+def duplicates(spark: SparkSession, wh: Warehouse, batch: DataFrame,
+               found: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Reject rows of a typed batch: ids repeated in it or stored with other values.
+    ``found``: ``lookup`` of the batch."""
     from fraudlake.plans import idindex
-    idindex.repair(spark, wh)
-    return duplicate_transactions(batch, idindex.stored_rows(spark, wh, batch))
+    known, repeated = found or lookup(spark, wh, batch)
+    return duplicate_transactions(batch, idindex.stored_rows(spark, wh, batch, known), repeated)
 
 
 def replace_blacklist(spark: SparkSession, wh: Warehouse, blacklist: DataFrame, run_ts: dt.datetime) -> None:

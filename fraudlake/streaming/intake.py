@@ -42,11 +42,7 @@ def run_intake(spark: SparkSession, wh: W.Warehouse, landing: str, archive: str
     batches = []
 
     def load(batch: DataFrame, epoch: int) -> None:
-        batch.persist()   # parsed once for rejects, duplicates and the append
-        try:
-            load_transactions(spark, wh, batch, on_bad)
-        finally:
-            batch.unpersist()
+        load_transactions(spark, wh, batch, on_bad)     # reads the batch once
         batches.append(epoch)
 
     q = (transaction_stream(spark, landing, archive, pattern=pattern).writeStream
