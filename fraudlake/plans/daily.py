@@ -263,6 +263,8 @@ def build_report(spark: SparkSession, wh: W.Warehouse, report_day: dt.date | Non
     state = cardstate.before(spark, wh, report_day) if report_day else None
     cards = in_days(v["tr"], report_day, until or report_day).select("card_num").distinct() if report_day else None
     stored = profile.read(spark, wh, v["blacklist"], cards, since)     # None: computed from the dimensions
+    if stored is not None:
+        stored = cut_lineage(stored, "profile")     # rules 1-3 and rule 4 join it each
     return fraud_report(v["tr"], v["cards"], v["accounts"], v["clients"], v["terminals"],
                         v["blacklist"], day=report_day, until=until, before=state, profile=stored, **rule_args)
 
@@ -276,8 +278,10 @@ def run_day(spark: SparkSession, wh: W.Warehouse, feeds: DayFeeds, run_ts: dt.da
 
 def write_day(spark: SparkSession, wh: W.Warehouse, report_day: dt.date, **rule_args) -> None:
     """(Re)write the stored report of one day; the cards' state at its end is
-    kept for the next one, as is their profile after the day's loads."""
+    kept for the next one, as is their profile after the day's loads. The state
+    before the day is stored too if it is missing: the lags of rule 4 read it several times."""
     profile.refresh(spark, wh)
+    cardstate.store(spark, wh, report_day - dt.timedelta(days=1))
     W.write_report(spark, build_report(spark, wh, report_day, **rule_args), wh, report_day)
     cardstate.store(spark, wh, report_day)
 
@@ -287,7 +291,8 @@ def backfill(spark: SparkSession, wh: W.Warehouse, start: dt.date, end: dt.date,
     """Reports for every day in ``[start, end]`` in one pass.
 
     All rules read the range's fact partitions only; rule 4 also the cards'
-    state before ``start``. Days in range are replaced.
+    state before ``start``, which is stored if it is missing. Days in range are replaced.
     """
     profile.refresh(spark, wh)
+    cardstate.store(spark, wh, start - dt.timedelta(days=1))
     W.write_report(spark, build_report(spark, wh, start, until=end, **rule_args), wh, start, end)

@@ -281,6 +281,8 @@ def load_dim(spark: SparkSession, wh: Warehouse, spec: DimSpec, source: DataFram
     committed meanwhile, the step is computed again from the new state.
     """
     rid = run_id(run_ts)
+    if source is not None and extract is None:
+        source = cut_lineage(source, "source")     # a full slice is the staged rows and the keys: computed once
     if keys is None:
         keys = source.select(F.col(spec.key).alias("id"))
     if not allow_empty and keys.isEmpty():

@@ -3,12 +3,12 @@
 import datetime as dt
 from decimal import Decimal
 
-from helpers import ts, tx
+from helpers import dims, ts, tx
 from pyspark.sql import functions as F
 
 from fraudlake.plans import daily
 from fraudlake.plans import warehouse as W
-from fraudlake.schemas import TRANSACTIONS, TRANSACTIONS_RAW
+from fraudlake.schemas import ACCOUNTS, CARDS, CLIENTS, TERMINALS, TRANSACTIONS, TRANSACTIONS_RAW
 from fraudlake.sources import intake
 
 
@@ -54,3 +54,44 @@ def test_ids_that_occur_once_are_not_grouped(spark):
         want, got = (sorted(map(str, f(batch, stored, *a).collect())) for a in ((), (again,)))
         assert got == want and got
     assert [r["transaction_id"] for r in intake.new_transactions(batch, stored, again).collect()].count(None) == 1
+
+
+def test_full_slice_is_computed_once(spark, scratch, monkeypatch):
+    rows = [("T1", "ATM", "C1", "a", ts("2023-12-01 00:00:00")), ("T2", "POS", "C2", "b", ts("2023-12-01 00:00:00"))]
+    spark.createDataFrame(rows, "terminal_id string, terminal_type string, terminal_city string, terminal_address string, "
+                                "update_dt timestamp_ntz").write.parquet(f"{scratch}/src")
+    read = []
+
+    def spy(opened, staged, keys, *a, _f=W.scd2_step):
+        read.extend(staged.inputFiles() + keys.inputFiles())
+        return _f(opened, staged, keys, *a)
+    monkeypatch.setattr(W, "scd2_step", spy)
+    wh = W.Warehouse(f"{scratch}/wh")
+    W.load_dim(spark, wh, TERMINALS, spark.read.parquet(f"{scratch}/src"), dt.datetime(2024, 1, 2))
+    assert read and not [f for f in read if "/src/" in f]
+    assert W.read_dim(spark, wh, TERMINALS).count() == 2
+
+
+def test_report_reads_stored_state_and_profile(spark, scratch, monkeypatch):
+    """The state before the first report day and the cards' profile are computed once, then read."""
+    wh = W.Warehouse(f"{scratch}/wh")
+    W.append_transactions(spark, wh, tx(spark, [(f"{d}{k}", f"2024-01-{d} 10:0{k}:00", 9 - k, "C1", "REJECT" if k < 3 else "SUCCESS")
+                                                for d in (14, 16) for k in range(4)]))
+    cards, accounts, clients, _ = dims(spark, [("C1", "P1", None)])
+    for spec, df in ((CARDS, cards), (ACCOUNTS, accounts), (CLIENTS, clients)):
+        src = df.drop("effective_from", "effective_to", "deleted_flg").withColumn("update_dt", F.lit(None).cast("timestamp_ntz"))
+        W.load_dim(spark, wh, spec, src.withColumn("create_dt", F.lit("2023-12-01").cast("timestamp_ntz")), dt.datetime(2024, 1, 2))
+    used = []
+
+    def spy(*a, _f=daily.fraud_report, **kw):
+        used.append((kw["before"].inputFiles(), kw["profile"].inputFiles()))
+        return _f(*a, **kw)
+    monkeypatch.setattr(daily, "fraud_report", spy)
+    day = dt.date(2024, 1, 16)
+    daily.write_day(spark, wh, day)
+    daily.backfill(spark, wh, day, dt.date(2024, 1, 17))
+    assert len(used) == 2
+    for before, profile in used:
+        assert before and not [f for f in before if "/fact_transactions/" in f]
+        assert profile and not [f for f in profile if "/card_profile/" in f]
+    assert [(r["event_type"], r["tr_id"]) for r in W.read_report(spark, wh).collect()] == [(4, "163")]
