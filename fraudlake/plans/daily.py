@@ -263,8 +263,6 @@ def build_report(spark: SparkSession, wh: W.Warehouse, report_day: dt.date | Non
     state = cardstate.before(spark, wh, report_day) if report_day else None
     cards = in_days(v["tr"], report_day, until or report_day).select("card_num").distinct() if report_day else None
     stored = profile.read(spark, wh, v["blacklist"], cards, since)     # None: computed from the dimensions
-    if stored is not None:
-        stored = cut_lineage(stored, "profile")     # rules 1-3 and rule 4 join it each
     return fraud_report(v["tr"], v["cards"], v["accounts"], v["clients"], v["terminals"],
                         v["blacklist"], day=report_day, until=until, before=state, profile=stored, **rule_args)
 
